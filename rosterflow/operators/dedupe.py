@@ -3,8 +3,8 @@
 All pickers use ``row_number`` over a key partition with a *total* order, so the
 result never depends on input order; Spark plans them with a
 ``WindowGroupLimit`` that keeps one row per key before the shuffle. Group-level
-predicates use unordered window aggregates or a pre-aggregated count joined
-back, never a collected group.
+predicates use a partially aggregated ``groupBy`` joined back on the key,
+never a whole-partition window or a collected group.
 """
 
 from __future__ import annotations
@@ -16,6 +16,23 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions.nulls import _c, first_after_arrange, last_after_arrange, strict_max, strict_min
 
 
+def with_group_aggs(df: DataFrame, keys: Sequence[str], aggs: dict) -> DataFrame:
+    """Grouped ``mutate``: attach per-group aggregates to every row.
+
+    A ``groupBy`` (partially aggregated map-side, so a hot key costs one row per
+    map task) joined back on the keys (NULL keys form a group, as in R). The
+    aggregate side has one row per key: AQE broadcasts it when small, and splits
+    a skewed key's partition on the row side otherwise.
+    """
+    g = df.groupBy(*[F.col(k).alias(f"__rf_g_{k}") for k in keys]).agg(
+        *[expr.alias(name) for name, expr in aggs.items()])
+    cond = None
+    for k in keys:
+        part = F.col(k).eqNullSafe(F.col(f"__rf_g_{k}"))
+        cond = part if cond is None else cond & part
+    return df.join(g, cond, "inner").drop(*[f"__rf_g_{k}" for k in keys])
+
+
 def _pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("__rf_rn", F.row_number().over(w)).filter(F.col("__rf_rn") == 1).drop("__rf_rn")
@@ -47,10 +64,9 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def with_group_bounds(df: DataFrame, keys: Sequence[str], col: str, min_col: str, max_col: str,
                       strict: bool = True) -> DataFrame:
     """Grouped ``mutate(min(x), max(x))``; ``strict`` = R without ``na.rm``."""
-    w = Window.partitionBy(*keys)
     lo = strict_min(col) if strict else F.min(col)
     hi = strict_max(col) if strict else F.max(col)
-    return df.withColumn(min_col, lo.over(w)).withColumn(max_col, hi.over(w))
+    return with_group_aggs(df, keys, {min_col: lo, max_col: hi})
 
 
 def observed_span(df: DataFrame, keys: Sequence[str], period_col: str,
@@ -64,9 +80,8 @@ def observed_span(df: DataFrame, keys: Sequence[str], period_col: str,
 
 def drop_closed_when_one_open(df: DataFrame, keys: Sequence[str], end_col: str) -> DataFrame:
     """Keep a row if its group has one row, or not exactly one open row, or it is open."""
-    w = Window.partitionBy(*keys)
-    flagged = df.withColumn("__rf_n", F.count(F.lit(1)).over(w)).withColumn(
-        "__rf_open", F.sum(F.col(end_col).isNull().cast("int")).over(w))
+    flagged = with_group_aggs(df, keys, {"__rf_n": F.count(F.lit(1)),
+                                         "__rf_open": F.sum(F.col(end_col).isNull().cast("int"))})
     keep = (F.col("__rf_n") == 1) | (F.col("__rf_open") != 1) | F.col(end_col).isNull()
     return flagged.filter(keep).drop("__rf_n", "__rf_open")
 
@@ -76,9 +91,8 @@ def late_key_groups(df: DataFrame, group_keys: Sequence[str], id_col: str) -> Da
 
     Per group: any NULL, and min == max over the non-NULL ids (one real id).
     """
-    w = Window.partitionBy(*group_keys)
-    flagged = (df.withColumn("__rf_null", F.max(F.col(id_col).isNull().cast("int")).over(w))
-                 .withColumn("__rf_lo", F.min(id_col).over(w)).withColumn("__rf_hi", F.max(id_col).over(w)))
+    flagged = with_group_aggs(df, group_keys, {"__rf_null": F.max(F.col(id_col).isNull().cast("int")),
+                                               "__rf_lo": F.min(id_col), "__rf_hi": F.max(id_col)})
     keep = (F.col("__rf_null") == 1) & F.col("__rf_lo").isNotNull() & (F.col("__rf_lo") == F.col("__rf_hi"))
     return flagged.filter(keep).drop("__rf_null", "__rf_lo", "__rf_hi")
 
@@ -108,19 +122,21 @@ def close_on_move(df: DataFrame, key: str, group_col: str, entry_col: str, exit_
     other groups end at their last observed period with ``moved_reason``. The
     grouping column is compared in text order; NULLs follow R (``max`` is NA).
     """
-    w = Window.partitionBy(key)
     g = F.col(group_col)
-    has_null = F.max(g.isNull().cast("int")).over(w) == 1
-    lo, hi = F.min(g).over(w), F.max(g).over(w)
+    b = with_group_aggs(df, [key], {"__rf_gnull": F.max(g.isNull().cast("int")),
+                                    "__rf_glo": F.min(g), "__rf_ghi": F.max(g)})
+    has_null = F.col("__rf_gnull") == 1
+    lo, hi = F.col("__rf_glo"), F.col("__rf_ghi")
     moved = (lo != hi) | (has_null & lo.isNotNull())
     top = F.when(has_null, F.lit(None)).otherwise(hi)
     moved_to = g == top
     move_in = moved & moved_to
     move_out = moved & ~moved_to
-    return (df
+    return (b
             .withColumn(entry_col, F.when(move_in, F.col(first_start_col)).when(~move_in, F.to_date(entry_col)))
             .withColumn(exit_col, F.when(move_out, F.col(last_end_col)).when(~move_out, F.to_date(exit_col)))
-            .withColumn(reason_col, F.when(move_out, F.lit(moved_reason)).when(~move_out, F.col(reason_col))))
+            .withColumn(reason_col, F.when(move_out, F.lit(moved_reason)).when(~move_out, F.col(reason_col)))
+            .drop("__rf_gnull", "__rf_glo", "__rf_ghi"))
 
 
 def merge_spells(df: DataFrame, key: str, keys_to_merge: DataFrame, min_cols: Sequence[str],
@@ -134,8 +150,9 @@ def merge_spells(df: DataFrame, key: str, keys_to_merge: DataFrame, min_cols: Se
     k = keys_to_merge.select(F.col(keys_to_merge.columns[0]).alias(key)).distinct()
     listed = df.join(k, key, "left_semi")
     rest = df.join(k, key, "left_anti")
-    w = Window.partitionBy(key)
+    mins = with_group_aggs(listed, [key], {f"__rf_min_{c}": strict_min(c) for c in min_cols})
     for c in min_cols:
-        listed = listed.withColumn(c, strict_min(c).over(w))
+        mins = mins.withColumn(c, F.col(f"__rf_min_{c}")).drop(f"__rf_min_{c}")
+    listed = mins.select(*df.columns)
     listed = last_per_key(listed, [key], [exit_col], tiebreak)
     return rest.unionByName(listed)

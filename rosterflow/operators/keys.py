@@ -5,7 +5,7 @@ window: the frame is range-partitioned on the order, each partition's local
 position comes from ``monotonically_increasing_id`` (row index inside the sorted
 partition), and per-partition (and per-group) counts — one row per partition and
 group, a bounded table — give the offsets. One range shuffle, reused by both
-branches of the plan.
+passes (the tagged frame is checkpointed once, see ``_sorted_by_range``).
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.nulls import _c, eq_null_safe_cond
+from ..session import cut_lineage
 
 _PID = "__rf_pid"
 _LOCAL = "__rf_local"
@@ -27,11 +28,20 @@ def _n_partitions(df: DataFrame, num_partitions: int | None) -> int:
 
 
 def _sorted_by_range(df: DataFrame, order: Sequence[Column], num_partitions: int | None) -> DataFrame:
+    """Range-partition and sort on ``order``, tag partition id and in-partition position.
+
+    The result is a reliable checkpoint (shared ``spark.checkpoint.dir``): the
+    counting pass and the numbering pass must see the *same* partitions, and two
+    independently planned range exchanges may sample different bounds. The
+    checkpoint also survives executor loss, unlike a cached frame.
+    """
     n = _n_partitions(df, num_partitions)
-    return (df.repartitionByRange(n, *order)
-              .sortWithinPartitions(*order)
-              .withColumn(_PID, F.spark_partition_id())
-              .withColumn(_LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+    tagged = (df.repartitionByRange(n, *order)
+                .sortWithinPartitions(*order)
+                .withColumn(_PID, F.spark_partition_id())
+                .withColumn(_LOCAL, F.monotonically_increasing_id()
+                            - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
+    return cut_lineage(tagged)
 
 
 def assign_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str = "id",
