@@ -129,15 +129,34 @@ def subsidy_counts(rep: DataFrame, t: dict) -> DataFrame:
             .join(case_no, "ChildId", "left"))
 
 
-def billing_report(t: dict) -> dict[str, DataFrame]:
-    """All four report sections for every report: roster, income groups, spaces, header."""
+SECTIONS = ("roster", "income_groups", "spaces", "header")
+
+
+def billing_report(t: dict, sections=SECTIONS) -> dict[str, DataFrame]:
+    """Report sections for every report: roster, income groups, spaces, header.
+
+    Only the requested ``sections`` are planned (the roster numbering
+    materialises data, so it is not built when only the header is wanted).
+    """
     spark = t["report"].sparkSession
     rep = report_frame(t["report"], t["organization"], t["reporting_period"])
-    act = active_fundings(rep, t)
-    subs = subsidy_counts(rep, t)
+    act = active_fundings(rep, t) if {"roster", "income_groups", "spaces"} & set(sections) else None
+    subs = subsidy_counts(rep, t) if {"roster", "header"} & set(sections) else None
     limits = F.broadcast(income_limits(spark))
-
-    # roster: one line per active funding, repeated per subsidy row of the child
+    out = {}
+    if "roster" in sections:
+        out["roster"] = _roster(act, subs, limits)
+    if "income_groups" in sections:
+        out["income_groups"] = _income_groups(rep, act, limits)
+    if "spaces" in sections:
+        out["spaces"] = _spaces(rep, act, t["funding_space"])
+    if "header" in sections:
+        out["header"] = _header(rep, subs)
+    return out
+
+
+def _roster(act: DataFrame, subs: DataFrame, limits: DataFrame) -> DataFrame:
+    """One line per active funding, repeated per subsidy row of the child; numbered per report (O1)."""
     r = (act.join(subs, ["report_id", "ChildId"], "left")
          .withColumn("__rep", F.explode(F.sequence(F.lit(1), F.greatest(F.coalesce("n_subsidy", F.lit(0)), F.lit(1)))))
          .withColumn("c4k_family_id", F.when(F.col("n_subsidy") > 0, F.col("case_no")))
@@ -145,7 +164,7 @@ def billing_report(t: dict) -> dict[str, DataFrame]:
     r = assign_ids(r, [F.col("AgeGroup").asc_nulls_last(), F.col("LastName").asc_nulls_last(),
                        F.col("FirstName").asc_nulls_last(), "funding_id", "__rep"],
                    id_col="line_no", group_cols=["report_id"])
-    roster = r.select(
+    return r.select(
         "report_id", "line_no", F.col("Sasid").alias("sasid"), F.col("LastName").alias("last_name"),
         F.col("FirstName").alias("first_name"), "c4k_family_id", rc.presence_flag("c4k_family_id").alias("c4k"),
         F.col("LicenseNumber").alias("center_license"), rc.space_label("Time", "AgeGroup").alias("service"),
@@ -153,33 +172,38 @@ def billing_report(t: dict) -> dict[str, DataFrame]:
         us_date("Exit").alias("termination_date"), F.col("NumberOfPeople").alias("n_in_family"),
         F.col("Income").alias("annual_income"), rc.eligibility_flag("Income", "MaxIncome").alias("eligible"))
 
-    # family income grouping: funding rows at or under 200% FPL, zero-filled over family sizes 1-12
+
+def _income_groups(rep: DataFrame, act: DataFrame, limits: DataFrame) -> DataFrame:
+    """Funding rows at or under 200% FPL per family size, zero-filled over sizes 1-12."""
     under = (act.join(limits, "NumberOfPeople").where(F.col("Income") <= F.col("x200FPL"))
              .select("report_id", F.col("NumberOfPeople").alias("family_size")))
     domain = (rep.select("report_id", F.explode(F.array(*[F.lit(n) for n in family_sizes()])).alias("family_size"))
               .join(limits.select(F.col("NumberOfPeople").alias("family_size"),
                                   F.col("x200FPL").alias("less_than_or_equal_to")), "family_size"))
-    income_groups = zero_filled_count(under, domain, ["report_id", "family_size"], "n_families").select(
+    return zero_filled_count(under, domain, ["report_id", "family_size"], "n_families").select(
         "report_id", "family_size", "less_than_or_equal_to", "n_families")
 
-    # space utilization: used rows by (age, time, accredited, title, rate) against capacity
+
+def _spaces(rep: DataFrame, act: DataFrame, funding_space: DataFrame) -> DataFrame:
+    """Used rows by (age, time, accredited, title, rate) against capacity."""
     used = act.groupBy("report_id", "organization_id", "AgeGroup", "Time", "Accredited", "TitleI", "Rate").agg(
         F.count(F.lit(1)).alias("utilization"))
-    spaces_cap = (t["funding_space"].select(F.col("OrganizationId").alias("organization_id"),
-                                            F.col("Source").alias("report_type"),
-                                            rc.recode("AgeGroup", rc.AGE_GROUP_LABELS).alias("AgeGroup"),
-                                            rc.recode("Time", rc.TIME_LABELS).alias("Time"),
-                                            F.col("Capacity").alias("capacity")))
-    spaces = (used.join(rep.select("report_id", "report_type"), "report_id")
-              .join(spaces_cap, ["organization_id", "report_type", "AgeGroup", "Time"])
-              .select("report_id", F.col("AgeGroup").alias("age_group"), F.col("Time").alias("time"),
-                      rc.label_when("Accredited", *rc.ACCREDITED_LABELS).alias("accredited"),
-                      rc.label_when("TitleI", *rc.TITLE_I_LABELS).alias("title_i"),
-                      F.col("Rate").alias("rate"), "capacity", "utilization"))
-
-    # header
+    cap = funding_space.select(F.col("OrganizationId").alias("organization_id"),
+                               F.col("Source").alias("report_type"),
+                               rc.recode("AgeGroup", rc.AGE_GROUP_LABELS).alias("AgeGroup"),
+                               rc.recode("Time", rc.TIME_LABELS).alias("Time"), F.col("Capacity").alias("capacity"))
+    return (used.join(rep.select("report_id", "report_type"), "report_id")
+            .join(cap, ["organization_id", "report_type", "AgeGroup", "Time"])
+            .select("report_id", F.col("AgeGroup").alias("age_group"), F.col("Time").alias("time"),
+                    rc.label_when("Accredited", *rc.ACCREDITED_LABELS).alias("accredited"),
+                    rc.label_when("TitleI", *rc.TITLE_I_LABELS).alias("title_i"),
+                    F.col("Rate").alias("rate"), "capacity", "utilization"))
+
+
+def _header(rep: DataFrame, subs: DataFrame) -> DataFrame:
+    """Contractor, period text, weeks, fees, number of subsidies (A18), date, file stem (K7)."""
     n_sub = subs.groupBy("report_id").agg(F.sum("n_subsidy").alias("n_subsidies"))
-    header = (rep.join(n_sub, "report_id", "left").select(
+    return rep.join(n_sub, "report_id", "left").select(
         "report_id", F.col("name").alias("contractor"),
         F.concat(long_date("period_start", pad_day=True), F.lit(" - "), long_date("period_end", pad_day=True))
         .alias("reporting_period"),
@@ -187,8 +211,7 @@ def billing_report(t: dict) -> dict[str, DataFrame]:
         F.col("FamilyFeesRevenue").alias("family_fees"),
         F.coalesce(F.col("n_subsidies"), F.lit(0)).cast("bigint").alias("n_subsidies"),
         F.col("C4KRevenue").alias("subsidies"), us_date("SubmittedAt").alias("date"),
-        F.concat_ws(" ", F.col("name"), month_year("period"), F.lit(REPORT_SUFFIX)).alias("file_stem")))
-    return {"roster": roster, "income_groups": income_groups, "spaces": spaces, "header": header}
+        F.concat_ws(" ", F.col("name"), month_year("period"), F.lit(REPORT_SUFFIX)).alias("file_stem"))
 
 
 __all__ = ["billing_report", "report_frame", "active_fundings", "subsidy_counts", "period_for_month"]

@@ -161,8 +161,8 @@ subs AS (
   GROUP BY rep.report_id, c.child_id)"""
 
 
-def _sections(spark, sf):
-    return billing_report(target_model(spark, sf))
+def _section(spark, sf, name):
+    return billing_report(target_model(spark, sf), sections=(name,))[name]
 
 
 @query("billing_roster", _BASE_SQL + f""",
@@ -182,7 +182,7 @@ SELECT report_id,
 FROM rows""")
 def billing_roster(spark, sf):
     """D11 roster: active fundings per report, rate, eligibility, numbered per report (O1)."""
-    return _sections(spark, sf)["roster"]
+    return _section(spark, sf, "roster")
 
 
 @query("income_groups", _BASE_SQL + f""",
@@ -195,7 +195,7 @@ FROM rep CROSS JOIN {_LIMITS_SQL}
 LEFT JOIN under u ON u.report_id = rep.report_id AND u.family_size = lim.NumberOfPeople""")
 def income_groups(spark, sf):
     """D11 family-income grouping: families at or under 200% FPL per size, zero-filled."""
-    return _sections(spark, sf)["income_groups"]
+    return _section(spark, sf, "income_groups")
 
 
 @query("space_use", _BASE_SQL + f""",
@@ -214,7 +214,7 @@ SELECT u.report_id, u.AgeGroup AS age_group, u.Time AS time,
 FROM used u JOIN cap c ON c.organization_id = u.organization_id AND c.AgeGroup = u.AgeGroup AND c.Time = u.Time""")
 def space_use(spark, sf):
     """D11 spaces: used rows by (age, time, accredited, title, rate) against capacity."""
-    return _sections(spark, sf)["spaces"]
+    return _section(spark, sf, "spaces")
 
 
 @query("billing_header", _BASE_SQL + """
@@ -227,4 +227,4 @@ SELECT rep.report_id, name AS contractor,
 FROM rep LEFT JOIN (SELECT report_id, sum(n_subsidy) AS n FROM subs GROUP BY 1) s ON s.report_id = rep.report_id""")
 def billing_header(spark, sf):
     """D11 header: contractor, period text, weeks, fees, number of subsidies (A18), file stem (K7)."""
-    return _sections(spark, sf)["header"]
+    return _section(spark, sf, "header")
