@@ -148,8 +148,8 @@ def merge_spells(df: DataFrame, key: str, keys_to_merge: DataFrame, min_cols: Se
     uniqueness gate), semi/anti-joined — no literal id list in the plan.
     """
     k = keys_to_merge.select(F.col(keys_to_merge.columns[0]).alias(key)).distinct()
-    listed = df.join(k, key, "left_semi")
-    rest = df.join(k, key, "left_anti")
+    listed = df.join(k, key, "left_semi").select(*df.columns)
+    rest = df.join(k, key, "left_anti").select(*df.columns)
     mins = with_group_aggs(listed, [key], {f"__rf_min_{c}": strict_min(c) for c in min_cols})
     for c in min_cols:
         mins = mins.withColumn(c, F.col(f"__rf_min_{c}")).drop(f"__rf_min_{c}")

@@ -1,0 +1,231 @@
+"""Operator fixtures and properties: calendar, fuzzy join, ids, pickers, reshapes, gates, lookups."""
+import datetime as dt
+import random
+
+import pytest
+from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
+
+from conftest import rows
+from rosterflow.operators import dedupe, fuzzy, keys, periods, quality, reshape
+from rosterflow.sources import lookups
+
+
+# ---- calendar (golden rows) -----------------------------------------------------------
+GOLDEN = [
+    (1, dt.date(2019, 7, 1), dt.date(2019, 7, 1), dt.date(2019, 7, 28), dt.date(2019, 8, 16),
+     "July 1, 2019 - July 26, 2019"),
+    (2, dt.date(2019, 8, 1), dt.date(2019, 7, 29), dt.date(2019, 9, 1), dt.date(2019, 9, 20),
+     "July 29, 2019 - August 30, 2019"),
+    (3, dt.date(2019, 9, 1), dt.date(2019, 9, 2), dt.date(2019, 9, 29), dt.date(2019, 10, 18),
+     "September 2, 2019 - September 27, 2019"),
+    (4, dt.date(2019, 10, 1), dt.date(2019, 9, 30), dt.date(2019, 10, 27), dt.date(2019, 11, 15),
+     "September 30, 2019 - October 25, 2019"),
+    (7, dt.date(2020, 1, 1), dt.date(2019, 12, 30), dt.date(2020, 2, 2), dt.date(2020, 2, 21),
+     "December 30, 2019 - January 31, 2020"),
+    (8, dt.date(2020, 2, 1), dt.date(2020, 2, 3), dt.date(2020, 3, 1), dt.date(2020, 3, 20),
+     "February 3, 2020 - February 28, 2020"),
+]
+
+
+def test_calendar_golden_rows(spark):
+    cal = periods.reporting_calendar(spark, dt.date(2019, 7, 1), dt.date(2029, 7, 1))
+    got = {r.id: (r.id, r.period, r.period_start, r.period_end, r.due_at, r.label) for r in cal.collect()}
+    assert len(got) == 120
+    for g in GOLDEN:
+        assert got[g[0]] == g
+    # periods tile the weeks: each start is the day after the previous end, all Mondays
+    ordered = [got[i] for i in sorted(got)]
+    for a, b in zip(ordered, ordered[1:]):
+        assert b[2] == a[3] + dt.timedelta(days=1)
+    assert all(p[2].weekday() == 0 for p in ordered) and all(p[4].weekday() == 4 for p in ordered)
+
+
+def test_label_lookup_unmatched_is_null(spark):
+    cal = periods.reporting_calendar(spark, dt.date(2019, 7, 1), dt.date(2019, 10, 1))
+    hdr = spark.createDataFrame([("a", "July 29, 2019 to August 30, 2019"), ("b", "nonsense")], "s string, h string")
+    assert rows(periods.lookup_label(hdr, "h", cal), "s", "period") == [("a", 2), ("b", None)]
+
+
+# ---- fuzzy join -------------------------------------------------------------------------
+def _brute(left, right, k):
+    def lev(a, b):
+        prev = list(range(len(b) + 1))
+        for i, ca in enumerate(a, 1):
+            cur = [i]
+            for j, cb in enumerate(b, 1):
+                cur.append(min(prev[j] + 1, cur[j - 1] + 1, prev[j - 1] + (ca != cb)))
+            prev = cur
+        return prev[-1]
+    return sorted((i, j, lev(a, b)) for i, a in left for j, b in right
+                  if a is not None and b is not None and lev(a, b) <= k)
+
+
+def test_fuzzy_cases(spark):
+    left = spark.createDataFrame([(1, "12345"), (2, "12346"), (3, "1234"), (4, "123456"), (5, "21345"), (6, None)],
+                                 "i int, l string")
+    right = spark.createDataFrame([(10, "12345")], "j int, r string")
+    out = fuzzy.fuzzy_join(left, right, "l", "r", 1, "fuzzy")
+    assert rows(out, "i", "fuzzy") == [(1, 0), (2, 1), (3, 1), (4, 1)]   # swap (5) is distance 2
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.text(alphabet="abc", min_size=0, max_size=5), min_size=1, max_size=12),
+       st.lists(st.text(alphabet="abc", min_size=0, max_size=5), min_size=1, max_size=12),
+       st.sampled_from([1, 2]))
+def test_fuzzy_blocking_equals_brute_force(spark, ls, rs, k):
+    left = list(enumerate(ls))
+    right = list(enumerate(rs))
+    ldf = spark.createDataFrame(left, "i int, l string")
+    rdf = spark.createDataFrame(right, "j int, r string")
+    got = rows(fuzzy.fuzzy_join(ldf, rdf, "l", "r", k, "d"), "i", "j", "d")
+    assert got == _brute(left, right, k)
+
+
+def test_fuzzy_plan_has_no_nested_loop(spark):
+    left = spark.createDataFrame([(1, "abc")], "i int, l string")
+    right = spark.createDataFrame([(1, "abd")], "j int, r string")
+    plan = fuzzy.fuzzy_join(left, right, "l", "r")._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+def test_best_match_ties(spark):
+    pairs = spark.createDataFrame([("f", "a", 1, "L2"), ("f", "a", 1, "L1"), ("f", "a", 0, "L9"), ("g", "a", 1, "L3")],
+                                  "src string, who string, fuzzy int, lic string")
+    assert rows(fuzzy.best_match(pairs, ["src", "who"], "fuzzy", ["lic"]), "src", "lic") == [("f", "L9"), ("g", "L3")]
+
+
+# ---- ids ----------------------------------------------------------------------------------
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_assign_ids_bijection_and_repeatable(spark, parts):
+    random.seed(parts)
+    data = [(random.randint(0, 50), f"n{i}") for i in range(300)]
+    df = spark.createDataFrame(data, "g int, name string")
+    out = keys.assign_ids(df, ["g", "name"], num_partitions=parts)
+    got = {r.name: r.id for r in out.collect()}
+    expected = {name: i + 1 for i, (_, name) in enumerate(sorted(data))}
+    assert got == expected
+
+
+def test_assign_ids_grouped(spark):
+    df = spark.createDataFrame([("a", 3), ("a", 1), ("b", 7), (None, 2), ("a", 2)], "g string, v int")
+    out = keys.assign_ids(df, ["v"], id_col="line", group_cols=["g"], num_partitions=3)
+    assert rows(out, "g", "v", "line") == [(None, 2, 1), ("a", 1, 1), ("a", 2, 2), ("a", 3, 3), ("b", 7, 1)]
+
+
+def test_assign_ids_plan_has_no_single_partition_window_over_rows(spark):
+    df = spark.range(1000).withColumn("k", F.col("id") % 7)
+    plan = keys.assign_ids(df, ["k", "id"], id_col="rid")._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan
+
+
+def test_remap_dimension(spark):
+    facts = spark.createDataFrame([(1, 1), (2, 2), (3, 3)], "f int, site int")
+    dim = spark.createDataFrame([(1,), (2,), (3,)], "site int")
+    nf, nd = keys.remap_dimension(facts, dim, "site", "site", {2: 1})
+    assert rows(nf) == [(1, 1), (2, 1), (3, 3)] and rows(nd) == [(1,), (3,)]
+
+
+# ---- pickers and group filters ---------------------------------------------------------------
+def test_drop_closed_when_one_open(spark):
+    d = dt.date(2020, 1, 1)
+    df = spark.createDataFrame([("a", 1, None), ("a", 2, d), ("b", 1, d), ("b", 2, d), ("c", 1, None), ("c", 2, None),
+                                ("e", 1, d)], "k string, i int, x date")
+    assert rows(dedupe.drop_closed_when_one_open(df, ["k"], "x"), "k", "i") == [
+        ("a", 1), ("b", 1), ("b", 2), ("c", 1), ("c", 2), ("e", 1)]
+
+
+def test_late_key_groups(spark):
+    df = spark.createDataFrame([("ann", None), ("ann", "1"), ("bo", None), ("bo", None), ("cy", "2"), ("cy", "3"),
+                                ("di", None), ("di", "4"), ("di", "5")], "n string, id string")
+    assert rows(dedupe.late_key_groups(df, ["n"], "id"), "n") == [("ann",), ("ann",)]
+
+
+def test_close_on_move(spark):
+    s, e = dt.date(2020, 1, 6), dt.date(2020, 3, 1)
+    df = spark.createDataFrame([
+        ("p", "IT", dt.date(2019, 9, 1), None, None, s, e), ("p", "PS", dt.date(2019, 9, 1), None, None, s, e),
+        ("q", "SA", dt.date(2019, 9, 1), None, None, s, e)],
+        "k string, g string, entry date, exit date, why string, fs date, le date")
+    out = dedupe.close_on_move(df, "k", "g", "entry", "exit", "why", "fs", "le")
+    assert rows(out, "k", "g", "entry", "exit", "why") == [
+        ("p", "IT", dt.date(2019, 9, 1), e, "Aged Out"), ("p", "PS", s, None, None),
+        ("q", "SA", dt.date(2019, 9, 1), None, None)]
+
+
+def test_duplicates_and_merge_spells(spark):
+    d1, d2 = dt.date(2020, 1, 1), dt.date(2020, 2, 1)
+    df = spark.createDataFrame([(1, "a", d2, d2), (2, "a", d1, None), (3, "b", d1, d1)],
+                               "id int, k string, entry date, exit date")
+    ks = spark.createDataFrame([("a",)], "k string")
+    out = dedupe.merge_spells(df, "k", ks, ["entry"], "exit", ["id"])
+    assert rows(out) == [(2, "a", d1, None), (3, "b", d1, d1)]
+    assert rows(dedupe.duplicates(df, ["k"]), "id") == [(1,), (2,)]
+
+
+# ---- reshapes -------------------------------------------------------------------------------
+def test_collapse_multi(spark):
+    df = spark.createDataFrame([(1, "x"), (2, "x"), (2, "x"), (3, "x"), (3, "y"), (4, None), (5, "x"), (5, None)],
+                               "k int, v string")
+    assert rows(reshape.collapse_multi(df, ["k"], "v", "Multiple")) == [
+        (1, "x"), (2, "x"), (3, "Multiple"), (4, None), (5, "Multiple")]
+
+
+def test_flag_and_eav_pivot(spark):
+    races = spark.createDataFrame([(1, "White"), (1, "Asian"), (2, "White"), (2, "White")], "s int, r string")
+    base = spark.createDataFrame([(1,), (2,), (3,)], "s int")
+    flags = reshape.flag_pivot(races, "s", "r", {"White": "white", "Asian": "asian"}, base=base)
+    assert rows(flags, "s", "white", "asian") == [(1, 1, 1), (2, 1, 0), (3, 0, 0)]
+    eav = spark.createDataFrame([(1, 3, "b1"), (1, 3, "b2"), (1, 5, "town")], "s int, f int, v string")
+    assert rows(reshape.eav_pivot(eav, "s", "f", "v", {3: "cert", 4: "state", 5: "town"})) == [(1, "b2", None, "town")]
+
+
+def test_sorted_string_agg_repeats(spark):
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, None), (2, "c")], "k int, v string")
+    assert rows(reshape.sorted_string_agg(df, ["k"], "v", ",")) == [(1, "a,b,b"), (2, "c")]
+
+
+def test_completeness(spark):
+    df = spark.createDataFrame([("o1", None), ("o1", "x"), ("o2", "y")], "org string, v string")
+    out = reshape.completeness(df, ["org"], {"v": F.col("v").isNull()})
+    assert rows(out) == [("o1", "v", 1, 2, 50.0), ("o2", "v", 0, 1, 0.0)]
+
+
+# ---- period joins -------------------------------------------------------------------------------
+def test_active_and_overlap_edges(spark):
+    facts = spark.createDataFrame([(1, "o", 2, None), (2, "o", 1, 1), (3, "o", 3, 5), (4, "x", 1, None)],
+                                  "f int, org string, first int, last int")
+    reps = spark.createDataFrame([("o", 1), ("o", 2), ("o", 3)], "org string, p int")
+    out = periods.active_in_period(facts, reps, "org", "first", "last", "p", 3)
+    assert rows(out, "f", "p") == [(1, 2), (1, 3), (2, 1), (3, 3)]
+    cal = periods.reporting_calendar(spark, dt.date(2019, 7, 1), dt.date(2019, 12, 1)).select(
+        F.col("id").alias("pid"), "period_start", "period_end").withColumn("org", F.lit("o"))
+    spells = spark.createDataFrame([
+        (1, "o", dt.date(2019, 7, 28), dt.date(2019, 7, 28)),   # last day of period 1
+        (2, "o", dt.date(2019, 7, 29), dt.date(2019, 7, 29)),   # first day of period 2
+        (3, "o", dt.date(2019, 10, 20), None)], "f int, org string, s date, e date")
+    out = periods.interval_overlap_join(spells, cal, "org", "s", "e", "pid", "period_start", "period_end",
+                                        F.lit(dt.date(2019, 7, 1)), F.lit(dt.date(2019, 11, 30)))
+    assert rows(out, "f", "pid") == [(1, 1), (2, 2), (3, 4), (3, 5)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+# ---- gates and lookups --------------------------------------------------------------------------
+def test_quality_gate_raises(spark):
+    bad = spark.createDataFrame([("f1",)], "source string")
+    ok = spark.createDataFrame([], "source string")
+    res = quality.check(spark, [("one org", bad, "stop"), ("fine", ok, "stop"), ("warn", bad, "warn")])
+    assert rows(res, "rule", "n") == [("fine", 0), ("one org", 1), ("warn", 1)]
+    with pytest.raises(quality.QualityGateError):
+        quality.enforce(res)
+
+
+def test_lookup_tables(spark):
+    towns = lookups.towns(spark)
+    assert towns.count() == 170 and towns.select("town").distinct().count() == 170
+    regions = {r.town: r.region for r in towns.collect()}
+    assert regions["East Haddam"] == "sc" and regions["Haddam"] == "sc" and "East" not in regions
+    rates = lookups.rates(spark)
+    assert rates.count() == 120 and rates.select("Accredited", "TitleI", "Region", "AgeGroup", "Time").distinct().count() == 120
+    assert lookups.income_limits(spark).count() == 12
