@@ -184,7 +184,9 @@ def ecis_students(flat: DataFrame, registered: DataFrame) -> DataFrame:
 
 def students_joined(psr: DataFrame, ecis: DataFrame) -> DataFrame:
     """Roster people ⟕ database attributes; ``student_id`` assigned by key order."""
-    s = psr.join(ecis, psr["sasid"] == ecis["SASID"], "left").drop("SASID")
+    # names resolve case-insensitively: the database key is renamed before the join
+    e = ecis.withColumnRenamed("SASID", "__rf_db_sasid")
+    s = psr.join(e, F.col("sasid") == F.col("__rf_db_sasid"), "left").drop("__rf_db_sasid")
     return keys.assign_ids(s, ["sasid", "first_name", "last_name", "FacilityCode"], id_col="student_id")
 
 
