@@ -36,25 +36,47 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.memo: dict = {}
 
     def __getattr__(self, name: str) -> DataFrame:
+        if name.startswith("__") or name == "memo":
+            raise AttributeError(name)
         return table(self.spark, self.sf_dir, name)
 
+    def once(self, key: str, build):
+        """Build a derived frame / scalar once per binding, so one query plans it once."""
+        if key not in self.memo:
+            self.memo[key] = build()
+        return self.memo[key]
+
 
 # --- the binding calendar: months from the first order to the last shipment -------
 
 def calendar(t: Tables) -> DataFrame:
     """Reporting calendar covering every order and shipment month of the data."""
-    first = t.orders.select(F.min("o_orderdate")).scalar()
-    last = t.lineitem.select(F.max("l_shipdate")).scalar()
-    bounds = t.spark.range(1).select(first.alias("start"), F.add_months(F.trunc(last.cast("date"), "month"), 1)
-                                     .alias("end"))
+    return t.once("calendar", lambda: _calendar(t))
+
+
+def scalar_value(df: DataFrame) -> Column:
+    """A one-value aggregate evaluated once (one small job) and inlined as a literal.
+
+    Lazy scalar subqueries are re-planned per adaptive stage; a global bound used
+    in many places is cheaper computed once.
+    """
+    return F.lit(df.first()[0])
+
+
+def _calendar(t: Tables) -> DataFrame:
+    first = first_month(t)
+    last = t.once("last_ship", lambda: scalar_value(t.lineitem.select(F.max("l_shipdate").cast("date"))))
+    bounds = t.spark.range(1).select(first.alias("start"), F.add_months(F.trunc(last, "month"), 1).alias("end"))
     return calendar_from_bounds(bounds)
 
 
 def first_month(t: Tables) -> Column:
-    """Scalar subquery: the calendar's first month."""
-    return t.orders.select(F.trunc(F.min("o_orderdate").cast("date"), "month")).scalar()
+    """The calendar's first month (the first order's month)."""
+    return t.once("first_month", lambda: scalar_value(
+        t.orders.select(F.trunc(F.min("o_orderdate").cast("date"), "month"))))
 
 
 def period_id(col: str | Column, t: Tables) -> Column:
