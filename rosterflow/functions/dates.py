@@ -72,9 +72,20 @@ def month_start(col: str | Column) -> Column:
     return F.trunc(F.to_date(_c(col)), "month")
 
 
+def _second_of_day(ts: Column) -> Column:
+    return F.hour(ts) * 3600 + F.minute(ts) * 60 + F.floor(F.second(ts))
+
+
 def seconds_between(start: str | Column, end: str | Column) -> Column:
-    """``end - start`` in whole seconds (BIGINT)."""
-    return F.timestamp_diff("SECOND", _c(start), _c(end))
+    """``end - start`` in whole seconds (BIGINT), independent of the session time zone.
+
+    Built from calendar-day and second-of-day differences, so wall-clock
+    (``timestamp_ntz``) values never pass through a zone conversion (a DST
+    change would otherwise shift the difference by an hour).
+    """
+    s, e = _c(start), _c(end)
+    days = F.datediff(F.to_date(e), F.to_date(s)).cast("bigint")
+    return (days * 86400 + (_second_of_day(e) - _second_of_day(s))).cast("bigint")
 
 
 def whole_days(seconds: str | Column) -> Column:

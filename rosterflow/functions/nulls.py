@@ -97,3 +97,9 @@ def glue_text(*parts) -> Column:
     """``glue`` rendering: NULL pieces print as the text ``NA``."""
     cols = [p if isinstance(p, Column) else F.lit(p) for p in parts]
     return F.concat(*[F.coalesce(c.cast("string"), F.lit("NA")) for c in cols])
+
+
+def apply_all(df, fn, cols=None):
+    """Apply one column function to all (or the given) columns, keeping names."""
+    cols = list(cols or df.columns)
+    return df.select(*[fn(F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])

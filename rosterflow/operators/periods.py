@@ -120,3 +120,26 @@ def open_ended_last(last_col: str, global_max: Column, *closed_if_present) -> Co
     for c in closed_if_present:
         cond = cond | _c(c).isNotNull()
     return F.when(cond, F.col(last_col)).when(~cond, F.lit(None).cast("int"))
+
+
+def open_or_recent(df: DataFrame, end_col: str, since) -> DataFrame:
+    """Rows still open (NULL end) or ended on/after ``since``."""
+    e = F.to_date(F.col(end_col))
+    return df.where(F.col(end_col).isNull() | (e >= F.lit(since)))
+
+
+def active_since(df: DataFrame, key: str, end_cols, since) -> DataFrame:
+    """Rows of keys that have a row with every end open, or any end on/after ``since``.
+
+    The qualifying keys are found in one pass and semi-joined back (the source's
+    ``select(key) %>% unique() %>% left_join(self)``).
+    """
+    all_open = None
+    recent = None
+    for c in end_cols:
+        o = F.col(c).isNull()
+        r = F.coalesce(F.to_date(F.col(c)) >= F.lit(since), F.lit(False))
+        all_open = o if all_open is None else all_open & o
+        recent = r if recent is None else recent | r
+    keys = df.where(all_open | recent).select(F.col(key).alias("__rf_k")).distinct()
+    return df.join(keys, F.col(key) == F.col("__rf_k"), "left_semi")

@@ -37,6 +37,11 @@ def unique_key_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return duplicates(df, keys)
 
 
+def lookup_key_violations(lookups: dict) -> list[tuple[str, DataFrame, str]]:
+    """V6: every lookup table (``{name: (frame, key columns)}``) must be unique on its key."""
+    return [(f"{name} key unique", duplicates(df, list(k)), "stop") for name, (df, k) in lookups.items()]
+
+
 def inexact_matches(df: DataFrame, dist_col: str = "fuzzy") -> DataFrame:
     """V4: inexact fuzzy matches (warnings)."""
     return df.where(F.col(dist_col) > 0)

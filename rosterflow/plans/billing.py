@@ -132,14 +132,18 @@ def subsidy_counts(rep: DataFrame, t: dict) -> DataFrame:
 SECTIONS = ("roster", "income_groups", "spaces", "header")
 
 
-def billing_report(t: dict, sections=SECTIONS) -> dict[str, DataFrame]:
+def billing_report(t: dict, sections=SECTIONS, report_ids: DataFrame | None = None) -> dict[str, DataFrame]:
     """Report sections for every report: roster, income groups, spaces, header.
 
     Only the requested ``sections`` are planned (the roster numbering
     materialises data, so it is not built when only the header is wanted).
+    ``report_ids`` (one column of ids, P16) restricts the reports; default all.
     """
     spark = t["report"].sparkSession
-    rep = report_frame(t["report"], t["organization"], t["reporting_period"])
+    report = t["report"]
+    if report_ids is not None:
+        report = report.join(report_ids.select(F.col(report_ids.columns[0]).alias("Id")), "Id", "left_semi")
+    rep = report_frame(report, t["organization"], t["reporting_period"])
     act = active_fundings(rep, t) if {"roster", "income_groups", "spaces"} & set(sections) else None
     subs = subsidy_counts(rep, t) if {"roster", "header"} & set(sections) else None
     limits = F.broadcast(income_limits(spark))

@@ -305,14 +305,29 @@ def fundings(uniqued: DataFrame, enrollment: DataFrame, calendar: DataFrame,
     return keys.assign_ids(both, ["FundingSource", "enrollment_id"], id_col="funding_id")
 
 
-def current_reports(orgs: DataFrame, enrollment: DataFrame) -> DataFrame:
-    """One open report per organization for the period after the last one seen."""
+def current_reports(orgs: DataFrame, enrollment: DataFrame, revenue: DataFrame | None = None,
+                    include_past: bool = False, submitted_at=None) -> DataFrame:
+    """One open report per organization for the period after the last one seen.
+
+    ``include_past`` (O4) adds the submitted past reports built from the roster
+    revenue, stamped ``submitted_at`` (F23: pass the load time; default the
+    current timestamp).
+    """
     nxt = enrollment.select(F.max("period") + 1).scalar()
     r = orgs.select(F.lit(0).alias("FundingSource"), nxt.alias("ReportingPeriodId"),
                     F.lit(None).cast("timestamp").alias("SubmittedAt"), "organization_id",
                     F.lit(True).alias("Accredited"), F.lit(None).cast("double").alias("C4KRevenue"),
                     F.lit(False).alias("RetroactiveC4KRevenue"), F.lit(None).cast("double").alias("FamilyFeesRevenue"))
-    return keys.assign_ids(r, ["organization_id"], id_col="report_id")
+    if include_past and revenue is not None:
+        stamp = F.current_timestamp() if submitted_at is None else F.lit(submitted_at).cast("timestamp")
+        past = (revenue.join(orgs, revenue["organization"] == orgs["name"], "left")
+                .select(F.lit(0).alias("FundingSource"), F.col("period").alias("ReportingPeriodId"),
+                        stamp.alias("SubmittedAt"), "organization_id", F.lit(True).alias("Accredited"),
+                        F.col("c4k_revenue").cast("double").alias("C4KRevenue"),
+                        F.lit(False).alias("RetroactiveC4KRevenue"),
+                        F.col("family_fees").cast("double").alias("FamilyFeesRevenue")))
+        r = past.unionByName(r)
+    return keys.assign_ids(r, ["ReportingPeriodId", "organization_id"], id_col="report_id")
 
 
 def gates(enrollment: DataFrame, late: DataFrame, nonunique: DataFrame) -> list[tuple[str, DataFrame, str]]:

@@ -229,3 +229,35 @@ def test_lookup_tables(spark):
     rates = lookups.rates(spark)
     assert rates.count() == 120 and rates.select("Accredited", "TitleI", "Region", "AgeGroup", "Time").distinct().count() == 120
     assert lookups.income_limits(spark).count() == 12
+
+
+# ---- smaller SURVEY items: P7, P13, K4, K8, V6 ------------------------------------------------
+def test_active_since_and_apply_all(spark):
+    from rosterflow.functions.nulls import apply_all
+    d0, d1 = dt.date(2019, 1, 1), dt.date(2019, 9, 1)
+    df = spark.createDataFrame([("a", None, None), ("a", d0, d0), ("b", d0, d0), ("c", d0, d1)],
+                               "k string, e1 date, e2 date")
+    out = periods.active_since(df, "k", ["e1", "e2"], dt.date(2019, 7, 1))
+    assert rows(out, "k") == [("a",), ("a",), ("c",)]
+    assert rows(periods.open_or_recent(df, "e2", dt.date(2019, 7, 1)), "k") == [("a",), ("c",)]
+    assert rows(apply_all(df.select("k"), lambda c: F.upper(c))) == [("A",), ("A",), ("B",), ("C",)]
+
+
+def test_period_dimension_load_and_attach(spark):
+    import tempfile
+    from rosterflow.sinks.target import attach_target_periods, load_periods
+    cal = periods.reporting_calendar(spark, dt.date(2019, 7, 1), dt.date(2019, 10, 1))
+    out = tempfile.mkdtemp(prefix="rf-periods-")
+    load_periods(cal, out)
+    load_periods(cal, out)
+    target = spark.read.parquet(out + "/ReportingPeriod")
+    assert rows(target, "Id", "Type") == [(1, 0), (2, 0), (3, 0)]
+    joined, dups = attach_target_periods(cal, target)
+    assert dups.count() == 0 and rows(joined, "id", "id_remote") == [(1, 1), (2, 2), (3, 3)]
+
+
+def test_lookup_key_gate(spark):
+    rules = quality.lookup_key_violations({"towns": (lookups.towns(spark), ["town"]),
+                                           "dup": (spark.createDataFrame([("x",), ("x",)], "k string"), ["k"])})
+    res = quality.check(spark, rules)
+    assert rows(res, "rule", "n") == [("dup key unique", 2), ("towns key unique", 0)]
