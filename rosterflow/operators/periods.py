@@ -81,9 +81,12 @@ def active_in_period(facts: DataFrame, reports: DataFrame, on: str, first_col: s
     spell runs to the last reported period), then equi-join ``(on, period)``.
     """
     mp = max_period if isinstance(max_period, Column) else F.lit(max_period)
-    upper = F.coalesce(F.col(last_col), mp)
-    expanded = facts.where(F.col(first_col).isNotNull() & (F.col(first_col) <= upper)).withColumn(
-        "__rf_p", F.explode(F.sequence(F.col(first_col), upper)))
+    lo_p = reports.select(F.min(report_period_col)).scalar()
+    # clamp to the reported periods: per-row fan-out never exceeds the calendar length
+    upper = F.least(F.coalesce(F.col(last_col), mp), mp)
+    lower = F.greatest(F.col(first_col), lo_p)
+    expanded = facts.where(F.col(first_col).isNotNull() & (lower <= upper)).withColumn(
+        "__rf_p", F.explode(F.sequence(lower, upper)))
     r = reports.withColumn("__rf_p", F.col(report_period_col))
     joined = expanded.join(r, [on, "__rf_p"])
     cond = (F.col(first_col) <= F.col(report_period_col)) & (
@@ -103,9 +106,13 @@ def interval_overlap_join(facts: DataFrame, periods: DataFrame, on: str, start_c
     """
     s = F.to_date(F.col(start_col))
     e = F.coalesce(F.to_date(F.col(end_col)), F.to_date(open_end))
-    lo = period_for_month(F.least(s, e), first_month) - 1
-    hi = period_for_month(F.greatest(s, e), first_month) + 1
-    expanded = facts.where(s.isNotNull() & e.isNotNull()).withColumn("__rf_p", F.explode(F.sequence(lo, hi)))
+    p_min = periods.select(F.min(period_id_col)).scalar()
+    p_max = periods.select(F.max(period_id_col)).scalar()
+    # clamp to the periods present: per-row fan-out never exceeds the calendar length
+    lo = F.greatest(period_for_month(F.least(s, e), first_month) - 1, p_min)
+    hi = F.least(period_for_month(F.greatest(s, e), first_month) + 1, p_max)
+    expanded = (facts.where(s.isNotNull() & e.isNotNull() & (lo <= hi))
+                .withColumn("__rf_p", F.explode(F.sequence(lo, hi))))
     p = periods.withColumn("__rf_p", F.col(period_id_col))
     joined = expanded.join(p, [on, "__rf_p"])
     cond = (F.to_date(F.col(start_col)) <= F.col(period_end_col)) & (

@@ -261,3 +261,32 @@ def test_lookup_key_gate(spark):
                                            "dup": (spark.createDataFrame([("x",), ("x",)], "k string"), ["k"])})
     res = quality.check(spark, rules)
     assert rows(res, "rule", "n") == [("dup key unique", 2), ("towns key unique", 0)]
+
+
+def test_period_join_expansion_is_clamped(spark):
+    facts = spark.createDataFrame([(1, "o", 2, 100000), (2, "o", -50, None)], "f int, org string, first int, last int")
+    reps = spark.createDataFrame([("o", 1), ("o", 2), ("o", 3)], "org string, p int")
+    out = periods.active_in_period(facts, reps, "org", "first", "last", "p", 3)
+    assert rows(out, "f", "p") == [(1, 2), (1, 3), (2, 1), (2, 2), (2, 3)]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "CartesianProduct" not in plan
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_last_per_key_independent_of_order_and_partitions(spark, parts):
+    random.seed(7)
+    data = [(random.choice("abc"), random.choice([None, 1, 2, 3]), i) for i in range(200)]
+    random.shuffle(data)
+    df = spark.createDataFrame(data, "k string, p int, id int").repartition(parts)
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts + 1))
+    try:
+        got = rows(dedupe.last_per_key(df, ["k"], ["p"], ["id"]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    want = []
+    for k in "abc":
+        grp = [r for r in data if r[0] == k]
+        # R: arrange(p) puts NA last; slice(n()) takes the last row; ties -> larger id
+        grp.sort(key=lambda r: (r[1] is None, r[1] if r[1] is not None else 0, r[2]))
+        want.append(grp[-1])
+    assert got == sorted(want, key=lambda t: tuple((x is not None, x) for x in t))
