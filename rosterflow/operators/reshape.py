@@ -12,8 +12,6 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.nulls import _c
-
 
 def flag_pivot(df: DataFrame, key: str, col: str, mapping: Mapping[str, str],
                base: DataFrame | None = None) -> DataFrame:

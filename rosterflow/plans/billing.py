@@ -29,7 +29,7 @@ from ..functions import recode as rc
 from ..functions.dates import long_date, month_year, us_date, weeks_inclusive
 from ..operators.dedupe import latest_per_key
 from ..operators.keys import assign_ids
-from ..operators.periods import active_in_period, period_for_month
+from ..operators.periods import active_in_period
 from ..operators.stats import zero_filled_count
 from ..sources.lookups import family_sizes, income_limits, rates
 
@@ -218,4 +218,4 @@ def _header(rep: DataFrame, subs: DataFrame) -> DataFrame:
         F.concat_ws(" ", F.col("name"), month_year("period"), F.lit(REPORT_SUFFIX)).alias("file_stem"))
 
 
-__all__ = ["billing_report", "report_frame", "active_fundings", "subsidy_counts", "period_for_month"]
+__all__ = ["billing_report", "report_frame", "active_fundings", "subsidy_counts"]

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import recode as rc
-from ..functions.nulls import if_else, in_list, null_if_in
+from ..functions.nulls import in_list, null_if_in
 from ..operators import dedupe, fuzzy, joins, keys, reshape
 from ..operators.periods import lookup_label
 from .catalog import CAL_SQL, Tables, calendar, query
