@@ -57,8 +57,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     unset (local tests, the bench) a scratch folder is created here.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None)
+        "spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS / object storage); "
+                               "checkpoints must survive executor loss")
         path = tempfile.mkdtemp(prefix="rosterflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -290,3 +290,23 @@ def test_last_per_key_independent_of_order_and_partitions(spark, parts):
         grp.sort(key=lambda r: (r[1] is None, r[1] if r[1] is not None else 0, r[2]))
         want.append(grp[-1])
     assert got == sorted(want, key=lambda t: tuple((x is not None, x) for x in t))
+
+
+def test_assign_ids_hot_group_spans_partitions(spark):
+    data = [("hot", i) for i in range(2000)] + [(f"g{i % 5}", i) for i in range(50)]
+    random.seed(3)
+    random.shuffle(data)
+    df = spark.createDataFrame(data, "g string, v int")
+    out = keys.assign_ids(df, ["v"], id_col="line", group_cols=["g"], num_partitions=6)
+    got = {(r.g, r.v): r.line for r in out.collect()}
+    want = {}
+    for g in {x for x, _ in data}:
+        for i, v in enumerate(sorted(v for x, v in data if x == g)):
+            want[(g, v)] = i + 1
+    assert got == want
+
+
+def test_wide_counts(spark):
+    df = spark.createDataFrame([("o1", True), ("o1", False), ("o1", True), ("o2", False)], "org string, missing boolean")
+    out = reshape.wide_counts(df.withColumn("m", F.col("missing").cast("string")), ["org"], "m", ["true", "false"])
+    assert rows(out) == [("o1", 2, 1), ("o2", 0, 1)]
