@@ -83,23 +83,31 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str =
 
 
 def running_total(df: DataFrame, order_cols: Sequence[str | Column], weight: str,
-                  out_col: str = "cum", num_partitions: int | None = None) -> DataFrame:
-    """Inclusive running sum of ``weight`` over a global order, without a global window.
+                  out_col: str = "cum", group_cols: Sequence[str] = (),
+                  num_partitions: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``weight`` in order (per group), without a global window.
 
-    Range partition on the order; a per-partition running sum (window partitioned
-    by the partition id); partition totals (bounded by the partition count) give
-    the offsets, broadcast back.
+    Range partition on (group, order); a running sum inside each partition;
+    per-(partition, group) totals — a bounded table — give the offsets that are
+    joined back. A hot group is spread over many range partitions.
     """
-    order = [_c(o) for o in order_cols]
+    group = [F.col(g) for g in group_cols]
+    order = [*(g.asc_nulls_first() for g in group), *(_c(o) for o in order_cols)]
     ranged = _sorted_by_range(df, order, num_partitions)
-    local = Window.partitionBy(_PID).orderBy(*order, _LOCAL).rowsBetween(Window.unboundedPreceding, 0)
+    local = Window.partitionBy(_PID, *group_cols).orderBy(_LOCAL).rowsBetween(Window.unboundedPreceding, 0)
     with_local = ranged.withColumn("__rf_lsum", F.sum(weight).over(local))
-    totals = ranged.groupBy(_PID).agg(F.sum(weight).alias("__rf_t"))
-    wt = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = F.broadcast(totals.select(_PID, F.coalesce(F.sum("__rf_t").over(wt), F.lit(0)).alias("__rf_off")))
-    return (with_local.join(offsets, _PID)
+    totals = ranged.groupBy(_PID, *group_cols).agg(F.sum(weight).alias("__rf_t"))
+    wt = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(*[F.col(c).alias(f"__rf_o_{c}") for c in (_PID, *group_cols)],
+                            F.coalesce(F.sum("__rf_t").over(wt), F.lit(0)).alias("__rf_off"))
+    if not group_cols:
+        offsets = F.broadcast(offsets)       # one row per partition
+    cond = eq_null_safe_cond([F.col(c) for c in (_PID, *group_cols)],
+                             [F.col(f"__rf_o_{c}") for c in (_PID, *group_cols)],
+                             [False] + [True] * len(group_cols))
+    return (with_local.join(offsets, cond)
             .withColumn(out_col, F.col("__rf_off") + F.col("__rf_lsum"))
-            .drop(_PID, _LOCAL, "__rf_lsum", "__rf_off"))
+            .drop(_PID, _LOCAL, "__rf_lsum", "__rf_off", *[f"__rf_o_{c}" for c in (_PID, *group_cols)]))
 
 
 def remap_keys(df: DataFrame, key_map: DataFrame, col: str, local_col: str = "local_id",

@@ -44,41 +44,51 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(*[F.sum(F.col(c).isNull().cast("bigint")).alias(f"{c}_nulls") for c in cols])
 
 
-def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float]) -> DataFrame:
-    """Exact linearly interpolated quantiles (``quantile_cont`` / pandas) as one row.
-
-    Columns ``q_<int(q*100)>``. NULLs are ignored.
+def _join_on_groups(a: DataFrame, b: DataFrame, group: Sequence[str]) -> DataFrame:
+    if not group:
+        return a.withColumn("__rf_one", F.lit(1)).join(b.withColumn("__rf_one", F.lit(1)), "__rf_one").drop("__rf_one")
+    b2 = b.select(*[F.col(g).alias(f"__rf_g_{g}") for g in group], *[c for c in b.columns if c not in group])
+    cond = None
+    for g in group:
+        part = F.col(g).eqNullSafe(F.col(f"__rf_g_{g}"))
+        cond = part if cond is None else cond & part
+    return a.join(b2, cond, "left").drop(*[f"__rf_g_{g}" for g in group])
+
+
+def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group: Sequence[str] = ()) -> DataFrame:
+    """Exact linearly interpolated quantiles (``quantile_cont`` / pandas), per group.
+
+    Columns: the group columns and ``q_<int(q*100)>``. NULLs are ignored. Values
+    are pre-aggregated to (group, value, count); a distributed running total
+    gives each value its position range ``[cum - n, cum)``; only the rows holding
+    a requested position are kept.
     """
     v = F.col(value)
-    counts = df.where(v.isNotNull()).groupBy(v.alias("__rf_v")).agg(F.count(F.lit(1)).alias("__rf_n"))
-    ranked = running_total(counts, ["__rf_v"], "__rf_n", out_col="__rf_cum")
-    # rows [cum - n, cum) hold value v (0-based positions)
-    n_total = counts.select(F.sum("__rf_n")).scalar()
-    aggs = []
+    counts = (df.where(v.isNotNull()).groupBy(*group, v.alias("__rf_v"))
+              .agg(F.count(F.lit(1)).alias("__rf_n")))
+    ranked = running_total(counts, ["__rf_v"], "__rf_n", out_col="__rf_cum", group_cols=group)
+    totals = counts.groupBy(*group).agg(F.sum("__rf_n").alias("__rf_total"))
+    ranked = _join_on_groups(ranked, totals, group)
+    start, end = F.col("__rf_cum") - F.col("__rf_n"), F.col("__rf_cum")
+    aggs, wanted = [], None
     for q in qs:
-        pos = F.lit(float(q)) * (n_total - 1)
+        pos = F.lit(float(q)) * (F.col("__rf_total") - 1)
         lo_pos, hi_pos = F.floor(pos), F.ceil(pos)
-        in_lo = (F.col("__rf_cum") - F.col("__rf_n") <= lo_pos) & (lo_pos < F.col("__rf_cum"))
-        in_hi = (F.col("__rf_cum") - F.col("__rf_n") <= hi_pos) & (hi_pos < F.col("__rf_cum"))
+        in_lo = (start <= lo_pos) & (lo_pos < end)
+        in_hi = (start <= hi_pos) & (hi_pos < end)
         lo_v = F.max(F.when(in_lo, F.col("__rf_v").cast("double")))
         hi_v = F.max(F.when(in_hi, F.col("__rf_v").cast("double")))
-        aggs.append((lo_v + (hi_v - lo_v) * (F.first(pos) - F.first(lo_pos))).alias(f"q_{int(round(q * 100))}"))
-    wanted = None
-    for q in qs:
-        pos = F.lit(float(q)) * (n_total - 1)
-        for p in (F.floor(pos), F.ceil(pos)):
-            c = (F.col("__rf_cum") - F.col("__rf_n") <= p) & (p < F.col("__rf_cum"))
-            wanted = c if wanted is None else wanted | c
-    return ranked.where(wanted).agg(*aggs)
+        frac = F.max(pos - lo_pos)
+        aggs.append((lo_v + (hi_v - lo_v) * frac).alias(f"q_{int(round(q * 100))}"))
+        wanted = (in_lo | in_hi) if wanted is None else (wanted | in_lo | in_hi)
+    return ranked.where(wanted).groupBy(*group).agg(*aggs)
 
 
-def describe(df: DataFrame, value: str, qs: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
-    """Count, mean, std (sample), min, quantiles, max of a numeric column, one row."""
+def describe(df: DataFrame, value: str, qs: Sequence[float] = (0.25, 0.5, 0.75),
+             group: Sequence[str] = ()) -> DataFrame:
+    """Count, mean, std (sample), min, quantiles, max of a numeric column (per group)."""
     v = F.col(value)
-    basic = df.agg(F.count(v).alias("count"), F.avg(v.cast("double")).alias("mean"),
-                   F.stddev_samp(v.cast("double")).alias("std"), F.min(v).cast("double").alias("min"),
-                   F.max(v).cast("double").alias("max"))
-    quant = exact_quantiles(df, value, qs)
-    # two one-row frames: join on a constant key (no cross product, 1 x 1 rows)
-    return basic.withColumn("__rf_one", F.lit(1)).join(quant.withColumn("__rf_one", F.lit(1)), "__rf_one").drop(
-        "__rf_one")
+    basic = df.groupBy(*group).agg(F.count(v).alias("count"), F.avg(v.cast("double")).alias("mean"),
+                                   F.stddev_samp(v.cast("double")).alias("std"), F.min(v).cast("double").alias("min"),
+                                   F.max(v).cast("double").alias("max"))
+    return _join_on_groups(basic, exact_quantiles(df, value, qs, group), group)

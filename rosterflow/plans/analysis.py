@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.dates import fold_month, month_start, school_year, seconds_between
 from ..operators.dedupe import first_per_key
 from ..operators.reshape import sorted_string_agg
-from ..operators.stats import describe, histogram, null_counts, share_over
+from ..operators.stats import describe, histogram, share_over
 
 DAY = 86400
 THIRTY_DAYS = 30
@@ -39,12 +39,14 @@ def with_edit_lag(df: DataFrame, created: str, modified: str, out_col: str = "la
     return df.withColumn(out_col, seconds_between(created, modified))
 
 
-def edit_lag_stats(df: DataFrame, lag_col: str, modified_col: str) -> DataFrame:
-    """describe() of the lag in days plus the number of NULL modification dates."""
-    days = df.select((F.col(lag_col) / F.lit(float(DAY))).alias("lag_days"), modified_col)
-    d = describe(days, "lag_days")
-    nulls = null_counts(days, [modified_col]).withColumnRenamed(f"{modified_col}_nulls", "n_null_modified")
-    return (d.withColumn("__one", F.lit(1)).join(nulls.withColumn("__one", F.lit(1)), "__one").drop("__one"))
+def edit_lag_stats(df: DataFrame, lag_col: str, modified_col: str, group: Sequence[str] = ()) -> DataFrame:
+    """describe() of the lag in days plus the number of NULL modification dates (per group)."""
+    days = df.select(*group, (F.col(lag_col) / F.lit(float(DAY))).alias("lag_days"),
+                     F.col(modified_col).isNull().cast("bigint").alias("__rf_null"))
+    d = describe(days, "lag_days", group=group)
+    nulls = days.groupBy(*group).agg(F.sum("__rf_null").alias("n_null_modified"))
+    return d.join(nulls, list(group), "left") if group else (
+        d.withColumn("__one", F.lit(1)).join(nulls.withColumn("__one", F.lit(1)), "__one").drop("__one"))
 
 
 def edit_lag_share(df: DataFrame, lag_col: str, threshold_seconds: int) -> DataFrame:

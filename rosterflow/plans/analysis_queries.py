@@ -81,13 +81,13 @@ SELECT kind, count(lag_seconds) AS count, round(avg(lag_seconds / 86400.0), 4) A
 FROM u GROUP BY kind""")
 def edit_lag_stats(spark, sf):
     """Lag statistics in days (exact quantiles) for both row kinds."""
-    parts = []
+    both = None
     for kind, df in _kinds(Tables(spark, sf)).items():
-        s = an.edit_lag_stats(df, "lag_seconds", "l_shipdate")
-        parts.append(s.select(F.lit(kind).alias("kind"), "count",
-                              *[F.round(c, 4).alias(c) for c in ("mean", "std", "min", "q_25", "q_50", "q_75", "max")],
-                              "n_null_modified"))
-    return parts[0].unionByName(parts[1])
+        part = df.select(F.lit(kind).alias("kind"), "lag_seconds", "l_shipdate")
+        both = part if both is None else both.unionByName(part)
+    s = an.edit_lag_stats(both, "lag_seconds", "l_shipdate", group=["kind"])
+    return s.select("kind", "count", *[F.round(c, 4).alias(c) for c in ("mean", "std", "min", "q_25", "q_50",
+                                                                        "q_75", "max")], "n_null_modified")
 
 
 @query("edit_lag_share", f"""

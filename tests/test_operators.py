@@ -310,3 +310,25 @@ def test_wide_counts(spark):
     df = spark.createDataFrame([("o1", True), ("o1", False), ("o1", True), ("o2", False)], "org string, missing boolean")
     out = reshape.wide_counts(df.withColumn("m", F.col("missing").cast("string")), ["org"], "m", ["true", "false"])
     assert rows(out) == [("o1", 2, 1), ("o2", 0, 1)]
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-50, 50))),
+                min_size=1, max_size=60))
+def test_exact_quantiles_match_numpy(spark, data):
+    import numpy as np
+    from rosterflow.operators.stats import describe, exact_quantiles
+    df = spark.createDataFrame(data, "g string, v int")
+    got = {r.g: (r.q_25, r.q_50, r.q_75) for r in exact_quantiles(df, "v", [0.25, 0.5, 0.75], ["g"]).collect()}
+    for g in {x for x, _ in data}:
+        vals = [v for x, v in data if x == g and v is not None]
+        if not vals:
+            assert g not in got
+            continue
+        want = tuple(float(np.percentile(vals, q, method="linear")) for q in (25, 50, 75))
+        assert got[g] == pytest.approx(want)
+    allv = [v for _, v in data if v is not None]
+    d = describe(df, "v").collect()[0]
+    assert d["count"] == len(allv)
+    if allv:
+        assert d["q_50"] == pytest.approx(float(np.percentile(allv, 50)))
