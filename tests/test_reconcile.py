@@ -173,6 +173,10 @@ def test_reconcile_end_to_end(spark, inputs):
     assert funds.where("FundingSource = 1").count() == 1
     reports = rc.current_reports(orgs, enr)
     assert rows(reports, "organization_id", "ReportingPeriodId") == [(1, 4), (2, 4)]
+    stamp = dt.datetime(2020, 1, 1, 9, 0)
+    with_past = rc.current_reports(orgs, enr, rev, include_past=True, submitted_at=stamp)   # O4, F23
+    assert rows(with_past, "report_id", "organization_id", "ReportingPeriodId", "C4KRevenue") == [
+        (1, 1, 2, 30.25), (2, 2, 2, 0.0), (3, 1, 3, 0.0), (4, 1, 4, None), (5, 2, 4, None)]
     res = quality.check(spark, rc.gates(enr, late, nonunique))
     quality.enforce(res)   # no stop rule fires
 
