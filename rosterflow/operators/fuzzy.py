@@ -9,6 +9,14 @@ within distance ``max_dist`` always share a variant, so an equi-join on the
 variant finds every candidate pair. Candidates are verified with Spark's
 thresholded ``levenshtein`` and joined back to the rows. Work is linear in total
 text length times ``C(len, k)``; all of it is hash joins and aggregates.
+
+Skew: because keys are distinct before blocking, the strings sharing one
+variant ``v`` (for k = 1) are exactly the distinct strings obtained by inserting
+one character into ``v`` — at most ``(len(v) + 1) x |alphabet|`` of them — so a
+variant group, and the candidate pairs it produces, is bounded by key length
+and alphabet, never by the number of rows. A licence shared by a third of all
+rows is one key here; its rows only meet again in the final join back, whose
+skewed partition AQE splits.
 """
 
 from __future__ import annotations

@@ -59,8 +59,8 @@ def sorted_string_agg(df: DataFrame, keys: Sequence[str], col: str, sep: str = "
     """A10: ``string_agg(x, sep)`` with a defined (sorted) order; NULLs skipped.
 
     Pre-aggregated to (key, value, count) first, so a key's work is bounded by
-    its number of *distinct* values; each value is repeated ``count`` times when
-    the text is built.
+    its number of *distinct* values (race codes: 7), however many rows the key
+    has; each value is repeated ``count`` times when the text is built.
     """
     out_col = out_col or col
     counted = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__rf_n"))

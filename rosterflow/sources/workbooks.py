@@ -5,6 +5,10 @@ All workbooks of a folder are read with the ``binaryFile`` source (lock files
 with the standard library inside ``mapInPandas`` and emits long rows
 ``(source, section, row_no, cells)``. Typing, tagging (S4) and column selection
 (S5) then happen in Spark. No per-file driver loop.
+
+Memory per task is bounded by ``spark.sql.files.maxPartitionBytes`` (the
+binary source packs whole files into partitions up to that size), and each
+file is parsed on its own.
 """
 
 from __future__ import annotations
