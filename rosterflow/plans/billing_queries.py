@@ -50,8 +50,7 @@ def target_model(spark, sf) -> dict:
     organization = t.nation.select(F.col("n_nationkey").alias("Id"), F.col("n_name").alias("Name"))
     reporting_period = cal.select(F.col("id").alias("Id"), F.col("period").alias("Period"),
                                   F.col("period_start").alias("PeriodStart"), F.col("period_end").alias("PeriodEnd"))
-    spells = order_spells(t).join(t.orders.select("o_orderkey", "o_orderpriority", "o_orderstatus",
-                                                  "o_totalprice"), "o_orderkey")
+    spells = order_spells(t, ["o_orderpriority", "o_orderstatus"])
     time_code = (F.col("o_orderstatus") == "P").cast("int")
     age = _age_code("o_orderpriority")
     space_id = F.col("organization") * 10 + age * 2 + time_code

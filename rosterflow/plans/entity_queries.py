@@ -298,13 +298,16 @@ def completeness(spark, sf):
 
 # --- spells and reports for the period joins (J11, J12) ---------------------------
 
-def order_spells(t: Tables):
-    """Orders as funding spells: [order date, order date + custkey % 90 days], every 7th open."""
+def order_spells(t: Tables, extra=()):
+    """Orders as funding spells: [order date, order date + custkey % 90 days], every 7th open.
+
+    ``extra`` order columns are carried along (no self-join to fetch them later).
+    """
     o = t.orders.join(t.customer.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
     end = F.when(F.col("o_orderkey") % OPEN_EVERY != 0,
                  F.date_add(F.to_date("o_orderdate"), (F.col("o_custkey") % SPELL_MAX_DAYS).cast("int")))
     return o.select("o_orderkey", "o_custkey", F.col("c_nationkey").alias("organization"),
-                    F.to_date("o_orderdate").alias("spell_start"), end.alias("spell_end"))
+                    F.to_date("o_orderdate").alias("spell_start"), end.alias("spell_end"), *extra)
 
 
 def report_keys(t: Tables):
