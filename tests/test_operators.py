@@ -332,3 +332,31 @@ def test_exact_quantiles_match_numpy(spark, data):
     assert d["count"] == len(allv)
     if allv:
         assert d["q_50"] == pytest.approx(float(np.percentile(allv, 50)))
+
+
+# ---- plan shapes for hot keys -------------------------------------------------------------------
+def _plan(df):
+    df.write.format("noop").mode("overwrite").save()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_plans(spark):
+    df = spark.range(3000).select((F.when(F.col("id") < 1000, 0).otherwise(F.col("id") % 50)).alias("k"),
+                                  F.col("id").alias("v"))
+    bounds = _plan(dedupe.with_group_bounds(df, ["k"], "v", "lo", "hi"))
+    assert "Window" not in bounds and "partial_min" in bounds            # map-side combine, no group window
+    latest = _plan(dedupe.latest_per_key(df, ["k"], ["v"]))
+    assert "WindowGroupLimit" in latest and "Partial" in latest            # top-1 before the shuffle
+    dups = _plan(dedupe.duplicates(df, ["k"]))
+    assert "Window" not in dups
+
+
+def test_seconds_between_ignores_session_time_zone(spark):
+    from rosterflow.functions.dates import seconds_between
+    df = spark.sql("select timestamp_ntz'2021-03-13 12:00:00' a, timestamp_ntz'2021-03-14 12:00:00' b")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")    # DST starts 2021-03-14
+        assert df.select(seconds_between("a", "b").alias("s")).first().s == 86400
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
