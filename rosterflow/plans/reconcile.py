@@ -152,7 +152,7 @@ def registered_flat(db: dict[str, DataFrame], sasids: DataFrame) -> DataFrame:
 
 STUDENT_COLUMNS = ["sasid", "first_name", "last_name", "organization_id", "c4k_case_no", "c4k", "age_group",
                    "reimbursement_rate", "enrollment_date", "termination_date", "no_in_family", "annual_income"]
-ECIS_COLUMNS = ["SASID", "FacilityCode", "FirstName", "MiddleName", "LastName", "Dob", "Gender",
+DATABASE_COLUMNS = ["SASID", "FacilityCode", "FirstName", "MiddleName", "LastName", "Dob", "Gender",
                 *RACE_FLAGS.values(), "Foster", "StreetNumber", "Address1", "Address2", "Town", "State", "Zip",
                 "NumberOfPeopleInHousehold", "AnnualFamilyIncome", "DateFamilyIncomeDocumented",
                 "FamilyIncomeNotDisclosed", *EDITABLE_FIELDS.values()]
@@ -176,16 +176,16 @@ def psr_students(enrollment: DataFrame, orgs: DataFrame, first_period_start) ->
     return students, late
 
 
-def ecis_students(flat: DataFrame, registered: DataFrame) -> DataFrame:
+def database_students(flat: DataFrame, registered: DataFrame) -> DataFrame:
     """D6 database side: latest enrolled row per SASID (W4) ∪ registered-only students."""
-    enrolled = dedupe.last_per_key(flat, ["SASID"], ["ModifiedDate"], ["EnrollmentId"]).select(*ECIS_COLUMNS)
-    return enrolled.unionByName(registered.select(*ECIS_COLUMNS))
+    enrolled = dedupe.last_per_key(flat, ["SASID"], ["ModifiedDate"], ["EnrollmentId"]).select(*DATABASE_COLUMNS)
+    return enrolled.unionByName(registered.select(*DATABASE_COLUMNS))
 
 
-def students_joined(psr: DataFrame, ecis: DataFrame) -> DataFrame:
+def students_joined(psr: DataFrame, db: DataFrame) -> DataFrame:
     """Roster people ⟕ database attributes; ``student_id`` assigned by key order."""
     # names resolve case-insensitively: the database key is renamed before the join
-    e = ecis.withColumnRenamed("SASID", "__rf_db_sasid")
+    e = db.withColumnRenamed("SASID", "__rf_db_sasid")
     s = psr.join(e, F.col("sasid") == F.col("__rf_db_sasid"), "left").drop("__rf_db_sasid")
     return keys.assign_ids(s, ["sasid", "first_name", "last_name", "FacilityCode"], id_col="student_id")
 
@@ -239,9 +239,9 @@ def enrollments(enrollment: DataFrame, flat: DataFrame, children_df: DataFrame,
 
     Returns (enrollments, psr_enrollment_uniqued, V3 violations).
     """
-    ecis = flat.withColumn("age_group", rc.age_group_from_text("SpaceType"))
+    db = flat.withColumn("age_group", rc.age_group_from_text("SpaceType"))
     if keys_to_merge is not None:
-        ecis = dedupe.merge_spells(ecis, "SASID", keys_to_merge, ["EnrollmentDate", "FundingStartDate"],
+        db = dedupe.merge_spells(db, "SASID", keys_to_merge, ["EnrollmentDate", "FundingStartDate"],
                                    "FacilityExitDate", ["EnrollmentId"])
     e = enrollment.withColumn("sasid", rc.fill_key("sasid", "first_name", "last_name"))
     c4k = (dedupe.observed_span(e.where(F.col("c4k") == "Y"), ["sasid"], "period", "first_observed_c4k_period",
@@ -255,9 +255,9 @@ def enrollments(enrollment: DataFrame, flat: DataFrame, children_df: DataFrame,
     u = (u.join(c4k, "sasid", "left")
          .join(children_df.select(F.col("Sasid").alias("sasid"), "child_id"), "sasid", "left")
          .join(sites.select("facility_code", "site_id"), "facility_code", "left"))
-    ecis_k = ecis.select(F.col("SASID").alias("sasid"), "age_group", F.col("FacilityCode").alias("facility_code"),
+    db_keys = db.select(F.col("SASID").alias("sasid"), "age_group", F.col("FacilityCode").alias("facility_code"),
                          "EnrollmentDate", "FacilityExitDate", "ExitCategory", "FundingStartDate")
-    u = joins.null_safe_join(u, ecis_k, ["sasid", "age_group", "facility_code"], "left",
+    u = joins.null_safe_join(u, db_keys, ["sasid", "age_group", "facility_code"], "left",
                              nullable=["age_group", "facility_code"])
     u = dedupe.drop_closed_when_one_open(u, ["sasid", "age_group", "facility_code"], "FacilityExitDate")
     u = keys.assign_ids(u, ["sasid", "age_group", "facility_code", "EnrollmentDate"], id_col="enrollment_id")

@@ -152,8 +152,8 @@ def test_reconcile_end_to_end(spark, inputs):
     assert late.count() == 0
     assert rows(psr, "sasid") == [("S1",), ("S9",), ("TEMP-Bo-Roe",)]
     missing = psr.join(flat.select(F.col("SASID").alias("sasid")), "sasid", "left_anti").select("sasid")
-    ecis = rc.ecis_students(flat, rc.registered_flat(db, missing))
-    students = rc.students_joined(psr, ecis)
+    db = rc.database_students(flat, rc.registered_flat(db, missing))
+    students = rc.students_joined(psr, db)
     kids = rc.children(students)
     assert rows(kids, "Sasid", "Gender", "Asian", "HispanicOrLatinxEthnicity") == [
         ("S1", 1, True, True), ("S9", 0, False, None), ("TEMP-Bo-Roe", 4, False, None)]
