@@ -82,32 +82,38 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str =
     return out
 
 
-def running_total(df: DataFrame, order_cols: Sequence[str | Column], weight: str,
+def running_total(df: DataFrame, order_cols: Sequence[str | Column], weight: str | Sequence[str],
                   out_col: str = "cum", group_cols: Sequence[str] = (),
                   num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sum of ``weight`` in order (per group), without a global window.
 
     Range partition on (group, order); a running sum inside each partition;
     per-(partition, group) totals — a bounded table — give the offsets that are
-    joined back. A hot group is spread over many range partitions.
+    joined back. A hot group is spread over many range partitions. With several
+    weight columns the outputs are ``<out_col>_<weight>``.
     """
+    weights = [weight] if isinstance(weight, str) else list(weight)
+    outs = [out_col] if isinstance(weight, str) else [f"{out_col}_{w}" for w in weights]
     group = [F.col(g) for g in group_cols]
     order = [*(g.asc_nulls_first() for g in group), *(_c(o) for o in order_cols)]
     ranged = _sorted_by_range(df, order, num_partitions)
     local = Window.partitionBy(_PID, *group_cols).orderBy(_LOCAL).rowsBetween(Window.unboundedPreceding, 0)
-    with_local = ranged.withColumn("__rf_lsum", F.sum(weight).over(local))
-    totals = ranged.groupBy(_PID, *group_cols).agg(F.sum(weight).alias("__rf_t"))
+    with_local = ranged.select("*", *[F.sum(w).over(local).alias(f"__rf_l{i}") for i, w in enumerate(weights)])
+    totals = ranged.groupBy(_PID, *group_cols).agg(*[F.sum(w).alias(f"__rf_t{i}") for i, w in enumerate(weights)])
     wt = Window.partitionBy(*group_cols).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*[F.col(c).alias(f"__rf_o_{c}") for c in (_PID, *group_cols)],
-                            F.coalesce(F.sum("__rf_t").over(wt), F.lit(0)).alias("__rf_off"))
+                            *[F.coalesce(F.sum(f"__rf_t{i}").over(wt), F.lit(0)).alias(f"__rf_off{i}")
+                              for i in range(len(weights))])
     if not group_cols:
         offsets = F.broadcast(offsets)       # one row per partition
     cond = eq_null_safe_cond([F.col(c) for c in (_PID, *group_cols)],
                              [F.col(f"__rf_o_{c}") for c in (_PID, *group_cols)],
                              [False] + [True] * len(group_cols))
-    return (with_local.join(offsets, cond)
-            .withColumn(out_col, F.col("__rf_off") + F.col("__rf_lsum"))
-            .drop(_PID, _LOCAL, "__rf_lsum", "__rf_off", *[f"__rf_o_{c}" for c in (_PID, *group_cols)]))
+    out = with_local.join(offsets, cond)
+    for i, o in enumerate(outs):
+        out = out.withColumn(o, F.col(f"__rf_off{i}") + F.col(f"__rf_l{i}"))
+    return out.drop(_PID, _LOCAL, *[f"__rf_l{i}" for i in range(len(weights))],
+                    *[f"__rf_off{i}" for i in range(len(weights))], *[f"__rf_o_{c}" for c in (_PID, *group_cols)])
 
 
 def remap_keys(df: DataFrame, key_map: DataFrame, col: str, local_col: str = "local_id",

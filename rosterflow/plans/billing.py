@@ -18,7 +18,8 @@ it (schema version 2 in FIXTURES.md):
 Quirks kept from the source: ``# of Families`` counts funding rows; a roster row
 repeats once per subsidy row of its child (subsidy rows = the child's fundings
 at the organization x its certificates overlapping the period). The repetition
-is produced from per-child *counts* (no pair expansion).
+is produced from per-child *counts*; the number of subsidies per report comes
+from prefix sums over certificate start/end events (no certificate x report pairs).
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import recode as rc
 from ..functions.dates import long_date, month_year, us_date, weeks_inclusive
 from ..operators.dedupe import latest_per_key
-from ..operators.keys import assign_ids
+from ..operators.keys import assign_ids, running_total
 from ..operators.periods import active_in_period
 from ..operators.stats import zero_filled_count
 from ..sources.lookups import family_sizes, income_limits, rates
@@ -94,41 +95,82 @@ def active_fundings(rep: DataFrame, t: dict) -> DataFrame:
                     "left")
 
 
-def subsidy_counts(rep: DataFrame, t: dict) -> DataFrame:
-    """(report_id, ChildId, n_subsidy, case_no): subsidy rows per child and report.
+def _funding_at_org(t: dict) -> DataFrame:
+    """(organization_id, ChildId, n_fund): the child's fundings at the organization's sites, any period."""
+    return (t["funding"].join(t["enrollment"].select(F.col("Id").alias("EnrollmentId"), "ChildId", "SiteId"),
+                              "EnrollmentId")
+            .join(t["site"].select(F.col("Id").alias("SiteId"), F.col("OrganizationId").alias("organization_id")),
+                  "SiteId")
+            .groupBy("organization_id", "ChildId").agg(F.count(F.lit(1)).alias("n_fund")))
+
+
+def _overlaps(start="StartDate", end="EndDate", p_start="period_start", p_end="period_end"):
+    """``StartDate <= PeriodEnd and (EndDate is null or EndDate >= PeriodStart)``."""
+    return (F.col(start) <= F.col(p_end)) & (F.col(end).isNull() | (F.col(end) >= F.col(p_start)))
+
+
+def child_subsidies(pairs: DataFrame, rep: DataFrame, t: dict) -> DataFrame:
+    """(report_id, ChildId, n_subsidy, case_no) for the given (report, organization, child) pairs.
 
     Subsidy rows = the child's fundings at the organization's sites (any period) x
-    its certificates overlapping the report period. Both factors are counted
-    separately and multiplied, so no pairs are emitted.
+    its certificates overlapping the report period; both factors are counted and
+    multiplied. Only the pairs asked for (the roster's) are evaluated: an
+    equi-join on the child, bounded by the child's certificates.
     """
-    fund_at_org = (t["funding"].join(t["enrollment"].select(F.col("Id").alias("EnrollmentId"), "ChildId", "SiteId"),
-                                     "EnrollmentId")
-                   .join(t["site"].select(F.col("Id").alias("SiteId"), F.col("OrganizationId").alias("organization_id")),
-                         "SiteId")
-                   .groupBy("organization_id", "ChildId").agg(F.count(F.lit(1)).alias("n_fund")))
-    certs = t["c4k_certificate"].join(fund_at_org.select("organization_id", "ChildId"), "ChildId")
-    reports = rep.select("report_id", "organization_id", "period_id", "period_start", "period_end")
-    # Certificates and report periods both expand to the months they touch; an
-    # overlapping pair is matched in exactly one month — the month where the
-    # overlap begins — so no pair is counted twice and nothing needs a dedupe.
-    last = reports.select(F.max("period_end")).scalar()
-    s, e = F.col("StartDate"), F.coalesce(F.col("EndDate"), F.lit(last))
-    one_month = F.expr("interval 1 month")
-    months = certs.where(s.isNotNull()).withColumn(
-        "__m", F.explode(F.sequence(F.trunc(F.least(s, e), "month"), F.trunc(F.greatest(s, e), "month"), one_month)))
-    rep_m = reports.withColumn("__m", F.explode(F.sequence(F.trunc("period_start", "month"),
-                                                           F.trunc("period_end", "month"), one_month)))
-    overlap = (F.col("StartDate") <= F.col("period_end")) & (
-        F.col("EndDate").isNull() | (F.col("EndDate") >= F.col("period_start")))
-    hits = (months.join(rep_m, ["organization_id", "__m"])
-            .where(overlap & (F.col("__m") == F.trunc(F.greatest(F.col("StartDate"), F.col("period_start")), "month"))))
-    n_cert = hits.groupBy("report_id", "organization_id", "ChildId").agg(F.count(F.lit(1)).alias("n_cert"))
+    certs = t["c4k_certificate"].where(F.col("StartDate").isNotNull()).select("ChildId", "StartDate", "EndDate")
+    n_cert = (pairs.select("report_id", "organization_id", "ChildId").distinct()
+              .join(rep.select("report_id", "period_start", "period_end"), "report_id")
+              .join(certs, "ChildId").where(_overlaps())
+              .groupBy("report_id", "organization_id", "ChildId").agg(F.count(F.lit(1)).alias("n_cert")))
     case_no = t["child"].select(F.col("Id").alias("ChildId"), F.col("C4KFamilyCaseNumber").alias("case_no"))
-    return (n_cert.join(fund_at_org, ["organization_id", "ChildId"])
+    return (n_cert.join(_funding_at_org(t), ["organization_id", "ChildId"])
             .select("report_id", "ChildId", (F.col("n_cert") * F.col("n_fund")).alias("n_subsidy"))
             .join(case_no, "ChildId", "left"))
 
 
+def subsidies_per_report(rep: DataFrame, t: dict) -> DataFrame:
+    """(report_id, n_subsidies) = sum over certificates of n_fund x [overlaps the period].
+
+    For a valid certificate (no end, or end >= start) the overlap test splits into
+    ``[start <= period_end] - [end < period_start]``, so per organization the
+    count is two prefix sums over dates: certificate starts/ends are events, the
+    report period bounds are probes, and one ordered running total (range
+    partitioned, grouped by organization) answers every report — work is
+    O(certificates + reports), never certificate x report pairs. The rare
+    invalid certificates (end < start) are matched exactly by month buckets.
+    """
+    certs = (t["c4k_certificate"].where(F.col("StartDate").isNotNull())
+             .join(_funding_at_org(t), "ChildId")
+             .select("organization_id", "StartDate", "EndDate", F.col("n_fund").alias("w")))
+    valid = certs.where(F.col("EndDate").isNull() | (F.col("EndDate") >= F.col("StartDate")))
+    zero, none = F.lit(0).cast("bigint"), F.lit(None).cast("bigint")
+
+    def stream(df, d, kind, ws, we, rid):
+        return df.select("organization_id", F.col(d).cast("date").alias("d"), F.lit(kind).alias("kind"),
+                         ws.alias("ws"), we.alias("we"), rid.alias("report_id"))
+    events = (stream(valid, "StartDate", 0, F.col("w"), zero, none)
+              .unionByName(stream(valid.where(F.col("EndDate").isNotNull()), "EndDate", 0, zero, F.col("w"), none))
+              .unionByName(stream(rep, "period_end", 1, zero, zero, F.col("report_id")))      # after same-day events
+              .unionByName(stream(rep, "period_start", -1, zero, zero, F.col("report_id"))))  # before them
+    cum = running_total(events, ["d", "kind"], ["ws", "we"], "cum", group_cols=["organization_id"])
+    started = cum.where(F.col("kind") == 1).select("report_id", F.col("cum_ws").alias("started"))
+    ended = cum.where(F.col("kind") == -1).select("report_id", F.col("cum_we").alias("ended"))
+    valid_n = started.join(ended, "report_id").select("report_id", (F.col("started") - F.col("ended")).alias("n"))
+
+    invalid = certs.where(F.col("EndDate") < F.col("StartDate"))
+    one_month = F.expr("interval 1 month")
+    inv_m = invalid.withColumn("__m", F.explode(F.sequence(F.trunc("EndDate", "month"), F.trunc("StartDate", "month"),
+                                                            one_month)))
+    rep_m = rep.select("report_id", "organization_id", "period_start", "period_end").withColumn(
+        "__m", F.explode(F.sequence(F.trunc("period_start", "month"), F.trunc("period_end", "month"), one_month)))
+    first_common = F.trunc(F.greatest(F.col("StartDate"), F.col("period_start")), "month")
+    invalid_n = (inv_m.join(rep_m, ["organization_id", "__m"]).where(_overlaps() & (F.col("__m") == first_common))
+                 .groupBy("report_id").agg(F.sum("w").alias("n_inv")))
+    return (rep.select("report_id").join(valid_n, "report_id", "left").join(invalid_n, "report_id", "left")
+            .select("report_id", (F.coalesce("n", F.lit(0)) + F.coalesce("n_inv", F.lit(0))).cast("bigint")
+                    .alias("n_subsidies")))
+
+
 SECTIONS = ("roster", "income_groups", "spaces", "header")
 
 
@@ -145,17 +187,16 @@ def billing_report(t: dict, sections=SECTIONS, report_ids: DataFrame | None = No
         report = report.join(report_ids.select(F.col(report_ids.columns[0]).alias("Id")), "Id", "left_semi")
     rep = report_frame(report, t["organization"], t["reporting_period"])
     act = active_fundings(rep, t) if {"roster", "income_groups", "spaces"} & set(sections) else None
-    subs = subsidy_counts(rep, t) if {"roster", "header"} & set(sections) else None
     limits = F.broadcast(income_limits(spark))
     out = {}
     if "roster" in sections:
-        out["roster"] = _roster(act, subs, limits)
+        out["roster"] = _roster(act, child_subsidies(act, rep, t), limits)
     if "income_groups" in sections:
         out["income_groups"] = _income_groups(rep, act, limits)
     if "spaces" in sections:
         out["spaces"] = _spaces(rep, act, t["funding_space"])
     if "header" in sections:
-        out["header"] = _header(rep, subs)
+        out["header"] = _header(rep, subsidies_per_report(rep, t))
     return out
 
 
@@ -204,9 +245,8 @@ def _spaces(rep: DataFrame, act: DataFrame, funding_space: DataFrame) -> DataFra
                     F.col("Rate").alias("rate"), "capacity", "utilization"))
 
 
-def _header(rep: DataFrame, subs: DataFrame) -> DataFrame:
+def _header(rep: DataFrame, n_sub: DataFrame) -> DataFrame:
     """Contractor, period text, weeks, fees, number of subsidies (A18), date, file stem (K7)."""
-    n_sub = subs.groupBy("report_id").agg(F.sum("n_subsidy").alias("n_subsidies"))
     return rep.join(n_sub, "report_id", "left").select(
         "report_id", F.col("name").alias("contractor"),
         F.concat(long_date("period_start", pad_day=True), F.lit(" - "), long_date("period_end", pad_day=True))
@@ -218,4 +258,4 @@ def _header(rep: DataFrame, subs: DataFrame) -> DataFrame:
         F.concat_ws(" ", F.col("name"), month_year("period"), F.lit(REPORT_SUFFIX)).alias("file_stem"))
 
 
-__all__ = ["billing_report", "report_frame", "active_fundings", "subsidy_counts"]
+__all__ = ["billing_report", "report_frame", "active_fundings", "child_subsidies", "subsidies_per_report"]

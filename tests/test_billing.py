@@ -1,6 +1,8 @@
 """D11 on a hand-made target model: the report generator's quirks, row by row."""
 import datetime as dt
 
+from pyspark.sql import functions as F
+
 from conftest import rows
 from rosterflow.plans.billing import billing_report
 
@@ -46,7 +48,9 @@ def _model(spark):
             (1, D(2019, 7, 15), D(2019, 7, 31)),      # overlaps period 2 (starts Jul 29)
             (1, D(2019, 9, 1), None),                 # touches period 2 on its last day, open
             (5, D(2019, 1, 1), D(2019, 7, 28)),       # ends the day before period 2: no overlap
-            (5, D(2019, 9, 2), None)],                # starts after period 2
+            (5, D(2019, 9, 2), None),                 # starts after period 2
+            (4, D(2019, 8, 20), D(2019, 8, 10)),      # inverted, yet start <= period end and end >= period start
+            (4, D(2019, 9, 10), D(2019, 8, 5))],      # inverted, starts after the period: no overlap
             "ChildId int, StartDate date, EndDate date"),
     }
     return t
@@ -70,5 +74,48 @@ def test_billing_sections(spark):
     assert spaces == [("Infant/Toddler", "FT", "Acc.", "Standard", 5, 1), ("Preschool", "FT", "Acc.", "Standard", 20, 3)]
     hdr = out["header"].collect()[0]
     assert (hdr.contractor, hdr.reporting_period, hdr.n_subsidies, hdr.subsidies, hdr.family_fees, hdr.date) == (
-        "Org A", "July 29, 2019 - September 01, 2019", 2, 500.0, 100.0, None)
+        "Org A", "July 29, 2019 - September 01, 2019", 3, 500.0, 100.0, None)
     assert abs(hdr.number_of_weeks - 5.0) < 1e-9 and hdr.file_stem == "Org A August 2019 CDC PSR"
+
+
+def test_subsidies_per_report_matches_brute_force(spark):
+    import random
+    from rosterflow.plans.billing import child_subsidies, subsidies_per_report
+    random.seed(11)
+    base = D(2019, 7, 1)
+    day = lambda n: base + dt.timedelta(days=n)
+    certs = []
+    for _ in range(300):
+        s = day(random.randint(0, 200))
+        e = random.choice([None, day(random.randint(0, 200))])           # open, valid or inverted
+        certs.append((random.randint(1, 20), s if random.random() > 0.05 else None, e))
+    reps = []
+    for rid in range(1, 41):
+        a = random.randint(0, 190)
+        reps.append((rid, random.randint(1, 3), day(a), day(a + random.randint(0, 40))))
+    fund = [(100 + c, c, 10 + (c % 3)) for c in range(1, 21)] + [(200 + c, c, 10 + (c % 3)) for c in range(1, 21, 4)]
+    t = {"c4k_certificate": spark.createDataFrame(certs, "ChildId int, StartDate date, EndDate date"),
+         "funding": spark.createDataFrame([(i, e) for i, e, _ in fund], "Id int, EnrollmentId int").withColumn(
+             "EnrollmentId", F.col("EnrollmentId")),
+         "enrollment": spark.createDataFrame([(c, c, s) for _, c, s in {(0, c, s) for _, c, s in fund}],
+                                             "Id int, ChildId int, SiteId int"),
+         "site": spark.createDataFrame([(10, 1), (11, 2), (12, 3)], "Id int, OrganizationId int"),
+         "child": spark.createDataFrame([(c, c * 7) for c in range(1, 21)], "Id int, C4KFamilyCaseNumber int")}
+    rep = spark.createDataFrame(reps, "report_id long, organization_id int, period_start date, period_end date")
+    n_fund = {}
+    for _, c, site in fund:
+        n_fund[(site - 9, c)] = n_fund.get((site - 9, c), 0) + 1
+
+    def overlaps(s, e, ps, pe):
+        return s is not None and s <= pe and (e is None or e >= ps)
+    want = {rid: sum(n_fund.get((org, c), 0) for c, s, e in certs if overlaps(s, e, ps, pe))
+            for rid, org, ps, pe in reps}
+    got = {r.report_id: r.n_subsidies for r in subsidies_per_report(rep, t).collect()}
+    assert got == want
+    pairs = spark.createDataFrame([(rid, org, c) for rid, org, _, _ in reps for c in range(1, 21)],
+                                  "report_id long, organization_id int, ChildId int")
+    per_child = {(r.report_id, r.ChildId): r.n_subsidy for r in child_subsidies(pairs, rep, t).collect()}
+    for rid, org, ps, pe in reps:
+        for c in range(1, 21):
+            n = n_fund.get((org, c), 0) * sum(1 for cc, s, e in certs if cc == c and overlaps(s, e, ps, pe))
+            assert per_child.get((rid, c), 0) == n
