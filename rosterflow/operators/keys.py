@@ -21,12 +21,6 @@ _PID = "__rf_pid"
 _LOCAL = "__rf_local"
 
 
-def _n_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _sorted_by_range(df: DataFrame, order: Sequence[Column], num_partitions: int | None) -> DataFrame:
     """Range-partition and sort on ``order``, tag partition id and in-partition position.
 
@@ -35,9 +29,11 @@ def _sorted_by_range(df: DataFrame, order: Sequence[Column], num_partitions: int
     independently planned range exchanges may sample different bounds. The
     checkpoint also survives executor loss, unlike a cached frame.
     """
-    n = _n_partitions(df, num_partitions)
-    tagged = (df.repartitionByRange(n, *order)
-                .sortWithinPartitions(*order)
+    # Without an explicit count AQE may coalesce *adjacent* range partitions
+    # (each merged partition is still a contiguous key range), so small inputs
+    # do not leave thousands of near-empty partitions.
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    tagged = (ranged.sortWithinPartitions(*order)
                 .withColumn(_PID, F.spark_partition_id())
                 .withColumn(_LOCAL, F.monotonically_increasing_id()
                             - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))

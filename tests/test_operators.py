@@ -360,3 +360,21 @@ def test_seconds_between_ignores_session_time_zone(spark):
         assert df.select(seconds_between("a", "b").alias("s")).first().s == 86400
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_assign_ids_with_coalesced_range_partitions(spark):
+    random.seed(5)
+    data = [(random.randint(0, 30), f"n{i:05d}") for i in range(3000)]
+    df = spark.createDataFrame(data, "g int, name string")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")       # AQE merges adjacent ranges
+    try:
+        got = {r.name: (r.id, r.line) for r in keys.assign_ids(
+            keys.assign_ids(df, ["g", "name"]), ["name"], id_col="line", group_cols=["g"]).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    order = sorted(data)
+    want_line = {}
+    for g in {x for x, _ in data}:
+        for i, n in enumerate(sorted(n for x, n in data if x == g)):
+            want_line[n] = i + 1
+    assert got == {n: (i + 1, want_line[n]) for i, (_, n) in enumerate(order)}
