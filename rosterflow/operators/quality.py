@@ -52,11 +52,10 @@ def check(spark, rules: Sequence[tuple[str, DataFrame, str]], sample_col: str |
     parts = []
     for name, violations, severity in rules:
         key = sample_col if sample_col and sample_col in violations.columns else violations.columns[0]
-        agg = violations.agg(F.count(F.lit(1)).alias("n"))
         sample = violations.select(F.col(key).cast("string").alias("k")).limit(SAMPLE_SIZE).agg(
-            F.collect_list("k").alias("sample"))
-        parts.append(agg.withColumn("__rf_one", F.lit(1)).join(sample.withColumn("__rf_one", F.lit(1)), "__rf_one")
-                     .select(F.lit(name).alias("rule"), F.lit(severity).alias("severity"), "n", "sample"))
+            F.collect_list("k")).scalar()
+        parts.append(violations.agg(F.count(F.lit(1)).alias("n"))
+                     .select(F.lit(name).alias("rule"), F.lit(severity).alias("severity"), "n", sample.alias("sample")))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -45,8 +45,9 @@ def null_counts(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def _join_on_groups(a: DataFrame, b: DataFrame, group: Sequence[str]) -> DataFrame:
+    """Attach ``b``'s columns to ``a`` by group; without groups both are one row: scalar subqueries."""
     if not group:
-        return a.withColumn("__rf_one", F.lit(1)).join(b.withColumn("__rf_one", F.lit(1)), "__rf_one").drop("__rf_one")
+        return a.select("*", *[b.select(c).scalar().alias(c) for c in b.columns])
     b2 = b.select(*[F.col(g).alias(f"__rf_g_{g}") for g in group], *[c for c in b.columns if c not in group])
     cond = None
     for g in group:

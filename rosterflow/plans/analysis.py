@@ -44,9 +44,10 @@ def edit_lag_stats(df: DataFrame, lag_col: str, modified_col: str, group: Sequen
     days = df.select(*group, (F.col(lag_col) / F.lit(float(DAY))).alias("lag_days"),
                      F.col(modified_col).isNull().cast("bigint").alias("__rf_null"))
     d = describe(days, "lag_days", group=group)
+    if not group:
+        return d.withColumn("n_null_modified", days.select(F.sum("__rf_null")).scalar())
     nulls = days.groupBy(*group).agg(F.sum("__rf_null").alias("n_null_modified"))
-    return d.join(nulls, list(group), "left") if group else (
-        d.withColumn("__one", F.lit(1)).join(nulls.withColumn("__one", F.lit(1)), "__one").drop("__one"))
+    return d.join(nulls, list(group), "left")
 
 
 def edit_lag_share(df: DataFrame, lag_col: str, threshold_seconds: int) -> DataFrame:
@@ -73,8 +74,7 @@ def monthly_distinct(df: DataFrame, date_col: str, id_col: str) -> DataFrame:
     counts = m.groupBy("month").agg(F.count_distinct("__id").alias("n_distinct"))
     out = counts.select("month", fold_month("month").alias("adjusted_month"),
                         school_year("month").alias("school_year"), "n_distinct")
-    years = out.agg(F.count_distinct("school_year").alias("n_years"))
-    return out.withColumn("__one", F.lit(1)).join(years.withColumn("__one", F.lit(1)), "__one").drop("__one")
+    return out.withColumn("n_years", out.select(F.count_distinct("school_year")).scalar())
 
 
 def school_year_totals(df: DataFrame, student_date: str, student_id: str, enrollment_date: str,
@@ -106,10 +106,11 @@ def ytd_forecast(full: DataFrame, partial: DataFrame, reference_years: Sequence[
             .join(partial.select("school_year", F.col("students").alias("partial_students"),
                                  F.col("enrollments").alias("partial_enrollments")), "school_year", "full"))
     cols = ["full_students", "full_enrollments", "partial_students", "partial_enrollments"]
-    ref = comb.where(F.col("school_year").isin(list(reference_years))).agg(
-        *[F.avg(c).alias(f"mean_{c}") for c in cols])
-    cur = comb.where(F.col("school_year") == current_year).select(*[F.col(c).alias(f"cur_{c}") for c in cols])
-    j = ref.withColumn("__one", F.lit(1)).join(cur.withColumn("__one", F.lit(1)), "__one", "left").drop("__one")
+    is_ref = F.col("school_year").isin(list(reference_years))
+    is_cur = F.col("school_year") == current_year
+    # one aggregate over the (few) school-year rows: reference means and current values side by side
+    j = comb.agg(*[F.avg(F.when(is_ref, F.col(c))).alias(f"mean_{c}") for c in cols],
+                 *[F.max(F.when(is_cur, F.col(c))).alias(f"cur_{c}") for c in cols])
     student_rate = F.col("mean_partial_students") / F.col("mean_full_students")
     enrollment_rate = F.col("mean_partial_enrollments") / F.col("mean_full_enrollments")
     return j.select(

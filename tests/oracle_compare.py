@@ -51,7 +51,7 @@ def compare(spark, name: str, fn, sql: str | None, sf_dir: str, con=None) -> dic
     s_cols = sdf.columns
     s_types = {f.name: f.dataType.simpleString() for f in sdf.schema.fields}
     s_rows = sdf.collect()
-    out = {"name": name, "spark_rows": len(s_rows)}
+    out = {"name": name, "spark_rows": len(s_rows), "plan": sdf._jdf.queryExecution().executedPlan().toString()}
     if sql is None:
         out["status"] = "rows-only"
         return out
