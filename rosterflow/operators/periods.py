@@ -73,15 +73,27 @@ def lookup_label(df: DataFrame, label_col: str, calendar: DataFrame, out_col: st
     return df.join(cal, norm == F.col("__rf_label"), "left").drop("__rf_label")
 
 
+def _bounds(df: DataFrame, col: str) -> tuple:
+    """(min, max) of a column in one small aggregate job; an empty frame gives an empty range."""
+    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    if row is None or row["lo"] is None:
+        return 0, -1
+    return row["lo"], row["hi"]
+
+
 def active_in_period(facts: DataFrame, reports: DataFrame, on: str, first_col: str, last_col: str,
-                     report_period_col: str, max_period: Column | int) -> DataFrame:
+                     report_period_col: str, max_period: Column | int | None = None) -> DataFrame:
     """Fact rows active in a report's period: ``first <= p and (last is null or last >= p)``.
 
     Facts expand to the period ids ``first .. coalesce(last, max_period)`` (an open
-    spell runs to the last reported period), then equi-join ``(on, period)``.
+    spell runs to the last reported period), then equi-join ``(on, period)``. The
+    expansion is clamped to the reported period range, computed once.
     """
+    lo, hi = _bounds(reports, report_period_col)
+    if max_period is None:
+        max_period = hi
     mp = max_period if isinstance(max_period, Column) else F.lit(max_period)
-    lo_p = reports.select(F.min(report_period_col)).scalar()
+    lo_p = F.lit(lo)
     # clamp to the reported periods: per-row fan-out never exceeds the calendar length
     upper = F.least(F.coalesce(F.col(last_col), mp), mp)
     lower = F.greatest(F.col(first_col), lo_p)
@@ -106,8 +118,7 @@ def interval_overlap_join(facts: DataFrame, periods: DataFrame, on: str, start_c
     """
     s = F.to_date(F.col(start_col))
     e = F.coalesce(F.to_date(F.col(end_col)), F.to_date(open_end))
-    p_min = periods.select(F.min(period_id_col)).scalar()
-    p_max = periods.select(F.max(period_id_col)).scalar()
+    p_min, p_max = (F.lit(v) for v in _bounds(periods, period_id_col))
     # clamp to the periods present: per-row fan-out never exceeds the calendar length
     lo = F.greatest(period_for_month(F.least(s, e), first_month) - 1, p_min)
     hi = F.least(period_for_month(F.greatest(s, e), first_month) + 1, p_max)

@@ -80,9 +80,8 @@ def active_fundings(rep: DataFrame, t: dict) -> DataFrame:
                                  "FamilyId"), "ChildId")
          .join(det, F.col("FamilyId") == F.col("__fam"), "left").drop("__fam"))
     reports = rep.select("report_id", "organization_id", "period_id", "Accredited")
-    max_p = reports.select(F.max("period_id")).scalar()
     act = active_in_period(f, reports, "organization_id", "FirstReportingPeriodId", "LastReportingPeriodId",
-                           "period_id", max_p)
+                           "period_id")
     act = act.select(
         "report_id", "organization_id", F.col("Id").alias("funding_id"), "ChildId", "Sasid", "LastName", "FirstName",
         "LicenseNumber", "TitleI", "Accredited", "Entry", "Exit",

@@ -9,7 +9,7 @@ from ..operators import dedupe, joins, keys, reshape
 from ..operators.periods import active_in_period, interval_overlap_join, open_ended_last
 from ..operators.quality import one_value_per_group
 from ..sources.lookups import RATES_CSV, rates
-from .catalog import CAL_SQL, Tables, calendar, first_month, period_id, query, sql_period
+from .catalog import CAL_SQL, Tables, calendar, first_month, period_id, query, scalar_value, sql_period
 
 # --- fixed parameters of the bindings ----------------------------------------------
 SPELL_MAX_DAYS = 90          # order spell = [order date, order date + custkey % 90 days]
@@ -345,8 +345,7 @@ def active_in_period_q(spark, sf):
                           period_for_month(F.col("spell_start"), first).alias("first_period"),
                           period_for_month(F.col("spell_end"), first).alias("last_period"))
     reps = report_keys(t).select("organization", "period_id")
-    max_p = reps.select(F.max("period_id")).scalar()
-    out = active_in_period(facts, reps, "organization", "first_period", "last_period", "period_id", max_p)
+    out = active_in_period(facts, reps, "organization", "first_period", "last_period", "period_id")
     return out.select("organization", "period_id", "o_orderkey")
 
 
@@ -361,7 +360,7 @@ def interval_overlap(spark, sf):
     t = Tables(spark, sf)
     cal = F.broadcast(calendar(t).select(F.col("id").alias("period_id"), "period_start", "period_end"))
     reps = report_keys(t).select("organization", "period_id").join(cal, "period_id")
-    last_day = cal.select(F.max("period_end")).scalar()
+    last_day = scalar_value(cal.select(F.max("period_end")))
     out = interval_overlap_join(order_spells(t), reps, "organization", "spell_start", "spell_end", "period_id",
                                 "period_start", "period_end", first_month(t), last_day)
     return out.select("organization", "period_id", "o_orderkey")
