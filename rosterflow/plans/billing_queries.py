@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import recode as rc
-from ..operators.keys import assign_ids
 from ..operators.periods import period_for_month
 from ..sources.lookups import INCOME_LIMITS
 from .billing import billing_report
@@ -28,6 +27,7 @@ FAMILY_SIZE_SPREAD = 13      # NumberOfPeople = 1 + orderkey % 13 (13 has no inc
 INCOME_DIVISOR = 5           # Income = order total / 5
 CERT_DAYS = 30               # certificate length
 TITLE_I_BELOW = 5            # sites of nations 0..4 are Title I
+REPORT_KEY_BASE = 100000     # report Id = organization * 100000 + period id
 # ------------------------------------------------------------------------------------
 
 
@@ -41,9 +41,10 @@ def target_model(spark, sf) -> dict:
     first = first_month(t)
     cal = calendar(t)
     rev = _revenue(t).withColumn("period_id", period_id("period", t))
-    report = assign_ids(rev.select("organization", "period_id", "family_fees", "c4k_revenue"),
-                        ["organization", "period_id"], id_col="Id").select(
-        "Id", F.lit(0).alias("Type"), F.lit(None).cast("timestamp_ntz").alias("SubmittedAt"),
+    # report key: a deterministic function of (organization, period) — unique, no numbering pass needed
+    report = rev.select(
+        (F.col("organization").cast("bigint") * REPORT_KEY_BASE + F.col("period_id")).alias("Id"),
+        F.lit(0).alias("Type"), F.lit(None).cast("timestamp_ntz").alias("SubmittedAt"),
         F.col("organization").alias("OrganizationId"), F.col("period_id").alias("ReportingPeriodId"),
         (F.col("organization") % 2 == 0).cast("int").alias("Accredited"),
         F.col("c4k_revenue").alias("C4KRevenue"), F.col("family_fees").alias("FamilyFeesRevenue"))
@@ -101,7 +102,7 @@ rev AS (
               AS DOUBLE) AS c4k_revenue
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2),
 rep AS (
-  SELECT CAST(row_number() OVER (ORDER BY organization, period_id) AS BIGINT) AS report_id, 0 AS report_type,
+  SELECT CAST(organization AS BIGINT) * {REPORT_KEY_BASE} + period_id AS report_id, 0 AS report_type,
          CAST(NULL AS TIMESTAMP) AS submitted_at, organization AS organization_id, period_id,
          CAST(organization % 2 = 0 AS INTEGER) AS accredited, c4k_revenue, family_fees, n.n_name AS name,
          c.period, c.period_start, c.period_end
