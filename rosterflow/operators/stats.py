@@ -68,7 +68,8 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group: Seque
     counts = (df.where(v.isNotNull()).groupBy(*group, v.alias("__rf_v"))
               .agg(F.count(F.lit(1)).alias("__rf_n")))
     ranked = running_total(counts, ["__rf_v"], "__rf_n", out_col="__rf_cum", group_cols=group)
-    totals = counts.groupBy(*group).agg(F.sum("__rf_n").alias("__rf_total"))
+    # the group total is the last running total: read from the materialised ranks, not the rows again
+    totals = ranked.groupBy(*group).agg(F.max("__rf_cum").alias("__rf_total"))
     ranked = _join_on_groups(ranked, totals, group)
     start, end = F.col("__rf_cum") - F.col("__rf_n"), F.col("__rf_cum")
     aggs, wanted = [], None
@@ -86,10 +87,14 @@ def exact_quantiles(df: DataFrame, value: str, qs: Sequence[float], group: Seque
 
 
 def describe(df: DataFrame, value: str, qs: Sequence[float] = (0.25, 0.5, 0.75),
-             group: Sequence[str] = ()) -> DataFrame:
-    """Count, mean, std (sample), min, quantiles, max of a numeric column (per group)."""
+             group: Sequence[str] = (), extra: dict | None = None) -> DataFrame:
+    """Count, mean, std (sample), min, quantiles, max of a numeric column (per group).
+
+    ``extra`` adds more aggregates ``{name: Column}`` to the same pass (e.g. NULL counts, A12).
+    """
     v = F.col(value)
     basic = df.groupBy(*group).agg(F.count(v).alias("count"), F.avg(v.cast("double")).alias("mean"),
                                    F.stddev_samp(v.cast("double")).alias("std"), F.min(v).cast("double").alias("min"),
-                                   F.max(v).cast("double").alias("max"))
+                                   F.max(v).cast("double").alias("max"),
+                                   *[c.alias(n) for n, c in (extra or {}).items()])
     return _join_on_groups(basic, exact_quantiles(df, value, qs, group), group)

@@ -43,11 +43,7 @@ def edit_lag_stats(df: DataFrame, lag_col: str, modified_col: str, group: Sequen
     """describe() of the lag in days plus the number of NULL modification dates (per group)."""
     days = df.select(*group, (F.col(lag_col) / F.lit(float(DAY))).alias("lag_days"),
                      F.col(modified_col).isNull().cast("bigint").alias("__rf_null"))
-    d = describe(days, "lag_days", group=group)
-    if not group:
-        return d.withColumn("n_null_modified", days.select(F.sum("__rf_null")).scalar())
-    nulls = days.groupBy(*group).agg(F.sum("__rf_null").alias("n_null_modified"))
-    return d.join(nulls, list(group), "left")
+    return describe(days, "lag_days", group=group, extra={"n_null_modified": F.sum("__rf_null")})
 
 
 def edit_lag_share(df: DataFrame, lag_col: str, threshold_seconds: int) -> DataFrame:
