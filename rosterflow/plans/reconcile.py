@@ -176,6 +176,11 @@ def psr_students(enrollment: DataFrame, orgs: DataFrame, first_period_start) ->
     return students, late
 
 
+def missing_from_database(psr: DataFrame, flat: DataFrame) -> DataFrame:
+    """Roster keys with no enrolled row in the database (to fetch as registered-only)."""
+    return joins.anti_missing(psr.select("sasid"), flat.select("SASID"), "sasid", "SASID").distinct()
+
+
 def database_students(flat: DataFrame, registered: DataFrame) -> DataFrame:
     """D6 database side: latest enrolled row per SASID (W4) ∪ registered-only students."""
     enrolled = dedupe.last_per_key(flat, ["SASID"], ["ModifiedDate"], ["EnrollmentId"]).select(*DATABASE_COLUMNS)
@@ -330,6 +335,43 @@ def current_reports(orgs: DataFrame, enrollment: DataFrame, revenue: DataFrame |
     return keys.assign_ids(r, ["ReportingPeriodId", "organization_id"], id_col="report_id")
 
 
+def single_site_fix(enrollments_df: DataFrame, sites: DataFrame, mapping: dict | None = None
+                    ) -> tuple[DataFrame, DataFrame]:
+    """Drop listed sites and move their enrollments (default: site 2 into site 1)."""
+    return keys.remap_dimension(enrollments_df, sites, "site_id", "site_id", mapping or {2: 1})
+
+
+def to_target_tables(orgs: DataFrame, sites: DataFrame, families_df: DataFrame, determinations: DataFrame,
+                     children_df: DataFrame, enrollments_df: DataFrame, fundings_df: DataFrame,
+                     reports: DataFrame) -> dict[str, DataFrame]:
+    """The reconcile outputs in the target model's column names, keyed by local ids (K1 input)."""
+    return {
+        "Organization": orgs.select("organization_id", F.col("name").alias("Name")),
+        "Site": sites.select("site_id", F.col("name").alias("Name"), F.col("title_i").alias("TitleI"),
+                             F.create_map(*[F.lit(x) for kv in rc.REGION_CODES.items() for x in kv])
+                             [F.col("region")].alias("Region"),
+                             F.col("organization_id").alias("OrganizationId")),
+        "Family": families_df.select("family_id", "AddressLine1", "AddressLine2", "Town", "State", "Zip",
+                                     "Homelessness", F.col("organization_id").alias("OrganizationId")),
+        "FamilyDetermination": determinations.select("family_determination_id", "NotDisclosed", "NumberOfPeople",
+                                                     "Income", "DeterminationDate",
+                                                     F.col("family_id").alias("FamilyId")),
+        "Child": children_df.select("child_id", *[c for c in children_df.columns
+                                                  if c not in ("child_id", "family_id", "organization_id")],
+                                    F.col("family_id").alias("FamilyId"),
+                                    F.col("organization_id").alias("OrganizationId")),
+        "Enrollment": enrollments_df.select("enrollment_id", "AgeGroup", "Entry", "Exit", "ExitReason",
+                                            F.col("child_id").alias("ChildId"), F.col("site_id").alias("SiteId")),
+        "Funding": fundings_df.select("funding_id", F.col("FundingSource").alias("Source"), "FamilyId",
+                                      "CertificateStartDate", "CertificateEndDate", "FirstReportingPeriodId",
+                                      "LastReportingPeriodId", F.col("FundingTime").alias("Time"),
+                                      F.col("enrollment_id").alias("EnrollmentId")),
+        "Report": reports.select("report_id", F.col("FundingSource").alias("Type"), "ReportingPeriodId",
+                                 "SubmittedAt", F.col("organization_id").alias("OrganizationId"), "Accredited",
+                                 "C4KRevenue", "RetroactiveC4KRevenue", "FamilyFeesRevenue"),
+    }
+
+
 def gates(enrollment: DataFrame, late: DataFrame, nonunique: DataFrame) -> list[tuple[str, DataFrame, str]]:
     """V1-V4 rules for ``quality.check``."""
     return [("one organization per file", one_org_per_file(enrollment), "stop"),

@@ -151,7 +151,8 @@ def test_reconcile_end_to_end(spark, inputs):
     psr, late = rc.psr_students(enr, orgs, first_start)
     assert late.count() == 0
     assert rows(psr, "sasid") == [("S1",), ("S9",), ("TEMP-Bo-Roe",)]
-    missing = psr.join(flat.select(F.col("SASID").alias("sasid")), "sasid", "left_anti").select("sasid")
+    missing = rc.missing_from_database(psr, flat)
+    assert rows(missing) == [("S9",), ("TEMP-Bo-Roe",)]
     db = rc.database_students(flat, rc.registered_flat(db, missing))
     students = rc.students_joined(psr, db)
     kids = rc.children(students)
@@ -180,21 +181,23 @@ def test_reconcile_end_to_end(spark, inputs):
     res = quality.check(spark, rc.gates(enr, late, nonunique))
     quality.enforce(res)   # no stop rule fires
 
+    enrl_fixed, sites_fixed = rc.single_site_fix(enrl, sites, {2: 1})
+    assert rows(sites_fixed, "site_id") == [(1,)] and rows(enrl_fixed, "site_id") == [(1,), (1,), (1,)]
     out = tempfile.mkdtemp(prefix="rf-target-")
-    tables = {
-        "Organization": orgs.select("organization_id", F.col("name").alias("Name")),
-        "Site": sites.select("site_id", F.col("name").alias("Name"), F.col("title_i").alias("TitleI"),
-                             F.col("organization_id").alias("OrganizationId")),
-        "Family": fams.select("family_id", "AddressLine1", F.col("organization_id").alias("OrganizationId")),
-        "Child": kids.select("child_id", "Sasid", "FirstName", F.col("family_id").alias("FamilyId"),
-                             F.col("organization_id").alias("OrganizationId")),
-    }
+    tables = rc.to_target_tables(orgs, sites, fams, dets, kids, enrl, funds, reports)
     load_target(tables, out)
     load_target(tables, out)   # idempotent: second run adds nothing
     child = spark.read.parquet(out + "/Child")
     assert child.count() == 3
     assert rows(child, "Sasid") == [(None,), ("S1",), ("S9",)]          # K6: placeholder keys blanked
-    assert spark.read.parquet(out + "/Organization").count() == 2
+    counts = {name: spark.read.parquet(f"{out}/{name}").count() for name in tables}
+    assert counts == {"Organization": 2, "Site": 2, "Family": 3, "FamilyDetermination": 3, "Child": 3,
+                      "Enrollment": 3, "Funding": 4, "Report": 2}
+    fund = spark.read.parquet(out + "/Funding").join(spark.read.parquet(out + "/Enrollment")
+                                                     .select(F.col("Id").alias("EnrollmentId"), "ChildId"),
+                                                     "EnrollmentId")
+    assert fund.count() == 4                                             # K3: every funding points at a loaded row
+    assert rows(spark.read.parquet(out + "/Site"), "Region") == [(1,), (3,)]
 
 
 def _database(spark):
