@@ -199,6 +199,12 @@ def billing_report(t: dict, sections=SECTIONS, report_ids: DataFrame | None = No
     return out
 
 
+def generate_reports(t: dict, out_dir: str, report_ids: DataFrame | None = None, fmt: str = "parquet") -> None:
+    """Entry 3 (the report generator) for all (or the given) reports: D11 sections written per report (K7)."""
+    from ..sinks.target import write_report_sections
+    write_report_sections(billing_report(t, report_ids=report_ids), out_dir, fmt)
+
+
 def _roster(act: DataFrame, subs: DataFrame, limits: DataFrame) -> DataFrame:
     """One line per active funding, repeated per subsidy row of the child; numbered per report (O1)."""
     r = (act.join(subs, ["report_id", "ChildId"], "left")

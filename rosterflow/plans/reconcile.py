@@ -378,3 +378,43 @@ def gates(enrollment: DataFrame, late: DataFrame, nonunique: DataFrame) -> list[
             ("key given after appearing without one", late, "stop"),
             ("person x age group unique", nonunique, "stop"),
             ("inexact licence match", fuzzy_match_warnings(enrollment), "warn")]
+
+
+def run_migration(spark, roster_folder: str, programs_path: str, db: dict[str, DataFrame], out_dir: str,
+                  calendar_start, calendar_end, birthdates: DataFrame | None = None,
+                  keys_to_merge: DataFrame | None = None, org_ids: DataFrame | None = None,
+                  site_mapping: dict | None = None) -> dict[str, DataFrame]:
+    """Entry 1 (the migration script) end to end: sources -> D1-D9 -> gates -> load.
+
+    Stop-gates are enforced before anything is written (``QualityGateError``);
+    warnings are returned with the gate results. Returns the key maps of the
+    loaded tables plus ``gates``.
+    """
+    from ..operators.periods import reporting_calendar
+    from ..operators.quality import check, enforce
+    from ..sinks.target import load_target
+    from ..sources.files import read_programs
+    from ..sources.lookups import towns
+    from ..sources.workbooks import read_roster_folder
+
+    cal = reporting_calendar(spark, calendar_start, calendar_end)
+    first_start = cal.select(F.min("period_start")).first()[0]
+    frames = read_roster_folder(spark, roster_folder)
+    programs = read_programs(spark, programs_path)
+    enr = psr_enrollment(frames["roster"], frames["header"], programs, cal)
+    rev = psr_revenue(frames["totals"], frames["header"], enr, cal)
+    orgs, sites = organizations_and_sites(rev, programs, towns(spark))
+    flat = enrollment_flat(db, sites)
+    psr, late = psr_students(enr, orgs, first_start)
+    students = students_joined(psr, database_students(flat, registered_flat(db, missing_from_database(psr, flat))))
+    kids = children(students, birthdates)
+    enrl, uniq, nonunique = enrollments(enr, flat, kids, sites, cal, first_start, keys_to_merge)
+    results = enforce(check(spark, gates(enr, late, nonunique)))
+    funds = fundings(uniq, enr, cal)
+    reports = current_reports(orgs, enr)
+    enrl, sites = single_site_fix(enrl, sites, site_mapping)
+    tables = to_target_tables(orgs, sites, families(students), family_determinations(students), kids, enrl,
+                              funds, reports)
+    out = load_target(tables, out_dir, org_ids)
+    out["gates"] = results
+    return out

@@ -119,3 +119,13 @@ def test_subsidies_per_report_matches_brute_force(spark):
         for c in range(1, 21):
             n = n_fund.get((org, c), 0) * sum(1 for cc, s, e in certs if cc == c and overlaps(s, e, ps, pe))
             assert per_child.get((rid, c), 0) == n
+
+
+def test_generate_reports_writes_sections(spark):
+    import tempfile
+    from rosterflow.plans.billing import generate_reports
+    out = tempfile.mkdtemp(prefix="rf-reports-")
+    generate_reports(_model(spark), out)
+    assert spark.read.parquet(out + "/roster").count() == 5
+    assert spark.read.parquet(out + "/income_groups").count() == 12
+    assert rows(spark.read.parquet(out + "/header"), "report_id", "n_subsidies") == [(1, 3)]

@@ -234,3 +234,14 @@ def _database(spark):
             "DateFamilyIncomeDocumented timestamp, FamilyIncomeNotDisclosed string"),
     }
     return db
+
+
+def test_run_migration_entry_point(spark, inputs):
+    out = tempfile.mkdtemp(prefix="rf-migration-")
+    maps = rc.run_migration(spark, str(inputs / "rosters"), str(inputs / "programs.csv"), _database(spark), out,
+                            dt.date(2019, 7, 1), dt.date(2029, 7, 1))
+    assert rows(maps["gates"], "rule", "n") == [("inexact licence match", 1), ("key given after appearing without one", 0),
+                                                ("one organization per file", 0), ("person x age group unique", 0)]
+    assert spark.read.parquet(out + "/Child").count() == 3
+    assert spark.read.parquet(out + "/Site").count() == 1          # single-site fix: site 2 folded into 1
+    assert maps["Funding"].count() == 4
