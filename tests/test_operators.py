@@ -378,3 +378,37 @@ def test_assign_ids_with_coalesced_range_partitions(spark):
         for i, n in enumerate(sorted(n for x, n in data if x == g)):
             want_line[n] = i + 1
     assert got == {n: (i + 1, want_line[n]) for i, (_, n) in enumerate(order)}
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(-3, 14), st.one_of(st.none(), st.integers(-3, 14))),
+                min_size=1, max_size=25))
+def test_active_in_period_matches_brute_force(spark, spells):
+    facts = spark.createDataFrame([(i, f"o{o}", a, b) for i, (o, a, b) in enumerate(spells)],
+                                  "f int, org string, first int, last int")
+    reps = spark.createDataFrame([(f"o{o}", p) for o in range(3) for p in range(1, 11) if (o + p) % 3],
+                                 "org string, p int")
+    got = rows(periods.active_in_period(facts, reps, "org", "first", "last", "p"), "f", "p")
+    want = sorted((i, p) for i, (o, a, b) in enumerate(spells) for p in range(1, 11)
+                  if (o + p) % 3 and a <= p and (b is None or b >= p))
+    assert got == want
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 1), st.integers(0, 200), st.one_of(st.none(), st.integers(0, 200))),
+                min_size=1, max_size=25))
+def test_interval_overlap_matches_brute_force(spark, spells):
+    base = dt.date(2019, 7, 1)
+    cal = periods.reporting_calendar(spark, base, dt.date(2020, 2, 1))
+    cal_rows = [(r.id, r.period_start, r.period_end) for r in cal.collect()]
+    per = cal.select(F.col("id").alias("pid"), "period_start", "period_end").withColumn(
+        "org", F.explode(F.array(F.lit("o0"), F.lit("o1"))))
+    data = [(i, f"o{o}", base + dt.timedelta(days=a), None if b is None else base + dt.timedelta(days=b))
+            for i, (o, a, b) in enumerate(spells)]
+    facts = spark.createDataFrame(data, "f int, org string, s date, e date")
+    last_day = max(e for _, _, e in cal_rows)
+    got = rows(periods.interval_overlap_join(facts, per, "org", "s", "e", "pid", "period_start", "period_end",
+                                             F.lit(base), F.lit(last_day)), "f", "pid")
+    want = sorted((i, pid) for i, _, s, e in data for pid, ps, pe in cal_rows
+                  if s <= pe and (e is None or e >= ps))
+    assert got == want
