@@ -126,3 +126,38 @@ def facility_sizes(df: DataFrame, facility_col: str, enrollment_col: str, width:
 def dedupe_first(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
     """``drop_duplicates(key)`` keeping the first row in an explicit order."""
     return first_per_key(df, [key], list(order))
+
+
+def usage_analysis(base: DataFrame, cols: dict, reference_years: Sequence[str], current_year: str,
+                   excluded_years: Sequence[str] = (), lag_thresholds: Sequence[int] = (3600, 30 * DAY),
+                   facility_bin: int = 10) -> dict[str, DataFrame]:
+    """Entry 4 (the analysis notebook) over one base frame; every table the notebook plots or prints.
+
+    ``cols`` names the base columns: ``student_id``, ``enrollment_id``, ``facility_id``,
+    ``student_created``, ``student_modified``, ``enrollment_created``, ``enrollment_modified``.
+    """
+    c = cols
+    enr = with_edit_lag(base, c["enrollment_created"], c["enrollment_modified"], "enrollment_lag")
+    stu = with_edit_lag(dedupe_first(base, c["student_id"], [c["student_id"], c["enrollment_id"]]),
+                        c["student_created"], c["student_modified"], "student_lag")
+    out = {
+        "enrollment_lag_stats": edit_lag_stats(enr, "enrollment_lag", c["enrollment_modified"]),
+        "student_lag_stats": edit_lag_stats(stu, "student_lag", c["student_modified"]),
+    }
+    for th in lag_thresholds:
+        out[f"student_lag_share_{th}"] = edit_lag_share(stu, "student_lag", th)
+        out[f"student_lag_hist_{th}"] = edit_lag_hist(stu, "student_lag", th)
+    out["enrollment_lag_share"] = edit_lag_share(enr, "enrollment_lag", lag_thresholds[0])
+    out["enrollment_lag_hist"] = edit_lag_hist(enr, "enrollment_lag", lag_thresholds[0])
+    for date_key, id_key in [("student_modified", "facility_id"), ("student_created", "facility_id"),
+                             ("student_created", "student_id"), ("enrollment_created", "enrollment_id"),
+                             ("student_modified", "student_id"), ("enrollment_modified", "enrollment_id")]:
+        out[f"monthly_{id_key}_by_{date_key}"] = monthly_distinct(base, c[date_key], c[id_key])
+    full = school_year_totals(base, c["student_created"], c["student_id"], c["enrollment_created"],
+                              c["enrollment_id"])
+    partial = school_year_totals(through_february(base, c["student_created"]), c["student_created"],
+                                 c["student_id"], c["enrollment_created"], c["enrollment_id"])
+    out["school_year_totals_full"], out["school_year_totals_partial"] = full, partial
+    out["ytd_forecast"] = ytd_forecast(full, partial, reference_years, current_year, excluded_years)
+    out["facility_sizes"] = facility_sizes(base, c["facility_id"], c["enrollment_id"], facility_bin)
+    return out
