@@ -63,7 +63,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS / object storage); "
                                "checkpoints must survive executor loss")
         path = tempfile.mkdtemp(prefix="rosterflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # some deployments reject runtime changes of core settings
+            pass
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(path)
     return path
