@@ -108,21 +108,26 @@ def active_in_period(facts: DataFrame, reports: DataFrame, on: str, first_col: s
 
 def interval_overlap_join(facts: DataFrame, periods: DataFrame, on: str, start_col: str, end_col: str,
                           period_id_col: str, period_start_col: str, period_end_col: str,
-                          first_month: Column, open_end: Column) -> DataFrame:
+                          first_month: Column, open_end: Column | None = None) -> DataFrame:
     """``start <= period_end and (end is null or end >= period_start)`` per key.
 
     A period covers at most its own month plus a few days on either side, so an
     interval can only touch the periods of its months and one neighbour each
-    way: the fact expands to those ids (bounded by its month span + 2; an open
-    interval runs to ``open_end``), joins on (key, period id) and is verified.
+    way: the fact expands to those ids (bounded by its month span + 2), joins on
+    (key, period id) and is verified. An open interval runs to the last period
+    present (or to ``open_end``'s period when given); every expansion is clamped
+    to the period ids present, so fan-out never exceeds the calendar length.
     """
     s = F.to_date(F.col(start_col))
-    e = F.coalesce(F.to_date(F.col(end_col)), F.to_date(open_end))
+    end = F.to_date(F.col(end_col))
+    e = F.coalesce(end, s)
     p_min, p_max = (F.lit(v) for v in _bounds(periods, period_id_col))
-    # clamp to the periods present: per-row fan-out never exceeds the calendar length
+    open_hi = p_max if open_end is None else F.least(period_for_month(F.to_date(open_end), first_month) + 1, p_max)
     lo = F.greatest(period_for_month(F.least(s, e), first_month) - 1, p_min)
-    hi = F.least(period_for_month(F.greatest(s, e), first_month) + 1, p_max)
-    expanded = (facts.where(s.isNotNull() & e.isNotNull() & (lo <= hi))
+    hi = F.when(end.isNull(), F.greatest(open_hi, period_for_month(s, first_month) + 1)).otherwise(
+        period_for_month(F.greatest(s, e), first_month) + 1)
+    hi = F.least(hi, p_max)
+    expanded = (facts.where(s.isNotNull() & (lo <= hi))
                 .withColumn("__rf_p", F.explode(F.sequence(lo, hi))))
     p = periods.withColumn("__rf_p", F.col(period_id_col))
     joined = expanded.join(p, [on, "__rf_p"])

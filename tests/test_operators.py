@@ -412,3 +412,6 @@ def test_interval_overlap_matches_brute_force(spark, spells):
     want = sorted((i, pid) for i, _, s, e in data for pid, ps, pe in cal_rows
                   if s <= pe and (e is None or e >= ps))
     assert got == want
+    got_default = rows(periods.interval_overlap_join(facts, per, "org", "s", "e", "pid", "period_start",
+                                                     "period_end", F.lit(base)), "f", "pid")
+    assert got_default == want
