@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import recode as rc
-from ..functions.nulls import glue_text, in_list
+from ..functions.nulls import glue_text, in_list, strict_max
 from ..operators import dedupe, fuzzy, joins, keys, reshape
 from ..operators.periods import lookup_label
 from ..operators.quality import late_key_violations, one_value_per_group, unique_key_violations
@@ -288,7 +288,8 @@ def enrollments(enrollment: DataFrame, flat: DataFrame, children_df: DataFrame,
 def fundings(uniqued: DataFrame, enrollment: DataFrame, calendar: DataFrame,
              full_time_sites: Sequence[int] = FULL_TIME_SITES) -> DataFrame:
     """CDC and C4K fundings, bound by name (O3) and numbered."""
-    last_seen = enrollment.select(F.max("period")).scalar()
+    # R's max() without na.rm: one roster whose header matched no period makes the bound NA
+    last_seen = enrollment.select(strict_max("period")).scalar()
     open_end = (F.col("last_observed_psr_period") < last_seen) | F.col("termination_date").isNotNull() | \
         F.col("FacilityExitDate").isNotNull()
     cdc = uniqued.select(
@@ -318,7 +319,7 @@ def current_reports(orgs: DataFrame, enrollment: DataFrame, revenue: DataFrame |
     revenue, stamped ``submitted_at`` (F23: pass the load time; default the
     current timestamp).
     """
-    nxt = enrollment.select(F.max("period") + 1).scalar()
+    nxt = enrollment.select(strict_max("period") + 1).scalar()
     r = orgs.select(F.lit(0).alias("FundingSource"), nxt.alias("ReportingPeriodId"),
                     F.lit(None).cast("timestamp").alias("SubmittedAt"), "organization_id",
                     F.lit(True).alias("Accredited"), F.lit(None).cast("double").alias("C4KRevenue"),

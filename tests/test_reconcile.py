@@ -245,3 +245,19 @@ def test_run_migration_entry_point(spark, inputs):
     assert spark.read.parquet(out + "/Child").count() == 3
     assert spark.read.parquet(out + "/Site").count() == 1          # single-site fix: site 2 folded into 1
     assert maps["Funding"].count() == 4
+
+
+def test_unknown_period_makes_the_global_bound_null(spark):
+    enr = spark.createDataFrame([("S1", 2, None, None, 3, "IT", 1, "7"), ("S2", None, None, None, 2, "PS", 1, None)],
+                                "sasid string, period int, termination_date date, FacilityExitDate date, "
+                                "last_observed_psr_period int, age_group string, site_id int, c4k_case_no string")
+    uniq = enr.select("sasid", F.monotonically_increasing_id().alias("enrollment_id"),
+                      F.lit(1).alias("first_observed_psr_period"), "last_observed_psr_period", "termination_date",
+                      "FacilityExitDate", "age_group", "site_id", "c4k_case_no",
+                      F.lit(None).cast("int").alias("last_observed_c4k_period"))
+    cal = reporting_calendar(spark, dt.date(2019, 7, 1), dt.date(2020, 7, 1))
+    funds = rc.fundings(uniq, enr, cal)
+    # max(period) is NA -> "last < max" is NA -> no exit either -> LastReportingPeriodId stays NA
+    assert rows(funds, "LastReportingPeriodId") == [(None,), (None,)]
+    orgs = spark.createDataFrame([(1, "A")], "organization_id long, name string")
+    assert rows(rc.current_reports(orgs, enr), "ReportingPeriodId") == [(None,)]
