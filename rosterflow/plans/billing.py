@@ -242,12 +242,17 @@ def _spaces(rep: DataFrame, act: DataFrame, funding_space: DataFrame) -> DataFra
                                F.col("Source").alias("report_type"),
                                rc.recode("AgeGroup", rc.AGE_GROUP_LABELS).alias("AgeGroup"),
                                rc.recode("Time", rc.TIME_LABELS).alias("Time"), F.col("Capacity").alias("capacity"))
-    return (used.join(rep.select("report_id", "report_type"), "report_id")
-            .join(cap, ["organization_id", "report_type", "AgeGroup", "Time"])
+    used = used.join(rep.select("report_id", "report_type"), "report_id")
+    # organization and source match by SQL equality; age group and time by dplyr's join (NA matches NA)
+    c = cap.select(*[F.col(x).alias(f"__c_{x}") for x in cap.columns])
+    cond = ((F.col("organization_id") == F.col("__c_organization_id"))
+            & (F.col("report_type") == F.col("__c_report_type"))
+            & F.col("AgeGroup").eqNullSafe(F.col("__c_AgeGroup")) & F.col("Time").eqNullSafe(F.col("__c_Time")))
+    return (used.join(c, cond)
             .select("report_id", F.col("AgeGroup").alias("age_group"), F.col("Time").alias("time"),
                     rc.label_when("Accredited", *rc.ACCREDITED_LABELS).alias("accredited"),
                     rc.label_when("TitleI", *rc.TITLE_I_LABELS).alias("title_i"),
-                    F.col("Rate").alias("rate"), "capacity", "utilization"))
+                    F.col("Rate").alias("rate"), F.col("__c_capacity").alias("capacity"), "utilization"))
 
 
 def _header(rep: DataFrame, n_sub: DataFrame) -> DataFrame:

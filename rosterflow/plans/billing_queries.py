@@ -211,7 +211,8 @@ SELECT u.report_id, u.AgeGroup AS age_group, u.Time AS time,
        CASE WHEN Accredited = 1 THEN 'Acc.' WHEN Accredited <> 1 THEN 'Una' END AS accredited,
        CASE WHEN TitleI = 1 THEN 'Title I' WHEN TitleI <> 1 THEN 'Standard' END AS title_i,
        u.Rate AS rate, c.capacity, u.utilization
-FROM used u JOIN cap c ON c.organization_id = u.organization_id AND c.AgeGroup = u.AgeGroup AND c.Time = u.Time""")
+FROM used u JOIN cap c ON c.organization_id = u.organization_id AND c.AgeGroup IS NOT DISTINCT FROM u.AgeGroup
+ AND c.Time IS NOT DISTINCT FROM u.Time""")
 def space_use(spark, sf):
     """D11 spaces: used rows by (age, time, accredited, title, rate) against capacity."""
     return _section(spark, sf, "spaces")

@@ -21,22 +21,23 @@ def _model(spark):
             "Id int, Period date, PeriodStart date, PeriodEnd date"),
         "site": spark.createDataFrame([(10, 1, "LIC1", 1, 0)],
                                       "Id int, OrganizationId int, LicenseNumber string, Region int, TitleI int"),
-        "funding_space": spark.createDataFrame([(100, 1, 0, 0, 1, 20), (101, 1, 0, 0, 0, 5)],
+        "funding_space": spark.createDataFrame([(100, 1, 0, 0, 1, 20), (101, 1, 0, 0, 0, 5), (102, 1, 0, 0, 9, 7)],
                                                "Id int, OrganizationId int, Source int, Time int, AgeGroup int, "
                                                "Capacity int"),
         # children: a (two certificates), b (foster), c (family of 13), d (income at the limit), e (not active)
         "child": spark.createDataFrame([
             (1, "S1", "Ann", "Lee", 0, 11, 901), (2, "S2", "Bo", "Roe", 1, 12, None), (3, "S3", "Cy", "Fox", 0, 13, None),
-            (4, "S4", "Di", "Kim", 0, 14, None), (5, "S5", "Ed", "Orr", 0, 15, 905)],
+            (4, "S4", "Di", "Kim", 0, 14, None), (5, "S5", "Ed", "Orr", 0, 15, 905), (6, "S6", "Fa", "Ng", 0, 16, None)],
             "Id int, Sasid string, FirstName string, LastName string, Foster int, FamilyId int, "
             "C4KFamilyCaseNumber int"),
         "enrollment": spark.createDataFrame([
             (21, 1, 10, 1, D(2019, 6, 1), None), (22, 2, 10, 1, D(2019, 6, 1), None), (23, 3, 10, 0, D(2019, 6, 1), None),
-            (24, 4, 10, 1, D(2019, 6, 1), D(2019, 8, 20)), (25, 5, 10, 1, D(2019, 6, 1), D(2019, 7, 10))],
+            (24, 4, 10, 1, D(2019, 6, 1), D(2019, 8, 20)), (25, 5, 10, 1, D(2019, 6, 1), D(2019, 7, 10)),
+            (26, 6, 10, 9, D(2019, 6, 1), None)],                                  # age code 9: no label
             "Id int, ChildId int, SiteId int, AgeGroup int, Entry date, Exit date"),
         "funding": spark.createDataFrame([
             (31, 0, 21, 100, 1, None), (32, 0, 22, 100, 2, None), (33, 1, 23, 101, 1, 2), (34, 0, 24, 100, 2, 2),
-            (35, 0, 25, 100, 1, 1)],
+            (35, 0, 25, 100, 1, 1), (36, 0, 26, 102, 2, None)],
             "Id int, Source int, EnrollmentId int, FundingSpaceId int, FirstReportingPeriodId int, "
             "LastReportingPeriodId int"),
         "family_determination": spark.createDataFrame([
@@ -67,11 +68,13 @@ def test_billing_sections(spark):
         (3, "S1", "Y", 901, "FT Preschool", 165.32, 3, 40000.0, "Y"),
         (4, "S1", "Y", 901, "FT Preschool", 165.32, 3, 40000.0, "Y"),
         (5, "S2", "N", None, "FT Preschool", 165.32, 1, 0.0, "Y"),               # foster: family of 1, income 0
+        (6, "S6", "N", None, "FT NA", None, None, None, None),                   # NA age label sorts last
     ]
     inc = {r.family_size: (r.less_than_or_equal_to, r.n_families) for r in out["income_groups"].collect()}
     assert len(inc) == 12 and inc[3] == (41560, 1) and inc[1] == (24280, 1) and inc[2] == (32920, 0)
     spaces = rows(out["spaces"], "age_group", "time", "accredited", "title_i", "capacity", "utilization")
-    assert spaces == [("Infant/Toddler", "FT", "Acc.", "Standard", 5, 1), ("Preschool", "FT", "Acc.", "Standard", 20, 3)]
+    assert spaces == [(None, "FT", "Acc.", "Standard", 7, 1),                 # NA matches NA (dplyr join)
+                      ("Infant/Toddler", "FT", "Acc.", "Standard", 5, 1), ("Preschool", "FT", "Acc.", "Standard", 20, 3)]
     hdr = out["header"].collect()[0]
     assert (hdr.contractor, hdr.reporting_period, hdr.n_subsidies, hdr.subsidies, hdr.family_fees, hdr.date) == (
         "Org A", "July 29, 2019 - September 01, 2019", 3, 500.0, 100.0, None)
@@ -126,6 +129,6 @@ def test_generate_reports_writes_sections(spark):
     from rosterflow.plans.billing import generate_reports
     out = tempfile.mkdtemp(prefix="rf-reports-")
     generate_reports(_model(spark), out)
-    assert spark.read.parquet(out + "/roster").count() == 5
+    assert spark.read.parquet(out + "/roster").count() == 6
     assert spark.read.parquet(out + "/income_groups").count() == 12
     assert rows(spark.read.parquet(out + "/header"), "report_id", "n_subsidies") == [(1, 3)]
