@@ -95,7 +95,8 @@ def organizations_and_sites(revenue: DataFrame, programs: DataFrame, towns: Data
     """D3: organizations from the revenue rows, sites = programs of those organizations."""
     orgs = keys.assign_ids(revenue.select(F.col("organization").alias("name")).distinct(), ["name"],
                            id_col="organization_id")
-    sites = (programs.join(orgs, programs["org_name"] == orgs["name"], "inner").drop(orgs["name"])
+    # dplyr joins match NA to NA (an organization row from a file without matches has no name)
+    sites = (programs.join(orgs, programs["org_name"].eqNullSafe(orgs["name"]), "inner").drop(orgs["name"])
              .join(F.broadcast(towns), "town", "left")
              .select("name", "organization_id", "license_no", "naeyc_id", "registry_id", "facility_code", "region"))
     sites = keys.assign_ids(sites, ["organization_id", "name", "license_no", "facility_code"], id_col="site_id")
@@ -258,8 +259,9 @@ def enrollments(enrollment: DataFrame, flat: DataFrame, children_df: DataFrame,
                                  "first_observed_psr_period", "last_observed_psr_period")
     u = dedupe.last_per_key(u, ["sasid", "age_group", "facility_code"], ["period"], ["source", "row_no"])
     u = (u.join(c4k, "sasid", "left")
-         .join(children_df.select(F.col("Sasid").alias("sasid"), "child_id"), "sasid", "left")
-         .join(sites.select("facility_code", "site_id"), "facility_code", "left"))
+         .join(children_df.select(F.col("Sasid").alias("sasid"), "child_id"), "sasid", "left"))
+    u = joins.null_safe_join(u, sites.select("facility_code", "site_id"), ["facility_code"], "left",
+                             nullable=["facility_code"])
     db_keys = db.select(F.col("SASID").alias("sasid"), "age_group", F.col("FacilityCode").alias("facility_code"),
                          "EnrollmentDate", "FacilityExitDate", "ExitCategory", "FundingStartDate")
     u = joins.null_safe_join(u, db_keys, ["sasid", "age_group", "facility_code"], "left",
