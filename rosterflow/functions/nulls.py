@@ -56,19 +56,6 @@ def sum_or_zero(col: str | Column) -> Column:
     return F.coalesce(F.sum(_c(col)), F.lit(0))
 
 
-def distinct_count_with_null(col: str | Column) -> Column:
-    """Aggregate: ``length(unique(x))`` where NULL counts as one value.
-
-    Computed from min/max/null-presence, so no value set is collected: returns
-    0, 1 or 2 — "more than one distinct value" is exact, larger counts are capped
-    at 2 (the callers only compare against 1 and 2 for two-valued keys).
-    """
-    c = _c(col)
-    has_null = F.max(c.isNull().cast("int"))
-    n_non_null = F.when(F.min(c).isNull(), 0).when(F.min(c) == F.max(c), 1).otherwise(2)
-    return n_non_null + has_null
-
-
 def eq_null_safe_cond(left_cols: Sequence[Column], right_cols: Sequence[Column],
                       nullable: Sequence[bool]) -> Column:
     """Join condition where NULL matches NULL on the nullable keys (R dplyr joins)."""

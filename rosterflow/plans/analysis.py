@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.dates import fold_month, month_start, school_year, seconds_between
+from ..functions.dates import fold_month, month_start, school_year, seconds_between, whole_days
 from ..operators.dedupe import first_per_key
 from ..operators.reshape import sorted_string_agg
 from ..operators.stats import describe, histogram, share_over
@@ -54,8 +54,7 @@ def edit_lag_share(df: DataFrame, lag_col: str, threshold_seconds: int) -> DataF
 
 def edit_lag_hist(df: DataFrame, lag_col: str, threshold_seconds: int, width_days: int = THIRTY_DAYS) -> DataFrame:
     """Histogram of the lag (pandas ``.dt.days``) in ``width_days`` bins, above the threshold."""
-    over = df.where(F.col(lag_col) > threshold_seconds).select(
-        F.floor(F.col(lag_col) / F.lit(DAY)).alias("__days"))
+    over = df.where(F.col(lag_col) > threshold_seconds).select(whole_days(lag_col).alias("__days"))
     return histogram(over, "__days", width_days).withColumn("threshold_seconds",
                                                             F.lit(threshold_seconds).cast("bigint"))
 

@@ -21,6 +21,7 @@ from ..functions.nulls import glue_text, in_list, strict_max
 from ..operators import dedupe, fuzzy, joins, keys, reshape
 from ..operators.periods import lookup_label
 from ..operators.quality import late_key_violations, one_value_per_group, unique_key_violations
+from ..sources.lookups import region_code_map
 
 # --- fixed values of the migration ------------------------------------------------------
 RACE_FLAGS = {
@@ -351,8 +352,7 @@ def to_target_tables(orgs: DataFrame, sites: DataFrame, families_df: DataFrame,
     return {
         "Organization": orgs.select("organization_id", F.col("name").alias("Name")),
         "Site": sites.select("site_id", F.col("name").alias("Name"), F.col("title_i").alias("TitleI"),
-                             F.create_map(*[F.lit(x) for kv in rc.REGION_CODES.items() for x in kv])
-                             [F.col("region")].alias("Region"),
+                             region_code_map()[F.col("region")].alias("Region"),
                              F.col("organization_id").alias("OrganizationId")),
         "Family": families_df.select("family_id", "AddressLine1", "AddressLine2", "Town", "State", "Zip",
                                      "Homelessness", F.col("organization_id").alias("OrganizationId")),

@@ -415,3 +415,9 @@ def test_interval_overlap_matches_brute_force(spark, spells):
     got_default = rows(periods.interval_overlap_join(facts, per, "org", "s", "e", "pid", "period_start",
                                                      "period_end", F.lit(base)), "f", "pid")
     assert got_default == want
+
+
+def test_null_counts(spark):
+    from rosterflow.operators.stats import null_counts
+    df = spark.createDataFrame([(None, 1), (2, None), (None, None)], "a int, b int")
+    assert rows(null_counts(df, ["a", "b"])) == [(2, 2)]
