@@ -63,12 +63,14 @@ def sorted_string_agg(df: DataFrame, keys: Sequence[str], col: str, sep: str = "
     has; each value is repeated ``count`` times when the text is built.
     """
     out_col = out_col or col
-    counted = df.where(F.col(col).isNotNull()).groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__rf_n"))
+    counted = df.groupBy(*keys, col).agg(F.count(F.lit(1)).alias("__rf_n"))
     pieces = counted.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(F.col(col).alias("v"), F.col("__rf_n").alias("n")))).alias("__rf_vs"))
-    text = F.array_join(F.flatten(F.transform("__rf_vs", lambda s: F.array_repeat(s["v"].cast("string"),
-                                                                                  s["n"].cast("int")))), sep)
-    return pieces.select(*keys, text.alias(out_col))
+    # NULL values are skipped, but a key whose values are all NULL keeps its row (SQL: NULL text)
+    present = F.filter("__rf_vs", lambda s: s["v"].isNotNull())
+    text = F.array_join(F.flatten(F.transform(present, lambda s: F.array_repeat(s["v"].cast("string"),
+                                                                                s["n"].cast("int")))), sep)
+    return pieces.select(*keys, F.when(F.size(present) > 0, text).alias(out_col))
 
 
 def completeness(df: DataFrame, group: Sequence[str], checks: Mapping[str, Column]) -> DataFrame:

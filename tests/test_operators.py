@@ -181,8 +181,8 @@ def test_flag_and_eav_pivot(spark):
 
 
 def test_sorted_string_agg_repeats(spark):
-    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, None), (2, "c")], "k int, v string")
-    assert rows(reshape.sorted_string_agg(df, ["k"], "v", ",")) == [(1, "a,b,b"), (2, "c")]
+    df = spark.createDataFrame([(1, "b"), (1, "a"), (1, "b"), (1, None), (2, "c"), (3, None)], "k int, v string")
+    assert rows(reshape.sorted_string_agg(df, ["k"], "v", ",")) == [(1, "a,b,b"), (2, "c"), (3, None)]
 
 
 def test_completeness(spark):
