@@ -117,8 +117,10 @@ def ytd_forecast(full: DataFrame, partial: DataFrame, reference_years: Sequence[
 
 
 def facility_sizes(df: DataFrame, facility_col: str, enrollment_col: str, width: int) -> DataFrame:
-    """Distinct enrollments per facility, binned (``floor(n / width)``)."""
-    per = df.groupBy(facility_col).agg(F.count_distinct(enrollment_col).alias("n"))
+    """Distinct enrollments per facility, binned (``floor(n / width)``); NULL facilities form no
+    group (pandas ``groupby`` drops NaN keys)."""
+    per = (df.where(F.col(facility_col).isNotNull()).groupBy(facility_col)
+           .agg(F.count_distinct(enrollment_col).alias("n")))
     return histogram(per, "n", width, count_col="n_facilities")
 
 

@@ -23,3 +23,8 @@ def test_usage_analysis(spark):
     ref = all_queries()["facility_sizes"](spark, SF)
     assert rows(out["facility_sizes"]) == rows(ref)
     assert out["ytd_forecast"].count() == 1
+
+
+def test_facility_sizes_drop_null_facility(spark):
+    df = spark.createDataFrame([(1, 10), (1, 11), (None, 12), (None, 13), (2, 10)], "f int, e int")
+    assert rows(an.facility_sizes(df, "f", "e", 2)) == [(0, 1), (1, 1)]
