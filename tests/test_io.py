@@ -44,3 +44,14 @@ def test_report_filter_and_past_reports(spark):
     ids = tm["report"].select("Id").orderBy("Id").limit(3)
     hdr = billing.billing_report(tm, ("header",), report_ids=ids)["header"]
     assert rows(hdr, "report_id") == rows(ids)
+
+
+def test_read_rates_and_typed(spark):
+    from rosterflow.sources.files import read_rates, typed
+    from rosterflow.sources.lookups import RATES_CSV, rates
+    p = Path(tempfile.mkdtemp(prefix="rf-rates-")) / "rates.csv"
+    p.write_text(RATES_CSV)
+    df = read_rates(spark, str(p))
+    assert df.schema == rates(spark).schema and rows(df) == rows(rates(spark))
+    raw = spark.createDataFrame([("1", "2019-07-01", "x"), ("y", "bad", "z")], "a string, d string, s string")
+    assert rows(typed(raw, {"a": "int", "d": "date"})) == [(None, None, "z"), (1, dt.date(2019, 7, 1), "x")]
