@@ -394,7 +394,7 @@ def run_migration(spark, roster_folder: str, programs_path: str, db: dict[str, D
     loaded tables plus ``gates``.
     """
     from ..operators.periods import reporting_calendar
-    from ..operators.quality import check, enforce
+    from ..operators.quality import check, enforce, lookup_key_violations
     from ..sinks.target import load_target
     from ..sources.files import read_programs
     from ..sources.lookups import towns
@@ -412,7 +412,10 @@ def run_migration(spark, roster_folder: str, programs_path: str, db: dict[str, D
     students = students_joined(psr, database_students(flat, registered_flat(db, missing_from_database(psr, flat))))
     kids = children(students, birthdates)
     enrl, uniq, nonunique = enrollments(enr, flat, kids, sites, cal, first_start, keys_to_merge)
-    results = enforce(check(spark, gates(enr, late, nonunique)))
+    lookups = {"towns": (towns(spark), ["town"])}
+    if birthdates is not None:
+        lookups["birthdates"] = (birthdates, ["SASID"])
+    results = enforce(check(spark, gates(enr, late, nonunique) + lookup_key_violations(lookups)))
     funds = fundings(uniq, enr, cal)
     reports = current_reports(orgs, enr)
     enrl, sites = single_site_fix(enrl, sites, site_mapping)

@@ -241,10 +241,17 @@ def test_run_migration_entry_point(spark, inputs):
     maps = rc.run_migration(spark, str(inputs / "rosters"), str(inputs / "programs.csv"), _database(spark), out,
                             dt.date(2019, 7, 1), dt.date(2029, 7, 1))
     assert rows(maps["gates"], "rule", "n") == [("inexact licence match", 1), ("key given after appearing without one", 0),
-                                                ("one organization per file", 0), ("person x age group unique", 0)]
+                                                ("one organization per file", 0), ("person x age group unique", 0),
+                                                ("towns key unique", 0)]
     assert spark.read.parquet(out + "/Child").count() == 3
     assert spark.read.parquet(out + "/Site").count() == 1          # single-site fix: site 2 folded into 1
     assert maps["Funding"].count() == 4
+    dup_dates = spark.createDataFrame([("S1", dt.date(2016, 1, 1)), ("S1", dt.date(2016, 2, 2))],
+                                      "SASID string, Birthdate date")
+    with pytest.raises(quality.QualityGateError):          # V6: a duplicated fill key would fan rows out
+        rc.run_migration(spark, str(inputs / "rosters"), str(inputs / "programs.csv"), _database(spark),
+                         tempfile.mkdtemp(prefix="rf-migration-"), dt.date(2019, 7, 1), dt.date(2029, 7, 1),
+                         birthdates=dup_dates)
 
 
 def test_unknown_period_makes_the_global_bound_null(spark):
