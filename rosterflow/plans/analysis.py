@@ -106,14 +106,16 @@ def ytd_forecast(full: DataFrame, partial: DataFrame, reference_years: Sequence[
     # one aggregate over the (few) school-year rows: reference means and current values side by side
     j = comb.agg(*[F.avg(F.when(is_ref, F.col(c))).alias(f"mean_{c}") for c in cols],
                  *[F.max(F.when(is_cur, F.col(c))).alias(f"cur_{c}") for c in cols])
-    student_rate = F.col("mean_partial_students") / F.col("mean_full_students")
-    enrollment_rate = F.col("mean_partial_enrollments") / F.col("mean_full_enrollments")
+    # a zero divisor gives NULL (ANSI mode would otherwise fail the job)
+    div = F.try_divide
+    student_rate = div(F.col("mean_partial_students"), F.col("mean_full_students"))
+    enrollment_rate = div(F.col("mean_partial_enrollments"), F.col("mean_full_enrollments"))
     return j.select(
         *[F.round(f"mean_{c}", 4).alias(f"mean_{c}") for c in cols],
         F.round(student_rate, 4).alias("student_rate"), F.round(enrollment_rate, 4).alias("enrollment_rate"),
-        F.round(F.col("cur_full_students") / student_rate, 4).alias("expected_students"),
-        F.round(F.col("cur_full_enrollments") / enrollment_rate, 4).alias("expected_enrollments"),
-        *[F.round(F.col(f"cur_{c}") / F.col(f"mean_{c}"), 4).alias(f"ratio_{c}") for c in cols])
+        F.round(div(F.col("cur_full_students"), student_rate), 4).alias("expected_students"),
+        F.round(div(F.col("cur_full_enrollments"), enrollment_rate), 4).alias("expected_enrollments"),
+        *[F.round(div(F.col(f"cur_{c}"), F.col(f"mean_{c}")), 4).alias(f"ratio_{c}") for c in cols])
 
 
 def facility_sizes(df: DataFrame, facility_col: str, enrollment_col: str, width: int) -> DataFrame:

@@ -28,3 +28,13 @@ def test_usage_analysis(spark):
 def test_facility_sizes_drop_null_facility(spark):
     df = spark.createDataFrame([(1, 10), (1, 11), (None, 12), (None, 13), (2, 10)], "f int, e int")
     assert rows(an.facility_sizes(df, "f", "e", 2)) == [(0, 1), (1, 1)]
+
+
+def test_ytd_forecast_zero_divisor_is_null(spark):
+    full = spark.createDataFrame([("2017-2018", 10, 20), ("2018-2019", 30, 40), ("2019-2020", 5, 6)],
+                                 "school_year string, students long, enrollments long")
+    partial = spark.createDataFrame([("2017-2018", 0, 5), ("2018-2019", 0, 7), ("2019-2020", 1, 2)],
+                                    "school_year string, students long, enrollments long")
+    r = an.ytd_forecast(full, partial, ["2017-2018", "2018-2019"], "2019-2020").first()
+    assert r.student_rate == 0.0 and r.expected_students is None and r.ratio_partial_students is None
+    assert r.enrollment_rate == 0.2 and r.expected_enrollments == 30.0
