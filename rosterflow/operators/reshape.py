@@ -88,7 +88,7 @@ def completeness(df: DataFrame, group: Sequence[str], checks: Mapping[str, Colum
                                 for i, n in enumerate(names)]))
     long = wide.select(*group, "total", stack.alias("__rf_s")).select(
         *group, "__rf_s.attribute", "__rf_s.missing", "total")
-    return long.withColumn("missing_pct", F.round(F.col("missing") * 100.0 / F.col("total"), 2))
+    return long.withColumn("missing_pct", F.round(F.try_divide(F.col("missing") * 100.0, F.col("total")), 2))
 
 
 def wide_counts(df: DataFrame, keys: Sequence[str], col: str, values: Sequence, prefix: str = "") -> DataFrame:

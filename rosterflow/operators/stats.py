@@ -28,7 +28,7 @@ def share_over(df: DataFrame, value: str | Column, threshold, group: Sequence[st
     v = _c(value)
     agg = df.groupBy(*group).agg(F.count_if(v > F.lit(threshold)).cast("bigint").alias("n_over"),
                                  F.count(F.lit(1)).alias("n_total"))
-    return agg.withColumn("pct_over", F.round(F.col("n_over") * 100.0 / F.col("n_total"), 2))
+    return agg.withColumn("pct_over", F.round(F.try_divide(F.col("n_over") * 100.0, F.col("n_total")), 2))
 
 
 def histogram(df: DataFrame, value: str | Column, width: float, group: Sequence[str] = (),

@@ -421,3 +421,9 @@ def test_null_counts(spark):
     from rosterflow.operators.stats import null_counts
     df = spark.createDataFrame([(None, 1), (2, None), (None, None)], "a int, b int")
     assert rows(null_counts(df, ["a", "b"])) == [(2, 2)]
+
+
+def test_share_over_empty_input(spark):
+    from rosterflow.operators.stats import share_over
+    r = share_over(spark.createDataFrame([], "x long"), "x", 10).first()
+    assert (r.n_over, r.n_total, r.pct_over) == (0, 0, None)
