@@ -155,7 +155,7 @@ def excel_date(col) -> "F.Column":
     """Excel serial day (1900 date system) or ISO text -> DATE; anything else NULL."""
     c = F.col(col) if isinstance(col, str) else col
     serial = c.try_cast("double")
-    return F.coalesce(F.date_add(F.to_date(F.lit(EXCEL_EPOCH)), F.floor(serial).cast("int")),
+    return F.coalesce(F.date_add(F.to_date(F.lit(EXCEL_EPOCH)), F.floor(serial).try_cast("int")),
                       F.try_to_date(c))  # type: ignore[attr-defined]
 
 

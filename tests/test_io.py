@@ -55,3 +55,10 @@ def test_read_rates_and_typed(spark):
     assert df.schema == rates(spark).schema and rows(df) == rows(rates(spark))
     raw = spark.createDataFrame([("1", "2019-07-01", "x"), ("y", "bad", "z")], "a string, d string, s string")
     assert rows(typed(raw, {"a": "int", "d": "date"})) == [(None, None, "z"), (1, dt.date(2019, 7, 1), "x")]
+
+
+def test_excel_date_cells(spark):
+    from rosterflow.sources.workbooks import excel_date
+    df = spark.createDataFrame([("43647",), ("1e15",), ("2019-07-01",), ("x",), (None,)], "c string")
+    assert [r.d for r in df.select(excel_date("c").alias("d")).collect()] == [
+        dt.date(2019, 7, 1), None, dt.date(2019, 7, 1), None, None]       # serial, overflow, ISO, text, empty
