@@ -59,14 +59,20 @@ def edit_lag_hist(df: DataFrame, lag_col: str, threshold_seconds: int, width_day
                                                             F.lit(threshold_seconds).cast("bigint"))
 
 
-def monthly_distinct(df: DataFrame, date_col: str, id_col: str) -> DataFrame:
+def _distinct(col: str, exact: bool, rsd: float):
+    """Exact distinct count, or an HLL++ sketch (no distinct shuffle) when ``exact`` is False."""
+    return F.count_distinct(col) if exact else F.approx_count_distinct(col, rsd)
+
+
+def monthly_distinct(df: DataFrame, date_col: str, id_col: str, exact: bool = True, rsd: float = 0.01) -> DataFrame:
     """Distinct ids per month, with folded month (F20) and school year.
 
     Rows with no date are dropped (pandas drops NaN group keys); NULL ids are not
     counted. ``n_years`` (A21) is the number of school years in the result.
+    ``exact=False`` uses ``approx_count_distinct`` (relative error ``rsd``).
     """
     m = df.where(F.col(date_col).isNotNull()).select(month_start(date_col).alias("month"), F.col(id_col).alias("__id"))
-    counts = m.groupBy("month").agg(F.count_distinct("__id").alias("n_distinct"))
+    counts = m.groupBy("month").agg(_distinct("__id", exact, rsd).alias("n_distinct"))
     out = counts.select("month", fold_month("month").alias("adjusted_month"),
                         school_year("month").alias("school_year"), "n_distinct")
     return out.withColumn("n_years", out.select(F.count_distinct("school_year")).scalar())
@@ -118,11 +124,12 @@ def ytd_forecast(full: DataFrame, partial: DataFrame, reference_years: Sequence[
         *[F.round(div(F.col(f"cur_{c}"), F.col(f"mean_{c}")), 4).alias(f"ratio_{c}") for c in cols])
 
 
-def facility_sizes(df: DataFrame, facility_col: str, enrollment_col: str, width: int) -> DataFrame:
+def facility_sizes(df: DataFrame, facility_col: str, enrollment_col: str, width: int, exact: bool = True,
+                   rsd: float = 0.01) -> DataFrame:
     """Distinct enrollments per facility, binned (``floor(n / width)``); NULL facilities form no
     group (pandas ``groupby`` drops NaN keys)."""
     per = (df.where(F.col(facility_col).isNotNull()).groupBy(facility_col)
-           .agg(F.count_distinct(enrollment_col).alias("n")))
+           .agg(_distinct(enrollment_col, exact, rsd).alias("n")))
     return histogram(per, "n", width, count_col="n_facilities")
 
 

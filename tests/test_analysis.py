@@ -38,3 +38,11 @@ def test_ytd_forecast_zero_divisor_is_null(spark):
     r = an.ytd_forecast(full, partial, ["2017-2018", "2018-2019"], "2019-2020").first()
     assert r.student_rate == 0.0 and r.expected_students is None and r.ratio_partial_students is None
     assert r.enrollment_rate == 0.2 and r.expected_enrollments == 30.0
+
+
+def test_approximate_distinct_counts(spark):
+    df = spark.range(20000).selectExpr("date_add(date'2019-07-01', cast(id % 60 as int)) as d", "id % 5000 as i")
+    exact = {r.month: r.n_distinct for r in an.monthly_distinct(df, "d", "i").collect()}
+    approx = {r.month: r.n_distinct for r in an.monthly_distinct(df, "d", "i", exact=False).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[m] - exact[m]) <= 0.05 * exact[m] for m in exact)
