@@ -22,6 +22,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    # delete reliable checkpoints (id assignment) once nothing references them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
