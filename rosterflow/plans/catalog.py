@@ -39,7 +39,7 @@ class Tables:
         self.memo: dict = {}
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("__") or name == "memo":
+        if name.startswith("_") or name == "memo":
             raise AttributeError(name)
         return table(self.spark, self.sf_dir, name)
 
