@@ -34,6 +34,7 @@ from ..operators.periods import active_in_period
 from ..operators.stats import zero_filled_count
 from ..sources.lookups import family_sizes, income_limits, rates
 
+# --- fixed values: report column headers and file name suffix ---------------------
 ROSTER_HEADERS = {
     "line_no": "#", "sasid": "SASID #", "last_name": "Last Name", "first_name": "First Name",
     "c4k_family_id": "C4K Family ID", "c4k": "C4K (Y/N)", "center_license": "Center (License Number)",
@@ -47,6 +48,7 @@ HEADER_HEADERS = {"contractor": "Contractor", "reporting_period": "Reporting Per
                   "number_of_weeks": "Number of Weeks", "family_fees": "Family Fees", "n_subsidies": "# Subsidies",
                   "subsidies": "Subsidies", "date": "Date"}
 REPORT_SUFFIX = "CDC PSR"
+# ------------------------------------------------------------------------------------
 
 
 def report_frame(report: DataFrame, organization: DataFrame, reporting_period: DataFrame) -> DataFrame:
