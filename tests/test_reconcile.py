@@ -185,8 +185,10 @@ def test_reconcile_end_to_end(spark, inputs):
     assert rows(sites_fixed, "site_id") == [(1,)] and rows(enrl_fixed, "site_id") == [(1,), (1,), (1,)]
     out = tempfile.mkdtemp(prefix="rf-target-")
     tables = rc.to_target_tables(orgs, sites, fams, dets, kids, enrl, funds, reports)
-    load_target(tables, out)
-    load_target(tables, out)   # idempotent: second run adds nothing
+    first, second = {}, {}
+    load_target(tables, out, written=first)
+    load_target(tables, out, written=second)   # idempotent: second run adds nothing
+    assert first["Child"] == 3 and first["Funding"] == 4 and set(second.values()) == {0}
     child = spark.read.parquet(out + "/Child")
     assert child.count() == 3
     assert rows(child, "Sasid") == [(None,), ("S1",), ("S9",)]          # K6: placeholder keys blanked
