@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.dates import fold_month, month_start, school_year, seconds_between, whole_days
 from ..operators.dedupe import first_per_key
@@ -75,7 +75,9 @@ def monthly_distinct(df: DataFrame, date_col: str, id_col: str, exact: bool = Tr
     counts = m.groupBy("month").agg(_distinct("__id", exact, rsd).alias("n_distinct"))
     out = counts.select("month", fold_month("month").alias("adjusted_month"),
                         school_year("month").alias("school_year"), "n_distinct")
-    return out.withColumn("n_years", out.select(F.count_distinct("school_year")).scalar())
+    # the monthly table is bounded (one row per month): a window over it avoids re-reading the input
+    years = F.size(F.collect_set("school_year").over(Window.partitionBy())).cast("bigint")
+    return out.withColumn("n_years", years)
 
 
 def school_year_totals(df: DataFrame, student_date: str, student_id: str, enrollment_date: str,
