@@ -169,7 +169,8 @@ def _totals_sql(where: str) -> str:
    FROM b WHERE l_shipdate IS NOT NULL {where} GROUP BY 1) e ON s.school_year = e.school_year"""
 
 
-_FEB = "AND make_date(CASE WHEN month(o_orderdate) < 7 THEN 2020 ELSE 2019 END, month(o_orderdate), 1) < DATE '2020-03-01'"
+_FEB = ("AND make_date(CASE WHEN month(o_orderdate) < 7 THEN 2020 ELSE 2019 END, month(o_orderdate), 1)"
+        " < DATE '2020-03-01'")
 
 
 @query("school_year_totals", f"""

@@ -54,7 +54,8 @@ REPORT_SUFFIX = "CDC PSR"
 def report_frame(report: DataFrame, organization: DataFrame, reporting_period: DataFrame) -> DataFrame:
     """Report header attributes: one row per report (inner joins, as the source SQL)."""
     return (report.select(F.col("Id").alias("report_id"), F.col("Type").alias("report_type"), "SubmittedAt",
-                          F.col("OrganizationId").alias("organization_id"), F.col("ReportingPeriodId").alias("period_id"),
+                          F.col("OrganizationId").alias("organization_id"),
+                          F.col("ReportingPeriodId").alias("period_id"),
                           "Accredited", "C4KRevenue", "FamilyFeesRevenue")
             .join(organization.select(F.col("Id").alias("organization_id"), F.col("Name").alias("name")),
                   "organization_id")

@@ -127,7 +127,8 @@ det AS (
 act0 AS (
   SELECT rep.report_id, rep.organization_id, rep.accredited AS Accredited, f.o_orderkey AS funding_id,
          f.o_orderkey AS child_id, CAST(f.o_orderkey AS VARCHAR) AS sasid, f.c_name AS last_name,
-         f.o_orderpriority AS first_name, n.n_name AS license, CAST(n.n_nationkey < {TITLE_I_BELOW} AS INTEGER) AS TitleI,
+         f.o_orderpriority AS first_name, n.n_name AS license,
+         CAST(n.n_nationkey < {TITLE_I_BELOW} AS INTEGER) AS TitleI,
          f.spell_start AS entry, f.spell_end AS exit_date,
          CASE f.age_code WHEN 0 THEN 'Infant/Toddler' WHEN 1 THEN 'Preschool' WHEN 2 THEN 'School-age' END AS AgeGroup,
          CASE f.time_code WHEN 0 THEN 'FT' WHEN 1 THEN 'PT' END AS Time,

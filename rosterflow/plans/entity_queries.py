@@ -282,7 +282,8 @@ WITH d AS (SELECT lang, quality, toxic, source FROM documents LEFT JOIN labels U
 m AS (SELECT lang, 'quality' AS attribute, CAST(sum(CASE WHEN quality IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS missing,
              count(*) AS total FROM d GROUP BY lang
       UNION ALL
-      SELECT lang, 'toxic', CAST(sum(CASE WHEN toxic IS NULL THEN 1 ELSE 0 END) AS BIGINT), count(*) FROM d GROUP BY lang
+      SELECT lang, 'toxic', CAST(sum(CASE WHEN toxic IS NULL THEN 1 ELSE 0 END) AS BIGINT), count(*) FROM d
+      GROUP BY lang
       UNION ALL
       SELECT lang, 'source', CAST(sum(CASE WHEN source IS NULL THEN 1 ELSE 0 END) AS BIGINT), count(*) FROM d
       GROUP BY lang)
