@@ -91,6 +91,7 @@ def inputs(spark):
     # sasid, last, first, case, c4k, licence, age, rate, entry, exit, n, income, (skip)
     write_workbook(d / "rosters" / "a-aug.xlsx", "July 29, 2019 to August 30, 2019", [
         ("S1", "Lee", "Ann", "C4K-7", "Y", "DCCC1234", "PS", 150.0, e1, t1, 3, 40000),
+        ("S1", "Lee", "Ann", "C4K-7", "Y", "DCCC1234", "PS", 150.0, e1, t1, 3, 40000),   # twice in one file
         (None, "Roe", "Bo", None, None, "DCCC1235", "IT", 160.0, e1, None, 2, 30000),
         ("S3", "Fox", "Cy", None, None, None, "SA", 100.0, e1, None, 4, 50000),  # no licence: dropped
     ], [(100.5, 1, 20.25), (None, None, 10.0)])
@@ -113,9 +114,9 @@ def test_workbooks_and_programs(spark, inputs):
     frames = read_roster_folder(spark, str(inputs / "rosters"))
     assert rows(frames["header"], "source") == [("a-aug.xlsx",), ("a-sep.xlsx",), ("b-aug.xlsx",)]
     r = frames["roster"]
-    assert r.count() == 5
+    assert r.count() == 6
     assert rows(r.where("sasid = 'S1' and source = 'a-aug.xlsx'"), "enrollment_date", "no_in_family") == [
-        (dt.date(2019, 6, 3), 3.0)]
+        (dt.date(2019, 6, 3), 3.0), (dt.date(2019, 6, 3), 3.0)]
     tot = frames["totals"].where("source = 'a-aug.xlsx'")
     assert tot.count() == 6                                            # H32:L37 is six rows
     assert rows(tot.where("family_fees is not null or c4k_revenue is not null"), "family_fees", "c4k_revenue") == [
