@@ -269,3 +269,20 @@ def test_unknown_period_makes_the_global_bound_null(spark):
     assert rows(funds, "LastReportingPeriodId") == [(None,), (None,)]
     orgs = spark.createDataFrame([(1, "A")], "organization_id long, name string")
     assert rows(rc.current_reports(orgs, enr), "ReportingPeriodId") == [(None,)]
+
+
+def test_same_name_without_key_in_two_files(spark):
+    cols = ("source string, row_no int, sasid string, first_name string, last_name string, org_name string, "
+            "period int, c4k_case_no string, c4k string, age_group string, reimbursement_rate double, "
+            "enrollment_date date, termination_date date, no_in_family double, annual_income double")
+    e1 = dt.date(2019, 6, 3)
+    enr = spark.createDataFrame([
+        ("f1", 0, None, "Bo", "Roe", "Alpha", 2, None, None, "IT", 1.0, e1, None, 2.0, 10.0),
+        ("f2", 0, None, "Bo", "Roe", "Beta", 3, None, None, "PS", 1.0, e1, None, 2.0, 10.0),
+        ("f2", 1, None, "Cy", "Fox", "Beta", None, None, None, "PS", 1.0, e1, None, 2.0, 10.0),   # unknown period
+        ("f1", 1, None, "Cy", "Fox", "Alpha", 2, None, None, "PS", 1.0, e1, None, 2.0, 10.0)], cols)
+    orgs = spark.createDataFrame([(1, "Alpha"), (2, "Beta")], "organization_id long, name string")
+    psr, late = rc.psr_students(enr, orgs, dt.date(2019, 7, 1))
+    # last row per name by period: NA sorts last in R, so Cy's unknown-period row wins
+    assert rows(psr, "sasid", "organization_id", "age_group") == [("TEMP-Bo-Roe", 2, "PS"), ("TEMP-Cy-Fox", 2, "PS")]
+    assert late.count() == 0
