@@ -56,12 +56,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the deployment sets it to a shared file system; only when it is
-    unset (local tests, the bench) a scratch folder is created here.
+    unset (local tests, the bench) a scratch folder is created here. Under Spark
+    Connect (no SparkContext) the server's setting is used as is.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: checkpoints are configured on the server
+        return spark.conf.get("spark.checkpoint.dir", "")
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
+        "spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not path:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS / object storage); "
                                "checkpoints must survive executor loss")
         path = tempfile.mkdtemp(prefix="rosterflow-ckpt-")
@@ -69,8 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             spark.conf.set("spark.checkpoint.dir", path)
         except Exception:  # some deployments reject runtime changes of core settings
             pass
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(path)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(path)
     return path
 
 
