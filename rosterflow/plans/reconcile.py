@@ -386,7 +386,8 @@ def gates(enrollment: DataFrame, late: DataFrame, nonunique: DataFrame) -> list[
 def run_migration(spark, roster_folder: str, programs_path: str, db: dict[str, DataFrame], out_dir: str,
                   calendar_start, calendar_end, birthdates: DataFrame | None = None,
                   keys_to_merge: DataFrame | None = None, org_ids: DataFrame | None = None,
-                  site_mapping: dict | None = None) -> dict[str, DataFrame]:
+                  site_mapping: dict | None = None,
+                  full_time_sites: Sequence[int] = FULL_TIME_SITES) -> dict[str, DataFrame]:
     """Entry 1 (the migration script) end to end: sources -> D1-D9 -> gates -> load.
 
     Stop-gates are enforced before anything is written (``QualityGateError``);
@@ -416,7 +417,7 @@ def run_migration(spark, roster_folder: str, programs_path: str, db: dict[str, D
     if birthdates is not None:
         lookups["birthdates"] = (birthdates, ["SASID"])
     results = enforce(check(spark, gates(enr, late, nonunique) + lookup_key_violations(lookups)))
-    funds = fundings(uniq, enr, cal)
+    funds = fundings(uniq, enr, cal, full_time_sites)
     reports = current_reports(orgs, enr)
     enrl, sites = single_site_fix(enrl, sites, site_mapping)
     tables = to_target_tables(orgs, sites, families(students), family_determinations(students), kids, enrl,
