@@ -116,3 +116,20 @@ def test_exit_reason_chain(spark):
                                 (None, None)], "c string, e date")
     assert [r.r for r in df.select(rc.exit_reason("c", "e").alias("r")).collect()] == [
         "Aged out", "Other", "Unknown", None]
+
+
+from hypothesis import given, settings, strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from("abc"), st.one_of(st.none(), st.integers(-20, 20))), min_size=1,
+                max_size=40))
+def test_strict_aggregates_follow_r(spark, data):
+    df = spark.createDataFrame(data, "k string, v int")
+    got = {r.k: (r.lo, r.hi, r.s) for r in df.groupBy("k").agg(
+        n.strict_min("v").alias("lo"), n.strict_max("v").alias("hi"), n.sum_or_zero("v").alias("s")).collect()}
+    for k in {x for x, _ in data}:
+        vals = [v for x, v in data if x == k]
+        has_na = any(v is None for v in vals)
+        present = [v for v in vals if v is not None]
+        assert got[k] == (None if has_na else min(vals), None if has_na else max(vals), sum(present))
