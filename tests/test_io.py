@@ -62,3 +62,27 @@ def test_excel_date_cells(spark):
     df = spark.createDataFrame([("43647",), ("1e15",), ("2019-07-01",), ("x",), (None,)], "c string")
     assert [r.d for r in df.select(excel_date("c").alias("d")).collect()] == [
         dt.date(2019, 7, 1), None, dt.date(2019, 7, 1), None, None]       # serial, overflow, ISO, text, empty
+
+
+def test_workbook_with_shared_strings(spark):
+    import zipfile
+    from rosterflow.sources.workbooks import Section, extract_workbooks, list_workbooks
+    d = Path(tempfile.mkdtemp(prefix="rf-xlsx-"))
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
+    with zipfile.ZipFile(d / "book.xlsx", "w") as z:
+        z.writestr("xl/workbook.xml", f'<workbook {ns} xmlns:r="http://schemas.openxmlformats.org/officeDocument/'
+                                      '2006/relationships"><sheets><sheet name="Main" sheetId="1" r:id="rId7"/>'
+                                      '</sheets></workbook>')
+        z.writestr("xl/_rels/workbook.xml.rels",
+                   '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">'
+                   '<Relationship Id="rId7" Target="/xl/worksheets/main.xml"/></Relationships>')
+        z.writestr("xl/sharedStrings.xml", f'<sst {ns}><si><t>July 1, 2019 to July 26, 2019</t></si>'
+                                           '<si><r><t>Rich </t></r><r><t>text</t></r></si></sst>')
+        z.writestr("xl/worksheets/main.xml", f'<worksheet {ns}><sheetData><row r="4"><c r="G4" t="s"><v>0</v></c>'
+                                             '</row><row r="6"><c r="B6" t="s"><v>1</v></c><c r="C6"><v>42.5</v>'
+                                             '</c><c r="D6" t="str"><v>formula text</v></c></row></sheetData>'
+                                             '</worksheet>')
+    secs = (Section("header", "cell", "G4"), Section("rows", "rows", skip=5, width=4))
+    got = rows(extract_workbooks(list_workbooks(spark, str(d)), secs), "section", "row_no", "cells")
+    assert got == [("header", 0, ["July 1, 2019 to July 26, 2019"]),
+                   ("rows", 0, [None, "Rich text", "42.5", "formula text"])]
