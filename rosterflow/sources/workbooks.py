@@ -30,6 +30,7 @@ NS = {"m": "http://schemas.openxmlformats.org/spreadsheetml/2006/main",
 EXTRACT_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()), T.StructField("section", T.StringType()),
     T.StructField("row_no", T.IntegerType()), T.StructField("cells", T.ArrayType(T.StringType())),
+    T.StructField("date1904", T.BooleanType()),
 ])
 
 
@@ -61,6 +62,7 @@ ROSTER_TYPES = {"reimbursement_rate": "double", "no_in_family": "double", "annua
 ROSTER_DATES = ["enrollment_date", "termination_date"]
 TOTALS_COLUMNS = ["family_fees", "c4k_count", "c4k_revenue"]
 EXCEL_EPOCH = "1899-12-30"
+EXCEL_EPOCH_1904 = "1904-01-01"
 # ------------------------------------------------------------------------------------
 
 
@@ -88,6 +90,8 @@ class _Book:
             for si in root.findall("m:si", NS):
                 self.shared.append("".join(t.text or "" for t in si.iter(f"{{{NS['m']}}}t")))
         wb = ET.fromstring(self.zf.read("xl/workbook.xml"))
+        pr = wb.find("m:workbookPr", NS)
+        self.date1904 = pr is not None and pr.get("date1904") in ("1", "true")
         rels = ET.fromstring(self.zf.read("xl/_rels/workbook.xml.rels"))
         targets = {r.get("Id"): r.get("Target") for r in rels.findall("pr:Relationship", NS)}
         self.sheets: list[tuple[str, str]] = []
@@ -115,21 +119,22 @@ class _Book:
 def _extract_one(source: str, data: bytes, sections) -> list[tuple]:
     book = _Book(data)
     out = []
+    d1904 = book.date1904
     grids: dict = {}
     for sec in sections:
         g = grids.setdefault(sec.sheet, book.grid(sec.sheet))
         if sec.kind == "cell":
             r, c = _split_ref(sec.ref)
-            out.append((source, sec.name, 0, [g.get((r, c))]))
+            out.append((source, sec.name, 0, [g.get((r, c))], d1904))
         elif sec.kind == "range":
             a, b = sec.ref.split(":")
             (r0, c0), (r1, c1) = _split_ref(a), _split_ref(b)
             for i, r in enumerate(range(r0, r1 + 1)):
-                out.append((source, sec.name, i, [g.get((r, c)) for c in range(c0, c1 + 1)]))
+                out.append((source, sec.name, i, [g.get((r, c)) for c in range(c0, c1 + 1)], d1904))
         elif sec.kind == "rows":
             rows = sorted({r for r, _ in g if r >= sec.skip})
             for i, r in enumerate(rows):
-                out.append((source, sec.name, i, [g.get((r, c)) for c in range(sec.width)]))
+                out.append((source, sec.name, i, [g.get((r, c)) for c in range(sec.width)], d1904))
     return out
 
 
@@ -140,7 +145,7 @@ def extract_workbooks(files: DataFrame, sections=ROSTER_SECTIONS) -> DataFrame:
             rows = []
             for path, content in zip(pdf["path"], pdf["content"]):
                 rows.extend(_extract_one(path.rsplit("/", 1)[-1], bytes(content), sections))
-            yield pd.DataFrame(rows, columns=["source", "section", "row_no", "cells"])
+            yield pd.DataFrame(rows, columns=["source", "section", "row_no", "cells", "date1904"])
     return files.select("path", "content").mapInPandas(run, EXTRACT_SCHEMA)
 
 
@@ -151,11 +156,15 @@ def list_workbooks(spark: SparkSession, folder: str, pattern: str = "*.xlsx") ->
     return files.where(~name.startswith("~"))
 
 
-def excel_date(col) -> "F.Column":
-    """Excel serial day (1900 date system) or ISO text -> DATE; anything else NULL."""
+def excel_date(col, date1904=None) -> "F.Column":
+    """Excel serial day (1900, or 1904 when ``date1904`` is true) or ISO text -> DATE; else NULL."""
     c = F.col(col) if isinstance(col, str) else col
     serial = c.try_cast("double")
-    return F.coalesce(F.date_add(F.to_date(F.lit(EXCEL_EPOCH)), F.floor(serial).try_cast("int")),
+    epoch = F.to_date(F.lit(EXCEL_EPOCH))
+    if date1904 is not None:
+        flag = F.col(date1904) if isinstance(date1904, str) else date1904
+        epoch = F.when(F.coalesce(flag, F.lit(False)), F.to_date(F.lit(EXCEL_EPOCH_1904))).otherwise(epoch)
+    return F.coalesce(F.date_add(epoch, F.floor(serial).try_cast("int")),
                       F.try_to_date(c))  # type: ignore[attr-defined]
 
 
@@ -168,11 +177,13 @@ def roster_frames(cells: DataFrame) -> dict[str, DataFrame]:
     """
     header = cells.where(F.col("section") == "header").select("source", F.col("cells")[0].alias("psr_format"))
     r = cells.where(F.col("section") == "roster")
-    roster = r.select("source", "row_no", *[F.col("cells")[i + 1].alias(n) for i, n in enumerate(ROSTER_COLUMNS)])
+    roster = r.select("source", "row_no", "date1904",
+                      *[F.col("cells")[i + 1].alias(n) for i, n in enumerate(ROSTER_COLUMNS)])
     for c, t in ROSTER_TYPES.items():
         roster = roster.withColumn(c, F.col(c).try_cast(t))
     for c in ROSTER_DATES:
-        roster = roster.withColumn(c, excel_date(c))
+        roster = roster.withColumn(c, excel_date(c, "date1904"))
+    roster = roster.drop("date1904")
     totals = cells.where(F.col("section") == "totals").select(
         "source", *[F.col("cells")[i].try_cast("double").alias(n) for i, n in zip((0, 2, 4), TOTALS_COLUMNS)])
     return {"header": header, "roster": roster, "totals": totals}

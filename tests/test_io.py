@@ -86,3 +86,10 @@ def test_workbook_with_shared_strings(spark):
     got = rows(extract_workbooks(list_workbooks(spark, str(d)), secs), "section", "row_no", "cells")
     assert got == [("header", 0, ["July 1, 2019 to July 26, 2019"]),
                    ("rows", 0, [None, "Rich text", "42.5", "formula text"])]
+
+
+def test_excel_date_1904_system(spark):
+    from rosterflow.sources.workbooks import excel_date
+    df = spark.createDataFrame([("0", True), ("0", False), ("42185", True), (None, True)], "c string, f boolean")
+    assert [r.d for r in df.select(excel_date("c", "f").alias("d")).collect()] == [
+        dt.date(1904, 1, 1), dt.date(1899, 12, 30), dt.date(2019, 7, 1), None]
