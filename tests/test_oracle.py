@@ -18,6 +18,8 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, name, QUERIES[name], SQL.get(name), SF, con)
     assert r["status"] in ("ok", "rows-only"), r.get("problems")
+    cols = QUERIES[name](spark, SF).columns
+    assert len(cols) == len({c.lower() for c in cols}), f"{name}: duplicate column names {cols}"
     # plan shape: no nested-loop or Cartesian joins, no row-at-a-time Python in any registered query
     for bad in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython"):
         assert bad not in r["plan"], f"{name}: {bad}"
