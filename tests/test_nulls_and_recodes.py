@@ -133,3 +133,25 @@ def test_strict_aggregates_follow_r(spark, data):
         has_na = any(v is None for v in vals)
         present = [v for v in vals if v is not None]
         assert got[k] == (None if has_na else min(vals), None if has_na else max(vals), sum(present))
+
+
+def test_small_recodes_with_nulls(spark):
+    df = spark.createDataFrame([(1, "SA", 1, "FT", "TEMP-a-b", "a  b\tc"), (3, "PS", 0, None, "123", None),
+                                (None, None, None, "PT", None, "x")],
+                               "site int, age string, flag int, time string, sasid string, txt string")
+    out = df.select(rc.funding_time("site", "age", [1, 2]).alias("ft"), rc.label_when("flag", "Acc.", "Una").alias("acc"),
+                    rc.space_label("time", "age").alias("svc"), rc.presence_flag("sasid").alias("yn"),
+                    rc.blank_placeholder("sasid").alias("sasid2"), rc.squish("txt").alias("sq")).collect()
+    assert [tuple(r) for r in out] == [
+        (0, "Acc.", "FT SA", "Y", None, "a b c"),          # listed site -> full time; TEMP key blanked on load
+        (0, "Una", "NA PS", "Y", "123", None),             # not SA -> 0; NA printed in the label
+        (None, None, "PT NA", "N", None, "x")]             # unknown age and site -> NULL time; NULL flag stays NULL
+
+
+def test_date_labels(spark):
+    df = spark.createDataFrame([(dt.date(2019, 7, 1), dt.date(2019, 7, 28))], "s date, e date")
+    r = df.select(d.long_date("s").alias("a"), d.long_date("s", pad_day=True).alias("b"), d.us_date("e").alias("c"),
+                  d.month_year("s").alias("m"), d.weeks_inclusive("s", "e").alias("w"),
+                  d.nearest_monday("s").alias("mon"), d.third_friday("s").alias("fri")).first()
+    assert (r.a, r.b, r.c, r.m, r.w) == ("July 1, 2019", "July 01, 2019", "07/28/2019", "July 2019", 4.0)
+    assert (r.mon, r.fri) == (dt.date(2019, 7, 1), dt.date(2019, 7, 19))
