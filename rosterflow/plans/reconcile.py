@@ -185,7 +185,10 @@ def missing_from_database(psr: DataFrame, flat: DataFrame) -> DataFrame:
 
 def database_students(flat: DataFrame, registered: DataFrame) -> DataFrame:
     """D6 database side: latest enrolled row per SASID (W4) ∪ registered-only students."""
-    enrolled = dedupe.last_per_key(flat, ["SASID"], ["ModifiedDate"], ["EnrollmentId"]).select(*DATABASE_COLUMNS)
+    # duplicate detail rows can tie on the enrollment: the name columns complete the order
+    enrolled = dedupe.last_per_key(flat, ["SASID"], ["ModifiedDate"],
+                                   ["EnrollmentId", "LastName", "FirstName", "MiddleName", "Dob", "Gender"]
+                                   ).select(*DATABASE_COLUMNS)
     return enrolled.unionByName(registered.select(*DATABASE_COLUMNS))
 
 
