@@ -252,7 +252,7 @@ def enrollments(enrollment: DataFrame, flat: DataFrame, children_df: DataFrame,
     db = flat.withColumn("age_group", rc.age_group_from_text("SpaceType"))
     if keys_to_merge is not None:
         db = dedupe.merge_spells(db, "SASID", keys_to_merge, ["EnrollmentDate", "FundingStartDate"],
-                                   "FacilityExitDate", ["EnrollmentId"])
+                                 "FacilityExitDate", ["EnrollmentId", "FundingStartDate", "FundingType", "SpaceType"])
     e = enrollment.withColumn("sasid", rc.fill_key("sasid", "first_name", "last_name"))
     c4k = (dedupe.observed_span(e.where(F.col("c4k") == "Y"), ["sasid"], "period", "first_observed_c4k_period",
                                 "last_observed_c4k_period"))
@@ -271,7 +271,8 @@ def enrollments(enrollment: DataFrame, flat: DataFrame, children_df: DataFrame,
     u = joins.null_safe_join(u, db_keys, ["sasid", "age_group", "facility_code"], "left",
                              nullable=["age_group", "facility_code"])
     u = dedupe.drop_closed_when_one_open(u, ["sasid", "age_group", "facility_code"], "FacilityExitDate")
-    u = keys.assign_ids(u, ["sasid", "age_group", "facility_code", "EnrollmentDate"], id_col="enrollment_id")
+    u = keys.assign_ids(u, ["sasid", "age_group", "facility_code", "EnrollmentDate", "FacilityExitDate",
+                            "FundingStartDate", "ExitCategory"], id_col="enrollment_id")
     cal = F.broadcast(calendar)
     u = (u.join(cal.select(F.col("id").alias("first_observed_psr_period"),
                            F.col("period_start").alias("start_of_first_observed_psr")), "first_observed_psr_period")
