@@ -100,7 +100,8 @@ def organizations_and_sites(revenue: DataFrame, programs: DataFrame, towns: Data
     sites = (programs.join(orgs, programs["org_name"].eqNullSafe(orgs["name"]), "inner").drop(orgs["name"])
              .join(F.broadcast(towns), "town", "left")
              .select("name", "organization_id", "license_no", "naeyc_id", "registry_id", "facility_code", "region"))
-    sites = keys.assign_ids(sites, ["organization_id", "name", "license_no", "facility_code"], id_col="site_id")
+    sites = keys.assign_ids(sites, ["organization_id", "name", "license_no", "facility_code", "naeyc_id",
+                                    "registry_id", "region"], id_col="site_id")
     return orgs, sites.withColumn("title_i", in_list("name", title_i_names))
 
 
