@@ -198,7 +198,8 @@ def students_joined(psr: DataFrame, db: DataFrame) -> DataFrame:
     # names resolve case-insensitively: the database key is renamed before the join
     e = db.withColumnRenamed("SASID", "__rf_db_sasid")
     s = psr.join(e, F.col("sasid") == F.col("__rf_db_sasid"), "left").drop("__rf_db_sasid")
-    return keys.assign_ids(s, ["sasid", "first_name", "last_name", "FacilityCode"], id_col="student_id")
+    return keys.assign_ids(s, ["sasid", "first_name", "last_name", "FacilityCode", "FirstName", "MiddleName",
+                               "LastName", "Dob", "Gender"], id_col="student_id")
 
 
 # ---------------------------------------------------------------- D7
