@@ -38,13 +38,14 @@ def _write_batch(out_dir: str, sections):
 
 
 def ingest_rosters(spark: SparkSession, folder: str, out_dir: str, checkpoint: str,
-                   sections=ROSTER_SECTIONS, available_now: bool = True):
+                   sections=ROSTER_SECTIONS, available_now: bool = True, max_files_per_trigger: int | None = None):
     """Start (and, with ``available_now``, finish) one incremental ingest run.
 
     ``checkpoint`` must be on shared storage (e.g. under ``spark.checkpoint.dir``).
     Returns the finished or running ``StreamingQuery``.
     """
-    writer = (roster_stream(spark, folder).writeStream.foreachBatch(_write_batch(out_dir, sections))
+    writer = (roster_stream(spark, folder, max_files_per_trigger=max_files_per_trigger).writeStream
+              .foreachBatch(_write_batch(out_dir, sections))
               .option("checkpointLocation", checkpoint))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 hour")
     q = writer.start()

@@ -26,3 +26,18 @@ def test_incremental_ingest_exactly_once(spark):
     assert rows(got["roster"], "source", "sasid") == [("a.xlsx", "S1"), ("b.xlsx", "S2")]
     assert rows(got["header"], "source", "psr_format") == [
         ("a.xlsx", "July 29, 2019 to August 30, 2019"), ("b.xlsx", "September 2, 2019 to September 27, 2019")]
+
+
+def test_one_file_per_micro_batch(spark):
+    base = Path(tempfile.mkdtemp(prefix="rf-stream2-"))
+    src = base / "in"
+    src.mkdir()
+    e = dt.date(2019, 6, 3)
+    for i, name in enumerate(["a.xlsx", "b.xlsx", "c.xlsx"]):
+        write_workbook(src / name, "July 29, 2019 to August 30, 2019",
+                       [(f"S{i}", "Lee", "Ann", None, None, "L1", "PS", 1.0, e, None, 2, 1000)], [(1.0, None, 2.0)])
+    out = str(base / "out")
+    ingest_rosters(spark, str(src), out, str(base / "ck"), max_files_per_trigger=1)
+    got = read_ingested(spark, out)["roster"]
+    assert rows(got, "sasid") == [("S0",), ("S1",), ("S2",)]
+    assert got.select("batch_id").distinct().count() == 3          # one micro-batch per file
