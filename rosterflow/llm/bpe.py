@@ -17,6 +17,8 @@ from rosterflow.llm.common import text_slices, texts_of
 
 #: Distinct words whose ids a task remembers before it starts afresh.
 REMEMBERED = 400_000
+#: Words that merge in one flat array, few enough for the processor's caches.
+MERGED_AT_ONCE = 20_000
 #: Fixed value: the splitting pattern of byte-level pre-tokenization.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -77,30 +79,27 @@ class Bpe:
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all ``words`` in one array, and the number of each.
 
-        One flat array holds the symbols of all words. In each round the pairs of neighbours are looked up in
-        the sorted pair keys, and in every word all places of its pair of lowest rank merge, from the left. A
+        One flat array holds the symbols of all words. In each round the pairs of neighbours that are
+        new are looked up in the sorted pair keys, and in every word all places of its pair of lowest rank merge, from the left. A
         word without a known pair is finished and leaves the array.
         """
         raw = [w.encode("utf-8", "surrogatepass") for w in words]
         lengths = np.fromiter(map(len, raw), dtype=np.int64, count=len(raw))
         symbols = self.of_byte[np.frombuffer(b"".join(raw), dtype=np.uint8)]
         owner = np.repeat(np.arange(len(raw), dtype=np.int64), lengths)
+        inner = np.append(owner[1:] == owner[:-1], False)
+        rank = self._ranks(symbols, np.flatnonzero(inner), np.full(len(symbols), len(self.keys), dtype=np.int64))
         done_symbols, done_owner = [], []
-        none = np.int64(len(self.keys))
         while len(symbols):
-            key = np.full(len(symbols), -1, dtype=np.int64)
-            inner = owner[1:] == owner[:-1]
-            key[:-1][inner] = symbols[:-1][inner] * self.size + symbols[1:][inner]
-            place = np.minimum(np.searchsorted(self.keys, key), none - 1)
-            rank = np.where(self.keys[place] == key, self.rank[place], none)
-            first = np.flatnonzero(np.concatenate([[True], ~inner]))
+            first = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
             size = np.diff(np.append(first, len(symbols)))
             best = np.minimum.reduceat(rank, first)
-            open_ = np.repeat(best < none, size)
-            if not open_.all():
+            more = best < len(self.keys)
+            if not more.all():
+                open_ = np.repeat(more, size)
                 done_symbols.append(symbols[~open_])
                 done_owner.append(owner[~open_])
-                symbols, owner, rank, best, size = symbols[open_], owner[open_], rank[open_], best[best < none], size[best < none]
+                symbols, owner, rank, best, size = symbols[open_], owner[open_], rank[open_], best[more], size[more]
                 if not len(symbols):
                     break
             hit = rank == np.repeat(best, size)
@@ -109,15 +108,30 @@ class Bpe:
                 at = np.arange(len(hit))
                 begin = hit & ~np.concatenate([[False], hit[:-1]])
                 hit &= (at - np.maximum.accumulate(np.where(begin, at, 0))) % 2 == 0
-            symbols = np.where(hit, self.merged[np.minimum(rank, none - 1)], symbols)
-            keep = ~np.concatenate([[False], hit[:-1]])
-            symbols, owner = symbols[keep], owner[keep]
+            places = np.flatnonzero(hit)
+            symbols[places] = self.merged[rank[places]]
+            keep = np.ones(len(symbols), dtype=bool)
+            keep[places + 1] = False
+            symbols, owner, rank = symbols[keep], owner[keep], rank[keep]
+            # only the pairs with a merged symbol are looked up again
+            places -= np.arange(len(places))
+            changed = np.concatenate([places, places[places > 0] - 1])
+            rank[changed] = len(self.keys)
+            changed = changed[changed < len(symbols) - 1]
+            self._ranks(symbols, changed[owner[changed] == owner[changed + 1]], rank)
         if not done_symbols:
             return np.empty(0, dtype=np.int64), lengths
         flat, owner = np.concatenate(done_symbols), np.concatenate(done_owner)
         order = np.argsort(owner, kind="stable")
         return flat[order], np.bincount(owner, minlength=len(raw))
 
+    def _ranks(self, symbols: np.ndarray, places: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """``rank`` with the ranks of the pairs that begin at ``places`` put in, if their keys are known."""
+        key = symbols[places] * self.size + symbols[places + 1]
+        found = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        rank[places] = np.where(self.keys[found] == key, self.rank[found], len(self.keys))
+        return rank
+
     def words(self, text: str) -> list[str]:
         """The pieces between which nothing merges; an added token's string is a piece of its own after a \\0."""
         if self.special is None or not self.special.search(text):
@@ -141,7 +155,8 @@ class Bpe:
         missing = np.flatnonzero(index < 0)
         if len(missing):
             new = list(dict.fromkeys(map(pieces.__getitem__, missing.tolist())))
-            self._remember(new, *self.merge(new))
+            for i in range(0, len(new), MERGED_AT_ONCE):
+                self._remember(new[i:i + MERGED_AT_ONCE], *self.merge(new[i:i + MERGED_AT_ONCE]))
             index[missing] = np.fromiter((self.known[pieces[i]] for i in missing.tolist()), dtype=np.int64, count=len(missing))
         ids, lengths = _gather(self.flat, self.start, index)
         ends = np.concatenate([[0], np.cumsum(lengths)])

@@ -139,3 +139,12 @@ def linked_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
     if edges is None:
         return members.select("id", F.col("id").alias("root")).limit(0)
     return edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
+
+
+#: Rows of ids (and arrays of ids) up to which a measured join side is broadcast; about 30 MB.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (stored, narrow rows), marked for broadcast if a count finds it small; else joins shuffle both sides."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

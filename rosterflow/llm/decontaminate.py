@@ -153,8 +153,9 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover: int = COVER, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, text, n_words, spans, item_ids, n_hit, contaminated) per row of ``docs`` (doc_id, text).
+def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover: int = COVER, block_words: int = BLOCK_WORDS,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text, n_words, spans, item_ids, n_hit, contaminated) per row of ``docs`` (doc_id, text), with the columns of ``keep``.
 
     ``spans`` are the merged ranges of words inside occurrences of item windows, ``item_ids`` the items with
     such a window. The items are dealt by hash over as many automata as their number of words asks for
@@ -169,7 +170,7 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, cove
     # upper bound of the words: every second byte
     bound = items.agg(F.coalesce(F.sum(F.floor((F.octet_length("text") + 1) / 2)), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-int(bound) // (8 * block_words)) if bound > block_words else 1)
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"),
+    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep, F.lit(0).cast("long").alias("n_words"),
                       F.array().cast(SPANS).alias("spans"), F.array().cast("array<bigint>").alias("item_ids"))
     sc = docs.sparkSession.sparkContext
     for k in range(blocks):
@@ -204,8 +205,9 @@ def without_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return " ".join(x for x in (keep[0], *(x.lstrip(" ") for x in keep[1:])) if x)
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover: int = COVER, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """(doc_id, text) of the documents that stay, without benchmark passages.
+def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover: int = COVER, block_words: int = BLOCK_WORDS,
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, text and the columns of ``keep``) of the documents that stay, without benchmark passages.
 
     A contaminated document (its hit words reach 1 / ``cover`` of all) goes; from the others the spans of
     matched words are cut. Rows without a hit keep their text as it was, null included.
@@ -213,7 +215,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             texts = [without_spans(t, [(s["start"], s["end"]) for s in spans]) if t is not None and len(spans) else t for t, spans in zip(batch["text"].tolist(), batch["spans"], strict=True)]
-            yield batch[["doc_id"]].assign(text=texts)
+            yield batch.drop(columns="spans").assign(text=texts)
 
-    hits = benchmark_hits(docs, items, window, cover, block_words)
-    return hits.where("not contaminated").select("doc_id", "text", "spans").mapInPandas(run, "doc_id long, text string")
+    hits = benchmark_hits(docs, items, window, cover, block_words, keep).where("not contaminated").select("doc_id", "text", *keep, "spans")
+    return hits.mapInPandas(run, hits.drop("spans").schema)

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm import bpe as _bpe
 from rosterflow.llm import decontaminate as _decontaminate
+from rosterflow.llm import line_dedup as _line_dedup
 from rosterflow.llm import minhash as _minhash
+from rosterflow.llm import toxicity as _toxicity
 from rosterflow.session import table
 
 
@@ -20,6 +22,15 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = _line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
+    return rest.select("doc_id", "n_lines", "n_gone", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("text"), 256).alias("text_sha256"))
+
+
 def op8_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
@@ -39,6 +50,8 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
+    "op5_line_dedup": op5_line_dedup,
     "op8_circulant_minhash": op8_circulant_minhash,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
