@@ -7,11 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rosterflow.llm import ann as _ann
 from rosterflow.llm import bpe as _bpe
 from rosterflow.llm import decontaminate as _decontaminate
+from rosterflow.llm import html_main as _html_main
 from rosterflow.llm import line_dedup as _line_dedup
 from rosterflow.llm import minhash as _minhash
+from rosterflow.llm import sharding as _sharding
+from rosterflow.llm import token_count as _token_count
 from rosterflow.llm import toxicity as _toxicity
+from rosterflow.llm import url_filter as _url_filter
 from rosterflow.session import table
 
 
@@ -22,15 +27,35 @@ def tokenizer_file(name: str = "byte_bpe_50k.json") -> str:
     return str(public_tokenizers.path(name))
 
 
+def op1_url_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _url_filter.judged(table(spark, sf_dir, "pages"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_cross_polytope(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sharding.sharded(table(spark, sf_dir, "documents"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = _line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
     return rest.select("doc_id", "n_lines", "n_gone", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("text"), 256).alias("text_sha256"))
 
 
+def op6_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _html_main.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _token_count.token_counts(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.tiktoken"))
+
+
 def op8_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
@@ -50,8 +75,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_url_trees": op1_url_trees,
     "op2_toxicity": op2_toxicity,
+    "op3_cross_polytope": op3_cross_polytope,
+    "op4_sharding": op4_sharding,
     "op5_line_dedup": op5_line_dedup,
+    "op6_site_templates": op6_site_templates,
+    "op7_token_counts": op7_token_counts,
     "op8_circulant_minhash": op8_circulant_minhash,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
