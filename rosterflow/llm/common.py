@@ -75,70 +75,74 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Alternating large-star and small-star steps on the edge table. Both need only a minimum per vertex
     (partially aggregated) and a join back, so a vertex with very many edges never meets in one task. Each
-    round is stored; the loop ends when a round leaves the edges as they were, a star around each root.
-    Null ends and loops are ignored; an empty table gives an empty result.
+    round is stored; the loop ends when the edges are a star around each root. Null ends and loops are
+    ignored; an empty table gives an empty result.
     """
-    edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    before = _print_of(edges)
-    while before[0]:
+    edges = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
+    while not _is_star(edges):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         root = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(root, "a")
         # the other neighbours hang on the least one; the vertex itself comes from the aggregate
-        edges = stored(small.where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                       .unionByName(root.select("a", F.col("m").alias("b"))).distinct())
-        after = _print_of(edges)
-        if after == before:
-            break
-        before = after
-    return edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(
+        small_ = large.join(root, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        edges = stored(small_.unionByName(root.select("a", F.col("m").alias("b"))).groupBy("a", "b").agg(F.lit(1).alias("n")).select("a", "b"))
+    return edges.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("id"), "root").unionByName(
         edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
 
 
-def _print_of(edges: DataFrame) -> tuple:
-    row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
-    return row["n"], row["h"]
+def _is_star(edges: DataFrame) -> bool:
+    """Whether every id has one parent (or is one), so that all edges lead to roots."""
+    ends = edges.select(F.col("a").alias("id"), F.col("b").alias("up"), F.lit(0).alias("above")).unionByName(
+        edges.select(F.col("b").alias("id"), F.lit(None).cast("long").alias("up"), F.lit(1).alias("above")))
+    each = ends.groupBy("id").agg(F.max("above").alias("above"), F.min("up").alias("lo"), F.max("up").alias("hi"))
+    return each.where("lo <> hi or above = 1 and lo is not null").limit(1).count() == 0
 
 
-def linked_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], star_rounds: int = 6) -> DataFrame:
+def linked_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], facts: DataFrame | None = None,
+                  may_link: Callable[[str, str], Column] | None = None, star_rounds: int = 2, share: int = 4) -> DataFrame:
     """Components (id, root) of all verified links between ids that share a bucket.
 
     ``members`` (bucket, id) lists candidates, ``verify`` takes pairs (a, b) and returns those that are truly
     linked. A bucket's pairs are never emitted at once: in each round a bucket's smallest id is compared with
     the others and leaves the bucket; ids that are already in the same component need no comparison, and a
     bucket whose ids are all in one component is finished. Large groups of copies end after a round or two.
-    When few pairs are open (or after ``star_rounds``) the open ones, between different components of one
-    bucket, are compared one by one. So no link between different components is ever skipped, and no bucket
-    size is capped.
+    When the open pairs, between different components of one bucket, are no more than ``share`` for each row
+    (or after ``star_rounds``), each is compared once, in its first common bucket, unless ``may_link`` on the
+    columns of ``facts`` (id, ...; suffixed _a and _b) rules it out. So no link between different components is
+    ever skipped, and no bucket size is capped.
     """
-    members = stored(members.where("id is not null").distinct().withColumn("label", F.col("id")))
-    edges = None
+    members = members.where("id is not null").distinct().withColumn("label", F.col("id"))
+    groups = None
     for step in range(star_rounds + 1):
-        spread = members.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("id").alias("leader"), F.count("*").alias("n")).where("lo <> hi")
-        size = spread.agg(F.sum("n").alias("rows"), F.sum(F.expr("n * (n - 1) / 2")).alias("pairs")).first()
+        members = stored(members)
+        per_label = members.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.min("id").alias("id"))
+        spread = per_label.groupBy("bucket").agg(F.count("*").alias("labels"), F.min(F.struct("id", "label")).alias("first"), F.sum("n").alias("n"),
+                                                 F.sum(F.col("n") * F.col("n")).alias("squares")).where("labels > 1")
+        spread = stored(spread.select("bucket", F.col("first.id").alias("leader"), F.col("first.label").alias("la"), "n", ((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs")))
+        size = spread.agg(F.sum("n").alias("rows"), F.sum("pairs").alias("pairs")).first()
         if not size["rows"]:
             break
-        last = step == star_rounds or size["pairs"] <= 2 * size["rows"]
-        open_ = members.join(spread.select("bucket", "leader"), "bucket")
+        last = step == star_rounds or size["pairs"] <= share * size["rows"]
+        open_ = members.join(spread.select("bucket", "leader", "la"), "bucket")
         if last:
-            left, right = open_.select("bucket", F.col("id").alias("a"), F.col("label").alias("la")), open_.select("bucket", F.col("id").alias("b"), F.col("label").alias("lb"))
-            pairs = left.join(right, "bucket").where("a < b and la <> lb")
+            each = open_.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))
+            each = each if facts is None else each.join(facts, "id")
+            rows = open_.select("bucket", "id", "label").join(each, "id")
+            left, right = (rows.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "bucket"]) for side in "ab")
+            first = F.array_min(F.array_intersect("buckets_a", "buckets_b")) == F.col("bucket")
+            pairs = left.join(right, "bucket").where("id_a < id_b and label_a <> label_b").where(first if may_link is None else may_link("_a", "_b") & first)
+            pairs = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
         else:
-            # the leader's label is the one that its own row carries
-            own = open_.where("id = leader").select("bucket", F.col("label").alias("la"))
-            pairs = open_.where("id <> leader").join(own, "bucket").where("label <> la").select(F.col("leader").alias("a"), F.col("id").alias("b"))
-        found = stored(verify(pairs.select("a", "b").distinct()))
-        edges = found if edges is None else edges.unionByName(found)
-        groups = connected_components(edges)
-        edges = groups.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b"))
+            pairs = open_.where("label <> la").select(F.col("leader").alias("a"), F.col("id").alias("b"))
+        found = verify(pairs.select("a", "b").distinct())
+        if groups is not None:
+            found = found.unionByName(groups.where("id <> root").select(F.col("id").alias("a"), F.col("root").alias("b")))
+        groups = stored(connected_components(found))
         if last:
             break
-        members = stored(open_.where("id <> leader").select("bucket", "id").join(groups, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("label")))
-    if edges is None:
-        return members.select("id", F.col("id").alias("root")).limit(0)
-    return edges.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(edges.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
+        members = open_.where("id <> leader").select("bucket", "id").join(groups, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("label"))
+    return members.select("id", F.col("id").alias("root")).limit(0) if groups is None else groups
 
 
 #: Rows of ids (and arrays of ids) up to which a measured join side is broadcast; about 30 MB.
