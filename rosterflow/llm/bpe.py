@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain, repeat
 
@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm.common import text_slices, texts_of
 
-#: Distinct words whose ids a task remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Distinct chunks whose ids a task remembers before it starts afresh.
+REMEMBERED = 500_000
 #: Words that merge in one flat array, few enough for the processor's caches.
 MERGED_AT_ONCE = 20_000
 #: Fixed value: the splitting pattern of byte-level pre-tokenization.
@@ -65,16 +65,9 @@ class Bpe:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.flat, self.start = np.empty(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.pieces, self.known = _Memory(), _Memory()
         for token, i in self.added.items():  # \0 marks an added token, which no splitting yields in one piece
-            self._remember([f"\0{token}"], np.array([i], dtype=np.int64), np.array([1], dtype=np.int64))
-
-    def _remember(self, words: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
-        n = len(self.known)
-        self.known.update(zip(words, range(n, n + len(words)), strict=True))
-        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
-        self.flat = np.concatenate([self.flat, flat])
+            self.known.add([f"\0{token}"], np.array([i], dtype=np.int64), np.array([1], dtype=np.int64))
 
     def merge(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all ``words`` in one array, and the number of each.
@@ -132,37 +125,56 @@ class Bpe:
         rank[places] = np.where(self.keys[found] == key, self.rank[found], len(self.keys))
         return rank
 
-    def words(self, text: str) -> list[str]:
-        """The pieces between which nothing merges; an added token's string is a piece of its own after a \\0."""
+    def chunks(self, text: str) -> list[str]:
+        """``text`` in chunks that are split and merged independently of each other.
+
+        A space begins a piece unless it stands in a longer run of spaces, so a text without such runs is cut
+        before every space; that is much faster than the pattern, which then sees only chunks not met before.
+        Other texts are cut by the pattern itself. An added token's string is a chunk of its own after a \0.
+        """
         if self.special is None or not self.special.search(text):
-            return self.split(text)
+            return self._cut(text)
         out: list[str] = []
         for i, part in enumerate(self.special.split(text)):
             if i % 2:
                 out.append(f"\0{part}")
             elif part:
-                out.extend(self.split(part))
+                out.extend(self._cut(part))
         return out
 
+    def _cut(self, text: str) -> list[str]:
+        if "  " in text or "\0" in text:
+            return self.split(text)
+        return text.replace(" ", "\0 ").lstrip("\0").split("\0") if text else []
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all ``texts`` in one array, and the number of each text."""
-        split = [self.words(t) for t in texts]
+        split = [self.chunks(t) for t in texts]
         counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         pieces = list(chain.from_iterable(split))
-        if len(self.known) > REMEMBERED:
+        if len(self.known.index) > REMEMBERED:
             self._forget()
-        index = np.fromiter(map(self.known.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
-        missing = np.flatnonzero(index < 0)
-        if len(missing):
-            new = list(dict.fromkeys(map(pieces.__getitem__, missing.tolist())))
-            for i in range(0, len(new), MERGED_AT_ONCE):
-                self._remember(new[i:i + MERGED_AT_ONCE], *self.merge(new[i:i + MERGED_AT_ONCE]))
-            index[missing] = np.fromiter((self.known[pieces[i]] for i in missing.tolist()), dtype=np.int64, count=len(missing))
-        ids, lengths = _gather(self.flat, self.start, index)
+        found = self.known.look_up(pieces, self._learn)
+        ids, lengths = _gather(self.known.flat, self.known.start, found)
         ends = np.concatenate([[0], np.cumsum(lengths)])
         of_text = np.concatenate([[0], np.cumsum(counts)])
         return ids, np.diff(ends[of_text])
 
+    def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        words = [self.split(c) for c in chunks]
+        found = self.pieces.look_up(list(chain.from_iterable(words)), self.merge)
+        flat, lengths = _gather(self.pieces.flat, self.pieces.start, found)
+        first = np.cumsum([0, *map(len, words)])[:-1]
+        return flat, np.add.reduceat(lengths, first)
+
+    def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The texts of several id sequences, given in one array with the number of each."""
+        ids = np.asarray(ids, dtype=np.int64)
+        raw, lengths = _gather(self.piece_bytes, self.piece_start, ids)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        whole = raw.tobytes()
+        return [whole[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of token ids; bytes that are no UTF-8 become U+FFFD, ids outside the vocabulary nothing."""
         ids = np.asarray(ids, dtype=np.int64)
@@ -170,6 +182,32 @@ class Bpe:
         return _gather(self.piece_bytes, self.piece_start, ids)[0].tobytes().decode("utf-8", "replace")
 
 
+class _Memory:
+    """Token ids of strings: those of the i-th string are flat[start[i]:start[i + 1]]."""
+
+    def __init__(self) -> None:
+        self.index: dict[str, int] = {}
+        self.flat, self.start = np.empty(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
+
+    def add(self, strings: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
+        n = len(self.index)
+        self.index.update(zip(strings, range(n, n + len(strings)), strict=True))
+        self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
+        self.flat = np.concatenate([self.flat, flat])
+
+    def look_up(self, strings: list[str], learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The numbers of ``strings``; ``learn`` gives the ids of those not met before, and the number of each."""
+        found = np.fromiter(map(self.index.get, strings, repeat(-1)), dtype=np.int64, count=len(strings))
+        missing = np.flatnonzero(found < 0).tolist()
+        if missing:
+            asked = [strings[i] for i in missing]
+            new = list(dict.fromkeys(asked))
+            for i in range(0, len(new), MERGED_AT_ONCE):
+                self.add(new[i:i + MERGED_AT_ONCE], *learn(new[i:i + MERGED_AT_ONCE]))
+            found[missing] = np.fromiter(map(self.index.__getitem__, asked), dtype=np.int64, count=len(asked))
+        return found
+
+
 def _gather(flat: np.ndarray, start: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The slices flat[start[i]:start[i + 1]] for all i of ``index`` in a row, and their lengths."""
     lengths = start[index + 1] - start[index]
@@ -202,6 +240,20 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, "doc_id long, ids array<int>")
 
 
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, text): ``encode`` and ``decode`` in one pass over the texts, with the decoded text."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = bpe(path)
+        for batch in batches:
+            texts = texts_of(batch["text"])
+            for start, end in text_slices(texts, 500_000):
+                ids, counts = model.encode(texts[start:end])
+                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[start:end].array, "ids": np.split(ids.astype(np.int32), np.cumsum(counts)[:-1]),
+                                    "text": model.decode_all(ids, counts)})
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, "doc_id long, ids array<int>, text string")
+
+
 def decode(tokens: DataFrame, path: str) -> DataFrame:
     """``tokens`` (doc_id, ids) with the column text that the ids spell; null ids give an empty text."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

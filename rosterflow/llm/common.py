@@ -99,39 +99,49 @@ def _is_star(edges: DataFrame) -> bool:
     return each.where("lo <> hi or above = 1 and lo is not null").limit(1).count() == 0
 
 
-def linked_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame], facts: DataFrame | None = None,
-                  may_link: Callable[[str, str], Column] | None = None, star_rounds: int = 2, share: int = 4) -> DataFrame:
+def candidates(facts: DataFrame) -> DataFrame:
+    """(bucket, slot, id) of the buckets ``keys`` of ``facts`` (id, keys, ...) that several ids share; stored."""
+    members = facts.select("id", F.posexplode("keys").alias("slot", "bucket"))
+    shared = members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("bucket")
+    return stored(members.join(shared, "bucket").select("bucket", "slot", "id"))
+
+
+def linked_groups(members: DataFrame, facts: DataFrame, verify: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column] | None = None,
+                  star_rounds: int = 2, share: int = 4) -> DataFrame:
     """Components (id, root) of all verified links between ids that share a bucket.
 
-    ``members`` (bucket, id) lists candidates, ``verify`` takes pairs (a, b) and returns those that are truly
-    linked. A bucket's pairs are never emitted at once: in each round a bucket's smallest id is compared with
-    the others and leaves the bucket; ids that are already in the same component need no comparison, and a
-    bucket whose ids are all in one component is finished. Large groups of copies end after a round or two.
-    When the open pairs, between different components of one bucket, are no more than ``share`` for each row
-    (or after ``star_rounds``), each is compared once, in its first common bucket, unless ``may_link`` on the
-    columns of ``facts`` (id, ...; suffixed _a and _b) rules it out. So no link between different components is
-    ever skipped, and no bucket size is capped.
+    ``members`` are the ``candidates`` of ``facts`` (id, keys, ...; each id has equally many keys, each found at
+    its own place in keys); ``verify`` takes pairs (a, b) and returns those that are truly linked. A bucket's
+    pairs are never emitted at once: in each round a bucket's smallest id is compared with the others and leaves
+    the bucket; ids that are already in the same component need no comparison, and a bucket whose ids are all in
+    one component is finished. Large groups of copies end after a round or two. When the open pairs, between
+    different components of one bucket, are no more than ``share`` for each row (or after ``star_rounds``), each
+    is compared once, in its first common bucket, unless ``may_link`` on the columns of ``facts`` (suffixed _a
+    and _b) rules it out. So no link between different components is ever skipped, and no bucket size is capped.
     """
-    members = members.where("id is not null").distinct().withColumn("label", F.col("id"))
+    n_keys = facts.agg(F.coalesce(F.max(F.size("keys")), F.lit(0)).alias("n")).first()["n"]
+    members = members.withColumn("label", F.col("id"))
     groups = None
     for step in range(star_rounds + 1):
         members = stored(members)
         per_label = members.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.min("id").alias("id"))
-        spread = per_label.groupBy("bucket").agg(F.count("*").alias("labels"), F.min(F.struct("id", "label")).alias("first"), F.sum("n").alias("n"),
+        spread = per_label.groupBy("bucket").agg(F.count("*").alias("labels"), F.min(F.struct("id", "label")).alias("first"), F.max(F.struct("n", "label")).alias("most"), F.sum("n").alias("n"),
                                                  F.sum(F.col("n") * F.col("n")).alias("squares")).where("labels > 1")
-        spread = stored(spread.select("bucket", F.col("first.id").alias("leader"), F.col("first.label").alias("la"), "n", ((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs")))
+        spread = stored(spread.select("bucket", F.col("first.id").alias("leader"), F.col("first.label").alias("la"), F.col("most.label").alias("main"), "n", ((F.col("n") * F.col("n") - F.col("squares")) / 2).alias("pairs")))
         size = spread.agg(F.sum("n").alias("rows"), F.sum("pairs").alias("pairs")).first()
         if not size["rows"]:
             break
         last = step == star_rounds or size["pairs"] <= share * size["rows"]
-        open_ = members.join(spread.select("bucket", "leader", "la"), "bucket")
+        open_ = members.join(spread.select("bucket", "leader", "la", "main"), "bucket")
         if last:
-            each = open_.groupBy("id").agg(F.collect_set("bucket").alias("buckets"))
-            each = each if facts is None else each.join(facts, "id")
-            rows = open_.select("bucket", "id", "label").join(each, "id")
+            rows = open_.select("bucket", "slot", "id", "label", (F.col("label") == F.col("main")).alias("in_main")).join(facts, "id")
             left, right = (rows.select("bucket", *[F.col(c).alias(f"{c}_{side}") for c in rows.columns if c != "bucket"]) for side in "ab")
-            first = F.array_min(F.array_intersect("buckets_a", "buckets_b")) == F.col("bucket")
-            pairs = left.join(right, "bucket").where("id_a < id_b and label_a <> label_b").where(first if may_link is None else may_link("_a", "_b") & first)
+            # a bucket's largest component stands on one side only: its own pairs are never enumerated
+            left = left.where("not in_main_a")
+            new = (F.col("in_main_b") | (F.col("id_a") < F.col("id_b"))) & (F.col("label_a") != F.col("label_b"))
+            for i in range(n_keys - 1):
+                new &= (F.col("slot_a") <= i) | (F.get("keys_a", F.lit(i)) != F.get("keys_b", F.lit(i)))
+            pairs = left.join(right, "bucket").where(new if may_link is None else new & may_link("_a", "_b"))
             pairs = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
         else:
             pairs = open_.where("label <> la").select(F.col("leader").alias("a"), F.col("id").alias("b"))
@@ -141,7 +151,7 @@ def linked_groups(members: DataFrame, verify: Callable[[DataFrame], DataFrame],
         groups = stored(connected_components(found))
         if last:
             break
-        members = open_.where("id <> leader").select("bucket", "id").join(groups, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("label"))
+        members = open_.where("id <> leader").select("bucket", "slot", "id").join(groups, "id", "left").select("bucket", "slot", "id", F.coalesce("root", "id").alias("label"))
     return members.select("id", F.col("id").alias("root")).limit(0) if groups is None else groups
 
 

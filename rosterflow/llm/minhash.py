@@ -9,15 +9,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import linked_groups, mix64, small, stored, text_slices, texts_of, word_hashes
+from rosterflow.llm.common import candidates, linked_groups, mix64, small, stored, text_slices, texts_of, word_hashes
 
 #: Size of the universe that the permutations act on.
 UNIVERSE = 1 << 20
 #: Links at exactly the threshold 0.8 share no band with probability (1 - 0.8^5)^28 = 1.5e-5.
 BANDS, ROWS = 28, 5
 SEED = 20_011
-#: Bins of the shingle counts that rule pairs out before their full sets are compared.
-BINS = 256
+#: Bins (a multiple of 64) whose parities rule pairs out before their full sets are compared.
+BINS = 1024
 
 _PERMUTATIONS: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
@@ -86,10 +86,14 @@ def set_digest(shingles: np.ndarray) -> bytes:
     return np.array(parts[1:], dtype=np.uint64).tobytes() + int(parts[0]).to_bytes(4, "little")
 
 
-def bin_counts(shingles: np.ndarray) -> np.ndarray | None:
-    """How many shingles fall in each bin; None if a count is too large for 16 bits."""
-    counts = np.bincount((shingles >> np.uint64(40)).astype(np.int64) % BINS, minlength=BINS)
-    return counts.astype(np.int16) if counts.max() < 1 << 15 else None
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """A bit for each bin: whether it holds an odd number of shingles.
+
+    Each shingle that only one of two sets has flips one bit, so the sets differ in at least as many shingles
+    as these differ in bits.
+    """
+    odd = np.bincount((shingles >> np.uint64(40)).astype(np.int64) % BINS, minlength=BINS) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
 
 
 def sketches(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -107,10 +111,10 @@ def sketches(docs: DataFrame, width: int, bands: int = BANDS, rows: int = ROWS)
                         keys[i] = key
                 yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[start:end].array, "n_shingles": [len(s) for s in sets],
                                     "digest": [set_digest(s) if len(s) else None for s in sets], "bands": keys,
-                                    "bins": [bin_counts(s) if len(s) else None for s in sets]})
+                                    "bins": [parities(s) if len(s) else None for s in sets]})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(
-        run, "doc_id long, n_shingles long, digest binary, bands array<long>, bins array<short>")
+        run, "doc_id long, n_shingles long, digest binary, bands array<long>, bins array<long>")
 
 
 def shingle_table(docs: DataFrame, width: int) -> DataFrame:
@@ -139,10 +143,8 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
     seen = stored(sketches(docs, width, bands, rows))
     # copies: one vertex for each set, named by its smallest document
     same = stored(seen.where("doc_id is not null and digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id")))
-    first = seen.join(same, (seen.digest == same.digest) & (seen.doc_id == same.id)).select("id", "bands")
-    members = first.select("id", F.explode("bands").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo <> hi").select("bucket")
-    members = stored(members.join(shared, "bucket").select("bucket", "id"))
+    first = seen.join(same, (seen.digest == same.digest) & (seen.doc_id == same.id)).select("id", F.col("bands").alias("keys"), F.col("n_shingles").alias("n"), "bins")
+    members = candidates(first)
     wanted = stored(members.select(F.col("id").alias("doc_id")).distinct())
     sets = stored(shingle_table(docs.select("doc_id", "text").join(small(wanted), "doc_id", "left_semi"), width))
 
@@ -152,15 +154,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         return both.where(100 * F.col("common") >= percent * (F.size("sa") + F.size("sb") - F.col("common"))).select("a", "b").distinct()
 
     def may_link(a: str, b: str) -> Column:
-        """An upper bound of the common shingles, by bins, still reaches the threshold."""
+        """The numbers of shingles, and the least number of different ones, still allow the threshold."""
         n = F.col(f"n{a}") + F.col(f"n{b}")
-        common = F.least(f"n{a}", f"n{b}")
-        binned = F.aggregate(F.zip_with(f"bins{a}", f"bins{b}", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
-        return (100 * common >= percent * (n - common)) & F.coalesce(100 * binned >= percent * (n - binned), F.lit(True))
+        differ = F.abs(F.col(f"n{a}") - F.col(f"n{b}"))
+        flipped = sum((F.bit_count(F.get(f"bins{a}", F.lit(i)).bitwiseXOR(F.get(f"bins{b}", F.lit(i)))) for i in range(BINS // 64)), F.lit(0))
+        return (100 * (n - differ) >= percent * (n + differ)) & (100 * (n - flipped) >= percent * (n + flipped))
 
-    facts = seen.join(same, (seen.digest == same.digest) & (seen.doc_id == same.id)).select("id", F.col("n_shingles").alias("n"), "bins")
-    facts = stored(facts.join(wanted.select(F.col("doc_id").alias("id")), "id", "left_semi").dropDuplicates(["id"]))
-    groups = linked_groups(members, verify, facts, may_link)
+    facts = stored(first.join(small(wanted), first.id == wanted.doc_id, "left_semi").dropDuplicates(["id"]))
+    groups = linked_groups(members, facts, verify, may_link)
     roots = same.join(groups, "id", "left").select("digest", F.coalesce("root", "id").alias("root"))
     rows_ = seen.select("doc_id", "n_shingles", "digest").join(roots, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))

@@ -61,8 +61,7 @@ def op8_circulant_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = tokenizer_file()
-    tokens = _bpe.decode(_bpe.encode(table(spark, sf_dir, "documents"), path), path)
+    tokens = _bpe.round_trip(table(spark, sf_dir, "documents"), tokenizer_file())
     return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                          F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
                          F.sha2(F.col("text"), 256).alias("decoded_sha256"))
