@@ -89,8 +89,8 @@ def label_when(flag: str | Column, yes: str, no: str) -> Column:
 def funding_time(site_col: str | Column, age_col: str | Column, full_time_sites) -> Column:
     """Listed sites are full time (0); else school age is part time (1), other 0."""
     a = _c(age_col)
-    return (F.when(in_list(site_col, full_time_sites), F.lit(0))
-            .when(a == "SA", F.lit(1)).when(a != "SA", F.lit(0)))
+    by_age = F.when(a == "SA", F.lit(1)).when(a != "SA", F.lit(0))
+    return F.when(in_list(site_col, full_time_sites), F.lit(0)).otherwise(by_age) if full_time_sites else by_age
 
 
 def last_piece(col: str | Column, sep: str = ",") -> Column:
@@ -110,8 +110,12 @@ def squish(col: str | Column) -> Column:
 
 
 def digits_to_int(col: str | Column) -> Column:
-    """keep digits only, then integer; empty or overflow -> NULL."""
-    return F.regexp_replace(_c(col), "[^0-9]", "").try_cast("int")
+    """keep digits only, then integer; empty or overflow -> NULL.
+
+    Texts without a digit never reach the cast: a failed cast costs an exception per row.
+    """
+    digits = F.regexp_replace(_c(col), "[^0-9]", "")
+    return F.when(F.length(digits) > 0, digits.try_cast("int"))
 
 
 def concat_or_null(*cols) -> Column:

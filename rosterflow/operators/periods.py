@@ -73,67 +73,52 @@ def lookup_label(df: DataFrame, label_col: str, calendar: DataFrame, out_col: st
     return df.join(cal, norm == F.col("__rf_label"), "left").drop("__rf_label")
 
 
-def _bounds(df: DataFrame, col: str) -> tuple:
-    """(min, max) of a column in one small aggregate job; an empty frame gives an empty range."""
-    row = df.agg(F.min(col).alias("lo"), F.max(col).alias("hi")).first()
-    if row is None or row["lo"] is None:
-        return 0, -1
-    return row["lo"], row["hi"]
-
-
 def active_in_period(facts: DataFrame, reports: DataFrame, on: str, first_col: str, last_col: str,
                      report_period_col: str, max_period: Column | int | None = None) -> DataFrame:
     """Fact rows active in a report's period: ``first <= p and (last is null or last >= p)``.
 
     Facts expand to the period ids ``first .. coalesce(last, max_period)`` (an open
     spell runs to the last reported period), then equi-join ``(on, period)``. The
-    expansion is clamped to the reported period range, computed once.
+    expansion is clamped to the reported period range, a lazy scalar subquery: no
+    job runs while the plan is built.
     """
-    lo, hi = _bounds(reports, report_period_col)
-    if max_period is None:
-        max_period = hi
-    mp = max_period if isinstance(max_period, Column) else F.lit(max_period)
-    lo_p = F.lit(lo)
+    p = F.col(report_period_col)
+    lo, hi = reports.select(F.min(p)).scalar(), reports.select(F.max(p)).scalar()
+    mp = hi if max_period is None else max_period if isinstance(max_period, Column) else F.lit(max_period)
     # clamp to the reported periods: per-row fan-out never exceeds the calendar length
-    upper = F.least(F.coalesce(F.col(last_col), mp), mp)
-    lower = F.greatest(F.col(first_col), lo_p)
-    expanded = facts.where(F.col(first_col).isNotNull() & (lower <= upper)).withColumn(
-        "__rf_p", F.explode(F.sequence(lower, upper)))
-    r = reports.withColumn("__rf_p", F.col(report_period_col))
-    joined = expanded.join(r, [on, "__rf_p"])
-    cond = (F.col(first_col) <= F.col(report_period_col)) & (
-        F.col(last_col).isNull() | (F.col(last_col) >= F.col(report_period_col)))
+    bounded = facts.where(F.col(first_col).isNotNull()).withColumn(
+        "__rf_hi", F.least(F.coalesce(F.col(last_col), mp), mp)).withColumn("__rf_lo", F.greatest(F.col(first_col), lo))
+    expanded = bounded.where("__rf_lo <= __rf_hi").withColumn("__rf_p", F.explode(F.sequence("__rf_lo", "__rf_hi")))
+    r = reports.withColumn("__rf_p", p)
+    joined = expanded.drop("__rf_lo", "__rf_hi").join(r, [on, "__rf_p"])
+    cond = (F.col(first_col) <= p) & (F.col(last_col).isNull() | (F.col(last_col) >= p))
     return joined.where(cond).drop("__rf_p")
 
 
 def interval_overlap_join(facts: DataFrame, periods: DataFrame, on: str, start_col: str, end_col: str,
-                          period_id_col: str, period_start_col: str, period_end_col: str,
-                          first_month: Column, open_end: Column | None = None) -> DataFrame:
+                          period_start_col: str, period_end_col: str) -> DataFrame:
     """``start <= period_end and (end is null or end >= period_start)`` per key.
 
-    A period covers at most its own month plus a few days on either side, so an
-    interval can only touch the periods of its months and one neighbour each
-    way: the fact expands to those ids (bounded by its month span + 2), joins on
-    (key, period id) and is verified. An open interval runs to the last period
-    present (or to ``open_end``'s period when given); every expansion is clamped
-    to the period ids present, so fan-out never exceeds the calendar length.
+    Facts and periods expand to the months that they cover, whatever the periods'
+    length or ids, join on (key, month) and are verified; a pair counts in its first
+    common month only. An open interval runs to the last month of any period, and
+    every expansion is clamped to the months that periods cover (lazy scalar
+    subqueries), so fan-out never exceeds the calendar's length.
     """
-    s = F.to_date(F.col(start_col))
-    end = F.to_date(F.col(end_col))
-    e = F.coalesce(end, s)
-    p_min, p_max = (F.lit(v) for v in _bounds(periods, period_id_col))
-    open_hi = p_max if open_end is None else F.least(period_for_month(F.to_date(open_end), first_month) + 1, p_max)
-    lo = F.greatest(period_for_month(F.least(s, e), first_month) - 1, p_min)
-    hi = F.when(end.isNull(), F.greatest(open_hi, period_for_month(s, first_month) + 1)).otherwise(
-        period_for_month(F.greatest(s, e), first_month) + 1)
-    hi = F.least(hi, p_max)
-    expanded = (facts.where(s.isNotNull() & (lo <= hi))
-                .withColumn("__rf_p", F.explode(F.sequence(lo, hi))))
-    p = periods.withColumn("__rf_p", F.col(period_id_col))
-    joined = expanded.join(p, [on, "__rf_p"])
-    cond = (F.to_date(F.col(start_col)) <= F.col(period_end_col)) & (
-        F.col(end_col).isNull() | (F.to_date(F.col(end_col)) >= F.col(period_start_col)))
-    return joined.where(cond).drop("__rf_p")
+    s, end = F.to_date(F.col(start_col)), F.to_date(F.col(end_col))
+    p_start, p_end = F.to_date(F.col(period_start_col)), F.to_date(F.col(period_end_col))
+    month = F.expr("interval 1 month")
+    first = F.trunc(periods.select(F.min(F.least(p_start, p_end))).scalar(), "month")
+    last = F.trunc(periods.select(F.max(F.greatest(p_start, p_end))).scalar(), "month")
+    bounded = facts.where(s.isNotNull()).withColumn(
+        "__rf_lo", F.greatest(F.trunc(F.least(s, F.coalesce(end, s)), "month"), first)).withColumn(
+        "__rf_hi", F.least(F.when(end.isNull(), last).otherwise(F.trunc(F.greatest(s, end), "month")), last))
+    expanded = bounded.where("__rf_lo <= __rf_hi").withColumn("__rf_m", F.explode(F.sequence("__rf_lo", "__rf_hi", month)))
+    p = periods.withColumn("__rf_plo", F.trunc(F.least(p_start, p_end), "month")).where(p_start.isNotNull() & p_end.isNotNull())
+    p = p.withColumn("__rf_m", F.explode(F.sequence("__rf_plo", F.trunc(F.greatest(p_start, p_end), "month"), month)))
+    joined = expanded.join(p, [on, "__rf_m"]).where(F.col("__rf_m") == F.greatest("__rf_lo", "__rf_plo"))
+    cond = (s <= F.col(period_end_col)) & (F.col(end_col).isNull() | (end >= F.col(period_start_col)))
+    return joined.where(cond).drop("__rf_m", "__rf_lo", "__rf_hi", "__rf_plo")
 
 
 def open_ended_last(last_col: str, global_max: Column, *closed_if_present) -> Column:

@@ -20,7 +20,7 @@ def flag_pivot(df: DataFrame, key: str, col: str, mapping: Mapping[str, str],
     Without ``base`` the keys of ``df`` are returned; with ``base`` every base row
     is kept (left join) and missing flags become 0.
     """
-    aggs = [F.max((F.col(col) == F.lit(v)).cast("int")).alias(name) for v, name in mapping.items()]
+    aggs = [F.max(F.coalesce(F.col(col) == F.lit(v), F.lit(False)).cast("int")).alias(name) for v, name in mapping.items()]
     flags = df.groupBy(key).agg(*aggs)
     if base is None:
         return flags
@@ -93,5 +93,5 @@ def completeness(df: DataFrame, group: Sequence[str], checks: Mapping[str, Colum
 
 def wide_counts(df: DataFrame, keys: Sequence[str], col: str, values: Sequence, prefix: str = "") -> DataFrame:
     """``count %>% pivot_wider`` as conditional counts (0 where absent)."""
-    aggs = [F.sum((F.col(col) == F.lit(v)).cast("bigint")).alias(f"{prefix}{v}") for v in values]
+    aggs = [F.sum(F.coalesce(F.col(col) == F.lit(v), F.lit(False)).cast("bigint")).alias(f"{prefix}{v}") for v in values]
     return df.groupBy(*keys).agg(*aggs)

@@ -47,6 +47,8 @@ INCOME_HEADERS = {"family_size": "Family Size", "less_than_or_equal_to": "Less t
 HEADER_HEADERS = {"contractor": "Contractor", "reporting_period": "Reporting Period",
                   "number_of_weeks": "Number of Weeks", "family_fees": "Family Fees", "n_subsidies": "# Subsidies",
                   "subsidies": "Subsidies", "date": "Date"}
+SPACES_HEADERS = {"age_group": "Age Group", "time": "Time", "accredited": "Accredited", "title_i": "Title I", "rate": "Rate",
+                  "capacity": "Capacity", "utilization": "Utilization"}
 REPORT_SUFFIX = "CDC PSR"
 # ------------------------------------------------------------------------------------
 
@@ -205,7 +207,8 @@ def billing_report(t: dict, sections=SECTIONS, report_ids: DataFrame | None = No
 def generate_reports(t: dict, out_dir: str, report_ids: DataFrame | None = None, fmt: str = "parquet") -> None:
     """Entry 3 (the report generator) for all (or the given) reports: D11 sections written per report (K7)."""
     from ..sinks.target import write_report_sections
-    write_report_sections(billing_report(t, report_ids=report_ids), out_dir, fmt)
+    headers = {"roster": ROSTER_HEADERS, "income_groups": INCOME_HEADERS, "header": HEADER_HEADERS, "spaces": SPACES_HEADERS}
+    write_report_sections(billing_report(t, report_ids=report_ids), out_dir, fmt, headers if fmt == "csv" else None)
 
 
 def _roster(act: DataFrame, subs: DataFrame, limits: DataFrame) -> DataFrame:

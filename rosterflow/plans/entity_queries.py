@@ -9,7 +9,7 @@ from ..operators import dedupe, joins, keys, reshape
 from ..operators.periods import active_in_period, interval_overlap_join, open_ended_last
 from ..operators.quality import one_value_per_group
 from ..sources.lookups import RATES_CSV, rates
-from .catalog import CAL_SQL, Tables, calendar, first_month, period_id, query, scalar_value, sql_period
+from .catalog import CAL_SQL, Tables, calendar, first_month, period_id, query, sql_period
 
 # --- fixed parameters of the bindings ----------------------------------------------
 SPELL_MAX_DAYS = 90          # order spell = [order date, order date + custkey % 90 days]
@@ -361,9 +361,8 @@ def interval_overlap(spark, sf):
     t = Tables(spark, sf)
     cal = F.broadcast(calendar(t).select(F.col("id").alias("period_id"), "period_start", "period_end"))
     reps = report_keys(t).select("organization", "period_id").join(cal, "period_id")
-    last_day = scalar_value(cal.select(F.max("period_end")))
-    out = interval_overlap_join(order_spells(t), reps, "organization", "spell_start", "spell_end", "period_id",
-                                "period_start", "period_end", first_month(t), last_day)
+    out = interval_overlap_join(order_spells(t), reps, "organization", "spell_start", "spell_end",
+                                "period_start", "period_end")
     return out.select("organization", "period_id", "o_orderkey")
 
 

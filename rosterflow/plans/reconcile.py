@@ -37,10 +37,7 @@ EDITABLE_FIELDS = {3: "BirthCertificateId", 4: "StateOfBirth", 5: "TownOfBirth"}
 MULTIPLE_FUNDING_LABEL = "Multiple Additional Funding Sources"
 FOSTER_ADDRESS_TYPE = "Foster Parent"
 TITLE_I_NAMES = ["Richard Battles Day Care"]
-FULL_TIME_SITES = [1, 2]
 PRESCHOOL_FULL_TIME = "Preschool F/T"
-WARNING_TEMPLATE = ("Fuzzy matched a child from file '{source}' to {org_name}; "
-                    "license number as written: {license_no.x}, matched to: {license_no.y}")
 FIVE_RACES = ["AmericanIndianOrAlaskaNative", "Asian", "BlackOrAfricanAmerican", "NativeHawaiianOrPacificIslander",
               "White"]
 # -----------------------------------------------------------------------------------------
@@ -66,7 +63,8 @@ def psr_enrollment(roster: DataFrame, header: DataFrame, programs: DataFrame, ca
         "naeyc_id", "registry_id", "facility_code")
     pairs = fuzzy.fuzzy_join(r, progs, "license_no", "program_license_no", max_dist=1, dist_col="fuzzy")
     return fuzzy.best_match(pairs, ["source", "sasid", "first_name", "last_name"], "fuzzy",
-                            ["program_license_no", "name", "row_no"])
+                            ["program_license_no", "name", "facility_code", "org_name", "naeyc_id", "registry_id", "address",
+                             "town", "zip", "row_no"])
 
 
 def one_org_per_file(enrollment: DataFrame) -> DataFrame:
@@ -153,6 +151,7 @@ def registered_flat(db: dict[str, DataFrame], sasids: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- D6, V2
 
+# --- fixed values: columns taken over from the roster and from the database ---
 STUDENT_COLUMNS = ["sasid", "first_name", "last_name", "organization_id", "c4k_case_no", "c4k", "age_group",
                    "reimbursement_rate", "enrollment_date", "termination_date", "no_in_family", "annual_income"]
 DATABASE_COLUMNS = ["SASID", "FacilityCode", "FirstName", "MiddleName", "LastName", "Dob", "Gender",
@@ -227,7 +226,7 @@ def families(students: DataFrame) -> DataFrame:
     """One family per child; address line only when both parts are present."""
     return students.select(
         F.col("student_id").alias("family_id"),
-        rc.concat_or_null(F.col("StreetNumber"), F.lit(" "), F.col("Address1")).alias("AddressLine1"),
+        F.col("sasid").alias("nk_person"), rc.concat_or_null(F.col("StreetNumber"), F.lit(" "), F.col("Address1")).alias("AddressLine1"),
         F.col("Address2").alias("AddressLine2"), "Town", "State", "Zip", F.lit(False).alias("Homelessness"),
         "organization_id")
 
@@ -285,7 +284,7 @@ def enrollments(enrollment: DataFrame, flat: DataFrame, children_df: DataFrame,
     violations = unique_key_violations(u, ["sasid", "age_group"])
     entry = F.coalesce(F.to_date("enrollment_date"), F.to_date("EnrollmentDate"))
     exit_ = F.coalesce(F.to_date("termination_date"), F.to_date("FacilityExitDate"))
-    out = u.select("enrollment_id", "child_id", "site_id",
+    out = u.select("enrollment_id", "child_id", "site_id", "facility_code",
                    rc.recode("age_group", rc.AGE_GROUP_CODES).alias("AgeGroup"),
                    entry.alias("Entry"), exit_.alias("Exit"),
                    rc.exit_reason("ExitCategory", exit_).alias("ExitReason"))
@@ -295,8 +294,11 @@ def enrollments(enrollment: DataFrame, flat: DataFrame, children_df: DataFrame,
 # ---------------------------------------------------------------- D9
 
 def fundings(uniqued: DataFrame, enrollment: DataFrame, calendar: DataFrame,
-             full_time_sites: Sequence[int] = FULL_TIME_SITES) -> DataFrame:
-    """CDC and C4K fundings, bound by name (O3) and numbered."""
+             full_time_sites: Sequence[str] = ()) -> DataFrame:
+    """CDC and C4K fundings, bound by name (O3) and numbered.
+
+    ``full_time_sites``: facility codes of the sites whose spaces are all full time (E8).
+    """
     # R's max() without na.rm: one roster whose header matched no period makes the bound NA
     last_seen = enrollment.select(strict_max("period")).scalar()
     open_end = (F.col("last_observed_psr_period") < last_seen) | F.col("termination_date").isNotNull() | \
@@ -307,7 +309,7 @@ def fundings(uniqued: DataFrame, enrollment: DataFrame, calendar: DataFrame,
         F.col("first_observed_psr_period").alias("FirstReportingPeriodId"),
         F.when(open_end, F.col("last_observed_psr_period")).when(~open_end, F.lit(None).cast("int"))
         .alias("LastReportingPeriodId"),
-        rc.funding_time("site_id", "age_group", full_time_sites).alias("FundingTime"))
+        rc.funding_time("facility_code", "age_group", full_time_sites).alias("FundingTime"))
     cal = F.broadcast(calendar.select(F.col("id").alias("last_observed_c4k_period"), "period_end"))
     c4k_end = F.col("last_observed_c4k_period") < last_seen
     c4k = uniqued.join(cal, "last_observed_c4k_period").select(
@@ -347,8 +349,24 @@ def current_reports(orgs: DataFrame, enrollment: DataFrame, revenue: DataFrame |
 
 def single_site_fix(enrollments_df: DataFrame, sites: DataFrame, mapping: dict | None = None
                     ) -> tuple[DataFrame, DataFrame]:
-    """Drop listed sites and move their enrollments (default: site 2 into site 1)."""
-    return keys.remap_dimension(enrollments_df, sites, "site_id", "site_id", mapping or {2: 1})
+    """Drop the listed sites and move their enrollments; without a mapping nothing changes.
+
+    ``mapping``: ``{facility code: facility code}``, a short literal; the sites it
+    names are looked up, so a mapping holds whatever ids a run assigns.
+    """
+    if not mapping:
+        return enrollments_df, sites
+    codes = [*mapping.keys(), *mapping.values()]
+    ids = {r["facility_code"]: r["site_id"] for r in
+           sites.where(F.col("facility_code").isin(codes)).groupBy("facility_code").agg(F.min("site_id").alias("site_id")).collect()}
+    known = {ids[a]: ids[b] for a, b in mapping.items() if a in ids and b in ids and a != b}
+    return keys.remap_dimension(enrollments_df, sites, "site_id", "site_id", known)
+
+
+def child_guid(sasid: str, organization: str):
+    """A repeatable identifier in GUID form: a hash of the child's natural key, so a retried task makes the same one."""
+    h = F.sha2(F.to_json(F.array(F.col(organization).cast("string"), F.col(sasid).cast("string"))), 256)
+    return F.concat_ws("-", *[F.substring(h, at, n) for at, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
 
 
 def to_target_tables(orgs: DataFrame, sites: DataFrame, families_df: DataFrame, determinations: DataFrame,
@@ -358,19 +376,20 @@ def to_target_tables(orgs: DataFrame, sites: DataFrame, families_df: DataFrame,
     return {
         "Organization": orgs.select("organization_id", F.col("name").alias("Name")),
         "Site": sites.select("site_id", F.col("name").alias("Name"), F.col("title_i").alias("TitleI"),
-                             region_code_map()[F.col("region")].alias("Region"),
+                             region_code_map()[F.col("region")].alias("Region"), F.col("facility_code").alias("nk_facility"),
                              F.col("organization_id").alias("OrganizationId")),
         "Family": families_df.select("family_id", "AddressLine1", "AddressLine2", "Town", "State", "Zip",
-                                     "Homelessness", F.col("organization_id").alias("OrganizationId")),
+                                     "Homelessness", F.col("organization_id").alias("OrganizationId"), "nk_person"),
         "FamilyDetermination": determinations.select("family_determination_id", "NotDisclosed", "NumberOfPeople",
                                                      "Income", "DeterminationDate",
                                                      F.col("family_id").alias("FamilyId")),
-        "Child": children_df.select("child_id", *[c for c in children_df.columns
+        "Child": children_df.select("child_id", child_guid("Sasid", "organization_id").alias("Guid"), *[c for c in children_df.columns
                                                   if c not in ("child_id", "family_id", "organization_id")],
                                     F.col("family_id").alias("FamilyId"),
                                     F.col("organization_id").alias("OrganizationId")),
         "Enrollment": enrollments_df.select("enrollment_id", "AgeGroup", "Entry", "Exit", "ExitReason",
-                                            F.col("child_id").alias("ChildId"), F.col("site_id").alias("SiteId")),
+                                            F.col("child_id").alias("ChildId"), F.col("site_id").alias("SiteId"),
+                                            F.col("facility_code").alias("nk_facility")),
         "Funding": fundings_df.select("funding_id", F.col("FundingSource").alias("Source"), "FamilyId",
                                       "CertificateStartDate", "CertificateEndDate", "FirstReportingPeriodId",
                                       "LastReportingPeriodId", F.col("FundingTime").alias("Time"),
@@ -381,37 +400,44 @@ def to_target_tables(orgs: DataFrame, sites: DataFrame, families_df: DataFrame,
     }
 
 
-def gates(enrollment: DataFrame, late: DataFrame, nonunique: DataFrame) -> list[tuple[str, DataFrame, str]]:
-    """V1-V4 rules for ``quality.check``."""
-    return [("one organization per file", one_org_per_file(enrollment), "stop"),
-            ("key given after appearing without one", late, "stop"),
-            ("person x age group unique", nonunique, "stop"),
-            ("inexact licence match", fuzzy_match_warnings(enrollment), "warn")]
+def gates(enrollment: DataFrame, late: DataFrame | None = None, nonunique: DataFrame | None = None
+          ) -> list[tuple[str, DataFrame, str]]:
+    """V1-V4 rules for ``quality.check``; V2 and V3 if their violations are given."""
+    rules = [("one organization per file", one_org_per_file(enrollment), "stop")]
+    if late is not None:
+        rules.append(("key given after appearing without one", late, "stop"))
+    if nonunique is not None:
+        rules.append(("person x age group unique", nonunique, "stop"))
+    return [*rules, ("inexact licence match", fuzzy_match_warnings(enrollment), "warn")]
 
 
 def run_migration(spark, roster_folder: str, programs_path: str, db: dict[str, DataFrame], out_dir: str,
                   calendar_start, calendar_end, birthdates: DataFrame | None = None,
                   keys_to_merge: DataFrame | None = None, org_ids: DataFrame | None = None,
                   site_mapping: dict | None = None,
-                  full_time_sites: Sequence[int] = FULL_TIME_SITES) -> dict[str, DataFrame]:
+                  full_time_sites: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Entry 1 (the migration script) end to end: sources -> D1-D9 -> gates -> load.
 
-    Stop-gates are enforced before anything is written (``QualityGateError``);
+    The workbooks are read once: the extracted cells and the matched roster are
+    reliable checkpoints. V1 is enforced on the matched roster, the other
+    stop-gates before anything is loaded (``QualityGateError``);
     warnings are returned with the gate results. Returns the key maps of the
     loaded tables plus ``gates``.
     """
     from ..operators.periods import reporting_calendar
     from ..operators.quality import check, enforce, lookup_key_violations
-    from ..sinks.target import load_target
+    from ..session import cut_lineage
+    from ..sinks.target import load_periods, load_target, to_target_periods
     from ..sources.files import read_programs
     from ..sources.lookups import towns
-    from ..sources.workbooks import read_roster_folder
+    from ..sources.workbooks import extract_workbooks, list_workbooks, roster_frames
 
     cal = reporting_calendar(spark, calendar_start, calendar_end)
     first_start = cal.select(F.min("period_start")).first()[0]
-    frames = read_roster_folder(spark, roster_folder)
+    frames = roster_frames(cut_lineage(extract_workbooks(list_workbooks(spark, roster_folder))))
     programs = read_programs(spark, programs_path)
-    enr = psr_enrollment(frames["roster"], frames["header"], programs, cal)
+    enr = cut_lineage(psr_enrollment(frames["roster"], frames["header"], programs, cal))
+    enforce(check(spark, gates(enr)[:1]))
     rev = psr_revenue(frames["totals"], frames["header"], enr, cal)
     orgs, sites = organizations_and_sites(rev, programs, towns(spark))
     flat = enrollment_flat(db, sites)
@@ -428,6 +454,9 @@ def run_migration(spark, roster_folder: str, programs_path: str, db: dict[str, D
     enrl, sites = single_site_fix(enrl, sites, site_mapping)
     tables = to_target_tables(orgs, sites, families(students), family_determinations(students), kids, enrl,
                               funds, reports)
+    load_periods(cal, out_dir)
+    tables["Funding"] = to_target_periods(tables["Funding"], ["FirstReportingPeriodId", "LastReportingPeriodId"], cal, out_dir)
+    tables["Report"] = to_target_periods(tables["Report"], ["ReportingPeriodId"], cal, out_dir, required=["ReportingPeriodId"])
     out = load_target(tables, out_dir, org_ids)
     out["gates"] = results
     return out

@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of this package expects. AQE re-plans joins from runtime
@@ -29,21 +30,28 @@ DEFAULT_CONF = {
 
 def get_session(master: str | None = None, app_name: str = "rosterflow",
                 shuffle_partitions: int | None = None, extra: dict | None = None) -> SparkSession:
-    """Build (or reuse) a session with the package defaults.
+    """Build (or reuse) a session; the package defaults fill in only what is unset.
 
-    ``master`` defaults to ``local[$BENCH_CPUS or *]``; on a cluster pass
-    ``None`` through ``spark-submit`` and the deployment's master wins.
+    Whatever the deployment configures (``spark-submit`` options, spark-defaults,
+    an active session) wins over the defaults; arguments of this call win over
+    both. Outside ``spark-submit``, without a configured master, the session is
+    local with ``$BENCH_CPUS`` (or all) threads.
     """
     builder = SparkSession.builder.appName(app_name)
-    if master is None and not os.environ.get("SPARK_MASTER"):
-        master = f"local[{os.environ.get('BENCH_CPUS', '*')}]"
-    if master:
-        builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
+    conf = dict(extra or {})
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("SPARK_DRIVER_MEMORY", "16g")
-    conf.update(extra or {})
+    if master:
+        builder = builder.master(master)
+    if SparkSession.getActiveSession() is None and not os.environ.get("SPARK_REMOTE"):
+        submitted = "PYSPARK_GATEWAY_PORT" in os.environ or "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", "")
+        SparkContext._ensure_initialized()
+        given = SparkConf()               # with what spark-submit and spark-defaults have set
+        # without a submit, Spark's launcher has put a master of its own there
+        if master is None and not submitted and given.get("spark.master", "local[*]") == "local[*]":
+            builder = builder.master(os.environ.get("SPARK_MASTER") or f"local[{os.environ.get('BENCH_CPUS', '*')}]")
+        defaults = {**DEFAULT_CONF, "spark.driver.memory": os.environ.get("SPARK_DRIVER_MEMORY", "16g")}
+        conf = {**{k: v for k, v in defaults.items() if not given.contains(k)}, **conf}
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()

@@ -38,9 +38,9 @@ def read_programs(spark: SparkSession, path: str, skip_header: bool = True,
 
 
 def read_birthdates(spark: SparkSession, path: str) -> DataFrame:
-    """Supplementary birth dates, text key + ``MM/dd/yyyy`` date, distinct rows."""
+    """Supplementary birth dates, text key + date with one- or two-digit month and day, distinct rows."""
     return (spark.read.schema("SASID string, Birthdate date").option("header", True)
-            .option("dateFormat", "MM/dd/yyyy").csv(path).distinct())
+            .option("dateFormat", "M/d/yyyy").csv(path).distinct())
 
 
 def read_rates(spark: SparkSession, path: str) -> DataFrame:

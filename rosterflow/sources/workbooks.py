@@ -122,7 +122,9 @@ def _extract_one(source: str, data: bytes, sections) -> list[tuple]:
     d1904 = book.date1904
     grids: dict = {}
     for sec in sections:
-        g = grids.setdefault(sec.sheet, book.grid(sec.sheet))
+        if sec.sheet not in grids:
+            grids[sec.sheet] = book.grid(sec.sheet)
+        g = grids[sec.sheet]
         if sec.kind == "cell":
             r, c = _split_ref(sec.ref)
             out.append((source, sec.name, 0, [g.get((r, c))], d1904))
@@ -149,11 +151,18 @@ def extract_workbooks(files: DataFrame, sections=ROSTER_SECTIONS) -> DataFrame:
     return files.select("path", "content").mapInPandas(run, EXTRACT_SCHEMA)
 
 
-def list_workbooks(spark: SparkSession, folder: str, pattern: str = "*.xlsx") -> DataFrame:
-    """Every workbook of a folder, skipping lock files (``~...``) and other files."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.where(~name.startswith("~"))
+def is_workbook(path="path"):
+    """Every file but ``.keep`` and lock files (``~...``), whatever its suffix."""
+    name = F.element_at(F.split(path, "/"), -1)
+    return ~name.startswith("~") & (name != ".keep")
+
+
+def list_workbooks(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
+    """The workbooks of a folder; ``pattern`` is an optional glob. A file that is no workbook fails the read."""
+    reader = spark.read.format("binaryFile")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    return reader.load(folder).where(is_workbook())
 
 
 def excel_date(col, date1904=None) -> "F.Column":

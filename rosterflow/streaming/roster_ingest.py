@@ -13,19 +13,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..sources.workbooks import ROSTER_SECTIONS, extract_workbooks, roster_frames
+from ..sources.workbooks import ROSTER_SECTIONS, extract_workbooks, is_workbook, roster_frames
 
 BINARY_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
 
 
-def roster_stream(spark: SparkSession, folder: str, pattern: str = "*.xlsx",
+def roster_stream(spark: SparkSession, folder: str, pattern: str | None = None,
                   max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming frame of new workbook files (lock files ``~...`` skipped)."""
-    reader = spark.readStream.format("binaryFile").schema(BINARY_SCHEMA).option("pathGlobFilter", pattern)
+    """Streaming frame of new workbook files (S2: all but ``.keep`` and lock files ``~...``)."""
+    reader = spark.readStream.format("binaryFile").schema(BINARY_SCHEMA)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     files = reader.load(folder)
-    return files.where(~F.element_at(F.split("path", "/"), -1).startswith("~"))
+    return files.where(is_workbook())
 
 
 def _write_batch(out_dir: str, sections):

@@ -36,6 +36,26 @@ def test_text_dates_and_sections(spark):
     write_report_sections({"header": df}, out)
     assert spark.read.parquet(out + "/header").count() == 1
     assert (Path(out) / "header" / "report_id=1").exists()
+    write_report_sections({"header": df.withColumn("report_id", F.lit(2))}, out)      # report 1 stays
+    write_report_sections({"header": df.withColumn("d", F.lit(None).cast("date"))}, out)
+    assert rows(spark.read.parquet(out + "/header"), "report_id", "d") == [(1, None), (2, dt.date(2020, 1, 2))]
+    text = tempfile.mkdtemp(prefix="rf-sections-")
+    write_report_sections({"header": df}, text, "csv", {"header": {"d": "Date"}})
+    assert spark.read.option("header", True).csv(text + "/header").columns == ["Date", "t", "report_id"]
+
+
+def test_birth_dates_with_one_digit(spark, tmp_path):
+    from rosterflow.sources.files import read_birthdates
+    (tmp_path / "b.csv").write_text("SASID,Birthdate\nS1,1/5/2015\nS2,12/25/2016\nS3,02/03/2014\n")
+    assert rows(read_birthdates(spark, str(tmp_path / "b.csv")), "SASID", "Birthdate") == [
+        ("S1", dt.date(2015, 1, 5)), ("S2", dt.date(2016, 12, 25)), ("S3", dt.date(2014, 2, 3))]
+
+
+def test_workbook_names(spark):
+    from rosterflow.sources.workbooks import is_workbook
+    names = ["a.xlsx", "B.XLSX", "c.xlsm", "~$a.xlsx", ".keep", "report"]
+    df = spark.createDataFrame([(f"file:/x/{n}",) for n in names], "path string")
+    assert rows(df.where(is_workbook())) == sorted((f"file:/x/{n}",) for n in ("a.xlsx", "B.XLSX", "c.xlsm", "report"))
 
 
 def test_report_filter_and_past_reports(spark):

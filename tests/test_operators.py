@@ -204,8 +204,7 @@ def test_active_and_overlap_edges(spark):
         (1, "o", dt.date(2019, 7, 28), dt.date(2019, 7, 28)),   # last day of period 1
         (2, "o", dt.date(2019, 7, 29), dt.date(2019, 7, 29)),   # first day of period 2
         (3, "o", dt.date(2019, 10, 20), None)], "f int, org string, s date, e date")
-    out = periods.interval_overlap_join(spells, cal, "org", "s", "e", "pid", "period_start", "period_end",
-                                        F.lit(dt.date(2019, 7, 1)), F.lit(dt.date(2019, 11, 30)))
+    out = periods.interval_overlap_join(spells, cal, "org", "s", "e", "period_start", "period_end")
     assert rows(out, "f", "pid") == [(1, 1), (2, 2), (3, 4), (3, 5)]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "CartesianProduct" not in plan
@@ -406,15 +405,26 @@ def test_interval_overlap_matches_brute_force(spark, spells):
     data = [(i, f"o{o}", base + dt.timedelta(days=a), None if b is None else base + dt.timedelta(days=b))
             for i, (o, a, b) in enumerate(spells)]
     facts = spark.createDataFrame(data, "f int, org string, s date, e date")
-    last_day = max(e for _, _, e in cal_rows)
-    got = rows(periods.interval_overlap_join(facts, per, "org", "s", "e", "pid", "period_start", "period_end",
-                                             F.lit(base), F.lit(last_day)), "f", "pid")
+    got = rows(periods.interval_overlap_join(facts, per, "org", "s", "e", "period_start", "period_end"), "f", "pid")
     want = sorted((i, pid) for i, _, s, e in data for pid, ps, pe in cal_rows
                   if s <= pe and (e is None or e >= ps))
     assert got == want
-    got_default = rows(periods.interval_overlap_join(facts, per, "org", "s", "e", "pid", "period_start",
-                                                     "period_end", F.lit(base)), "f", "pid")
-    assert got_default == want
+
+
+def test_interval_overlap_takes_periods_of_any_length_and_id(spark):
+    """Periods of a year, ids that are no month offsets, open spells: every pair is found, no job runs while planning."""
+    per = spark.createDataFrame([("o", 900, dt.date(2019, 1, 5), dt.date(2019, 12, 20)), ("o", 7, dt.date(2020, 2, 1), dt.date(2020, 2, 3))],
+                                "org string, pid int, period_start date, period_end date")
+    facts = spark.createDataFrame([(1, "o", dt.date(2019, 6, 1), dt.date(2019, 6, 2)), (2, "o", dt.date(2018, 1, 1), None),
+                                   (3, "o", dt.date(2019, 12, 21), dt.date(2020, 1, 31)), (4, "o", dt.date(2019, 3, 9), dt.date(2020, 2, 1))],
+                                  "f int, org string, s date, e date")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "no job may run")
+    out = periods.interval_overlap_join(facts, per, "org", "s", "e", "period_start", "period_end")
+    out._jdf.queryExecution().optimizedPlan()
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setJobGroup("running", "")
+    assert rows(out, "f", "pid") == [(1, 900), (2, 7), (2, 900), (4, 7), (4, 900)]
 
 
 def test_null_counts(spark):

@@ -35,4 +35,4 @@ def test_entry_runs(spark):
     df = e.entry(spark)
     assert df.columns[:3] == ["c_custkey", "c_name", "c_nationkey"]
     assert df.count() >= 0
-    assert set(e.queries()) == set(QUERIES)
+    assert set(QUERIES) <= set(e.queries())

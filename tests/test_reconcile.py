@@ -182,7 +182,11 @@ def test_reconcile_end_to_end(spark, inputs):
     res = quality.check(spark, rc.gates(enr, late, nonunique))
     quality.enforce(res)   # no stop rule fires
 
-    enrl_fixed, sites_fixed = rc.single_site_fix(enrl, sites, {2: 1})
+    codes = [r["facility_code"] for r in sites.orderBy("site_id").collect()]
+    for nothing in (None, {}):
+        same_enrl, same_sites = rc.single_site_fix(enrl, sites, nothing)
+        assert rows(same_sites, "site_id") == [(1,), (2,)] and rows(same_enrl) == rows(enrl)
+    enrl_fixed, sites_fixed = rc.single_site_fix(enrl, sites, {codes[1]: codes[0]})
     assert rows(sites_fixed, "site_id") == [(1,)] and rows(enrl_fixed, "site_id") == [(1,), (1,), (1,)]
     out = tempfile.mkdtemp(prefix="rf-target-")
     tables = rc.to_target_tables(orgs, sites, fams, dets, kids, enrl, funds, reports)
@@ -245,7 +249,10 @@ def test_run_migration_entry_point(spark, inputs):
                                                 ("one organization per file", 0), ("person x age group unique", 0),
                                                 ("towns key unique", 0)]
     assert spark.read.parquet(out + "/Child").count() == 3
-    assert spark.read.parquet(out + "/Site").count() == 1          # single-site fix: site 2 folded into 1
+    assert spark.read.parquet(out + "/Site").count() == 2          # no site is dropped without a mapping
+    reports = spark.read.parquet(out + "/Report").join(spark.read.parquet(out + "/ReportingPeriod").select(F.col("Id").alias("ReportingPeriodId"), "Period"), "ReportingPeriodId")
+    assert rows(reports, "Period") == [(dt.date(2019, 10, 1),), (dt.date(2019, 10, 1),)]      # K4: target period ids
+    assert spark.read.parquet(out + "/Child").where("Guid is null").count() == 0
     assert maps["Funding"].count() == 4
     dup_dates = spark.createDataFrame([("S1", dt.date(2016, 1, 1)), ("S1", dt.date(2016, 2, 2))],
                                       "SASID string, Birthdate date")
@@ -286,3 +293,46 @@ def test_same_name_without_key_in_two_files(spark):
     # last row per name by period: NA sorts last in R, so Cy's unknown-period row wins
     assert rows(psr, "sasid", "organization_id", "age_group") == [("TEMP-Bo-Roe", 2, "PS"), ("TEMP-Cy-Fox", 2, "PS")]
     assert late.count() == 0
+
+
+def test_second_load_with_a_row_in_between(spark):
+    """K1: ids follow natural keys, so a row that sorts in between is added and nothing is loaded twice."""
+    out = tempfile.mkdtemp(prefix="rf-natural-")
+
+    def tables(names):
+        orgs = spark.createDataFrame([(i + 1, n) for i, n in enumerate(sorted(names))], "organization_id long, Name string")
+        fams = spark.createDataFrame([(i + 1, i + 1, f"kid of {n}") for i, n in enumerate(sorted(names))],
+                                     "family_id long, OrganizationId long, nk_person string")
+        return {"Organization": orgs, "Family": fams}
+
+    load_target(tables(["Alpha", "Gamma"]), out)
+    maps = load_target(tables(["Alpha", "Beta", "Gamma"]), out)
+    assert rows(spark.read.parquet(out + "/Organization"), "Name", "Id") == [("Alpha", 1), ("Beta", 3), ("Gamma", 2)]
+    assert rows(spark.read.parquet(out + "/Family"), "Id", "OrganizationId") == [(1, 1), (2, 2), (3, 3)]
+    assert "nk_person" not in spark.read.parquet(out + "/Family").columns
+    assert rows(maps["Organization"], "LocalId", "Id") == [("1", 1), ("2", 3), ("3", 2)]
+
+
+def test_read_errors_are_not_taken_for_a_first_load(spark, tmp_path):
+    from rosterflow.sinks.target import ParquetStore
+    store = ParquetStore(str(tmp_path))
+    assert store.read(spark, "Organization") is None
+    (tmp_path / "Organization").mkdir()
+    (tmp_path / "Organization" / "part-0.parquet").write_bytes(b"not a parquet file")
+    with pytest.raises(Exception):
+        store.read(spark, "Organization").count()
+
+
+def test_workbooks_are_parsed_once(spark, inputs, monkeypatch):
+    from rosterflow.sources import workbooks
+    calls = []
+    original = workbooks.extract_workbooks
+    monkeypatch.setattr(workbooks, "extract_workbooks", lambda *a, **k: calls.append(1) or original(*a, **k))
+    frames = []
+    seen = workbooks.roster_frames
+    monkeypatch.setattr(workbooks, "roster_frames", lambda cells: frames.append(cells) or seen(cells))
+    rc.run_migration(spark, str(inputs / "rosters"), str(inputs / "programs.csv"), _database(spark),
+                     tempfile.mkdtemp(prefix="rf-migration-"), dt.date(2019, 7, 1), dt.date(2029, 7, 1))
+    assert len(calls) == 1 and len(frames) == 1
+    plan = frames[0]._jdf.queryExecution().toString()
+    assert "binaryFile" not in plan and "MapInPandas" not in plan       # later steps read the stored cells
