@@ -86,4 +86,35 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_decontamination": op10_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: SQL where it can express a query; tests/llm hold the others against brute force, an exact round trip or held-out accuracy.
+ORACLE_SQL: dict[str, str] = {
+    "op8_circulant_minhash": rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("text")}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, w[i] || ' ' || w[i + 1] AS s FROM d, unnest(range(1, len(w))) AS t(i)
+      UNION SELECT doc_id, w[1] FROM d WHERE len(w) = 1),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (SELECT a, b FROM edge UNION SELECT r.a, e.b FROM reach r JOIN edge e ON r.b = e.a),
+root AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(root.b, d.doc_id)) AS component_id,
+       d.doc_id <= coalesce(root.b, d.doc_id) AS kept
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN root ON root.a = d.doc_id""",
+    "op10_decontamination": rf"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark WHERE item_id IS NOT NULL),
+win AS (SELECT DISTINCT item_id, k, array_to_string(w[i:i + k - 1], ' ') AS t
+        FROM (SELECT *, least(len(w), 13) AS k FROM b WHERE len(w) > 0), unnest(range(1, len(w) - k + 2)) AS u(i)),
+spots AS (SELECT doc_id, k, i, array_to_string(w[i:i + k - 1], ' ') AS t
+       FROM d, (SELECT DISTINCT k FROM win), unnest(range(1, len(w) - k + 2)) AS u(i)),
+hit AS (SELECT doc_id, item_id, spots.i, spots.k FROM spots JOIN win ON spots.k = win.k AND spots.t = win.t),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS names
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
+FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id""",
+}

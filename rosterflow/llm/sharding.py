@@ -52,8 +52,8 @@ def item_of(digest: Column, shards: int) -> Column:
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) per row of ``docs`` under the law `bytes`.
 
-    Size: bytes of the text in UTF-8 plus 8. Rows of equal texts form a group and share a shard; null texts are
-    one group, empty texts another. The sizes of groups are summed in Spark; those of at least a 256th of a mean
+    Size: bytes of the text in UTF-8 plus 8. Rows of equal texts form a group and share a shard; null
+    and empty texts are one group. The sizes of groups are summed in Spark; those of at least a 256th of a mean
     shard (at most 256 for each shard) are scheduled one by one, the others as hash items. Only this bounded
     schedule passes the driver and is broadcast. No row moves but the narrow (doc_id, size, ...) ones, once.
 
@@ -63,7 +63,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     """
     text = F.col("text").cast("string")
     size = F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + ROW_BYTES
-    digest = F.coalesce(F.sha2(text, 256), F.lit("null"))
+    digest = F.sha2(F.coalesce(text, F.lit("")), 256)
     rows = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), size.alias("size"), F.crc32(text).alias("text_crc32"), digest.alias("digest")))
 
     groups = stored(rows.groupBy("digest").agg(F.sum("size").alias("size"), F.count("*").alias("n")))
@@ -77,7 +77,7 @@ def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     single = F.broadcast(plan.where("item like 'g%'").select(F.expr("substring(item, 2)").alias("digest"), F.col("shard").alias("own")))
     shared = F.broadcast(plan.where("item like 'h%'").select("item", F.col("shard").alias("common")))
     out = rows.withColumn("item", item_of(F.col("digest"), shards)).join(single, "digest", "left").join(shared, "item", "left")
-    # crc32 is unsigned in Spark; a null text has that of no bytes
+    # a null text has the checksum of no bytes
     out = out.select("doc_id", "size", F.coalesce("text_crc32", F.lit(0)).cast("long").alias("text_crc32"), F.coalesce("own", "common").alias("shard"))
     return _with_slots(out, shards, int(total["n"])).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
