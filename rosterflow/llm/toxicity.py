@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import texts_of
+from rosterflow.llm.common import stored, texts_of
 
 #: At most about so many labelled rows of each class, picked by a hash of doc_id, teach lexicon and calibration.
 TOXIC_ROWS, CLEAN_ROWS = 4_000, 8_000
@@ -129,7 +129,7 @@ def learn_lexicon(sample: DataFrame, entries: int = LEXICON) -> dict[str, float]
     pairs = sample.mapInPandas(run, "term string, before string, toxic int").select("term", F.xxhash64("before").alias("before"), "toxic")
     whole = F.col("term").endswith(" ")
     contexts = pairs.groupBy("term", "before").agg(F.max("toxic").alias("t"), F.min("toxic").alias("c"))
-    per_term = contexts.groupBy("term").agg(F.sum("t").alias("toxic"), F.sum(1 - F.col("c")).alias("clean"))
+    per_term = stored(contexts.groupBy("term").agg(F.sum("t").alias("toxic"), F.sum(1 - F.col("c")).alias("clean")))
     totals = per_term.where(whole).agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")).first()
     all_toxic, all_clean = totals["toxic"] or 0, totals["clean"] or 0
     t, c = F.col("toxic") + 0.5, F.col("clean") + 0.5
@@ -163,7 +163,8 @@ def _weights(sample: DataFrame, lexicon: dict[str, float]) -> tuple[np.ndarray,
         for batch in batches:
             yield pd.DataFrame({"x": [matcher.weigh(folded_words(t)) for t in texts_of(batch["text"])], "y": batch["toxic"]})
 
-    found = sample.mapInPandas(run, "x double, y int").orderBy("x", "y").collect()
+    # sorted, so that the sums of the fit do not depend on the order in which tasks end
+    found = sorted(sample.mapInPandas(run, "x double, y int").collect())
     return np.array([r["x"] for r in found]), np.array([r["y"] for r in found])
 
 
@@ -179,6 +180,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, toxi
     a fixed curve are used.
     """
     sample, counts = training_sample(docs, labels, toxic_rows, clean_rows)
+    sample = stored(sample)
     lexicon = learn_lexicon(sample)
     intercept, slope = calibrate(*_weights(sample, lexicon), counts)
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
