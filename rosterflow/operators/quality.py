@@ -1,8 +1,8 @@
 """Data-quality gates.
 
 A rule is a frame of violating rows. ``check`` turns rules into one result frame
-``(rule, severity, n, sample)`` — counting is an aggregate, the sample a bounded
-``limit`` of a few keys for the message — and ``enforce`` raises when a
+``(rule, severity, n, sample)`` — one aggregate per rule, the sample being the least
+and the greatest key for the message — and ``enforce`` raises when a
 ``stop`` rule has rows, like the reference's ``stop()`` calls.
 """
 
@@ -14,8 +14,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from .dedupe import duplicates, late_key_groups
 
-SAMPLE_SIZE = 5
-
 
 class QualityGateError(RuntimeError):
     """A stop-severity rule found violating rows."""
@@ -52,10 +50,11 @@ def check(spark, rules: Sequence[tuple[str, DataFrame, str]], sample_col: str |
     parts = []
     for name, violations, severity in rules:
         key = sample_col if sample_col and sample_col in violations.columns else violations.columns[0]
-        sample = violations.select(F.col(key).cast("string").alias("k")).limit(SAMPLE_SIZE).agg(
-            F.collect_list("k")).scalar()
-        parts.append(violations.agg(F.count(F.lit(1)).alias("n"))
-                     .select(F.lit(name).alias("rule"), F.lit(severity).alias("severity"), "n", sample.alias("sample")))
+        # one pass: the count, and the least and greatest key as the sample
+        k = F.col(key).cast("string")
+        sample = F.array_distinct(F.array_compact(F.array(F.min(k), F.max(k))))
+        parts.append(violations.agg(F.count(F.lit(1)).alias("n"), sample.alias("sample"))
+                     .select(F.lit(name).alias("rule"), F.lit(severity).alias("severity"), "n", "sample"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
