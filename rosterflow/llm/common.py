@@ -155,10 +155,17 @@ def linked_groups(members: DataFrame, facts: DataFrame, verify: Callable[[DataFr
     return members.select("id", F.col("id").alias("root")).limit(0) if groups is None else groups
 
 
-#: Rows of ids (and arrays of ids) up to which a measured join side is broadcast; about 30 MB.
-BROADCAST_ROWS = 500_000
+#: Values (8 bytes each, about) up to which a measured join side is broadcast: some 30 MB.
+BROADCAST_VALUES = 500_000
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (stored, narrow rows), marked for broadcast if a count finds it small; else joins shuffle both sides."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def small(df: DataFrame, weight: Column | None = None, values: int = BROADCAST_VALUES) -> DataFrame:
+    """``df`` (stored), marked for broadcast if it is found to hold few values; else joins shuffle both sides.
+
+    ``weight`` counts the values of a row with arrays; without it a row is one value.
+    """
+    if weight is None:
+        few = df.limit(values + 1).count() <= values
+    else:
+        few = (df.agg(F.sum(weight + 1).alias("n")).first()["n"] or 0) <= values
+    return F.broadcast(df) if few else df

@@ -258,4 +258,4 @@ def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float =
     gone = stored(used.join(found, ["host", "subtree"]).groupBy("host", "around").agg(F.collect_set("subtree").alias("gone")))
     kept = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("gone")), F.lit(False)))
     text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
-    return parsed.join(small(gone), ["host", "around"], "left").select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    return parsed.join(small(gone, F.size("around") + F.size("gone")), ["host", "around"], "left").select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
