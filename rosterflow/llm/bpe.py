@@ -21,6 +21,8 @@ REMEMBERED = 500_000
 MERGED_AT_ONCE = 20_000
 #: Fixed value: the splitting pattern of byte-level pre-tokenization.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: A space after white space, which may stand inside a piece.
+INNER_SPACES = tuple(chr(c) + " " for c in range(0x110000) if chr(c).isspace())
 
 
 def byte_characters() -> list[str]:
@@ -128,7 +130,7 @@ class Bpe:
     def chunks(self, text: str) -> list[str]:
         """``text`` in chunks that are split and merged independently of each other.
 
-        A space begins a piece unless it stands in a longer run of spaces, so a text without such runs is cut
+        A space begins a piece unless white space of any kind stands before it, so a text without such places is cut
         before every space; that is much faster than the pattern, which then sees only chunks not met before.
         Other texts are cut by the pattern itself. An added token's string is a chunk of its own after a \0.
         """
@@ -143,7 +145,7 @@ class Bpe:
         return out
 
     def _cut(self, text: str) -> list[str]:
-        if "  " in text or "\0" in text:
+        if "\0" in text or any(run in text for run in INNER_SPACES):
             return self.split(text)
         return text.replace(" ", "\0 ").lstrip("\0").split("\0") if text else []
 

@@ -88,6 +88,16 @@ def test_bpe_equals_the_library(alphabet):
     assert model.decode(some) == library.decode(some, skip_special_tokens=False)
 
 
+def test_bpe_keeps_runs_of_mixed_white_space_together():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokenizer_file())
+    texts = ["a \u00a0 \u00a0 b", "x \u00a0 \u00a0 \u00a0 \u00a0 y", "x\t \ty \u3000 z", "a\n b\u00a0 c", " \u00a0 \u00a0 ", "<|endoftext|>\u00a0 \u00a0 <|endoftext|> \u00a0 b"]
+    ids, counts = bpe.Bpe(tokenizer_file()).encode(texts)
+    parts = [p.tolist() for p in np.split(ids, np.cumsum(counts)[:-1])]
+    assert parts == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)] and parts[0] == [64, 11504, 275]
+
+
 def test_shingles_signatures_and_parities():
     sets = minhash.shingle_sets(["a b c", "A  b\tc", "a", "", "a b", "x a b c"], 2)
     assert [len(s) for s in sets] == [2, 2, 1, 0, 1, 3] and (sets[0] == sets[1]).all()
