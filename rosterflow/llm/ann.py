@@ -17,6 +17,8 @@ TABLES, PROBES = 8, 16
 NEIGHBOURS = 20
 #: Rows of either side that one task compares at once; larger buckets are split.
 CHUNK = 4_096
+#: Pairs whose products a task sums again at once; the temporaries hold a vector for each.
+PAIRS = 100_000
 SEED = 77_003
 
 
@@ -51,10 +53,11 @@ def axes(x: np.ndarray, table: int, probes: int) -> np.ndarray:
 
 
 def _valid(vectors: DataFrame, vec_id: str, column: str) -> DataFrame:
-    """(vec_id, v): finite, non-zero vectors of the commonest length, as doubles."""
+    """(vec_id, v): finite, non-zero vectors of the commonest length, as doubles, each of an id once; stored."""
     v = F.col(column).cast("array<double>")
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v")).where("vec_id is not null and v is not null")
     rows = rows.where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0))
+    rows = stored(rows.dropDuplicates(["vec_id", "v"]))
     length = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), F.desc("n")).first()
     return rows.where(F.size("v") == (length["n"] if length else 0))
 
@@ -82,21 +85,46 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.frombuffer(b"".join(column.tolist()), dtype=np.float64).reshape(len(column), -1)
 
 
+def _distinct(column: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each row's vector, and the distinct vectors."""
+    code, first = pd.factorize(column)
+    return code, _matrix(pd.Series(first))
+
+
 def nearest_in(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataFrame:
-    """The ``k`` nearest of ``rows`` for each of ``queries``, by inner product, ties to the smaller id."""
+    """The ``k`` nearest of ``rows`` for each of ``queries``, by inner product, ties to the smaller id.
+
+    An id counts once, with its best vector, and never for itself. Equal vectors are compared once.
+    """
     if not len(queries) or not len(rows):
         return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}).astype({"query_id": "int64", "vec_id": "int64"})
-    q, x = _matrix(queries["v"]), _matrix(rows["v"])
-    query_ids, ids = queries["vec_id"].to_numpy(), rows["vec_id"].to_numpy()
+    rows = rows[["vec_id", "v"]].drop_duplicates()
+    of_query, q = _distinct(queries["v"])
+    of_row, x = _distinct(rows["v"])
+    # of equal vectors only the k + 1 smallest ids can be among the k nearest others
+    ids = pd.DataFrame({"x": of_row, "vec_id": rows["vec_id"].to_numpy()}).sort_values(["x", "vec_id"]).groupby("x", sort=False).head(k + 1)
     products = q @ x.T
-    products[query_ids[:, None] == ids[None, :]] = -np.inf
-    least = np.partition(products, -k, axis=1)[:, -k] if len(ids) > k else np.full(len(q), -np.inf)
-    # blocked products may differ in the last bits: what is close to the k-th is summed again, in order
+    # so many vectors hold k + 1 different ids at least, as each vector has one and the surplus ones repeat another's
+    enough = k + 1 + len(rows) - rows["vec_id"].nunique()
+    least = np.partition(products, -enough, axis=1)[:, -enough] if len(x) > enough else np.full(len(q), -np.inf)
+    # blocked products may differ in the last bits: what is close to the last one needed is summed again, in order
     margin = 1e-9 * (1 + np.abs(np.where(np.isfinite(least), least, 0)))
-    a, b = np.nonzero((products >= (least - margin)[:, None]) & np.isfinite(products))
-    score = np.cumsum(q[a] * x[b], axis=1)[:, -1]
-    found = pd.DataFrame({"query_id": query_ids[a], "vec_id": ids[b], "score": score}).sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
-    return found.groupby("query_id", sort=False).head(k)
+    close = (products >= (least - margin)[:, None]) & np.isfinite(products)
+    del products
+    ends = np.cumsum(close.sum(axis=1))
+    best, start = [], 0
+    while start < len(q):
+        before = int(ends[start - 1]) if start else 0
+        end = max(start + 1, int(np.searchsorted(ends, before + PAIRS, side="right")))
+        a, b = np.nonzero(close[start:end])
+        a += start
+        found = pd.DataFrame({"q": a, "x": b, "score": np.cumsum(q[a] * x[b], axis=1)[:, -1]}).merge(ids, on="x")
+        found = found.sort_values(["q", "score", "vec_id"], ascending=[True, False, True]).drop_duplicates(["q", "vec_id"])
+        best.append(found.groupby("q", sort=False).head(k + 1)[["q", "vec_id", "score"]])
+        start = end
+    found = pd.DataFrame({"query_id": queries["vec_id"].to_numpy(), "q": of_query}).drop_duplicates().merge(pd.concat(best), on="q")
+    found = found[found["query_id"] != found["vec_id"]].sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True])
+    return found.drop_duplicates(["query_id", "vec_id"]).groupby("query_id", sort=False).head(k)[["query_id", "vec_id", "score"]]
 
 
 def _search(index: DataFrame, queries: DataFrame, k: int, chunk: int) -> DataFrame:

@@ -236,6 +236,22 @@ def test_nearest_neighbours(spark):
     assert ann.nearest_neighbours(few.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_nearest_neighbours_of_rows_repeated_many_times(spark):
+    rng = np.random.default_rng(15)
+    data = [(i, [float(v) for v in row]) for i, row in enumerate(rng.normal(size=(60, 8)))]
+    data[40:55] = [(i, data[0][1]) for i in range(40, 55)]
+    repeated = data * 2 + [data[1]] * 50
+    args = {"k": 5, "tables": 1, "probes": 1 << 30}
+    want = rows(ann.nearest_neighbours(spark.createDataFrame(data, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, **args))
+    got = rows(ann.nearest_neighbours(spark.createDataFrame(repeated, "vec_id long, embedding array<double>"), F.col("vec_id") % 20 == 0, **args))
+    assert got == want and len(got) == 15
+    vectors = np.array([v for _, v in data])
+    for q in (0, 20, 40):
+        score = np.round(vectors @ vectors[q], 12)
+        score[q] = -np.inf
+        assert [r[2] for r in sorted(got, key=lambda r: r[1]) if r[0] == q] == np.lexsort((np.arange(60), -score))[:5].tolist()
+
+
 def test_sharding(spark):
     import zlib
     rng = random.Random(11)

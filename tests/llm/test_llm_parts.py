@@ -2,6 +2,7 @@
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from rosterflow.llm import ann, bpe, decontaminate, html_main, minhash, sharding, token_count, toxicity
@@ -126,6 +127,32 @@ def test_rotation_keeps_lengths_and_axes_are_nearest():
     assert ann.axes(x, 0, 1 << 30).shape == (50, 16)
 
 
+def neighbours_by_hand(queries, rows, k):
+    out = []
+    for i in {i for i, _ in queries}:
+        score = {}
+        for j, w in rows:
+            if j != i:
+                score[j] = max(score.get(j, -np.inf), max(float(np.cumsum(np.array(v) * np.array(w))[-1]) for h, v in queries if h == i))
+        out += [(i, j, s) for j, s in sorted(score.items(), key=lambda x: (-x[1], x[0]))[:k]]
+    return sorted(out)
+
+
+def side(pairs):
+    return pd.DataFrame({"vec_id": [i for i, _ in pairs], "v": [np.array(v, dtype=np.float64).tobytes() for _, v in pairs]})
+
+
+def test_nearest_count_an_id_once_among_repeats_ties_and_copies():
+    rng = random.Random(14)
+    for _ in range(150):
+        values = [-1.0, 0.0, 0.5, 1.0][:rng.randint(2, 4)]
+        rows = [(rng.randrange(rng.choice([3, 12, 40])), [rng.choice(values) for _ in range(3)]) for _ in range(rng.randint(1, 40))]
+        rows += [rng.choice(rows)] * rng.choice([0, 30])
+        queries, k = rng.choices(rows, k=5), rng.randint(1, 6)
+        got = ann.nearest_in(side(queries), side(rows), k)
+        assert sorted(map(tuple, got.itertuples(index=False))) == neighbours_by_hand(queries, rows, k)
+
+
 def test_schedule_is_longest_first_to_the_least_loaded():
     assert sharding.schedule([(7, "a"), (5, "b"), (4, "c"), (3, "d")], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
     assert sharding.schedule([], 3) == {}
