@@ -169,7 +169,10 @@ def nearest_neighbours(vectors: DataFrame, is_query: Column, k: int = NEIGHBOURS
     Other columns are ignored; an empty table gives an empty result.
     """
     rows = _valid(vectors, vec_id, column)
-    index, queries = stored(_hashed(rows, tables, 1)), stored(_hashed(rows.where(is_query), tables, probes))
+    # of equal vectors only the k + 1 smallest ids can be among the k nearest others, so large groups of copies are no burden
+    copy = F.row_number().over(Window.partitionBy("v").orderBy("vec_id"))
+    distinct = rows.withColumn("copy", copy).where(F.col("copy") <= k + 1).select("vec_id", "v")
+    index, queries = stored(_hashed(distinct, tables, 1)), stored(_hashed(rows.where(is_query), tables, probes))
     found = stored(_search(index, queries, k, chunk))
     others = rows.agg(F.countDistinct("vec_id").alias("n")).first()["n"] - 1
     short = rows.where(is_query).join(found.groupBy("query_id").count().where(F.col("count") >= min(k, others)).select(F.col("query_id").alias("vec_id")), "vec_id", "left_anti")

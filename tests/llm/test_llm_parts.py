@@ -153,6 +153,17 @@ def test_nearest_count_an_id_once_among_repeats_ties_and_copies():
         assert sorted(map(tuple, got.itertuples(index=False))) == neighbours_by_hand(queries, rows, k)
 
 
+def test_a_large_group_of_equal_vectors_is_compared_once():
+    import tracemalloc
+    copies = [(i, [0.6, 0.8] * 32) for i in range(3000)]
+    tracemalloc.start()
+    got = ann.nearest_in(side(copies[:1000]), side(copies), 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(got) == 20_000 and peak < 200e6         # all tied pairs took 1.5 GB for each temporary
+    assert got[got.query_id == 7].vec_id.tolist() == [*range(7), *range(8, 21)]
+
+
 def test_schedule_is_longest_first_to_the_least_loaded():
     assert sharding.schedule([(7, "a"), (5, "b"), (4, "c"), (3, "d")], 2) == {"a": 0, "b": 1, "c": 1, "d": 0}
     assert sharding.schedule([], 3) == {}
