@@ -31,7 +31,9 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "tbody": {"tr", "td", "th", "thead", "tbody"}, "tfoot": {"tr", "td", "th", "tbody"}}
 SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": set(), "tbody": {"table"}, "tfoot": {"table"}}
 
-#: What is never main text, by element, by word of class or id, and by role; for subtrees that do not recur.
+#: What is never main text, by element and by role; for subtrees that do not recur. The words of class or id are only
+#: a hint: they count for subtrees without article or main, up to NAMED_SHARE of the page's text in all.
+NAMED_SHARE = 0.5
 ASIDE_TAGS = frozenset("aside button dialog fieldset footer form head header menu nav search".split())
 ASIDE_WORDS = frozenset(("ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies copyright disqus "
                          "footer gdpr header login masthead menu modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion recommended "
@@ -50,30 +52,35 @@ def attributes(text: str) -> dict[str, str]:
 
 
 def set_aside(tag: str, own: dict[str, str], in_article: bool) -> bool:
-    """Whether an element's subtree cannot be main text."""
+    """Whether an element's subtree cannot be main text, whatever it holds."""
     if tag in ASIDE_TAGS:
         return not (tag == "header" and in_article)
     if not own or tag in ("html", "body", "main"):
         return False
     if "hidden" in own or own.get("aria-hidden", "").lower() == "true" or "display:none" in own.get("style", "").replace(" ", "").lower():
         return True
-    if own.get("role", "").lower() in ASIDE_ROLES:
-        return True
+    return own.get("role", "").lower() in ASIDE_ROLES
+
+
+def named_aside(tag: str, own: dict[str, str]) -> bool:
+    """Whether an element's class or id has a word for what stands beside the main text."""
+    if not own or tag in ("html", "body", "main", "article") or own.get("role", "").lower() == "main":
+        return False
     words = {w.lower() for name in ("class", "id") for w in _WORDS.findall(own.get(name, ""))}
     return bool(words & (ASIDE_WORDS - {"header", "banner"} if tag in HEADINGS else ASIDE_WORDS))
 
 
 class _Open:
-    __slots__ = ("tag", "aside", "article", "main", "node", "parts", "own")
+    __slots__ = ("tag", "aside", "article", "main", "node", "parts", "own", "named")
 
-    def __init__(self, tag: str, aside: bool, article: int, main: bool, node: int, parts: list | None, own: str):
-        self.tag, self.aside, self.article, self.main, self.node, self.parts, self.own = tag, aside, article, main, node, parts, own
+    def __init__(self, tag: str, aside: bool, article: int, main: bool, node: int, parts: list | None, own: str, named: tuple[int, ...]):
+        self.tag, self.aside, self.article, self.main, self.node, self.parts, self.own, self.named = tag, aside, article, main, node, parts, own, named
 
 
 class Page:
     """Blocks of text of one page, and the hashes of its container subtrees.
 
-    ``blocks`` holds [text, set aside, article number or 0, in main, container nodes around]; ``hashes`` the
+    ``blocks`` holds [text, set aside, article number or 0, in main, container nodes around, named elements around]; ``hashes`` the
     hash of each container node: its tag, class, id and role, the text (digits as 0) and elements inside.
     """
 
@@ -81,7 +88,8 @@ class Page:
         self.blocks: list[list] = []
         self.hashes: list[int] = []
         self.articles = 0
-        self.stack = [_Open("", False, 0, False, -1, None, "")]
+        self.whole: list[bool] = []     # of each named element, whether it holds an article or main
+        self.stack = [_Open("", False, 0, False, -1, None, "", ())]
         self.text: list[str] = []
         self.header = 0
         at = 0
@@ -109,6 +117,23 @@ class Page:
         self._flush()
         while len(self.stack) > 1:
             self._pop()
+        self._set_named_aside()
+
+    def _set_named_aside(self) -> None:
+        """Set the smallest named elements aside, up to the share of the text that is not set aside yet."""
+        chars: dict[int, int] = {}
+        for text, aside, *_, named in self.blocks:
+            for i in () if aside else named:
+                chars[i] = chars.get(i, 0) + len(text)
+        left = NAMED_SHARE * sum(len(b[0]) for b in self.blocks if not b[1])
+        for i in sorted(chars, key=lambda i: (chars[i], -i)):
+            if not self.whole[i]:
+                inside = [b for b in self.blocks if not b[1] and i in b[5]]
+                left -= sum(len(b[0]) for b in inside)
+                if left < 0:
+                    return
+                for b in inside:
+                    b[1] = True
 
     def _text(self, raw: str) -> None:
         if raw:
@@ -125,7 +150,7 @@ class Page:
             around = [e.node for e in self.stack if e.node >= 0]
             # of an article's own header only the headings are main text
             aside = top.aside or self.header and not any(e.tag in HEADINGS for e in self.stack)
-            self.blocks.append([text, bool(aside), top.article, top.main, around])
+            self.blocks.append([text, bool(aside), top.article, top.main, around, top.named])
 
     def _start(self, tag: str, own: dict[str, str]) -> None:
         if tag in BLOCKS:
@@ -140,6 +165,13 @@ class Page:
             self.articles += 1
             article = self.articles
         main = up.main or tag == "main" or own.get("role", "").lower() == "main"
+        if article > up.article or main and not up.main:
+            for i in up.named:
+                self.whole[i] = True
+        named = up.named
+        if not aside and named_aside(tag, own):
+            named = (*named, len(self.whole))
+            self.whole.append(False)
         node, parts = -1, None
         if tag in CONTAINERS or tag in PROSE and not (article or main):
             if sum(e.node >= 0 for e in self.stack) < DEPTH:
@@ -149,7 +181,7 @@ class Page:
             parts = []
         if tag == "header" and article:
             self.header += 1
-        self.stack.append(_Open(tag, aside, article, main, node, parts, f"{tag} {own.get('class', '')} {own.get('id', '')} {own.get('role', '')}"))
+        self.stack.append(_Open(tag, aside, article, main, node, parts, f"{tag} {own.get('class', '')} {own.get('id', '')} {own.get('role', '')}", named))
 
     def _end(self, tag: str) -> None:
         if tag in BLOCKS:

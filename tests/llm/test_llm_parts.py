@@ -193,6 +193,13 @@ def test_main_blocks():
     assert blocks("<p hidden>x</p><p style='display: none'>y</p><p>z</p>") == ["z"]
 
 
+@pytest.mark.parametrize("wrapped", ['<div class="content-sidebar-wrap">{}</div>', '<div class="has-sidebar"><div>{}</div></div>', "{}"])
+def test_a_word_of_class_does_not_drop_the_article(wrapped):
+    page = wrapped.format('<article class="post category-social tag-cookies"><p>The story of the day</p><div class="share">Share</div></article>')
+    assert blocks(f"<body>{page}</body>") == ["The story of the day"]
+    assert blocks(f"<body>{page.replace('article', 'div')}<p>x</p></body>")[0] == "The story of the day"
+
+
 @pytest.mark.parametrize("html", ["", "<", "<a", "<p", "</p></div>", "<script>a", "<!--", '<p title="x>y', "<div>" * 300 + "x", "\x00", "&#xZZ; &am &amp;"])
 def test_broken_pages_do_not_crash(html):
     html_main.Page(html).main_blocks()
