@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm.common import small, stored, texts_of
 
-#: A subtree is a template if it is on so many pages of the host with different main texts, and on this share of them.
-MIN_PAGES, MIN_SHARE = 10, 0.01
+#: A subtree is a template if it is on so many pages of the host with different main texts, however large the host is.
+MIN_PAGES, MIN_SHARE = 10, 0.0
 #: Subtrees nested deeper than so many block containers are hashed with the container around them only.
 DEPTH = 64
 
@@ -216,6 +216,10 @@ class Page:
             if self.stack[-1].parts is not None:
                 self.stack[-1].parts.append(f"{value:x}")
 
+    def open_blocks(self) -> list[tuple[str, int, list[int]]]:
+        """(text, place, hashes around) of what is not set aside; place is 2 in an article, 1 in main, else 0."""
+        return [(b[0], 2 if b[2] else int(b[3]), [self.hashes[n] for n in b[4]]) for b in self.blocks if not b[1]]
+
     def main_blocks(self) -> list[tuple[str, list[int]]]:
         """(text, hashes around) of what is not set aside: in the longest article, else in main, else anywhere."""
         kept = [b for b in self.blocks if not b[1]]
@@ -240,22 +244,23 @@ def host_of(url: Column) -> Column:
 def parsed_pages(pages: DataFrame) -> DataFrame:
     """(page_id, url, host, content, subtrees, blocks) per row of ``pages``.
 
-    ``content`` is a hash of the main text, ``subtrees`` the hashes of all container subtrees, and ``blocks``
-    has each block's text with the hashes of the containers around it.
+    ``content`` is a hash of the text in articles and main (else of all), ``subtrees`` the hashes of all container subtrees, and ``blocks``
+    has each block's text that is not set aside, its place (2 in an article, 1 in main, else 0) and the hashes of the containers around it.
     """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
             for html in texts_of(batch["html"]):
                 page = Page(html)
-                blocks = page.main_blocks()
-                content = xxhash.xxh64_intdigest("\n".join(t for t, _ in blocks).encode("utf-8", "surrogatepass")) >> 1
-                out.append((content, sorted(set(page.hashes)), [{"text": t, "around": h} for t, h in blocks]))
+                blocks = page.open_blocks()
+                least = min(1, max((place for _, place, _ in blocks), default=0))
+                content = xxhash.xxh64_intdigest("\n".join(t for t, place, _ in blocks if place >= least).encode("utf-8", "surrogatepass")) >> 1
+                out.append((content, sorted(set(page.hashes)), [{"text": t, "place": place, "around": h} for t, place, h in blocks]))
             yield batch.drop(columns="html").assign(content=[x[0] for x in out], subtrees=[x[1] for x in out], blocks=[x[2] for x in out])
 
     url = F.col("url").cast("string")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), url.alias("url"), F.col("html").cast("string").alias("html"), host_of(url).alias("host"))
-    return rows.mapInPandas(run, "page_id long, url string, host string, content long, subtrees array<long>, blocks array<struct<text:string,around:array<long>>>")
+    return rows.mapInPandas(run, "page_id long, url string, host string, content long, subtrees array<long>, blocks array<struct<text:string,place:int,around:array<long>>>")
 
 
 def templates(subtrees: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
@@ -272,9 +277,9 @@ def templates(subtrees: DataFrame, min_pages: int = MIN_PAGES, min_share: float
 def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float = MIN_SHARE) -> DataFrame:
     """(page_id, url, text, n_chars) per row of ``pages`` (page_id, url, html).
 
-    Subtrees that recur across many pages of a host are deleted; elements that name themselves navigation,
-    header, footer, sidebar, notice, advert, form or comments go too, as do scripts, styles and markup. In the
-    page's article (else main, else body) the rest's blocks are joined by \\n, with character references
+    Subtrees that recur across many pages of a host are deleted; navigation, header, footer and aside elements, forms
+    and hidden ones go too, small elements whose class or id names such things, scripts, styles and markup. From what
+    is left, the blocks in all articles of the page (else those in main, else all) are joined by \\n, with character references
     decoded and white space inside a block as one space. Prose inside an article is never a template, however
     many pages share it.
 
@@ -289,5 +294,7 @@ def main_texts(pages: DataFrame, min_pages: int = MIN_PAGES, min_share: float =
     used = parsed.select("host", "around", F.explode("around").alias("subtree")).distinct()
     gone = stored(used.join(found, ["host", "subtree"]).groupBy("host", "around").agg(F.collect_set("subtree").alias("gone")))
     kept = F.filter("blocks", lambda b: ~F.coalesce(F.arrays_overlap(b["around"], F.col("gone")), F.lit(False)))
-    text = F.array_join(F.transform(kept, lambda b: b["text"]), "\n")
-    return parsed.join(small(gone, F.size("around") + F.size("gone")), ["host", "around"], "left").select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))
+    best = F.array_max(F.transform("kept", lambda b: b["place"]))
+    text = F.array_join(F.transform(F.filter("kept", lambda b: b["place"] == best), lambda b: b["text"]), "\n")
+    rest = parsed.join(small(gone, F.size("around") + F.size("gone")), ["host", "around"], "left").withColumn("kept", kept)
+    return rest.select("page_id", "url", text.alias("text")).withColumn("n_chars", F.length("text").cast("long"))

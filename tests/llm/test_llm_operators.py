@@ -288,6 +288,19 @@ def test_site_templates(spark):
     assert html_main.main_texts(df.limit(0)).count() == 0
 
 
+def test_site_templates_are_deleted_before_the_main_part_is_chosen(spark):
+    def page(i):
+        s = string.ascii_lowercase
+        return (f"<body><article><p>First {s[i % 26]}{s[i // 26]}</p><div class='box'><p>Join our club today</p></div></article>"
+                f"<article><p>Second and longer part {s[i % 26]}</p></article><article><div>Win a prize, long text in each page of the host</div></article></body>")
+    data = [(i, "http://h.com/", page(i)) for i in range(30)]
+    data += [(100 + i, "http://big.com/", f"<p>Text {chr(0x4E00 + i)}</p>" + ("<div><p>Some notice</p></div>" if i < 12 else "")) for i in range(1500)]
+    data += [(2000 + i, "http://m.com/", f"<article><div>The same box</div></article><main><p>Main {string.ascii_lowercase[i]}</p></main>") for i in range(12)]
+    got = {r["page_id"]: r["text"] for r in html_main.main_texts(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert got[3] == "First da\nSecond and longer part d"
+    assert got[105] == f"Text {chr(0x4E05)}" and got[2003] == "Main d"
+
+
 def test_urls(spark):
     urls = ["http://A.Example.ORG/es/1?x", "https://example.org/en/12#a", "http://example.org/en/2", "ftp://x.com/fr/9", "http://com/de/1", "http://notcom/de/1",
             "http://xorg/", "http://a.org", "http://a.org?q=/", "//no", None, "", "a://b://c/d", "http://h.net/" + "y" * 5000, "http://com/fr/"]
