@@ -44,7 +44,7 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rest = _line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"))
+    rest = _line_dedup.without_repeated_lines(table(spark, sf_dir, "documents"), short=True)
     return rest.select("doc_id", "n_lines", "n_gone", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("text"), 256).alias("text_sha256"))
 
 

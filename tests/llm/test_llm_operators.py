@@ -169,6 +169,16 @@ def test_line_dedup(spark):
     assert line_dedup.without_repeated_lines(df.limit(0)).count() == 0
 
 
+def test_exact_copies_of_short_lines_go(spark, tmp_path):
+    chinese = "\u4e00\u884c\u5f88\u957f\u7684\u6587\u5b57\u6ca1\u6709\u7a7a\u683c" * 5
+    texts = [f"Read more\n\n{chinese}\n---", f"Read more\n \nread more\n{chinese}\n***", f"\n\u00a0\n---\n{chinese}x\nRead more\nRead more"]
+    spark.createDataFrame(list(enumerate(texts, 1)) + [(1, texts[0])], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r["doc_id"]: (r["n_lines"], r["n_gone"]) for r in QUERIES["op5_line_dedup"](spark, str(tmp_path)).collect()}
+    assert got == {1: (4, 0), 2: (5, 2), 3: (6, 3)}
+    rest = {r["doc_id"]: r["text"] for r in line_dedup.without_repeated_lines(spark.read.parquet(str(tmp_path / "documents.parquet")), short=True).collect()}
+    assert rest == {1: texts[0], 2: " \nread more\n***", 3: f"\n\u00a0\n{chinese}x"}
+
+
 def test_fuzzy_lines_against_brute_force(spark):
     """Links: SimHash within the distance and edit similarity; here recomputed pair by pair."""
     rng = random.Random(9)
