@@ -58,6 +58,14 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return pd.util.hash_array(column, categorize=False)
 
 
+def gather(flat: np.ndarray, start: np.ndarray, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The slices flat[start[i]:start[i + 1]] for all i of ``index`` in a row, and their lengths."""
+    lengths = start[index + 1] - start[index]
+    ends = np.cumsum(lengths)
+    total = int(ends[-1]) if len(ends) else 0
+    return flat[np.repeat(start[index] - (ends - lengths), lengths) + np.arange(total)], lengths
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every input bit."""
     x = x.astype(np.uint64, copy=True)

@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm import ann as _ann
 from rosterflow.llm import bpe as _bpe
+from rosterflow.llm import byte_pieces as _byte_pieces
 from rosterflow.llm import decontaminate as _decontaminate
+from rosterflow.llm import hard_negatives as _hard_negatives
 from rosterflow.llm import html_main as _html_main
 from rosterflow.llm import line_dedup as _line_dedup
 from rosterflow.llm import minhash as _minhash
+from rosterflow.llm import periodic_runs as _periodic_runs
 from rosterflow.llm import sharding as _sharding
 from rosterflow.llm import token_count as _token_count
 from rosterflow.llm import toxicity as _toxicity
@@ -73,6 +76,29 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), "contaminated")
 
 
+def op11_byte_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    tokens = _byte_pieces.encode(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, decoded=True)
+    return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+                         F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _periodic_runs.periodic_runs(_periodic_runs.plant_repeats(table(spark, sf_dir, "documents")))
+    found = found.withColumn("best", _periodic_runs.strongest_run(F.col("runs")))
+    line = F.transform("runs", lambda r: F.concat(r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","), r["period"].cast("string"), F.lit("\n")))
+    return found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+                        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+                        F.sha2(F.array_join(line, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return _hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings").withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_url_trees": op1_url_trees,
     "op2_toxicity": op2_toxicity,
@@ -84,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_circulant_minhash": op8_circulant_minhash,
     "op9_bpe": op9_bpe,
     "op10_decontamination": op10_decontamination,
+    "op11_byte_pieces": op11_byte_pieces,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -117,4 +146,17 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS n
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN words ON words.doc_id = d.doc_id LEFT JOIN items ON items.doc_id = d.doc_id""",
+    "op13_hard_negatives": """
+WITH r AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+      FROM r a JOIN r b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5),
+n AS (SELECT p.a, p.b AS positive, s.b, p.score AS positive_score, s.score,
+             row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b) AS place
+      FROM p JOIN s ON p.a = s.a AND NOT s.same AND 80 * p.score <= 100 * s.score AND s.score <= p.score)
+SELECT a AS anchor_id, positive AS positive_id, CAST(place AS INTEGER) AS rank, b AS negative_id, positive_score, score AS negative_score
+FROM n WHERE place <= 5""",
 }
