@@ -78,6 +78,41 @@ def assign_ids(df: DataFrame, order_cols: Sequence[str | Column], id_col: str =
     return out
 
 
+def number_rows(df: DataFrame, order_cols: Sequence[str], id_col: str = "id", start: int = 1,
+                rows_per_range: int = 1_000_000, most_ranges: int = 4_096, at_most: int | None = None) -> DataFrame:
+    """``row_number()`` in ascending order (NULLs first) of ``order_cols``, a total order, without a checkpoint.
+
+    The ranges are deterministic: their splitters are quantiles of a sample that a hash of the key picks, so the
+    counting pass and the numbering pass, which both read ``df``, agree (``df`` should be a stored table or cheap
+    to read twice). A row finds its range by binary search in the splitters, a lazy scalar subquery of about 64
+    keys a range at most. Few enough rows are one range; ``at_most`` is a known bound, which saves the count.
+    """
+    n = df.count() if at_most is None or at_most > rows_per_range else at_most
+    ranges = min(most_ranges, -(-n // rows_per_range))
+    order = [F.col(c).asc_nulls_first() for c in order_cols]
+    if ranges <= 1:
+        position = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*order))
+        return df.withColumn(id_col, (position + F.lit(start - 1)).cast("bigint"))
+    key = F.struct(*[F.col(c).alias(f"k{i}") for i, c in enumerate(order_cols)])
+    share = int(min(1.0, 64 * ranges / n) * (1 << 30))
+    sample = df.where(F.shiftrightunsigned(F.xxhash64(*order_cols), 34) < share).select(key.alias("k"))
+    picked = sample.agg(F.sort_array(F.collect_list("k")).alias("k")).select(F.transform(
+        F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.get("k", F.floor(i * F.size("k") / ranges).cast("int"))).alias("k"))
+    splitters, depth = picked.scalar(), (ranges - 1).bit_length()
+    # the number of splitters up to the key, one bit of it after the other; the splitters rise
+    steps = F.array(*[F.lit(1 << b) for b in reversed(range(depth))])
+    found = F.reduce(steps, F.lit(0), lambda at, step: F.when(
+        F.coalesce(F.get("__rf_splitters", at + step - 1) <= F.col("__rf_key"), F.lit(False)), at + step).otherwise(at))
+    tagged = df.withColumns({"__rf_splitters": splitters, "__rf_key": key}).withColumn(_PID, found).drop("__rf_splitters", "__rf_key")
+    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias("__rf_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_PID, F.coalesce(F.sum("__rf_n").over(before), F.lit(0)).alias("__rf_offset"))   # a row per range
+    position = F.row_number().over(Window.partitionBy(_PID).orderBy(*order))
+    return (tagged.withColumn(_LOCAL, position).join(F.broadcast(offsets), _PID)
+                  .withColumn(id_col, (F.col("__rf_offset") + F.col(_LOCAL) + F.lit(start - 1)).cast("bigint"))
+                  .select(*df.columns, id_col))
+
+
 def running_total(df: DataFrame, order_cols: Sequence[str | Column], weight: str | Sequence[str],
                   out_col: str = "cum", group_cols: Sequence[str] = (),
                   num_partitions: int | None = None) -> DataFrame:
