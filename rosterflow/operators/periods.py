@@ -5,9 +5,10 @@ The calendar is pure date arithmetic on each month: the next period's start
 every row is independent. Period ids are month offsets from the first month.
 
 Range joins (J11 "active in period", J12 "interval overlaps period") run as
-equi-joins: each spell is expanded to the period ids it can touch (bounded by
-the calendar length, and by the spell length), joined on (key, period id) and
-verified with the exact predicate. No nested-loop join, no cross product.
+equi-joins: each spell becomes the O(log n) nodes of a dyadic tree that make up its
+periods, each period the path of nodes above it (:mod:`.dyadic`); they join on (key,
+node) and are verified with the exact predicate. No nested-loop join, no cross
+product, no row per month of a spell, and no bounds that have to be found first.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.dates import long_date, nearest_monday, third_friday
 from ..functions.nulls import _c
+from .dyadic import HIGHEST, cover, path
 
 CALENDAR_COLUMNS = ["id", "funding_source", "period", "period_start", "period_end", "due_at", "label"]
 
@@ -77,48 +79,41 @@ def active_in_period(facts: DataFrame, reports: DataFrame, on: str, first_col: s
                      report_period_col: str, max_period: Column | int | None = None) -> DataFrame:
     """Fact rows active in a report's period: ``first <= p and (last is null or last >= p)``.
 
-    Facts expand to the period ids ``first .. coalesce(last, max_period)`` (an open
-    spell runs to the last reported period), then equi-join ``(on, period)``. The
-    expansion is clamped to the reported period range, a lazy scalar subquery: no
-    job runs while the plan is built.
+    The periods ``first .. last`` of a fact become dyadic nodes (an open spell runs on, or to ``max_period``), a
+    report's period its path of nodes; a pair meets in exactly one node of the equi-join ``(on, node)``.
     """
     p = F.col(report_period_col)
-    lo, hi = reports.select(F.min(p)).scalar(), reports.select(F.max(p)).scalar()
-    mp = hi if max_period is None else max_period if isinstance(max_period, Column) else F.lit(max_period)
-    # clamp to the reported periods: per-row fan-out never exceeds the calendar length
-    bounded = facts.where(F.col(first_col).isNotNull()).withColumn(
-        "__rf_hi", F.least(F.coalesce(F.col(last_col), mp), mp)).withColumn("__rf_lo", F.greatest(F.col(first_col), lo))
-    expanded = bounded.where("__rf_lo <= __rf_hi").withColumn("__rf_p", F.explode(F.sequence("__rf_lo", "__rf_hi")))
-    r = reports.withColumn("__rf_p", p)
-    joined = expanded.drop("__rf_lo", "__rf_hi").join(r, [on, "__rf_p"])
+    most = F.lit(HIGHEST) if max_period is None else max_period if isinstance(max_period, Column) else F.lit(max_period)
+    spells = facts.where(F.col(first_col).isNotNull()).withColumn("__rf_hi", F.least(F.coalesce(F.col(last_col), most), most))
+    spells = spells.withColumn("__rf_node", F.explode(cover(f"`{first_col}`", "__rf_hi"))).drop("__rf_hi")
+    r = reports.withColumn("__rf_node", F.explode(path(p)))
     cond = (F.col(first_col) <= p) & (F.col(last_col).isNull() | (F.col(last_col) >= p))
-    return joined.where(cond).drop("__rf_p")
+    return spells.join(r, [on, "__rf_node"]).where(cond).drop("__rf_node")
+
+
+def _month_number(day: Column) -> Column:
+    return F.year(day) * 12 + F.month(day)
 
 
 def interval_overlap_join(facts: DataFrame, periods: DataFrame, on: str, start_col: str, end_col: str,
                           period_start_col: str, period_end_col: str) -> DataFrame:
     """``start <= period_end and (end is null or end >= period_start)`` per key.
 
-    Facts and periods expand to the months that they cover, whatever the periods'
-    length or ids, join on (key, month) and are verified; a pair counts in its first
-    common month only. An open interval runs to the last month of any period, and
-    every expansion is clamped to the months that periods cover (lazy scalar
-    subqueries), so fan-out never exceeds the calendar's length.
+    The months that a fact covers become dyadic nodes (an open interval runs on), each month of a period its path
+    of nodes, whatever the periods' length or ids; they join on (key, node) and are verified. A pair counts in its
+    first common month only.
     """
     s, end = F.to_date(F.col(start_col)), F.to_date(F.col(end_col))
     p_start, p_end = F.to_date(F.col(period_start_col)), F.to_date(F.col(period_end_col))
-    month = F.expr("interval 1 month")
-    first = F.trunc(periods.select(F.min(F.least(p_start, p_end))).scalar(), "month")
-    last = F.trunc(periods.select(F.max(F.greatest(p_start, p_end))).scalar(), "month")
-    bounded = facts.where(s.isNotNull()).withColumn(
-        "__rf_lo", F.greatest(F.trunc(F.least(s, F.coalesce(end, s)), "month"), first)).withColumn(
-        "__rf_hi", F.least(F.when(end.isNull(), last).otherwise(F.trunc(F.greatest(s, end), "month")), last))
-    expanded = bounded.where("__rf_lo <= __rf_hi").withColumn("__rf_m", F.explode(F.sequence("__rf_lo", "__rf_hi", month)))
-    p = periods.withColumn("__rf_plo", F.trunc(F.least(p_start, p_end), "month")).where(p_start.isNotNull() & p_end.isNotNull())
-    p = p.withColumn("__rf_m", F.explode(F.sequence("__rf_plo", F.trunc(F.greatest(p_start, p_end), "month"), month)))
-    joined = expanded.join(p, [on, "__rf_m"]).where(F.col("__rf_m") == F.greatest("__rf_lo", "__rf_plo"))
+    spells = facts.where(s.isNotNull()).withColumn("__rf_lo", _month_number(F.least(s, F.coalesce(end, s)))).withColumn(
+        "__rf_hi", F.when(end.isNull(), F.lit(HIGHEST)).otherwise(_month_number(F.greatest(s, end))))
+    spells = spells.withColumn("__rf_node", F.explode(cover("__rf_lo", "__rf_hi")))
+    p = periods.where(p_start.isNotNull() & p_end.isNotNull()).withColumn("__rf_plo", _month_number(F.least(p_start, p_end)))
+    p = p.withColumn("__rf_m", F.explode(F.sequence("__rf_plo", _month_number(F.greatest(p_start, p_end)))))
+    p = p.withColumn("__rf_node", F.explode(path("__rf_m")))
+    joined = spells.join(p, [on, "__rf_node"]).where(F.col("__rf_m") == F.greatest("__rf_lo", "__rf_plo"))
     cond = (s <= F.col(period_end_col)) & (F.col(end_col).isNull() | (end >= F.col(period_start_col)))
-    return joined.where(cond).drop("__rf_m", "__rf_lo", "__rf_hi", "__rf_plo")
+    return joined.where(cond).drop("__rf_m", "__rf_lo", "__rf_hi", "__rf_plo", "__rf_node")
 
 
 def open_ended_last(last_col: str, global_max: Column, *closed_if_present) -> Column:

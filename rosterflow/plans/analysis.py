@@ -9,12 +9,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import fold_month, month_start, school_year, seconds_between, whole_days
+from ..operators.bitmaps import count_bitmaps, dense_ids, id_bitmaps, merge_bitmaps
 from ..operators.dedupe import first_per_key
 from ..operators.reshape import sorted_string_agg
-from ..operators.stats import describe, histogram, share_over
+from ..operators.stats import describe, describe_counts, histogram, share_over
+from ..session import stored
 
 DAY = 86400
 THIRTY_DAYS = 30
@@ -43,7 +45,28 @@ def edit_lag_stats(df: DataFrame, lag_col: str, modified_col: str, group: Sequen
     """describe() of the lag in days plus the number of NULL modification dates (per group)."""
     days = df.select(*group, (F.col(lag_col) / F.lit(float(DAY))).alias("lag_days"),
                      F.col(modified_col).isNull().cast("bigint").alias("__rf_null"))
-    return describe(days, "lag_days", group=group, extra={"n_null_modified": F.sum("__rf_null")})
+    return describe(days, "lag_days", group=group, sums={"n_null_modified": F.col("__rf_null")})
+
+
+def lag_counts(df: DataFrame, student_id: str, order: Sequence[str], lag_col: str, modified_col: str) -> DataFrame:
+    """(kind, lag_seconds, n, n_null_modified) of enrollments (all rows) and students (each one's first row in ``order``).
+
+    One read: rows are counted per (student, lag), with the first of them in order; that stored table gives both
+    kinds. No window over a student: one with very many rows is spread by lag.
+    """
+    null = F.col(modified_col).isNull().cast("int").alias("no_modified")
+    per = stored(df.groupBy(student_id, F.col(lag_col).alias("lag_seconds"), null).agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct(*order)).alias("first")))
+    first = per.groupBy(student_id).agg(F.min(F.struct("first", "lag_seconds", "no_modified")).alias("f"))
+    both = per.select(F.lit("enrollments").alias("kind"), "lag_seconds", "no_modified", "n").unionByName(
+        first.select(F.lit("students").alias("kind"), "f.lag_seconds", "f.no_modified", F.lit(1).cast("bigint").alias("n")))
+    return stored(both.groupBy("kind", "lag_seconds").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("no_modified")).alias("n_null_modified")))
+
+
+def edit_lag_stats_of(counts: DataFrame) -> DataFrame:
+    """A11/A12 per kind, in days, from :func:`lag_counts`."""
+    days = counts.select("kind", (F.col("lag_seconds") / F.lit(float(DAY))).alias("__rf_v"), F.col("n").alias("__rf_n"), "n_null_modified")
+    return describe_counts(days, group=["kind"], sums=["n_null_modified"])
 
 
 def edit_lag_share(df: DataFrame, lag_col: str, threshold_seconds: int) -> DataFrame:
@@ -92,9 +115,65 @@ def school_year_totals(df: DataFrame, student_date: str, student_id: str, enroll
     return st.join(en, "school_year", "full")
 
 
+MONTHLY_FLAG = "partial"
+
+
+def monthly_bitmaps(df: DataFrame, kinds: dict[str, tuple[str, str]], partial: Column | None = None) -> DataFrame:
+    """(kind, month, partial, bucket, bitmap): for each kind (date column, id column) the distinct ids of every month.
+
+    One read of ``df`` for all kinds. ``partial`` is a condition on the rows (the part of a year that a forecast
+    compares); ids other than integers are numbered first. The frame can be stored and extended month by month.
+    """
+    for col in {i for _, i in kinds.values()}:
+        if dict(df.dtypes)[col] not in ("bigint", "int", "smallint", "tinyint"):
+            ids = dense_ids(df, col).withColumnRenamed(col, "__rf_raw")
+            df = df.join(ids, F.col(col) == F.col("__rf_raw"), "left").drop("__rf_raw", col).withColumnRenamed("dense", col)
+    flag = F.coalesce(partial, F.lit(False)) if partial is not None else F.lit(False)
+    each = df.select(flag.alias(MONTHLY_FLAG), F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), month_start(d).alias("month"), F.col(i).cast("bigint").alias("id"))
+        for k, (d, i) in kinds.items()])).alias("e")).select(MONTHLY_FLAG, "e.*")
+    return id_bitmaps(each.where(F.col("month").isNotNull()), ["kind", "month", MONTHLY_FLAG], "id")
+
+
+def monthly_counts(bitmaps: DataFrame) -> DataFrame:
+    """D14/A9 for every kind of :func:`monthly_bitmaps`: (kind, month, adjusted_month, school_year, n_distinct, n_years)."""
+    counts = count_bitmaps(merge_bitmaps(bitmaps, ["kind", "month"]), ["kind", "month"])
+    out = counts.select("kind", "month", fold_month("month").alias("adjusted_month"), school_year("month").alias("school_year"), "n_distinct")
+    years = F.size(F.collect_set("school_year").over(Window.partitionBy("kind"))).cast("bigint")     # one row per month
+    return out.withColumn("n_years", years)
+
+
+def school_year_counts(bitmaps: DataFrame) -> DataFrame:
+    """D15 from the monthly bitmaps of the kinds ``students`` and ``enrollments``: one row per school year.
+
+    Columns: school_year, students, enrollments, partial_students, partial_enrollments; NULL where a year has no
+    row of the kind (in the partial year).
+    """
+    years = merge_bitmaps(bitmaps.withColumn("school_year", school_year("month")), ["kind", "school_year"],
+                          part=F.col(MONTHLY_FLAG)).join(
+        bitmaps.groupBy("kind", school_year("month").alias("school_year")).agg(F.max(MONTHLY_FLAG).alias("has_part")), ["kind", "school_year"])
+    columns = []
+    for kind in ("students", "enrollments"):
+        own = F.col("kind") == kind
+        columns += [F.sum(F.when(own, F.bitmap_count("bitmap"))).alias(kind),
+                    F.sum(F.when(own & F.col("has_part"), F.bitmap_count("part"))).alias(f"partial_{kind}")]
+    return years.groupBy("school_year").agg(*columns)
+
+
+def is_through_february(date_col: str, fold_cutoff: str = "2020-03-01") -> Column:
+    """Whether the folded month lies before March (the partial school year)."""
+    return fold_month(date_col) < F.to_date(F.lit(fold_cutoff))
+
+
 def through_february(df: DataFrame, date_col: str, fold_cutoff: str = "2020-03-01") -> DataFrame:
     """Rows whose folded month lies before March (the partial school year)."""
-    return df.where(fold_month(date_col) < F.to_date(F.lit(fold_cutoff)))
+    return df.where(is_through_february(date_col, fold_cutoff))
+
+
+def partial_totals(counts: DataFrame) -> DataFrame:
+    """The partial years of :func:`school_year_counts` as (school_year, students, enrollments)."""
+    part = counts.where("partial_students is not null or partial_enrollments is not null")
+    return part.select("school_year", F.col("partial_students").alias("students"), F.col("partial_enrollments").alias("enrollments"))
 
 
 def ytd_forecast(full: DataFrame, partial: DataFrame, reference_years: Sequence[str], current_year: str,
@@ -108,6 +187,17 @@ def ytd_forecast(full: DataFrame, partial: DataFrame, reference_years: Sequence[
                      F.col("enrollments").alias("full_enrollments"))
             .join(partial.select("school_year", F.col("students").alias("partial_students"),
                                  F.col("enrollments").alias("partial_enrollments")), "school_year", "full"))
+    return _forecast(comb, reference_years, current_year)
+
+
+def forecast_of_counts(counts: DataFrame, reference_years: Sequence[str], current_year: str, excluded_years: Sequence[str] = ()) -> DataFrame:
+    """D16/A15 from :func:`school_year_counts`, without another read of the rows."""
+    kept = ~F.col("school_year").isin(list(excluded_years)) if excluded_years else F.lit(True)
+    return _forecast(counts.select("school_year", *[F.when(kept, F.col(c)).alias(f"full_{c}") for c in ("students", "enrollments")],
+                                   "partial_students", "partial_enrollments"), reference_years, current_year)
+
+
+def _forecast(comb: DataFrame, reference_years: Sequence[str], current_year: str) -> DataFrame:
     cols = ["full_students", "full_enrollments", "partial_students", "partial_enrollments"]
     is_ref = F.col("school_year").isin(list(reference_years))
     is_cur = F.col("school_year") == current_year
@@ -161,15 +251,18 @@ def usage_analysis(base: DataFrame, cols: dict, reference_years: Sequence[str],
         out[f"student_lag_hist_{th}"] = edit_lag_hist(stu, "student_lag", th)
     out["enrollment_lag_share"] = edit_lag_share(enr, "enrollment_lag", lag_thresholds[0])
     out["enrollment_lag_hist"] = edit_lag_hist(enr, "enrollment_lag", lag_thresholds[0])
-    for date_key, id_key in [("student_modified", "facility_id"), ("student_created", "facility_id"),
-                             ("student_created", "student_id"), ("enrollment_created", "enrollment_id"),
-                             ("student_modified", "student_id"), ("enrollment_modified", "enrollment_id")]:
-        out[f"monthly_{id_key}_by_{date_key}"] = monthly_distinct(base, c[date_key], c[id_key])
-    full = school_year_totals(base, c["student_created"], c["student_id"], c["enrollment_created"],
-                              c["enrollment_id"])
-    partial = school_year_totals(through_february(base, c["student_created"]), c["student_created"],
-                                 c["student_id"], c["enrollment_created"], c["enrollment_id"])
-    out["school_year_totals_full"], out["school_year_totals_partial"] = full, partial
-    out["ytd_forecast"] = ytd_forecast(full, partial, reference_years, current_year, excluded_years)
+    # every distinct count over months and years comes from one read of the base
+    kinds = {f"monthly_{i}_by_{d}": (c[d], c[i]) for d, i in [
+        ("student_modified", "facility_id"), ("student_created", "facility_id"), ("student_created", "student_id"),
+        ("enrollment_created", "enrollment_id"), ("student_modified", "student_id"), ("enrollment_modified", "enrollment_id")]}
+    totals = {"students": (c["student_created"], c["student_id"]), "enrollments": (c["enrollment_created"], c["enrollment_id"])}
+    bitmaps = stored(monthly_bitmaps(base, kinds | totals, is_through_february(c["student_created"])))
+    by_month = monthly_counts(bitmaps.where(F.col("kind").isin(list(kinds))))
+    for kind in kinds:
+        out[kind] = by_month.where(F.col("kind") == kind).drop("kind")
+    years = school_year_counts(bitmaps.where(F.col("kind").isin(list(totals))))
+    out["school_year_totals_full"] = years.select("school_year", "students", "enrollments")
+    out["school_year_totals_partial"] = partial_totals(years)
+    out["ytd_forecast"] = forecast_of_counts(years, reference_years, current_year, excluded_years)
     out["facility_sizes"] = facility_sizes(base, c["facility_id"], c["enrollment_id"], facility_bin)
     return out

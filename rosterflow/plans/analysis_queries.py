@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import stored
 from . import analysis as an
 from .catalog import Tables, query
 
@@ -81,11 +82,7 @@ SELECT kind, count(lag_seconds) AS count, round(avg(lag_seconds / 86400.0), 4) A
 FROM u GROUP BY kind""")
 def edit_lag_stats(spark, sf):
     """Lag statistics in days (exact quantiles) for both row kinds."""
-    both = None
-    for kind, df in _kinds(Tables(spark, sf)).items():
-        part = df.select(F.lit(kind).alias("kind"), "lag_seconds", "l_shipdate")
-        both = part if both is None else both.unionByName(part)
-    s = an.edit_lag_stats(both, "lag_seconds", "l_shipdate", group=["kind"])
+    s = an.edit_lag_stats_of(an.lag_counts(_rows(Tables(spark, sf)), "o_custkey", LINE_ORDER, "lag_seconds", "l_shipdate"))
     return s.select("kind", "count", *[F.round(c, 4).alias(c) for c in ("mean", "std", "min", "q_25", "q_50",
                                                                         "q_75", "max")], "n_null_modified")
 
@@ -173,18 +170,26 @@ _FEB = ("AND make_date(CASE WHEN month(o_orderdate) < 7 THEN 2020 ELSE 2019 END,
         " < DATE '2020-03-01'")
 
 
+def _year_counts(spark, sf):
+    """Distinct students and enrollments per school year, whole and through February, from monthly bitmaps."""
+    bitmaps = an.monthly_bitmaps(_rows(Tables(spark, sf)), {"students": ("o_orderdate", "o_custkey"), "enrollments": ("l_shipdate", "o_orderkey")},
+                                 an.is_through_february("o_orderdate"))
+    return an.school_year_counts(stored(bitmaps))
+
+
 @query("school_year_totals", f"""
 WITH b AS (SELECT o_orderkey, o_custkey, o_orderdate, l_shipdate FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
 SELECT 'full' AS variant, * FROM ({_totals_sql('')})
 UNION ALL SELECT 'partial' AS variant, * FROM ({_totals_sql(_FEB)})""")
 def school_year_totals(spark, sf):
     """Students and enrollments per school year, full and through February."""
-    rows = _rows(Tables(spark, sf))
-    full = an.school_year_totals(rows, "o_orderdate", "o_custkey", "l_shipdate", "o_orderkey")
-    part = an.school_year_totals(an.through_february(rows, "o_orderdate"), "o_orderdate", "o_custkey", "l_shipdate",
-                                 "o_orderkey")
-    return full.select(F.lit("full").alias("variant"), "*").unionByName(
-        part.select(F.lit("partial").alias("variant"), "*"))
+    counts = _year_counts(spark, sf)
+    variants = F.array(
+        F.struct(F.lit("full").alias("variant"), F.lit(True).alias("there"), "students", "enrollments"),
+        F.struct(F.lit("partial").alias("variant"), (F.col("partial_students").isNotNull() | F.col("partial_enrollments").isNotNull()).alias("there"),
+                 F.col("partial_students").alias("students"), F.col("partial_enrollments").alias("enrollments")))
+    each = counts.select("school_year", F.explode(variants).alias("v")).where("v.there")
+    return each.select("v.variant", "school_year", "v.students", "v.enrollments")
 
 
 @query("ytd_forecast", f"""
@@ -210,11 +215,7 @@ SELECT round(m_fs, 4) AS mean_full_students, round(m_fe, 4) AS mean_full_enrollm
 FROM ref LEFT JOIN cur ON true""")
 def ytd_forecast(spark, sf):
     """Year-to-date forecast from the mean of two reference years."""
-    rows = _rows(Tables(spark, sf))
-    full = an.school_year_totals(rows, "o_orderdate", "o_custkey", "l_shipdate", "o_orderkey")
-    part = an.school_year_totals(an.through_february(rows, "o_orderdate"), "o_orderdate", "o_custkey", "l_shipdate",
-                                 "o_orderkey")
-    return an.ytd_forecast(full, part, REFERENCE_YEARS, CURRENT_YEAR, [EXCLUDED_YEAR])
+    return an.forecast_of_counts(_year_counts(spark, sf), REFERENCE_YEARS, CURRENT_YEAR, [EXCLUDED_YEAR])
 
 
 @query("facility_sizes", f"""

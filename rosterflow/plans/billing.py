@@ -29,9 +29,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions import recode as rc
 from ..functions.dates import long_date, month_year, us_date, weeks_inclusive
 from ..operators.dedupe import latest_per_key
-from ..operators.keys import assign_ids, running_total
+from ..operators.keys import number_rows, running_total
 from ..operators.periods import active_in_period
 from ..operators.stats import zero_filled_count
+from ..session import stored
 from ..sources.lookups import family_sizes, income_limits, rates
 
 # --- fixed values: report column headers and file name suffix ---------------------
@@ -190,7 +191,10 @@ def billing_report(t: dict, sections=SECTIONS, report_ids: DataFrame | None = No
     if report_ids is not None:
         report = report.join(report_ids.select(F.col(report_ids.columns[0]).alias("Id")), "Id", "left_semi")
     rep = report_frame(report, t["organization"], t["reporting_period"])
-    act = active_fundings(rep, t) if {"roster", "income_groups", "spaces"} & set(sections) else None
+    using = {"roster", "income_groups", "spaces"} & set(sections)
+    act = active_fundings(rep, t) if using else None
+    if len(using) > 1 or "roster" in using:      # read more than once: planned and joined once
+        act = stored(act)
     limits = F.broadcast(income_limits(spark))
     out = {}
     if "roster" in sections:
@@ -217,9 +221,12 @@ def _roster(act: DataFrame, subs: DataFrame, limits: DataFrame) -> DataFrame:
          .withColumn("__rep", F.explode(F.sequence(F.lit(1), F.greatest(F.coalesce("n_subsidy", F.lit(0)), F.lit(1)))))
          .withColumn("c4k_family_id", F.when(F.col("n_subsidy") > 0, F.col("case_no")))
          .join(limits.select("NumberOfPeople", F.col("x75SMI").alias("MaxIncome")), "NumberOfPeople", "left"))
-    r = assign_ids(r, [F.col("AgeGroup").asc_nulls_last(), F.col("LastName").asc_nulls_last(),
-                       F.col("FirstName").asc_nulls_last(), "funding_id", "__rep"],
-                   id_col="line_no", group_cols=["report_id"])
+    # numbered in order of report, labels (NULLs last), funding and repetition; a report's lines start at its least number
+    labels = ["AgeGroup", "LastName", "FirstName"]
+    r = stored(r.withColumns({f"__no_{c}": F.col(c).isNull() for c in labels}))
+    r = stored(number_rows(r, ["report_id", *[x for c in labels for x in (f"__no_{c}", c)], "funding_id", "__rep"], id_col="__no"))
+    first = r.groupBy("report_id").agg(F.min("__no").alias("__first"))
+    r = r.join(first, "report_id").withColumn("line_no", F.col("__no") - F.col("__first") + 1)
     return r.select(
         "report_id", "line_no", F.col("Sasid").alias("sasid"), F.col("LastName").alias("last_name"),
         F.col("FirstName").alias("first_name"), "c4k_family_id", rc.presence_flag("c4k_family_id").alias("c4k"),
