@@ -115,11 +115,11 @@ def candidates(facts: DataFrame) -> DataFrame:
 
 
 def linked_groups(members: DataFrame, facts: DataFrame, verify: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column] | None = None,
-                  star_rounds: int = 2, share: int = 4) -> DataFrame:
+                  star_rounds: int = 2, share: int = 4, slotted: bool = True) -> DataFrame:
     """Components (id, root) of all verified links between ids that share a bucket.
 
     ``members`` are the ``candidates`` of ``facts`` (id, keys, ...; each id has equally many keys, each found at
-    its own place in keys); ``verify`` takes pairs (a, b) and returns those that are truly linked. A bucket's
+    its own place in keys, unless not ``slotted``); ``verify`` takes pairs (a, b) and returns those that are truly linked. A bucket's
     pairs are never emitted at once: in each round a bucket's smallest id is compared with the others and leaves
     the bucket; ids that are already in the same component need no comparison, and a bucket whose ids are all in
     one component is finished. Large groups of copies end after a round or two. When the open pairs, between
@@ -127,7 +127,7 @@ def linked_groups(members: DataFrame, facts: DataFrame, verify: Callable[[DataFr
     is compared once, in its first common bucket, unless ``may_link`` on the columns of ``facts`` (suffixed _a
     and _b) rules it out. So no link between different components is ever skipped, and no bucket size is capped.
     """
-    n_keys = facts.agg(F.coalesce(F.max(F.size("keys")), F.lit(0)).alias("n")).first()["n"]
+    n_keys = facts.agg(F.coalesce(F.max(F.size("keys")), F.lit(0)).alias("n")).first()["n"] if slotted else 0
     members = members.withColumn("label", F.col("id"))
     groups = None
     for step in range(star_rounds + 1):
@@ -149,7 +149,10 @@ def linked_groups(members: DataFrame, facts: DataFrame, verify: Callable[[DataFr
             new = (F.col("in_main_b") | (F.col("id_a") < F.col("id_b"))) & (F.col("label_a") != F.col("label_b"))
             for i in range(n_keys - 1):
                 new &= (F.col("slot_a") <= i) | (F.get("keys_a", F.lit(i)) != F.get("keys_b", F.lit(i)))
-            pairs = left.join(right, "bucket").where(new if may_link is None else new & may_link("_a", "_b"))
+            new = new if may_link is None else new & may_link("_a", "_b")
+            if not slotted:
+                new &= F.col("bucket") == F.array_min(F.array_intersect("keys_a", "keys_b"))
+            pairs = left.join(right, "bucket").where(new)
             pairs = pairs.select(F.col("id_a").alias("a"), F.col("id_b").alias("b"))
         else:
             pairs = open_.where("label <> la").select(F.col("leader").alias("a"), F.col("id").alias("b"))

@@ -160,12 +160,12 @@ def test_line_dedup(spark):
     docs += [(r[0], r[1]) for r in ODD]
     df = with_odd_columns(spark.createDataFrame(docs, DOCS))
     got = {r["doc_id"]: (r["text"], r["n_lines"], r["n_gone"]) for r in line_dedup.without_repeated_lines(df).collect()}
-    assert got[1] == (docs[0][1], 3, 0)                          # the first occurrences stay, short lines always
-    assert got[2] == (f"short one\n{third}", 3, 1)
+    assert got[1] == (docs[0][1], 3, 0)                          # the first occurrences stay
+    assert got[2] == (third, 3, 2) and got[3] == ("", 2, 2)
     assert got[4] == ("fresh words that nobody else has here", 2, 1)
     assert got[7] == (None, 0, 0) and got[8] == ("", 1, 0) and got[None] == ("no id", 1, 0)
     kept = {r["doc_id"] for r in line_dedup.drop_duplicate_lines(df).collect()}
-    assert kept == {1, 2, 4, 7, 8, 9, 10, None} or kept == {1, 2, 3, 4, 7, 8, 9, 10, None}
+    assert kept == {1, 2, 4, 7, 8, 9, 10, None}
     assert line_dedup.without_repeated_lines(df.limit(0)).count() == 0
 
 
@@ -174,51 +174,60 @@ def test_exact_copies_of_short_lines_go(spark, tmp_path):
     texts = [f"Read more\n\n{chinese}\n---", f"Read more\n \nread more\n{chinese}\n***", f"\n\u00a0\n---\n{chinese}x\nRead more\nRead more"]
     spark.createDataFrame(list(enumerate(texts, 1)) + [(1, texts[0])], DOCS).write.parquet(str(tmp_path / "documents.parquet"))
     got = {r["doc_id"]: (r["n_lines"], r["n_gone"]) for r in QUERIES["op5_line_dedup"](spark, str(tmp_path)).collect()}
-    assert got == {1: (4, 0), 2: (5, 2), 3: (6, 3)}
-    rest = {r["doc_id"]: r["text"] for r in line_dedup.without_repeated_lines(spark.read.parquet(str(tmp_path / "documents.parquet")), short=True).collect()}
-    assert rest == {1: texts[0], 2: " \nread more\n***", 3: f"\n\u00a0\n{chinese}x"}
-
-
-def test_fuzzy_lines_against_brute_force(spark):
-    """Links: SimHash within the distance and edit similarity; here recomputed pair by pair."""
-    rng = random.Random(9)
-    texts = []
-    for _ in range(6):
-        base = words(rng, 80)
-        texts += [" ".join(base)] + [" ".join(edited(rng, base, k)) for k in (1, 1, 2, 30)]
-    df = spark.createDataFrame(list(enumerate(texts)), DOCS)
-    value = {w: h for w, h in (tuple(r) for r in spark.createDataFrame([(w,) for w in {w for t in texts for w in t.split()}], "w string").select("w", F.xxhash64("w")).collect())}
-
-    def simhash(text):
-        ws = text.split()
-        return sum(1 << b for b in range(64) if 2 * sum(value[w] >> b & 1 for w in ws) > len(ws))
-
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            row, last = [i], row
-            for j, y in enumerate(b, 1):
-                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
-        return row[-1]
-    hashes = [simhash(t) for t in texts]
-    links = [(a, b) for a in range(len(texts)) for b in range(a) if bin(hashes[a] ^ hashes[b]).count("1") <= 2
-             and 1 - distance(texts[a], texts[b]) / max(len(texts[a]), len(texts[b])) >= 0.8]
-    root = components(range(len(texts)), links)
-    assert links
+    assert got == {1: (4, 0), 2: (5, 3), 3: (6, 4)}
+    rest = {r["doc_id"]: r["text"] for r in line_dedup.without_repeated_lines(spark.read.parquet(str(tmp_path / "documents.parquet"))).collect()}
+    assert rest == {1: texts[0], 2: " \n***", 3: "\n\u00a0"}
+
+
+def one_edit(rng, text, chars):
+    """A word (or character) of ``text`` replaced, put in or taken out."""
+    parts = list(text) if chars else text.split(" ")
+    at, new = rng.randrange(len(parts)), chr(rng.randrange(0x4E00, 0x9FFF)) if chars else words(rng, 1)[0]
+    parts[at:at + rng.randint(0, 1)] = [new] if rng.random() < 0.7 else []
+    return ("" if chars else " ").join(parts)
+
+
+@pytest.mark.parametrize("kind,least,most", [("words", 1, 3), ("words", 4, 11), ("words", 12, 20), ("words", 21, 60), ("unspaced", 6, 50)])
+def test_fuzzy_lines_against_edit_similarity_alone(spark, kind, least, most):
+    """Of the lines that edit similarity alone (every pair) would remove, 0.9 at least go, and no others."""
+    rng = random.Random(least)
+    docs = []
+    for i in range(120):
+        n = rng.randint(least, most)
+        text = "".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(n)) if kind == "unspaced" else " ".join(words(rng, n, rng.randint(4, 9)))
+        if most <= 3:           # one changed sign
+            at = rng.randrange(len(text))
+            near = text[:at] + rng.choice(["", "qx", "z"]) + text[at + 1:]
+        else:
+            near = one_edit(rng, text, kind == "unspaced")
+        docs += [(2 * i, text), (2 * i + 1, near)]
+    df = spark.createDataFrame(docs, DOCS)
+    each = line_dedup.normal(line_dedup.lines(df)).select("doc_id", "norm").collect()
+    norms = spark.createDataFrame([tuple(r) for r in each], "a long, x string")
+    pairs = norms.crossJoin(norms.select(F.col("a").alias("b"), F.col("x").alias("y"))).where("a < b and 1 - levenshtein(x, y) / greatest(length(x), length(y)) >= 0.8")
+    root = components([r["doc_id"] for r in each], [(r["a"], r["b"]) for r in pairs.select("a", "b").collect()])
+    want = {i for i in root if root[i] != i}
     gone = {r["doc_id"] for r in line_dedup.without_repeated_lines(df).where("n_gone = 1").collect()}
-    assert gone == {i for i in root if root[i] != i}
+    assert len(want) >= 40 and gone <= want and len(gone) >= 0.9 * len(want)
+
+
+def test_a_line_of_very_many_words(spark):
+    """Over 65,535 characters and 32,767 words: no SimHash, through the whole operator all the same."""
+    rng = random.Random(12)
+    long = words(rng, 33_000)
+    df = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(edited(rng, long, 3)) + "\nother words of this document"), (3, " ".join(words(rng, 33_000)))], DOCS)
+    assert {r["doc_id"]: r["n_gone"] for r in line_dedup.without_repeated_lines(df).collect()} == {1: 0, 2: 1, 3: 0}
 
 
-@pytest.mark.parametrize("lane", [16, 32])
-def test_packed_simhash(spark, lane):
-    rng = random.Random(lane)
+def test_packed_simhash(spark):
+    rng = random.Random(16)
     texts = [" ".join(rng.choice(["a", "b", "c", "dd", "e"]) for _ in range(n)) for n in (1, 2, 7, 300)]
     docs = spark.createDataFrame([(1, "\n".join(texts))], DOCS)
     value = dict(tuple(r) for r in spark.createDataFrame([(w,) for w in ["a", "b", "c", "dd", "e"]], "w string").select("w", F.xxhash64("w")).collect())
-    for r in line_dedup.simhashes(line_dedup.lines(docs), lane).collect():
+    for r in line_dedup.lines(docs).select("pos", line_dedup.simhash_of(F.col("words")).alias("simhash")).collect():
         ws = texts[r["pos"]].split()
         want = sum(1 << b for b in range(64) if 2 * sum(value[w] >> b & 1 for w in ws) > len(ws))
-        assert r["simhash"] % (1 << 64) == want and r["n"] == len(ws)
+        assert r["simhash"] % (1 << 64) == want
 
 
 def test_nearest_neighbours(spark):
