@@ -208,11 +208,23 @@ def billing_report(t: dict, sections=SECTIONS, report_ids: DataFrame | None = No
     return out
 
 
+#: The columns that order a section's rows in a workbook.
+SECTION_ORDER = {"roster": ["line_no"], "income_groups": ["family_size"], "spaces": ["age_group", "time", "accredited", "title_i"]}
+
+
 def generate_reports(t: dict, out_dir: str, report_ids: DataFrame | None = None, fmt: str = "parquet") -> None:
-    """Entry 3 (the report generator) for all (or the given) reports: D11 sections written per report (K7)."""
+    """Entry 3 (the report generator) for all (or the given) reports: D11 sections written per report (K7).
+
+    ``fmt="xlsx"`` writes one workbook per report with its four sections; other formats a folder per section.
+    """
+    from ..sinks.report_workbooks import write_report_workbooks
     from ..sinks.target import write_report_sections
     headers = {"roster": ROSTER_HEADERS, "income_groups": INCOME_HEADERS, "header": HEADER_HEADERS, "spaces": SPACES_HEADERS}
-    write_report_sections(billing_report(t, report_ids=report_ids), out_dir, fmt, headers if fmt == "csv" else None)
+    sections = billing_report(t, report_ids=report_ids)
+    if fmt == "xlsx":
+        write_report_workbooks(sections, out_dir, headers, SECTION_ORDER)
+    else:
+        write_report_sections(sections, out_dir, fmt, headers if fmt == "csv" else None)
 
 
 def _roster(act: DataFrame, subs: DataFrame, limits: DataFrame) -> DataFrame:

@@ -78,17 +78,16 @@ def _split_ref(ref: str) -> tuple[int, int]:
     return int(m.group(2)) - 1, _col_index(m.group(1))
 
 
-class _Book:
-    """Minimal reader of cell values from an .xlsx (OOXML) package."""
-
-    def __init__(self, data: bytes):
-        self.zf = zipfile.ZipFile(io.BytesIO(data))
-        names = set(self.zf.namelist())
-        self.shared: list[str] = []
-        if "xl/sharedStrings.xml" in names:
-            root = ET.fromstring(self.zf.read("xl/sharedStrings.xml"))
-            for si in root.findall("m:si", NS):
-                self.shared.append("".join(t.text or "" for t in si.iter(f"{{{NS['m']}}}t")))
+def _local(tag: str) -> str:
+    return tag.rsplit("}", 1)[-1]
+
+
+class Workbook:
+    """Cell values of an .xlsx (OOXML) package, read sheet by sheet and row by row; ``file`` is seekable and binary."""
+
+    def __init__(self, file):
+        self.zf = zipfile.ZipFile(file)
+        self._shared: list[str] | None = None
         wb = ET.fromstring(self.zf.read("xl/workbook.xml"))
         pr = wb.find("m:workbookPr", NS)
         self.date1904 = pr is not None and pr.get("date1904") in ("1", "true")
@@ -99,45 +98,80 @@ class _Book:
             target = targets[s.get(f"{{{NS['r']}}}id")].lstrip("/")
             self.sheets.append((s.get("name"), target if target.startswith("xl/") else "xl/" + target))
 
-    def grid(self, sheet: str | None) -> dict[tuple[int, int], str]:
+    def shared(self, i: int) -> str:
+        """A shared string; their table is read when the first one is met."""
+        if self._shared is None:
+            self._shared = []
+            if "xl/sharedStrings.xml" in self.zf.namelist():
+                with self.zf.open("xl/sharedStrings.xml") as f:
+                    for _, e in ET.iterparse(f):
+                        if _local(e.tag) == "si":
+                            self._shared.append("".join(t.text or "" for t in e.iter() if _local(t.tag) == "t"))
+                            e.clear()
+        return self._shared[i]
+
+    def rows(self, sheet: str | None) -> Iterator[tuple[int, dict[int, str]]]:
+        """(row, {column: text}) of the rows with a value, from 0; one row is held at a time. ``None`` is the first sheet."""
         path = self.sheets[0][1] if sheet is None else dict(self.sheets)[sheet]
-        root = ET.fromstring(self.zf.read(path))
-        cells: dict[tuple[int, int], str] = {}
-        for c in root.iter(f"{{{NS['m']}}}c"):
-            ref, t = c.get("r"), c.get("t")
-            if t == "inlineStr":
-                val = "".join(x.text or "" for x in c.iter(f"{{{NS['m']}}}t"))
-            else:
-                v = c.find("m:v", NS)
-                if v is None or v.text is None:
+        with self.zf.open(path) as f:
+            for _, e in ET.iterparse(f):
+                if _local(e.tag) != "row":
                     continue
-                val = self.shared[int(v.text)] if t == "s" else v.text
-            cells[_split_ref(ref)] = val
-        return cells
+                number, cells = None, {}
+                for c in e:
+                    t, value = c.get("t"), None
+                    if t == "inlineStr":
+                        value = "".join(x.text or "" for x in c.iter() if _local(x.tag) == "t")
+                    else:
+                        v = next((x for x in c if _local(x.tag) == "v"), None)
+                        if v is not None and v.text is not None:
+                            value = self.shared(int(v.text)) if t == "s" else v.text
+                    if value is not None:
+                        number, column = _split_ref(c.get("r"))
+                        cells[column] = value
+                e.clear()
+                if cells:
+                    yield number, cells
+
+
+def section_rows(book: Workbook, sections) -> Iterator[tuple[str, int, list]]:
+    """(section, row_no, cells) of the asked sections; a sheet that none of them needs is not opened."""
+    for sheet in dict.fromkeys(sec.sheet for sec in sections):
+        own = [sec for sec in sections if sec.sheet == sheet]
+        single, at, counted, done = {}, {}, dict.fromkeys((s.name for s in own), 0), {}
+        for sec in own:
+            if sec.kind == "cell":
+                single[sec.name], done[sec.name] = _split_ref(sec.ref), [None]
+            elif sec.kind == "range":
+                at[sec.name] = [_split_ref(x) for x in sec.ref.split(":")]
+        # rows below the last one that is asked for need not be read
+        last = None if any(s.kind == "rows" for s in own) else max([r for r, _ in single.values()] + [b[0] for _, b in at.values()])
+        for row, cells in book.rows(sheet):
+            if last is not None and row > last:
+                break
+            for sec in own:
+                if sec.kind == "cell" and row == single[sec.name][0]:
+                    done[sec.name] = [cells.get(single[sec.name][1])]
+                elif sec.kind == "range":
+                    (r0, c0), (r1, c1) = at[sec.name]
+                    if r0 <= row <= r1:
+                        for gap in range(counted[sec.name], row - r0):
+                            yield sec.name, gap, [None] * (c1 - c0 + 1)
+                        yield sec.name, row - r0, [cells.get(c) for c in range(c0, c1 + 1)]
+                        counted[sec.name] = row - r0 + 1
+                elif sec.kind == "rows" and row >= sec.skip:
+                    yield sec.name, counted[sec.name], [cells.get(c) for c in range(sec.width)]
+                    counted[sec.name] += 1
+        for name, cells in done.items():
+            yield name, 0, cells
+        for name, ((r0, c0), (r1, c1)) in at.items():
+            for gap in range(counted[name], r1 - r0 + 1):
+                yield name, gap, [None] * (c1 - c0 + 1)
 
 
 def _extract_one(source: str, data: bytes, sections) -> list[tuple]:
-    book = _Book(data)
-    out = []
-    d1904 = book.date1904
-    grids: dict = {}
-    for sec in sections:
-        if sec.sheet not in grids:
-            grids[sec.sheet] = book.grid(sec.sheet)
-        g = grids[sec.sheet]
-        if sec.kind == "cell":
-            r, c = _split_ref(sec.ref)
-            out.append((source, sec.name, 0, [g.get((r, c))], d1904))
-        elif sec.kind == "range":
-            a, b = sec.ref.split(":")
-            (r0, c0), (r1, c1) = _split_ref(a), _split_ref(b)
-            for i, r in enumerate(range(r0, r1 + 1)):
-                out.append((source, sec.name, i, [g.get((r, c)) for c in range(c0, c1 + 1)], d1904))
-        elif sec.kind == "rows":
-            rows = sorted({r for r, _ in g if r >= sec.skip})
-            for i, r in enumerate(rows):
-                out.append((source, sec.name, i, [g.get((r, c)) for c in range(sec.width)], d1904))
-    return out
+    book = Workbook(io.BytesIO(data))
+    return [(source, name, row_no, cells, book.date1904) for name, row_no, cells in section_rows(book, sections)]
 
 
 def extract_workbooks(files: DataFrame, sections=ROSTER_SECTIONS) -> DataFrame:
@@ -199,5 +233,11 @@ def roster_frames(cells: DataFrame) -> dict[str, DataFrame]:
 
 
 def read_roster_folder(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    """S2-S5 in one call: list, extract, type."""
-    return roster_frames(extract_workbooks(list_workbooks(spark, folder)))
+    """S2-S5 in one call through the ``roster_workbooks`` source: each frame opens the sheets of its section only."""
+    from .workbook_source import register
+    register(spark)
+
+    def cells(section: str) -> DataFrame:
+        return spark.read.format("roster_workbooks").option("sections", section).load(folder)
+
+    return {name: roster_frames(cells(name))[name] for name in ("header", "roster", "totals")}
