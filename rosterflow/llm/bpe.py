@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm.common import text_slices, texts_of
 
-#: Distinct chunks whose ids a task remembers before it starts afresh.
-REMEMBERED = 500_000
+#: Distinct chunks whose ids a task remembers before it starts afresh; they stay in memory as long as the Python worker does.
+REMEMBERED = 100_000
 #: Words that merge in one flat array, few enough for the processor's caches.
 MERGED_AT_ONCE = 20_000
 #: Fixed value: the splitting pattern of byte-level pre-tokenization.
