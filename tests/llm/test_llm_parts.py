@@ -179,7 +179,8 @@ def test_folding_and_exceptions():
 
 
 def blocks(html):
-    return [text for text, _ in html_main.Page(html).main_blocks()]
+    found = html_main.Page(html).open_blocks()
+    return [text for text, place, _ in found if place == max(p for _, p, _ in found)]
 
 
 def test_main_blocks():
@@ -189,10 +190,20 @@ def test_main_blocks():
     <aside>s</aside></main><footer>f</footer>"""
     assert blocks(page) == ["Tit&le", "One two three", "four five", "a", "b"]
     assert blocks("<body><main><p>m</main><p>out") == ["m"]
-    assert blocks("<article>short</article><article>the longer one</article>") == ["the longer one"]
+    assert blocks("<article>short</article><article>the longer one</article>") == ["short", "the longer one"]
     assert blocks("<p hidden>x</p><p style='display: none'>y</p><p>z</p>") == ["z"]
 
 
+@pytest.mark.parametrize("tag", ["form", "dialog", "fieldset", "form><fieldset"])
+def test_an_article_in_a_wrapper_counts_if_there_is_no_other(tag):
+    end = "".join(f"</{t.strip('<')}>" for t in reversed(tag.split(">")))
+    assert blocks(f"<body><{tag}><label>Search</label><article><p>The story</p></article><input>{end}") == ["The story"]
+    assert blocks(f"<body><{tag}><main><p>The story</main>{end}") == ["The story"]
+    assert blocks(f"<body><{tag}><article><p>We use cookies</p></article>{end}<article><p>The story</p></article>") == ["The story"]
+    assert blocks(f"<body><{tag}><p>Name</p>{end}<p>The story</p>") == ["The story"]
+    assert blocks(f"<nav><{tag}><article>Menu</article>{end}</nav><p>The story</p>") == ["The story"]
+
+
 @pytest.mark.parametrize("wrapped", ['<div class="content-sidebar-wrap">{}</div>', '<div class="has-sidebar"><div>{}</div></div>', "{}"])
 def test_a_word_of_class_does_not_drop_the_article(wrapped):
     page = wrapped.format('<article class="post category-social tag-cookies"><p>The story of the day</p><div class="share">Share</div></article>')
@@ -202,4 +213,4 @@ def test_a_word_of_class_does_not_drop_the_article(wrapped):
 
 @pytest.mark.parametrize("html", ["", "<", "<a", "<p", "</p></div>", "<script>a", "<!--", '<p title="x>y', "<div>" * 300 + "x", "\x00", "&#xZZ; &am &amp;"])
 def test_broken_pages_do_not_crash(html):
-    html_main.Page(html).main_blocks()
+    html_main.Page(html).open_blocks()
