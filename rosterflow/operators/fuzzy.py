@@ -7,8 +7,11 @@ a centre), then matched by deletion-neighbourhood blocking: every string emits
 itself and each variant with ``k <= max_dist`` characters deleted; two strings
 within distance ``max_dist`` always share a variant, so an equi-join on the
 variant finds every candidate pair. Candidates are verified with Spark's
-thresholded ``levenshtein`` and joined back to the rows. Work is linear in total
-text length times ``C(len, k)``; all of it is hash joins and aggregates.
+thresholded ``levenshtein`` and joined back to the rows. All of it is hash joins and
+aggregates. For distances of 2 and more the variants would grow as ``len^k``; there one
+side is cut into ``k + 1`` even segments, of which ``k`` edits leave one whole
+(pigeonhole), and the other side offers the substrings that can be such a segment: a
+number of keys per string that depends on ``k`` alone.
 
 Skew: because keys are distinct before blocking, the strings sharing one
 variant ``v`` (for k = 1) are exactly the distinct strings obtained by inserting
@@ -39,6 +42,30 @@ def _deletion_variants(s: Column, max_dist: int) -> Column:
     return variants
 
 
+def _segment(length: str, i: str, k: int) -> tuple[str, str]:
+    """SQL: start and size of segment ``i`` of ``k + 1`` even ones of a string of ``length``; the last ones are longer."""
+    short = f"({k + 1} - {length} % {k + 1})"           # so many segments have the smaller size
+    return f"({i} * ({length} div {k + 1}) + greatest(0, {i} - {short}))", f"({length} div {k + 1} + if({i} >= {short}, 1, 0))"
+
+
+def _segments(col: str, k: int) -> Column:
+    """The ``k + 1`` segments of a string, each with its place and the string's length."""
+    start, size = _segment(f"length({col})", "i", k)
+    return F.expr(f"transform(sequence(0, {k}), i -> concat_ws(':', length({col}), i, substring({col}, cast({start} + 1 as int), cast({size} as int))))")
+
+
+def _windows(col: str, k: int) -> Column:
+    """The substrings that can be a segment of a string within distance ``k``: for every such length and segment those
+    whose shift leaves no more edits before it than segments, nor after it."""
+    start, size = _segment("n", "i", k)
+    shift = f"(length({col}) - n)"
+    low = f"greatest(0, {start} - i, {start} + {shift} - ({k} - i))"
+    high = f"least(length({col}) - {size}, {start} + i, {start} + {shift} + ({k} - i))"
+    pieces = f"transform(sequence(cast({low} as int), cast({high} as int)), at -> concat_ws(':', n, i, substring({col}, at + 1, cast({size} as int))))"
+    return F.expr(f"array_distinct(flatten(flatten(transform(sequence(greatest(length({col}) - {k}, 0), length({col}) + {k}), n -> "
+                  f"transform(sequence(0, {k}), i -> if({low} <= {high}, {pieces}, cast(array() as array<string>)))))))")
+
+
 def fuzzy_key_pairs(left_keys: DataFrame, right_keys: DataFrame, max_dist: int = 1) -> DataFrame:
     """Distinct key pairs ``(lkey, rkey, dist)`` with ``levenshtein <= max_dist``.
 
@@ -46,8 +73,12 @@ def fuzzy_key_pairs(left_keys: DataFrame, right_keys: DataFrame, max_dist: int =
     """
     lk = left_keys.select(F.col(left_keys.columns[0]).alias("lkey")).where("lkey is not null").distinct()
     rk = right_keys.select(F.col(right_keys.columns[0]).alias("rkey")).where("rkey is not null").distinct()
-    lv = lk.select("lkey", F.explode(_deletion_variants(F.col("lkey"), max_dist)).alias("variant"))
-    rv = rk.select("rkey", F.explode(_deletion_variants(F.col("rkey"), max_dist)).alias("variant"))
+    if max_dist < 2:
+        left, right = _deletion_variants(F.col("lkey"), max_dist), _deletion_variants(F.col("rkey"), max_dist)
+    else:
+        left, right = _segments("lkey", max_dist), _windows("rkey", max_dist)
+    lv = lk.select("lkey", F.explode(left).alias("variant"))
+    rv = rk.select("rkey", F.explode(right).alias("variant"))
     cand = lv.join(rv, "variant").select("lkey", "rkey").distinct()
     dist = F.levenshtein("lkey", "rkey", max_dist)
     return cand.withColumn("dist", dist).where(F.col("dist") >= 0)
