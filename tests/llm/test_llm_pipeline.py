@@ -78,3 +78,23 @@ def test_the_rest_is_encoded(steps):
     library = Tokenizer.from_file(tokenizer_file())
     want = {r["doc_id"]: library.encode(r["text"], add_special_tokens=False).ids for r in before}
     assert {r["doc_id"]: list(r["ids"]) for r in after} == want and all(r["n_tokens"] == len(r["ids"]) for r in after)
+
+
+ODD = [(None, "a row without an id", "en", "web", 19), (1, None, "en", None, None), (2, "", None, "web", 0), (3, "one", "en", "web", 3), (3, "one", "en", "web", 3),
+       (4, "a plain text of several quite harmless words that no other row has\nand a second line", "en", "web", 84), (5, "x" * 200_000, "en", "web", 200_000)]
+
+
+@pytest.mark.parametrize("name", [name for name, _ in cp.STAGES])
+def test_odd_rows_in_each_stage(spark, name):
+    """Null ids, null, empty and very long texts, repeated rows, columns with clashing names, an empty table."""
+    from pyspark.sql import functions as F
+    docs = spark.createDataFrame(ODD, "doc_id long, text string, lang string, source string, n_chars long")
+    clashing = docs.select("*", *[F.lit("other").alias(c) for c in ("score", "label", "id", "gone", "bucket", "ids")])
+    stage = dict(cp.STAGES)[name]
+    if name == cp.STAGES[-1][0]:
+        got = sorted((r["doc_id"] or -1, r["n_tokens"] > 0) for r in stage(spark, clashing, SF).collect())
+        assert got == sorted((r[0] or -1, bool(r[1])) for r in ODD)
+    else:
+        key = lambda r: str(tuple(r))
+        assert sorted(map(tuple, stage(spark, clashing, SF).collect()), key=key) == sorted([(*r[:4], None if r[1] is None else len(r[1])) for r in ODD], key=key)
+    assert stage(spark, docs.limit(0), SF).count() == 0
