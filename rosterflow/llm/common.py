@@ -115,7 +115,7 @@ def candidates(facts: DataFrame) -> DataFrame:
 
 
 def linked_groups(members: DataFrame, facts: DataFrame, verify: Callable[[DataFrame], DataFrame], may_link: Callable[[str, str], Column] | None = None,
-                  star_rounds: int = 2, share: int = 4, slotted: bool = True) -> DataFrame:
+                  star_rounds: int = 2, share: float = 4, slotted: bool = True) -> DataFrame:
     """Components (id, root) of all verified links between ids that share a bucket.
 
     ``members`` are the ``candidates`` of ``facts`` (id, keys, ...; each id has equally many keys, each found at

@@ -229,7 +229,7 @@ def test_packed_simhash(spark):
     texts = [" ".join(rng.choice(["a", "b", "c", "dd", "e"]) for _ in range(n)) for n in (1, 2, 7, 300)]
     docs = spark.createDataFrame([(1, "\n".join(texts))], DOCS)
     value = dict(tuple(r) for r in spark.createDataFrame([(w,) for w in ["a", "b", "c", "dd", "e"]], "w string").select("w", F.xxhash64("w")).collect())
-    for r in line_dedup.lines(docs).select("pos", line_dedup.simhash_of(F.col("words")).alias("simhash")).collect():
+    for r in line_dedup.lines(docs).select("pos", line_dedup.simhash_of(F.transform("words", lambda w: F.xxhash64(w))).alias("simhash")).collect():
         ws = texts[r["pos"]].split()
         want = sum(1 << b for b in range(64) if 2 * sum(value[w] >> b & 1 for w in ws) > len(ws))
         assert r["simhash"] % (1 << 64) == want
