@@ -9,11 +9,15 @@ and the greatest key for the message — and ``enforce`` raises when a
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
+from ..session import stored
 from .dedupe import duplicates, late_key_groups
 
+RESULTS = "rule string, severity string, n bigint, sample array<string>"
+
 
 class QualityGateError(RuntimeError):
     """A stop-severity rule found violating rows."""
@@ -61,6 +65,35 @@ def check(spark, rules: Sequence[tuple[str, DataFrame, str]], sample_col: str |
     return out
 
 
+@dataclass
+class RowRule:
+    """A rule on single rows: ``broken`` says whether a row breaks it, ``key`` names the row in the message."""
+    name: str
+    severity: str
+    broken: Column
+    key: Column
+
+
+def stored_and_checked(df: DataFrame, rules: Sequence[RowRule]) -> tuple[DataFrame, DataFrame]:
+    """``df`` stored, and the result frame of the rules, as ``check`` gives it.
+
+    The rules are metrics of the write itself: the rows are neither read again nor computed twice.
+    """
+    seen = Observation()
+    metrics = []
+    for i, r in enumerate(rules):
+        broken, key = F.coalesce(r.broken, F.lit(False)), r.key.cast("string")
+        metrics += [F.count_if(broken).alias(f"n{i}"), F.min(F.when(broken, key)).alias(f"lo{i}"), F.max(F.when(broken, key)).alias(f"hi{i}")]
+    kept = stored(df.observe(seen, *metrics))
+    found = seen.get
+    return kept, result_frame(df.sparkSession, [
+        (r.name, r.severity, found[f"n{i}"], sorted({x for x in (found[f"lo{i}"], found[f"hi{i}"]) if x is not None})) for i, r in enumerate(rules)])
+
+
+def result_frame(spark: SparkSession, results: list[tuple]) -> DataFrame:
+    return spark.createDataFrame(results, RESULTS)
+
+
 def enforce(results: DataFrame) -> DataFrame:
     """Raise :class:`QualityGateError` when a ``stop`` rule has violations."""
     bad = results.where((F.col("severity") == "stop") & (F.col("n") > 0)).collect()

@@ -20,7 +20,7 @@ from ..functions import recode as rc
 from ..functions.nulls import glue_text, in_list, strict_max
 from ..operators import dedupe, fuzzy, joins, keys, reshape
 from ..operators.periods import lookup_label
-from ..operators.quality import late_key_violations, one_value_per_group, unique_key_violations
+from ..operators.quality import RowRule, check, late_key_violations, one_value_per_group, stored_and_checked, unique_key_violations
 from ..sources.lookups import region_code_map
 
 # --- fixed values of the migration ------------------------------------------------------
@@ -411,6 +411,13 @@ def gates(enrollment: DataFrame, late: DataFrame | None = None, nonunique: DataF
     return [*rules, ("inexact licence match", fuzzy_match_warnings(enrollment), "warn")]
 
 
+def checked_roster(enrollment: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The matched roster, stored, and the results of V4 (observed while it is written) and V1 (from two stored columns)."""
+    inexact = RowRule("inexact licence match", "warn", F.col("fuzzy") > 0, F.col("source"))
+    roster, results = stored_and_checked(enrollment, [inexact])
+    return roster, results.unionByName(check(enrollment.sparkSession, gates(roster)[:1]))
+
+
 def run_migration(spark, roster_folder: str, programs_path: str, db: dict[str, DataFrame], out_dir: str,
                   calendar_start, calendar_end, birthdates: DataFrame | None = None,
                   keys_to_merge: DataFrame | None = None, org_ids: DataFrame | None = None,
@@ -418,14 +425,14 @@ def run_migration(spark, roster_folder: str, programs_path: str, db: dict[str, D
                   full_time_sites: Sequence[str] = ()) -> dict[str, DataFrame]:
     """Entry 1 (the migration script) end to end: sources -> D1-D9 -> gates -> load.
 
-    The workbooks are read once: the extracted cells and the matched roster are
-    reliable checkpoints. V1 is enforced on the matched roster, the other
-    stop-gates before anything is loaded (``QualityGateError``);
+    The workbooks are read once: the extracted cells are a reliable checkpoint, the
+    matched roster a stored table. V4 is observed while that is written; V1 is
+    enforced there, the other stop-gates before anything is loaded (``QualityGateError``);
     warnings are returned with the gate results. Returns the key maps of the
     loaded tables plus ``gates``.
     """
     from ..operators.periods import reporting_calendar
-    from ..operators.quality import check, enforce, lookup_key_violations
+    from ..operators.quality import enforce, lookup_key_violations
     from ..session import cut_lineage
     from ..sinks.target import load_periods, load_target, to_target_periods
     from ..sources.files import read_programs
@@ -436,8 +443,8 @@ def run_migration(spark, roster_folder: str, programs_path: str, db: dict[str, D
     first_start = cal.select(F.min("period_start")).first()[0]
     frames = roster_frames(cut_lineage(extract_workbooks(list_workbooks(spark, roster_folder))))
     programs = read_programs(spark, programs_path)
-    enr = cut_lineage(psr_enrollment(frames["roster"], frames["header"], programs, cal))
-    enforce(check(spark, gates(enr)[:1]))
+    enr, roster_results = checked_roster(psr_enrollment(frames["roster"], frames["header"], programs, cal))
+    enforce(roster_results)
     rev = psr_revenue(frames["totals"], frames["header"], enr, cal)
     orgs, sites = organizations_and_sites(rev, programs, towns(spark))
     flat = enrollment_flat(db, sites)
@@ -448,7 +455,8 @@ def run_migration(spark, roster_folder: str, programs_path: str, db: dict[str, D
     lookups = {"towns": (towns(spark), ["town"])}
     if birthdates is not None:
         lookups["birthdates"] = (birthdates, ["SASID"])
-    results = enforce(check(spark, gates(enr, late, nonunique) + lookup_key_violations(lookups)))
+    rules = [g for g in gates(enr, late, nonunique) if g[0] not in (r["rule"] for r in roster_results.collect())]
+    results = enforce(roster_results.unionByName(check(spark, rules + lookup_key_violations(lookups))))
     funds = fundings(uniq, enr, cal, full_time_sites)
     reports = current_reports(orgs, enr)
     enrl, sites = single_site_fix(enrl, sites, site_mapping)

@@ -6,7 +6,7 @@ from . import catalog
 
 
 def _load():
-    from . import analysis_queries, billing_queries, entity_queries, load_queries, migration_queries, roster_queries, shipped_queries  # noqa: F401
+    from . import analysis_queries, billing_queries, entity_queries, load_queries, migration_queries, roster_queries, shipped_queries, source_queries  # noqa: F401
 
 
 def all_queries():

@@ -149,3 +149,25 @@ def test_numbering_without_a_checkpoint(spark, per_range):
     got = number_rows(df, ["a", "b", "c"], id_col="no", start=11, rows_per_range=per_range)
     order = sorted(data, key=lambda r: [(x is not None, x) for x in r])
     assert [tuple(r) for r in got.orderBy("no").collect()] == [(*r, 11 + i) for i, r in enumerate(order)]
+
+
+def test_gates_are_observed_while_the_roster_is_written(spark):
+    """V1, V4: the same results as the rules' own aggregates, without a second look at the rows."""
+    from rosterflow.operators import quality
+    from rosterflow.plans import reconcile as rc
+    data = [(f"f{i % 5}", i, "Alpha" if i % 5 != 3 or i % 2 else "Beta", i % 4 == 0, f"L{i}", "L0") for i in range(60)]
+    enr = spark.createDataFrame(data, "source string, row_no int, org_name string, inexact boolean, license_no string, program_license_no string")
+    enr = enr.withColumn("fuzzy", F.col("inexact").cast("int")).drop("inexact")
+    looked = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            looked.add(len(b))
+            yield b
+    watched = enr.mapInPandas(counted, enr.schema)
+    kept, results = rc.checked_roster(watched)
+    want = quality.check(spark, rc.gates(enr))
+    assert rows(results) == rows(want) and [r["n"] for r in results.orderBy("rule").collect()] == [15, 1]
+    assert rows(kept) == rows(enr) and looked.value == len(data)
+    with pytest.raises(quality.QualityGateError, match="f3"):
+        quality.enforce(results)
