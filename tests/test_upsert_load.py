@@ -151,6 +151,14 @@ def test_numbering_without_a_checkpoint(spark, per_range):
     assert [tuple(r) for r in got.orderBy("no").collect()] == [(*r, 11 + i) for i, r in enumerate(order)]
 
 
+def test_numbering_in_several_ranges_keeps_the_working_columns_of_the_load(spark):
+    data = [(f"a-{i}", i, i % 7) for i in range(200)]
+    df = spark.createDataFrame(data, "__rf_local string, __rf_pid int, k int")
+    got = number_rows(df, ["k", "__rf_local"], id_col="no", rows_per_range=20)
+    order = sorted(data, key=lambda r: (r[2], r[0]))
+    assert [tuple(r) for r in got.orderBy("no").collect()] == [(*r, 1 + i) for i, r in enumerate(order)]
+
+
 def test_gates_are_observed_while_the_roster_is_written(spark):
     """V1, V4: the same results as the rules' own aggregates, without a second look at the rows."""
     from rosterflow.operators import quality
