@@ -81,6 +81,24 @@ def test_billing_sections(spark):
     assert abs(hdr.number_of_weeks - 5.0) < 1e-9 and hdr.file_stem == "Org A August 2019 CDC PSR"
 
 
+def test_roster_lines_are_matched_and_numbered_without_their_texts(spark, monkeypatch):
+    """A funding is in many reports: what is stored for each line are keys; texts are stored once a funding."""
+    from rosterflow.plans import billing
+    kept = []
+
+    def watched(df, real=billing.stored):
+        kept.append(real(df))
+        return kept[-1]
+    monkeypatch.setattr(billing, "stored", watched)
+    t = _model(spark)
+    one = t["report"]
+    t["report"] = one.unionByName(one.withColumn("Id", F.lit(2).cast("long")).withColumn("ReportingPeriodId", F.lit(1)))
+    out = billing_report(t, ("roster",))["roster"]
+    assert rows(out, "report_id", "line_no", "sasid") == [(1, i + 1, s) for i, s in enumerate(["S3", "S4", "S1", "S1", "S2", "S6"])] + [
+        (2, i + 1, s) for i, s in enumerate(["S3", "S1", "S5"])]
+    assert kept and all({"report_id", "LastName"} - set(df.columns) for df in kept)
+
+
 def test_subsidies_per_report_matches_brute_force(spark):
     import random
     from rosterflow.plans.billing import child_subsidies, subsidies_per_report
