@@ -21,6 +21,7 @@ from ..functions.nulls import glue_text, in_list, strict_max
 from ..operators import dedupe, fuzzy, joins, keys, reshape
 from ..operators.periods import lookup_label
 from ..operators.quality import RowRule, check, late_key_violations, one_value_per_group, stored_and_checked, unique_key_violations
+from ..session import stored
 from ..sources.lookups import region_code_map
 
 # --- fixed values of the migration ------------------------------------------------------
@@ -61,10 +62,16 @@ def psr_enrollment(roster: DataFrame, header: DataFrame, programs: DataFrame, ca
     progs = programs.where(F.col("license_no").isNotNull() & F.col("org_name").isNotNull()).select(
         F.col("license_no").alias("program_license_no"), "name", "org_name", "address", "town", "zip",
         "naeyc_id", "registry_id", "facility_code")
-    pairs = fuzzy.fuzzy_join(r, progs, "license_no", "program_license_no", max_dist=1, dist_col="fuzzy")
-    return fuzzy.best_match(pairs, ["source", "sasid", "first_name", "last_name"], "fuzzy",
-                            ["program_license_no", "name", "facility_code", "org_name", "naeyc_id", "registry_id", "address",
-                             "town", "zip", "row_no"])
+    # the best program of a licence as written is the same in all its rows: matched once per licence, and stored, so that
+    # Spark knows how small it is and does not gather the rows of a licence in one task to join them
+    order = ["program_license_no", "name", "facility_code", "org_name", "naeyc_id", "registry_id", "address", "town", "zip"]
+    pairs = fuzzy.fuzzy_join(roster.select("license_no").distinct(), progs, "license_no", "program_license_no", max_dist=1, dist_col="fuzzy")
+    best = stored(fuzzy.best_match(pairs, ["license_no"], "fuzzy", order))
+    matched = r.join(best, "license_no").select(*r.columns, *[c for c in best.columns if c != "license_no"])
+    # few persons have two rows in a file, so a pick before the shuffle saves little and sorts the wide rows of whole
+    # input tasks; a person's rows are of one file, so none is large
+    person = ["source", "sasid", "first_name", "last_name"]
+    return fuzzy.best_match(matched.repartition(*person), person, "fuzzy", [*order, "row_no"])
 
 
 def one_org_per_file(enrollment: DataFrame) -> DataFrame:

@@ -262,6 +262,23 @@ def test_run_migration_entry_point(spark, inputs):
                          birthdates=dup_dates)
 
 
+def test_roster_rows_of_a_licence_are_not_gathered_to_match_it(spark):
+    """The best program is found once per licence as written; the rows join it where they are."""
+    none = None
+    programs = spark.createDataFrame([("L100", "b", "Org B"), ("L200", "a", "Org A"), ("L201", "c", "Org C")], "license_no string, name string, org_name string").select(
+        "name", "org_name", *[F.lit(none).cast("string").alias(c) for c in ("address", "town", "zip", "naeyc_id", "registry_id", "facility_code")], "license_no")
+    data = [("f", i, f"S{i}", "Ann", "Lee", licence) for i, licence in enumerate(["L100", "L10", "L202", "L20", "Z9", None])]
+    data.append(("f", 9, "S1", "Ann", "Lee", "L201"))              # the same person under another licence, exactly
+    roster = spark.createDataFrame(data, "source string, row_no long, sasid string, first_name string, last_name string, license_no string")
+    header = spark.createDataFrame([("f", "none")], "source string, psr_format string")
+    cal = reporting_calendar(spark, dt.date(2019, 7, 1), dt.date(2019, 9, 1))
+    enr = rc.psr_enrollment(roster, header, programs, cal)
+    assert rows(enr, "sasid", "row_no", "license_no", "program_license_no", "fuzzy", "org_name") == [
+        ("S0", 0, "L100", "L100", 0, "Org B"), ("S1", 9, "L201", "L201", 0, "Org C"), ("S2", 2, "L202", "L200", 1, "Org A"), ("S3", 3, "L20", "L200", 1, "Org A")]
+    plan = enr._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(license_no" not in plan and "levenshtein" not in plan
+
+
 def test_unknown_period_makes_the_global_bound_null(spark):
     enr = spark.createDataFrame([("S1", 2, None, None, 3, "IT", 1, "7"), ("S2", None, None, None, 2, "PS", 1, None)],
                                 "sasid string, period int, termination_date date, FacilityExitDate date, "
