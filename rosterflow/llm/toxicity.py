@@ -122,6 +122,8 @@ def learn_lexicon(sample: DataFrame, entries: int = LEXICON) -> dict[str, float]
         for batch in batches:
             for text, toxic in zip(texts_of(batch["text"]), batch["toxic"], strict=True):
                 words = folded_words(text)
+                if not words:
+                    continue
                 pairs = set(zip(words, ["", *words[:-1]], strict=True))
                 terms = {(f" {w} ", p) for w, p in pairs} | {(f" {w[:k]}", p) for w, p in pairs for k in STEMS if len(w) > k}
                 yield pd.DataFrame({"term": [t for t, _ in terms], "before": [p for _, p in terms], "toxic": [int(toxic)] * len(terms)})
