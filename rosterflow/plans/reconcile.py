@@ -308,6 +308,10 @@ def fundings(uniqued: DataFrame, enrollment: DataFrame, calendar: DataFrame,
     """
     # R's max() without na.rm: one roster whose header matched no period makes the bound NA
     last_seen = enrollment.select(strict_max("period")).scalar()
+    # both kinds of fundings are made of the same rows: planned and joined once
+    needed = ["enrollment_id", "facility_code", "age_group", "c4k_case_no", "termination_date", "FacilityExitDate",
+              "first_observed_psr_period", "last_observed_psr_period", "last_observed_c4k_period"]
+    uniqued = stored(uniqued.select(*[c for c in uniqued.columns if c in needed]))
     open_end = (F.col("last_observed_psr_period") < last_seen) | F.col("termination_date").isNotNull() | \
         F.col("FacilityExitDate").isNotNull()
     cdc = uniqued.select(
