@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm.common import text_slices, texts_of
 
-#: Distinct chunks whose ids a task remembers before it starts afresh; they stay in memory as long as the Python worker does.
-REMEMBERED = 100_000
+#: Distinct chunks (and pieces) whose ids a task remembers; beyond that it forgets all but the half met most often. They stay
+#: in memory as long as the Python worker does.
+REMEMBERED = 200_000
 #: Words that merge in one flat array, few enough for the processor's caches.
 MERGED_AT_ONCE = 20_000
 #: Fixed value: the splitting pattern of byte-level pre-tokenization.
@@ -64,9 +65,6 @@ class Bpe:
         self.piece_bytes = np.frombuffer(b"".join(pieces), dtype=np.uint8)
         self.split = regex.compile(PATTERN).findall
         self.special = regex.compile("(" + "|".join(regex.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
-        self._forget()
-
-    def _forget(self) -> None:
         self.pieces, self.known = _Memory(), _Memory()
         for token, i in self.added.items():  # \0 marks an added token, which no splitting yields in one piece
             self.known.add([f"\0{token}"], np.array([i], dtype=np.int64), np.array([1], dtype=np.int64))
@@ -131,7 +129,8 @@ class Bpe:
         """``text`` in chunks that are split and merged independently of each other.
 
         A space begins a piece unless white space of any kind stands before it, so a text without such places is cut
-        before every space; that is much faster than the pattern, which then sees only chunks not met before.
+        before every space; that is much faster than the pattern, which then sees only chunks not met before. A line end
+        without white space beside it is a piece, so such texts are cut before and after it.
         Other texts are cut by the pattern itself. An added token's string is a chunk of its own after a \0.
         """
         if self.special is None or not self.special.search(text):
@@ -147,15 +146,21 @@ class Bpe:
     def _cut(self, text: str) -> list[str]:
         if "\0" in text or any(run in text for run in INNER_SPACES):
             return self.split(text)
-        return text.replace(" ", "\0 ").lstrip("\0").split("\0") if text else []
+        if not text:
+            return []
+        lines = text.split("\n")
+        if len(lines) > 1 and all(line and not line[0].isspace() and not line[-1].isspace() for line in lines):
+            text = "\0\n\0".join(lines)
+        return text.replace(" ", "\0 ").lstrip("\0").split("\0")
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all ``texts`` in one array, and the number of each text."""
         split = [self.chunks(t) for t in texts]
         counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         pieces = list(chain.from_iterable(split))
-        if len(self.known.index) > REMEMBERED:
-            self._forget()
+        for memory in (self.known, self.pieces):
+            if len(memory.index) > REMEMBERED:
+                memory.forget(REMEMBERED // 2, always=len(self.added) if memory is self.known else 0)
         found = self.known.look_up(pieces, self._learn)
         ids, lengths = _gather(self.known.flat, self.known.start, found)
         ends = np.concatenate([[0], np.cumsum(lengths)])
@@ -163,11 +168,18 @@ class Bpe:
         return ids, np.diff(ends[of_text])
 
     def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        words = [self.split(c) for c in chunks]
+        # an ASCII word, with or without a space before it, is one piece: most new chunks are such
+        alone = np.fromiter((c.isascii() and (c.isalpha() or c[0] == " " and c[1:].isalpha()) for c in chunks), dtype=bool, count=len(chunks))
+        flat, counts = self.merge([c for c, one in zip(chunks, alone.tolist(), strict=True) if one])
+        if alone.all():
+            return flat, counts
+        words = [self.split(chunks[i]) for i in np.flatnonzero(~alone).tolist()]
         found = self.pieces.look_up(list(chain.from_iterable(words)), self.merge)
-        flat, lengths = _gather(self.pieces.flat, self.pieces.start, found)
+        more, lengths = _gather(self.pieces.flat, self.pieces.start, found)
         first = np.cumsum([0, *map(len, words)])[:-1]
-        return flat, np.add.reduceat(lengths, first)
+        place = np.where(alone, np.cumsum(alone), len(counts) + np.cumsum(~alone)) - 1
+        start = np.concatenate([[0], np.cumsum(counts), len(flat) + np.cumsum(np.add.reduceat(lengths, first))])
+        return _gather(np.concatenate([flat, more]), start, place)
 
     def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
         """The texts of several id sequences, given in one array with the number of each."""
@@ -190,12 +202,24 @@ class _Memory:
     def __init__(self) -> None:
         self.index: dict[str, int] = {}
         self.flat, self.start = np.empty(0, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.met = np.zeros(0, dtype=np.int64)
+
+    def forget(self, most: int, always: int = 0) -> None:
+        """Keep the first ``always`` strings and up to ``most`` others, those met most often, of which half the count stays."""
+        often = always + np.argsort(-self.met[always:], kind="stable")[:most]
+        kept = np.concatenate([np.arange(always), np.sort(often[self.met[often] > 1])]).astype(np.int64)
+        strings = list(self.index)
+        self.index = {strings[k]: i for i, k in enumerate(kept.tolist())}
+        self.flat, lengths = _gather(self.flat, self.start, kept)
+        self.start = np.concatenate([[0], np.cumsum(lengths)])
+        self.met = self.met[kept] // 2
 
     def add(self, strings: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
         n = len(self.index)
         self.index.update(zip(strings, range(n, n + len(strings)), strict=True))
         self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(lengths)])
         self.flat = np.concatenate([self.flat, flat])
+        self.met = np.concatenate([self.met, np.zeros(len(strings), dtype=np.int64)])
 
     def look_up(self, strings: list[str], learn: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         """The numbers of ``strings``; ``learn`` gives the ids of those not met before, and the number of each."""
@@ -207,6 +231,7 @@ class _Memory:
             for i in range(0, len(new), MERGED_AT_ONCE):
                 self.add(new[i:i + MERGED_AT_ONCE], *learn(new[i:i + MERGED_AT_ONCE]))
             found[missing] = np.fromiter(map(self.index.__getitem__, asked), dtype=np.int64, count=len(asked))
+        self.met += np.bincount(found, minlength=len(self.met))
         return found
 
 

@@ -151,6 +151,28 @@ def test_token_counts(spark):
     assert sorted((r["doc_id"] or -1, r["n_words"], r["n_tokens"]) for r in got.collect()) == want
 
 
+def test_bpe_remembers_frequent_chunks(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 60)
+    rng = random.Random(5)
+    model = bpe.Bpe(tokenizer_file())
+    for _ in range(12):
+        texts = [f"the of and the of and. The\nthe of\n{' '.join(words(rng, 9))}, the of" for _ in range(5)]
+        ids, counts = model.encode(texts)
+        fresh = [bpe.Bpe.encode(model, [t])[0].tolist() for t in texts]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == fresh
+        assert model.decode_all(ids, counts) == texts
+    assert len(model.known.index) < 300 and {" of", " the", "\n"} <= set(list(model.known.index)[:40])
+    model.known.forget(30, always=len(model.added))
+    assert {" of", " the"} <= set(model.known.index) and len(model.known.index) <= 30 + len(model.added)
+
+
+def test_bpe_cuts_at_line_ends_only_where_pieces_end():
+    model = bpe.Bpe(tokenizer_file())
+    assert model.chunks("the end.\nThe end") == ["the", " end.", "\n", "The", " end"]
+    for text in ("a\n", "\na", "a\n\nb", "a\n\n\nb c", "a \nb", "a\n b", "\n", "a\n's b", "a\n\tb", "a\u00a0\nb", "x\ny\nz!\n?", "a\x1c\nb", "a\r\nb"):
+        assert [p for c in model.chunks(text) for p in model.split(c)] == model.split(text), repr(text)
+
+
 def test_line_dedup(spark):
     rng = random.Random(8)
     long = words(rng, 60)
