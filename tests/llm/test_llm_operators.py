@@ -238,6 +238,26 @@ def test_fuzzy_lines_against_edit_similarity_alone(spark):
         assert len(own) >= 30 and len(own & gone) >= 0.9 * len(own), kind
 
 
+def test_edit_check_by_parts(spark):
+    """The parts never show fewer edits than there are, and show long close lines; with the whole lines the check is exact."""
+    rng = random.Random(31)
+    pairs = []
+    for n in (1, 2, 5, 30, 120, 300):
+        for changed in (0.0, 0.03, 0.12, 0.3):
+            for _ in range(4):
+                a = words(rng, n)
+                b = [w for x in a for w in ([x] if rng.random() >= changed else rng.choice([[], words(rng, 1), [x, *words(rng, 1)]]))]
+                pairs.append((" ".join(a), " ".join(b), n, changed))
+    pairs += [("\u00e4b " * 200 + "x", "\u00e4b " * 180 + "y " + "\u00e4b " * 20, 0, 0.0), ("ab" * 300, "ba" * 300, 0, 0.0), ("", "abc", 0, 0.0), ("abc", "abc", 0, 0.0)]
+    df = spark.createDataFrame(pairs, "a string, b string, n int, changed double").withColumn("most", F.floor(0.2 * F.greatest(F.length("a"), F.length("b")) + 1e-9).cast("int"))
+    a, b, most = F.col("a"), F.col("b"), F.col("most")
+    rows = df.select("n", "changed", "most", F.levenshtein("a", "b").alias("edits"), line_dedup.edits_by_parts(a, b, most).alias("shown"),
+                     line_dedup.similar(a, b, most, F.lit(True)).alias("close"), line_dedup.similar(a, b, most, F.lit(False)).alias("far")).collect()
+    for r in rows:
+        assert r["shown"] >= min(r["edits"], r["most"] + 1) and r["close"] == r["far"] == (r["edits"] <= r["most"]), r
+        assert r["n"] < 120 or r["changed"] > 0.03 or r["shown"] <= r["most"], r
+
+
 def test_a_line_of_very_many_words(spark):
     """Over 65,535 characters and 32,767 words: no SimHash, through the whole operator all the same."""
     rng = random.Random(12)
