@@ -9,11 +9,12 @@ from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import text_slices, texts_of
+from rosterflow.llm.common import arrow_slices
 
 #: Distinct chunks (and pieces) whose ids a task remembers; beyond that it forgets all but the half met most often. They stay
 #: in memory as long as the Python worker does.
@@ -256,29 +257,32 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
     task holds one slice of texts and a bounded memory of words, so repeated rows, hot sources and very long
     texts need no care. Other columns are ignored. ``path`` is the vocabulary file, present on every machine.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        model = bpe(path)
-        for batch in batches:
-            texts = texts_of(batch["text"])
-            for start, end in text_slices(texts, 500_000):
-                ids, counts = model.encode(texts[start:end])
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[start:end].array, "ids": np.split(ids.astype(np.int32), np.cumsum(counts)[:-1])})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for doc_ids, ids, counts in _encoded(batches, bpe(path)):
+            yield pa.RecordBatch.from_arrays([doc_ids, _lists(ids, counts)], ["doc_id", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>")
+
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, "doc_id long, ids array<int>")
+def _encoded(batches: Iterator[pa.RecordBatch], model: Bpe) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """The doc_ids of each slice of the ``batches`` (doc_id, text), its token ids in one array and the number of each row."""
+    for batch in batches:
+        for start, texts in arrow_slices(batch.column("text"), 500_000):
+            yield batch.column("doc_id").slice(start, len(texts)), *model.encode(texts)
+
+
+def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), pa.array(ids.astype(np.int32)))
 
 
 def round_trip(docs: DataFrame, path: str) -> DataFrame:
     """(doc_id, ids, text): ``encode`` and ``decode`` in one pass over the texts, with the decoded text."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = bpe(path)
-        for batch in batches:
-            texts = texts_of(batch["text"])
-            for start, end in text_slices(texts, 500_000):
-                ids, counts = model.encode(texts[start:end])
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[start:end].array, "ids": np.split(ids.astype(np.int32), np.cumsum(counts)[:-1]),
-                                    "text": model.decode_all(ids, counts)})
+        for doc_ids, ids, counts in _encoded(batches, model):
+            yield pa.RecordBatch.from_arrays([doc_ids, _lists(ids, counts), pa.array(model.decode_all(ids, counts), pa.string())], ["doc_id", "ids", "text"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInPandas(run, "doc_id long, ids array<int>, text string")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, ids array<int>, text string")
 
 
 def decode(tokens: DataFrame, path: str) -> DataFrame:

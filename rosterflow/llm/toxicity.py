@@ -10,10 +10,11 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import stored, texts_of
+from rosterflow.llm.common import arrow_slices, stored, texts_of
 
 #: At most about so many labelled rows of each class, picked by a hash of doc_id, teach lexicon and calibration.
 TOXIC_ROWS, CLEAN_ROWS = 4_000, 8_000
@@ -189,12 +190,12 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, toxi
 
     # the texts go to Python, their scores come back; rows stay in the JVM meanwhile. A column that is not
     # deterministic to the planner is evaluated once, however often it is used
-    @F.pandas_udf("double")
-    def toxic_score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def toxic_score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         matcher = Lexicon(shared.value)
         for batch in texts:
-            x = np.fromiter(map(matcher.weigh, map(folded_words, texts_of(batch))), dtype=float, count=len(batch))
-            yield pd.Series(1 / (1 + np.exp(-np.clip(intercept + slope * x, -30, 30))))
+            x = np.array([matcher.weigh(folded_words(text)) for _, part in arrow_slices(batch, 500_000) for text in part], dtype=float)
+            yield pa.array(1 / (1 + np.exp(-np.clip(intercept + slope * x, -30, 30))))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
     out = rows.withColumn("score", toxic_score.asNondeterministic()("text"))

@@ -3,10 +3,11 @@ import random
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from rosterflow.llm import ann, bpe, decontaminate, html_main, minhash, sharding, token_count, toxicity
-from rosterflow.llm.common import text_slices
+from rosterflow.llm.common import arrow_slices, text_slices
 from rosterflow.llm.queries import tokenizer_file
 
 
@@ -214,3 +215,11 @@ def test_a_word_of_class_does_not_drop_the_article(wrapped):
 @pytest.mark.parametrize("html", ["", "<", "<a", "<p", "</p></div>", "<script>a", "<!--", '<p title="x>y', "<div>" * 300 + "x", "\x00", "&#xZZ; &am &amp;"])
 def test_broken_pages_do_not_crash(html):
     html_main.Page(html).open_blocks()
+
+
+def test_arrow_slices_make_strings_of_one_part_at_a_time():
+    texts = ["é" * 30, None, "", "x" * 500, *["ab"] * 40]
+    parts = list(arrow_slices(pa.array(["before", *texts])[1:], limit=100))
+    assert [t for _, part in parts for t in part] == [t or "" for t in texts]
+    assert [start for start, _ in parts] == [0, 3, 4] and all(sum(len(t.encode()) for t in part) <= 100 or len(part) == 1 for _, part in parts)
+    assert list(arrow_slices(pa.array([], pa.string()))) == []
