@@ -7,11 +7,13 @@ from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from rosterflow.llm.common import texts_of
+from rosterflow.llm.common import arrow_slices
 
 #: Words of a window; items of fewer words are one window.
 WINDOW = 13
@@ -141,6 +143,7 @@ class SuffixAutomaton:
 
 
 SPANS = "array<struct<start:int,end:int>>"
+ARROW_SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -154,12 +157,13 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 
 
 def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover: int = COVER, block_words: int = BLOCK_WORDS,
-                   keep: tuple[str, ...] = ()) -> DataFrame:
+                   keep: tuple[str, ...] = (), cut: bool = False) -> DataFrame:
     """(doc_id, text, n_words, spans, item_ids, n_hit, contaminated) per row of ``docs`` (doc_id, text), with the columns of ``keep``.
 
     ``spans`` are the merged ranges of words inside occurrences of item windows, ``item_ids`` the items with
-    such a window. The items are dealt by hash over as many automata as their number of words asks for
-    (``block_words`` each, so that a broadcast has a bound); the documents stream through one after the other.
+    such a window. With ``cut`` the texts that are not contaminated come without their spans. The items are dealt by
+    hash over as many automata as their number of words asks for (``block_words`` each, so that a broadcast has a
+    bound); a text is scanned by one after the other.
     No row is shuffled and a task holds one batch of texts, so hot sources or copies have no effect.
 
     Null and empty texts have no words and are clean. Items without words or without an id take no part, items
@@ -170,26 +174,35 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, window: int = WINDOW, cove
     # upper bound of the words: every second byte
     bound = items.agg(F.coalesce(F.sum(F.floor((F.octet_length("text") + 1) / 2)), F.lit(0)).alias("n")).first()["n"]
     blocks = max(1, -(-int(bound) // (8 * block_words)) if bound > block_words else 1)
-    out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep, F.lit(0).cast("long").alias("n_words"),
-                      F.array().cast(SPANS).alias("spans"), F.array().cast("array<bigint>").alias("item_ids"))
-    sc = docs.sparkSession.sparkContext
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *keep)
+    sc, automata = docs.sparkSession.sparkContext, []
     for k in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k).orderBy("item_id", "text").collect()
-        automaton = sc.broadcast(SuffixAutomaton([(r["item_id"], words_of(r["text"])) for r in part], window))
+        automata.append(sc.broadcast(SuffixAutomaton([(r["item_id"], words_of(r["text"])) for r in part], window)))
 
-        def run(batches: Iterator[pd.DataFrame], automaton=automaton) -> Iterator[pd.DataFrame]:
-            scan = automaton.value.scan
-            for batch in batches:
-                counts, spans, ids = [], [], []
-                for text, before, known in zip(texts_of(batch["text"]), batch["spans"], batch["item_ids"], strict=True):
+    # all that Python does is one pass: a stage with several would hold a worker for each, beside each other
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scans = [automaton.value.scan for automaton in automata]
+        for batch in batches:
+            for start, texts in arrow_slices(batch.column("text")):
+                counts, all_spans, ids, rest = [], [], [], []
+                for text in texts:
                     words = words_of(text)
-                    here, found = scan(words)
+                    spans, known = [], set()
+                    for scan in scans:
+                        here, found = scan(words)
+                        spans, known = _merged(spans + here), known | found
                     counts.append(len(words))
-                    spans.append([{"start": a, "end": b} for a, b in _merged(here + [(s["start"], s["end"]) for s in before])])
-                    ids.append(sorted(found.union(int(x) for x in known)))
-                yield batch.assign(n_words=counts, spans=spans, item_ids=ids)
-
-        out = out.mapInPandas(run, out.schema)
+                    all_spans.append([{"start": a, "end": b} for a, b in spans])
+                    ids.append(sorted(known))
+                    hit = sum(b - a for a, b in spans)
+                    rest.append(without_spans(text, spans) if cut and hit and cover * hit < len(words) else None)
+                columns = dict(zip(batch.schema.names, batch.slice(start, len(texts)).columns, strict=True))
+                columns["text"] = pc.coalesce(pa.array(rest, pa.string()), columns["text"])
+                columns |= {"n_words": pa.array(counts, pa.int64()), "spans": pa.array(all_spans, ARROW_SPANS), "item_ids": pa.array(ids, pa.list_(pa.int64()))}
+                yield pa.RecordBatch.from_pydict(columns)
+
+    out = rows.mapInArrow(run, StructType([*rows.schema.fields, *StructType.fromDDL(f"n_words long, spans {SPANS}, item_ids array<long>").fields]))
     out = out.withColumn("n_hit", F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"]))
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (cover * F.col("n_hit") >= F.col("n_words")))
 
@@ -212,10 +225,5 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, cover
     A contaminated document (its hit words reach 1 / ``cover`` of all) goes; from the others the spans of
     matched words are cut. Rows without a hit keep their text as it was, null included.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = [without_spans(t, [(s["start"], s["end"]) for s in spans]) if t is not None and len(spans) else t for t, spans in zip(batch["text"].tolist(), batch["spans"], strict=True)]
-            yield batch.drop(columns="spans").assign(text=texts)
-
-    hits = benchmark_hits(docs, items, window, cover, block_words, keep).where("not contaminated").select("doc_id", "text", *keep, "spans")
-    return hits.mapInPandas(run, hits.drop("spans").schema)
+    hits = benchmark_hits(docs, items, window, cover, block_words, keep, cut=True)
+    return hits.where("not contaminated").select("doc_id", "text", *keep)

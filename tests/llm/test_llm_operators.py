@@ -433,3 +433,16 @@ def test_queries_against_sql(spark, name):
     from oracle_compare import compare, duck_connect
     sf = "/root/testdata/sf0.001"
     assert compare(spark, name, QUERIES[name], ORACLE_SQL[name], sf, duck_connect(sf))["status"] == "ok"
+
+
+def test_decontamination_is_one_python_pass(spark):
+    long = " ".join(f"w{i}" for i in range(400)) + ". Two Words, end"
+    docs = spark.createDataFrame([(None, None), (2**60 + 1, ""), (3, long), (4, "two words")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "two words"), (2, "w7 w8"), (3, "two"), (4, None), (None, "w9")], "item_id long, text string")
+    left = decontaminate.decontaminate(docs, items, block_words=1)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") + plan.count("MapInPandas") == 1       # a task's passes each hold a worker
+    texts = {r["doc_id"]: r["text"] for r in left.collect()}
+    assert texts == {None: None, 2**60 + 1: "", 3: decontaminate.without_spans(long, [(7, 9), (400, 402)])}
+    hits = {r["doc_id"]: (r["n_words"], r["n_hit"], r["item_ids"], r["contaminated"]) for r in decontaminate.benchmark_hits(docs, items, block_words=1).collect()}
+    assert hits == {None: (0, 0, [], False), 2**60 + 1: (0, 0, [], False), 3: (403, 4, [1, 2, 3], False), 4: (2, 2, [1, 3], True)}
