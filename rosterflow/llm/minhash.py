@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterflow.llm.common import candidates, linked_groups, mix64, small, stored, text_slices, texts_of, word_hashes
+from rosterflow.llm.common import candidates, drop_stored, linked_groups, mix64, small, stored, text_slices, texts_of, word_hashes
 
 #: Size of the universe that the permutations act on.
 UNIVERSE = 1 << 20
@@ -161,7 +161,14 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, bands: i
         return (100 * (n - differ) >= percent * (n + differ)) & (100 * (n - flipped) >= percent * (n + flipped))
 
     facts = stored(first.join(small(wanted), first.id == wanted.doc_id, "left_semi").dropDuplicates(["id"]))
-    groups = linked_groups(members, facts, verify, may_link)
+
+    def linked(a: str, b: str) -> Column:
+        """Common shingles, at least ``percent`` of those of either set."""
+        sizes = F.size(f"shingles{a}") + F.size(f"shingles{b}")
+        return (100 + percent) * F.size(F.array_intersect(f"shingles{a}", f"shingles{b}")) >= percent * sizes
+
+    groups = linked_groups(members, facts, verify, may_link, values=sets, linked=linked)
+    drop_stored(members, wanted, sets, facts)
     roots = same.join(groups, "id", "left").select("digest", F.coalesce("root", "id").alias("root"))
     rows_ = seen.select("doc_id", "n_shingles", "digest").join(roots, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))

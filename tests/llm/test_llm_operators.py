@@ -2,6 +2,7 @@
 import math
 import random
 import string
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from rosterflow.llm import ann, bpe, common, decontaminate, html_main, line_dedup, minhash, sharding, token_count, toxicity, url_filter
 from rosterflow.llm.queries import ORACLE_SQL, QUERIES, tokenizer_file
+from rosterflow.session import ensure_checkpoint_dir
 
 DOCS = "doc_id long, text string"
 ODD = [(None, "no id"), (7, None), (8, ""), (9, "one"), (9, "one"), (10, "x" * 5000 + " y" * 3000)]
@@ -88,6 +90,39 @@ def test_open_pairs_between_components_are_all_compared(spark):
     assert {r["id"]: r["root"] for r in got.collect()} == {i: i % 8 for i in range(n)}
 
 
+def test_open_pairs_are_compared_in_cells(spark, monkeypatch):
+    """Several cells to a bucket find every link that pairs shuffled with their values would find; no pair goes to ``verify``."""
+    monkeypatch.setattr(common, "CELL", 4)
+    n = 40
+    facts = spark.createDataFrame([(i, [1, 2 + i % 2]) for i in range(n)], "id long, keys array<long>")
+    values = spark.createDataFrame([(i, i * 10) for i in range(n)], "id long, v long")
+    checked = []
+
+    def verify(pairs):
+        checked.append(pairs.count())
+        return pairs.where("(a - b) % 8 = 0 and abs(a - b) = 8")
+    got = common.linked_groups(common.candidates(facts), facts, verify, star_rounds=1, share=0, values=values,
+                               linked=lambda a, b: F.abs(F.col(f"v{a}") - F.col(f"v{b}")) == 80)
+    assert {r["id"]: r["root"] for r in got.collect()} == {i: i % 8 for i in range(n)}
+    assert len(checked) == 1 and checked[0] < 2 * n       # the leaders' round alone
+
+
+def test_groups_leave_only_their_result_on_disk(spark):
+    """Line dedup and MinHash drop each intermediate table once it has been read for the last time."""
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file://"))
+    rng = random.Random(12)
+    base = [" ".join(words(rng, 30)) for _ in range(6)]
+    docs = spark.createDataFrame([(i, "\n".join([base[i % 6] + f" word{i}", base[(i + 1) % 6]])) for i in range(40)], "doc_id long, text string")
+    before = set(folder.iterdir())
+    lines = line_dedup.without_repeated_lines(docs)
+    assert len(set(folder.iterdir()) - before) == 1
+    assert lines.agg(F.sum("n_gone")).first()[0] > 40
+    before = set(folder.iterdir())
+    near = minhash.near_duplicates(docs, width=2)
+    assert len(set(folder.iterdir()) - before) <= 3        # what the result joins: sketches, equal sets, groups
+    assert near.where("not kept").count() > 0
+
+
 def test_decontamination_against_brute_force(spark):
     rng = random.Random(5)
     items = [(i, " ".join(words(rng, rng.choice([2, 13, 30]), 2))) for i in range(12)] + [(3, "again the same id"), (None, "no id at all"), (50, None), (51, "")]
