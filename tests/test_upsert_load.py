@@ -1,11 +1,13 @@
 """K1: the load as a versioned upsert - new, changed, equal and twin rows, and loads that end half way."""
 import random
+from pathlib import Path
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from rosterflow.operators.keys import number_rows
+from rosterflow.session import drop_stored, ensure_checkpoint_dir
 from rosterflow.sinks import target
 from rosterflow.sinks.target import LoadConflict, ParquetStore, TableSpec, load_target, match_rows
 
@@ -179,3 +181,19 @@ def test_gates_are_observed_while_the_roster_is_written(spark):
     assert rows(kept) == rows(enr) and looked.value == len(data)
     with pytest.raises(quality.QualityGateError, match="f3"):
         quality.enforce(results)
+
+
+def test_load_leaves_no_intermediate_tables(spark, tmp_path, monkeypatch):
+    """What a load stores on its way is dropped, also where windows do not rank the twins; the key maps are the caller's."""
+    monkeypatch.setattr(target, "WINDOW_ROWS", 0)
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file://"))
+    before = set(folder.iterdir())
+    maps = load_target(tables(spark, [(5, 6), (9, None)]), str(tmp_path))
+    assert len(set(folder.iterdir()) - before) == len(maps)
+    drop_stored(*maps.values())
+    maps = load_target(tables(spark, [(2, 3), (5, 6), (9, 12)]), str(tmp_path))
+    assert len(set(folder.iterdir()) - before) == len(maps)
+    assert maps["Funding"].count() == 3
+    drop_stored(*maps.values())
+    assert set(folder.iterdir()) == before
+    assert fundings(spark, str(tmp_path)) == [(1, 5, 6), (2, 9, 12), (3, 2, 3)]
