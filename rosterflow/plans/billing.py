@@ -239,6 +239,12 @@ def generate_reports(t: dict, out_dir: str, report_ids: DataFrame | None = None,
         write_report_sections(sections, out_dir, fmt, headers if fmt == "csv" else None)
 
 
+#: Places among all fundings that make a range; a report's lines of one range are numbered in one task.
+RANGE_PLACES = 250_000
+#: Rows of a table (a report and a range, or a report) up to which it is broadcast.
+BROADCAST_ROWS = 500_000
+
+
 def _roster(rep: DataFrame, t: dict, limits: DataFrame) -> DataFrame:
     """One line per active funding, repeated per subsidy row of the child; numbered per report (O1).
 
@@ -251,11 +257,70 @@ def _roster(rep: DataFrame, t: dict, limits: DataFrame) -> DataFrame:
                .withColumn("__row", F.monotonically_increasing_id()))
     # the place of a funding among all: labels (NULLs last), then its id; rows of one id share it
     labels = ["AgeGroup", "LastName", "FirstName"]
-    keyed = f.select("__row", "funding_id", *[x for c in labels for x in (F.col(c).isNull().alias(f"__no_{c}"), c)])
+    spell = ["__row", "organization_id", "ChildId", "FirstReportingPeriodId", "LastReportingPeriodId"]
+    keyed = f.select(*spell, "funding_id", *[x for c in labels for x in (F.col(c).isNull().alias(f"__no_{c}"), c)])
     placed = stored(number_rows(keyed, [*[x for c in labels for x in (f"__no_{c}", c)], "funding_id"], id_col="__place"))
     twins = Window.partitionBy("funding_id", *labels)
-    placed = placed.select("__row", F.min("__place").over(twins).alias("__place"))
-    spells = f.select("__row", "organization_id", "ChildId", "FirstReportingPeriodId", "LastReportingPeriodId").join(placed, "__row")
+    spells = placed.select(*spell, F.min("__place").over(twins).alias("__place"))
+    n_reports = rep.count()
+    if rep.select("report_id").distinct().count() == n_reports:
+        lines = _numbered_lines(spells, rep, t, n_reports)
+    else:
+        lines = _lines_of_repeated_reports(spells, rep, t)
+    r = lines.join(f.drop("organization_id", "ChildId", "funding_id", "FirstReportingPeriodId", "LastReportingPeriodId"), "__row")
+    r = _with_rate(r).join(limits.select("NumberOfPeople", F.col("x75SMI").alias("MaxIncome")), "NumberOfPeople", "left")
+    return r.select(
+        "report_id", "line_no", F.col("Sasid").alias("sasid"), F.col("LastName").alias("last_name"),
+        F.col("FirstName").alias("first_name"), "c4k_family_id", rc.presence_flag("c4k_family_id").alias("c4k"),
+        F.col("LicenseNumber").alias("center_license"), rc.space_label("Time", "AgeGroup").alias("service"),
+        F.col("Rate").alias("weekly_rate"), us_date("Entry").alias("enrollment_date"),
+        us_date("Exit").alias("termination_date"), F.col("NumberOfPeople").alias("n_in_family"),
+        F.col("Income").alias("annual_income"), rc.eligibility_flag("Income", "MaxIncome").alias("eligible"))
+
+
+def _numbered_lines(spells: DataFrame, rep: DataFrame, t: dict, n_reports: int) -> DataFrame:
+    """(report_id, Accredited, __row, c4k_family_id, line_no) of the spells' lines, for reports that are one row each.
+
+    The lines are never shuffled: the spells, which bring along what their child's subsidies depend on, are dealt over
+    tasks by organization and range of places. There they meet their reports, and a report's lines of a range are
+    numbered from its number of lines in the ranges before, which a first pass over the spells counts.
+    """
+    certs = t["c4k_certificate"].where(F.col("StartDate").isNotNull()).groupBy("ChildId", "StartDate", "EndDate").agg(F.count(F.lit(1)).alias("n"))
+    certs = certs.groupBy("ChildId").agg(F.collect_list(F.struct("StartDate", "EndDate", "n")).alias("__certs"))
+    cases = t["child"].groupBy(F.col("Id").alias("ChildId")).agg(F.collect_list(F.struct(F.col("C4KFamilyCaseNumber").alias("case_no"))).alias("__cases"))
+    spells = (spells.join(_funding_at_org(t), ["organization_id", "ChildId"], "left").join(certs, "ChildId", "left").join(cases, "ChildId", "left")
+              .withColumn("__range", F.floor(F.col("__place") / RANGE_PLACES).cast("int")))
+    spells = stored(spells.select("__row", "__place", "__range", "organization_id", "FirstReportingPeriodId", "LastReportingPeriodId", "n_fund", "__certs", "__cases"))
+    reports = rep.where("report_id is not null").select("report_id", "organization_id", "period_id", "Accredited", "period_start", "period_end")
+    reports = F.broadcast(reports) if n_reports <= BROADCAST_ROWS // 20 else reports        # a report has 17 rows to meet spells
+
+    def in_reports(df: DataFrame) -> DataFrame:
+        """With __subs: the subsidy rows of the spell's child in the report, NULL if there are none."""
+        act = active_in_period(df, reports, "organization_id", "FirstReportingPeriodId", "LastReportingPeriodId", "period_id")
+        n_cert = F.reduce(F.filter("__certs", lambda c: (c["StartDate"] <= F.col("period_end")) & (c["EndDate"].isNull() | (c["EndDate"] >= F.col("period_start")))),
+                          F.lit(0).cast("bigint"), lambda n, c: n + c["n"])
+        return act.withColumn("__subs", F.nullif(n_cert, F.lit(0).cast("bigint")) * F.col("n_fund"))
+
+    part = ["organization_id", "__range"]
+    n_lines = F.when(F.col("__subs").isNull(), 1).otherwise(F.greatest(F.col("__subs"), F.lit(1)) * F.greatest(F.coalesce(F.size("__cases"), F.lit(0)), F.lit(1)))
+    counts = in_reports(spells).groupBy(*part, "report_id").agg(F.sum(n_lines).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("report_id").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
+    begins = stored(counts.select(*part, "report_id", F.coalesce(before, F.lit(0)).alias("before")))
+    few = begins.count() <= BROADCAST_ROWS
+    begins = begins.groupBy(*part).agg(F.map_from_entries(F.collect_list(F.struct("report_id", "before"))).alias("__begins"))
+    # either way the spells are dealt by organization and range
+    dealt = spells.repartition(*part).join(F.broadcast(begins), part) if few else spells.join(begins.hint("merge"), part)
+    none = F.array(F.struct(F.lit(None).cast(t["child"].schema["C4KFamilyCaseNumber"].dataType).alias("case_no")))
+    lines = (in_reports(dealt).select(*part, "report_id", "Accredited", "__row", "__place", "__subs", F.col("__begins")[F.col("report_id")].alias("__before"),
+                                      F.explode(F.when(F.col("__subs").isNull() | F.col("__cases").isNull(), none).otherwise(F.col("__cases"))).alias("__case"))
+             .withColumn("__rep", F.explode(F.sequence(F.lit(1), F.greatest(F.coalesce("__subs", F.lit(0)), F.lit(1))))))
+    number = F.row_number().over(Window.partitionBy(*part, "report_id").orderBy("__place", "__rep"))
+    return lines.select("report_id", "Accredited", "__row", F.when(F.col("__subs") > 0, F.col("__case.case_no")).alias("c4k_family_id"),
+                        (F.col("__before") + number).cast("bigint").alias("line_no"))
+
+
+def _lines_of_repeated_reports(spells: DataFrame, rep: DataFrame, t: dict) -> DataFrame:
+    """As ``_numbered_lines``, where a report is several rows (of several organizations, maybe): lines are joined and numbered one by one."""
     act = active_in_period(spells, rep.select("report_id", "organization_id", "period_id"), "organization_id", "FirstReportingPeriodId",
                            "LastReportingPeriodId", "period_id")
     act = stored(act.select("report_id", "organization_id", "ChildId", "__row", "__place"))
@@ -265,16 +330,7 @@ def _roster(rep: DataFrame, t: dict, limits: DataFrame) -> DataFrame:
     # numbered in order of report, funding and repetition; a report's lines start at its least number
     lines = stored(number_rows(stored(lines), ["report_id", "__place", "__rep"], id_col="__no").drop("__place", "__rep"))
     first = stored(lines.groupBy("report_id").agg(F.min("__no").alias("__first")).join(rep.select("report_id", "Accredited"), "report_id"))
-    r = (lines.join(first, "report_id").withColumn("line_no", F.col("__no") - F.col("__first") + 1)
-         .join(f.drop("organization_id", "ChildId", "funding_id", "FirstReportingPeriodId", "LastReportingPeriodId"), "__row"))
-    r = _with_rate(r).join(limits.select("NumberOfPeople", F.col("x75SMI").alias("MaxIncome")), "NumberOfPeople", "left")
-    return r.select(
-        "report_id", "line_no", F.col("Sasid").alias("sasid"), F.col("LastName").alias("last_name"),
-        F.col("FirstName").alias("first_name"), "c4k_family_id", rc.presence_flag("c4k_family_id").alias("c4k"),
-        F.col("LicenseNumber").alias("center_license"), rc.space_label("Time", "AgeGroup").alias("service"),
-        F.col("Rate").alias("weekly_rate"), us_date("Entry").alias("enrollment_date"),
-        us_date("Exit").alias("termination_date"), F.col("NumberOfPeople").alias("n_in_family"),
-        F.col("Income").alias("annual_income"), rc.eligibility_flag("Income", "MaxIncome").alias("eligible"))
+    return lines.join(first, "report_id").withColumn("line_no", F.col("__no") - F.col("__first") + 1)
 
 
 def _income_groups(rep: DataFrame, act: DataFrame, limits: DataFrame) -> DataFrame:

@@ -99,6 +99,61 @@ def test_roster_lines_are_matched_and_numbered_without_their_texts(spark, monkey
     assert kept and all({"report_id", "LastName"} - set(df.columns) for df in kept)
 
 
+def _many_lines(spark, repeat_reports=False):
+    """Two organizations of many fundings that tie, three periods, certificates that repeat, a child that is two rows."""
+    t = _model(spark)
+    n, org = 40, lambda c: 1 + c % 2
+    t["organization"] = spark.createDataFrame([(1, "Org A"), (2, "Org B")], t["organization"].schema)
+    one = t["report"].first().asDict()
+    t["report"] = spark.createDataFrame([tuple((one | {"Id": 10 * o + p, "OrganizationId": o, "ReportingPeriodId": p})[c] for c in t["report"].columns)
+                                         for o in (1, 2) for p in (1, 2) for _ in range(1 + repeat_reports)], t["report"].schema)
+    space = t["funding_space"].first()["Id"]
+    t["funding"] = spark.createDataFrame([tuple({"Id": 1000 + c // 2, "Source": 0, "EnrollmentId": c, "FundingSpaceId": space, "FirstReportingPeriodId": 1 + c % 3 // 2,
+                                                "LastReportingPeriodId": None}[k] for k in t["funding"].columns) for c in range(n)], t["funding"].schema)
+    enrolled, site, child = t["enrollment"].first().asDict(), t["site"].first().asDict(), t["child"].first().asDict()
+    t["enrollment"] = spark.createDataFrame([tuple((enrolled | {"Id": c, "ChildId": c, "SiteId": 50 + org(c)})[k] for k in t["enrollment"].columns) for c in range(n)], t["enrollment"].schema)
+    t["site"] = spark.createDataFrame([tuple((site | {"Id": 50 + o, "OrganizationId": o})[k] for k in t["site"].columns) for o in (1, 2)], t["site"].schema)
+    t["child"] = spark.createDataFrame([tuple((child | {"Id": c, "Sasid": f"S{c}", "LastName": "ab"[c % 4 // 2], "FirstName": None, "C4KFamilyCaseNumber": c + 7})[k]
+                                              for k in t["child"].columns) for c in [*range(n), 5]], t["child"].schema)
+    days = {1: (D(2019, 1, 1), None), 2: (D(2030, 1, 1), None), 3: (None, None)}
+    t["c4k_certificate"] = spark.createDataFrame([(c, *days[k]) for c in range(0, n, 5) for k in (1, 1, 2, 3)], t["c4k_certificate"].schema)
+    return t
+
+
+def test_roster_lines_are_numbered_in_ranges_without_being_shuffled(spark, monkeypatch):
+    """Lines numbered by organization and range of fundings are those that are joined and numbered one by one."""
+    from rosterflow.plans import billing
+    monkeypatch.setattr(billing, "RANGE_PLACES", 7)
+    t = _many_lines(spark)
+    got = billing_report(t, ("roster",))["roster"]
+    columns = [c for c in got.columns if c != "line_no"]
+    report_lines = [(r.report_id, r.line_no) for r in got.collect()]
+    for report in {r for r, _ in report_lines}:
+        own = sorted(n for r, n in report_lines if r == report)
+        assert own == list(range(1, len(own) + 1)) and len(own) > 10
+    in_order = [(r.report_id, r.last_name) for r in got.orderBy("report_id", "line_no").collect()]
+    assert in_order == sorted(in_order)
+    # a child of two certificates in the period has two lines, that of two rows eight (four each)
+    sizes = {r["sasid"]: r["count"] for r in got.where("report_id = 22").groupBy("sasid").count().collect()}
+    assert sizes["S15"] == 2 and sizes["S5"] == 8 and sizes["S1"] == 1
+    monkeypatch.setattr(billing, "BROADCAST_ROWS", 0)
+    assert rows(billing_report(t, ("roster",))["roster"], *columns) == rows(got, *columns)
+    monkeypatch.setattr(billing, "_numbered_lines", lambda spells, rep, t, n: billing._lines_of_repeated_reports(spells, rep, t))
+    assert rows(billing_report(t, ("roster",))["roster"], *columns) == rows(got, *columns)
+    monkeypatch.undo()
+    plans = []
+    monkeypatch.setattr(billing, "_with_rate", lambda df, real=billing._with_rate: plans.append(df) or real(df))
+    billing_report(t, ("roster",))["roster"]
+    plan = plans[0]._jdf.queryExecution().executedPlan().toString()
+    dealt = [x for x in plan.split("hashpartitioning(")[1:] if "report_id" in x.split("REPARTITION")[0].split("ENSURE")[0]]
+    assert "row_number" in plan and not dealt      # the spells are dealt by organization and range, and no line moves to be numbered
+
+
+def test_reports_of_several_rows_keep_all_their_lines(spark):
+    once, twice = (billing_report(_many_lines(spark, r), ("roster",))["roster"].count() for r in (False, True))
+    assert twice > 2 * once
+
+
 def test_subsidies_per_report_matches_brute_force(spark):
     import random
     from rosterflow.plans.billing import child_subsidies, subsidies_per_report
